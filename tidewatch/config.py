@@ -45,8 +45,8 @@ SPEC_LAMBDA_KM = 15.0
 EQ_MIN_DIST_KM = 1e-3
 EQ_DEPTH_SCALE_KM = 70.0
 EQ_RECENCY_HOURS = 168.0
-# spec piecewise depth factor: depth <= 70 -> 1.0, <= 300 -> 0.7, else 0.4
-EQ_SPEC_DEPTH_STEPS = [(70.0, 1.0), (300.0, 0.7)]
+# spec piecewise depth factor: depth <= 30 -> 1.0, <= 70 -> 0.7, else 0.4
+EQ_SPEC_DEPTH_STEPS = [(30.0, 1.0), (70.0, 0.7)]
 EQ_SPEC_DEPTH_ELSE = 0.4
 
 # Robust score quantiles
@@ -105,17 +105,34 @@ ACTION_DEFAULT = "Maintain monitoring and readiness checks"
 ACTION_SEPARATOR = " | "
 
 # Spec-declared (not coded) weights
-SPEC_STATION_WEIGHTS = {"exceedance": 0.6, "rise": 0.4}
+SPEC_STATION_WEIGHTS = {"exceedance": 0.60, "rise": 0.40}
+SPEC_RISE_WINDOW_MINUTES = 60
 SPEC_GAUGE_WEIGHTS = {"height": 0.5, "flow_change": 0.5}
 SPEC_RISK_PHASE_WEIGHTS = {
-    "PRE": {"H": 0.40, "E": 0.30, "V": 0.30},
-    "DURING": {"H": 0.50, "E": 0.25, "V": 0.25},
-    "POST": {"H": 0.30, "E": 0.30, "V": 0.40},
+    "PRE": {"hazard": 0.35, "exposure": 0.25, "vulnerability": 0.40},
+    "DURING": {"hazard": 0.55, "exposure": 0.20, "vulnerability": 0.25},
 }
-SPEC_ACCESS_WEIGHTS = {"road": 0.7, "transit": 0.3}
-SPEC_VULNERABILITY_WEIGHTS = {"social": 0.60, "access": 0.25, "housing": 0.15}
-SPEC_EXPOSURE_WEIGHTS = {"population_in_zone": 0.70, "facilities_in_zone": 0.30}
+SPEC_EXPOSURE_WEIGHTS = {"pop_in_zone_pct": 0.70, "critical_facilities_in_zone": 0.30}
+SPEC_VULNERABILITY_WEIGHTS = {"svi_overall": 0.60, "access_constraints": 0.25, "housing_fragility": 0.15}
+SPEC_ACCESS_WEIGHTS = {"no_vehicle_pct": 0.7, "single_route_fragility_pct": 0.3}
+SPEC_ICS_WEIGHTS = {
+    "hospitals": 0.20, "power": 0.20, "water": 0.15, "roads_bridges": 0.15,
+    "telecom": 0.10, "ports": 0.08, "airports": 0.07, "emergency_facilities": 0.05,
+}
+SPEC_READINESS_WEIGHTS = {
+    "route_reliability": 0.35, "resource_proximity": 0.35, "comms_reach": 0.20, "eoc_staffing_flag": 0.10,
+}
+SPEC_RECOVERY_WEIGHTS = {
+    "utility_restoration_velocity": 0.45, "healthcare_access_restoration": 0.25,
+    "school_reopening_pct": 0.20, "housing_habitability_proxy": 0.10,
+}
+SPEC_NWS_SCORES = {"Flood Watch": 40, "Flood Warning": 70, "Flash Flood Warning": 100}
+SPEC_FORCE_RED_EVENTS = ["Flash Flood Warning"]
+SPEC_PHASE_EVENTS = {"PRE": ["Flood Watch"], "DURING": ["Flood Warning", "Flash Flood Warning"]}
 SPEC_POST_ALERT_HOURS = 24.0
+SPEC_BASELINE_WINDOW_DAYS = 365
+SPEC_DROPOUT_LEVELS = [0.2, 0.3, 0.4]
+SPEC_SENSITIVITY_DELTAS = [-0.2, -0.1, 0.1, 0.2]
 
 # Zone fallback ids
 ZONE_FALLBACK_PREFIX = "PRZ"

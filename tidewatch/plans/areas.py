@@ -40,10 +40,18 @@ def town_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cen.town_risk(towns, zcta_risk(spark, sf_dir), municipio_risk(spark, sf_dir))
 
 
-def area_features(spark: SparkSession, sf_dir: str, income_direction: str = "code") -> DataFrame:
-    """P10: municipio risk + centroid -> exposure / vulnerability / resilience."""
+def area_features(spark: SparkSession, sf_dir: str, income_direction: str = "code",
+                  materialize: bool = True) -> DataFrame:
+    """P10: municipio risk + centroid -> exposure / vulnerability / resilience.
+
+    The municipio table feeds both the features and the town blend, so it is
+    materialized once (a reliable checkpoint in the shared folder).
+    """
     muni = municipio_risk(spark, sf_dir)
-    cent = cen.municipio_centroids(town_risk(spark, sf_dir))
+    if materialize:
+        muni = stage_checkpoint(muni)
+    towns = cen.town_lookup(bind.towns(spark, sf_dir))
+    cent = cen.municipio_centroids(cen.town_risk(towns, zcta_risk(spark, sf_dir), muni))
     base = muni.join(cent, ["municipio_key", "municipio"], "left")
     base = sc.robust_scores(base, [
         ("population", "exposure_population_score", True),
@@ -53,40 +61,51 @@ def area_features(spark: SparkSession, sf_dir: str, income_direction: str = "cod
         ("median_income", "income_capacity_score", False),
     ])
     base = sc.with_area_composites(base, income_direction)
-    return base.select(
+    out = base.select(
         "area_id", "municipio", "municipio_key", "latitude", "longitude",
         "population", "median_income", "poverty_rate", "no_vehicle_rate", "vacancy_rate",
         "exposure_score", "vulnerability_score", "resilience_capacity_score",
         "poverty_score", "transport_constraint_score", "housing_fragility_score", "income_capacity_score",
     )
+    return stage_checkpoint(out) if materialize else out
 
 
 def area_hazard(spark: SparkSession, sf_dir: str, lambda_km: float = C.LAMBDA_KM,
-                override_km: float = C.OVERRIDE_KM, areas: DataFrame | None = None) -> DataFrame:
-    """P20: flood (weighted / local / alert), earthquake (robust of max intensity), combined."""
-    areas = areas if areas is not None else area_features(spark, sf_dir)
+                override_km: float = C.OVERRIDE_KM, areas: DataFrame | None = None,
+                materialize: bool = True) -> DataFrame:
+    """P20: flood (weighted / local / alert), earthquake (robust of max intensity), combined.
+
+    Station features are used twice (kernel and latest-observation time), so
+    they are materialized once; the area table is a checkpointed dimension.
+    """
+    areas = areas if areas is not None else area_features(spark, sf_dir, materialize=materialize)
     areas = areas.select("area_id", "municipio", "municipio_key", "latitude", "longitude")
     g = global_alert_score(alert_score(bind.active_alerts(spark, sf_dir)))
     stations = station_latest_features(spark, sf_dir, global_alert=g)
+    if materialize:
+        stations = stage_checkpoint(stations)
     as_of = bind.series_as_of(spark, sf_dir)
     flood = area_flood_hazard(areas, stations, g, lambda_km, override_km)
     quake = area_quake_raw(areas, bind.earthquakes(spark, sf_dir), as_of)
     haz = flood.join(quake, "area_id", "left")
     haz = sc.robust_score(haz, "earthquake_raw", "earthquake_hazard_score")
     latest_obs = stations.select(F.max("latest_time_utc")).scalar()
-    return (haz.withColumn("earthquake_hazard_score", F.coalesce("earthquake_hazard_score", F.lit(0.0)))
-               .withColumn("hazard_combined", F.greatest("flood_hazard_muni", "earthquake_hazard_score"))
-               .withColumn("noaa_latest_obs_utc", latest_obs))
+    out = (haz.withColumn("earthquake_hazard_score", F.coalesce("earthquake_hazard_score", F.lit(0.0)))
+              .withColumn("hazard_combined", F.greatest("flood_hazard_muni", "earthquake_hazard_score"))
+              .withColumn("noaa_latest_obs_utc", latest_obs))
+    return stage_checkpoint(out) if materialize else out
 
 
 def scored_indices(spark: SparkSession, sf_dir: str, phase: str = C.DEFAULT_PHASE,
-                   checkpoint: bool = False, as_of: Column | None = None) -> DataFrame:
-    """P30 (flagship): indices, confidence, adjustment toward the median, bands."""
-    feats = area_features(spark, sf_dir)
-    haz = area_hazard(spark, sf_dir, areas=feats)
-    if checkpoint:
-        feats = stage_checkpoint(feats)
-        haz = stage_checkpoint(area_hazard(spark, sf_dir, areas=feats))
+                   materialize: bool = True, as_of: Column | None = None) -> DataFrame:
+    """P30 (flagship): indices, confidence, adjustment toward the median, bands.
+
+    Stage outputs (area features, station features, area hazard) are
+    materialized to the checkpoint folder, so the scoring plan reads small
+    area tables and an executor loss never replays the event scans.
+    """
+    feats = area_features(spark, sf_dir, materialize=materialize)
+    haz = area_hazard(spark, sf_dir, areas=feats, materialize=materialize)
     h = haz.select("area_id", "flood_hazard_weighted", "flood_hazard_local_max", "nws_global_alert_score",
                    "flood_hazard_muni", "earthquake_raw", "supporting_station_count", "nearby_station_count",
                    "earthquake_hazard_score", "hazard_combined", "noaa_latest_obs_utc")

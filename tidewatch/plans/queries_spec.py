@@ -1,2 +1,132 @@
-"""Registered queries for spec-declared operators, validation and products."""
+"""Registered queries for validation, spec-declared operators and products."""
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewatch import config as C
+from tidewatch.operators import validation as V
+from tidewatch.plans import areas as A
+from tidewatch.plans import oracle as _O
+from tidewatch.plans.oracle import sql
+from tidewatch.plans.registry import out_sql, register
+from tidewatch.sources import bind
+
+EXTRA = {
+    "outcomes": ([], """
+        SELECT CAST(doc_id % 25 AS BIGINT) AS area_id, CAST(sum(toxic) AS BIGINT) AS impact_count,
+               CAST(max(toxic) AS BIGINT) AS impact_observed
+        FROM labels GROUP BY 1"""),
+    "scored_outcomes": (["scored", "outcomes"], """
+        SELECT s.*, o.impact_count, o.impact_observed FROM scored s LEFT JOIN outcomes o ON s.area_id = o.area_id"""),
+}
+
+
+EXTRA["af"] = (["scored", "area_features"], """
+    SELECT s.area_id, s.priority_band, f.population, f.vulnerability_score
+    FROM scored s JOIN area_features f ON s.area_id = f.area_id""")
+
+
+_O.EXTRA_CTES.update(EXTRA)
+
+_MASK30 = "((area_id * 37 + 11) % 100) < 30"
+
+
+@register("validation_metrics", sql(out_sql("metric, value:d", f"""(
+    SELECT 'row_count' AS metric, count(*)::DOUBLE AS value FROM scored
+    UNION ALL SELECT 'null_rate_priority_index_conf_adj', avg((priority_index_conf_adj IS NULL)::INT::DOUBLE) FROM scored
+    UNION ALL SELECT 'priority_min', min(priority_index_conf_adj) FROM scored
+    UNION ALL SELECT 'priority_max', max(priority_index_conf_adj) FROM scored
+    UNION ALL SELECT 'priority_mean', avg(priority_index_conf_adj) FROM scored
+    UNION ALL SELECT 'band_count_' || coalesce(priority_band, 'nan'), count(*)::DOUBLE FROM scored GROUP BY priority_band
+    UNION ALL SELECT 'stress_test_mae_priority',
+      avg(abs(priority_index_conf_adj - CASE WHEN {_MASK30}
+          THEN (SELECT median(priority_index_conf_adj) FROM scored WHERE {_MASK30}) ELSE priority_index_conf_adj END))
+      FROM scored)"""), "scored"))
+def q_validation(spark, sf_dir):
+    return V.index_metrics(A.scored_indices(spark, sf_dir))
+
+
+def _with_outcomes(spark, sf_dir):
+    s = A.scored_indices(spark, sf_dir)
+    return s.join(bind.area_outcomes(spark, sf_dir), "area_id", "left")
+
+
+def _avg_rank(col: str) -> str:
+    return f"(rank() OVER (ORDER BY {col}) + (count(*) OVER (PARTITION BY {col}) - 1) / 2.0::DOUBLE)"
+
+
+@register("spearman_backtest", sql(out_sql("spearman_rank_corr:d, n:l", f"""(
+    SELECT corr(ra, rb) AS spearman_rank_corr, count(*) AS n FROM (
+      SELECT {_avg_rank('priority_index_conf_adj')} AS ra, {_avg_rank('impact_count')} AS rb
+      FROM scored_outcomes WHERE priority_index_conf_adj IS NOT NULL AND impact_count IS NOT NULL))"""),
+    "scored_outcomes"))
+def q_spearman(spark, sf_dir):
+    return V.spearman(_with_outcomes(spark, sf_dir), "priority_index_conf_adj", "impact_count")
+
+
+@register("red_band_precision_recall", sql(out_sql(
+    "true_positive:l, false_escalation:l, missed:l, precision:d, recall:d", """(
+    SELECT *, true_positive::DOUBLE / nullif(true_positive + false_escalation, 0) AS precision,
+              true_positive::DOUBLE / nullif(true_positive + missed, 0) AS recall
+    FROM (SELECT count(*) FILTER (WHERE priority_band = 'Red' AND coalesce(impact_observed = 1, false)) AS true_positive,
+                 count(*) FILTER (WHERE priority_band = 'Red' AND NOT coalesce(impact_observed = 1, false))
+                   AS false_escalation,
+                 count(*) FILTER (WHERE priority_band <> 'Red' AND coalesce(impact_observed = 1, false)) AS missed
+          FROM scored_outcomes))"""), "scored_outcomes"))
+def q_precision(spark, sf_dir):
+    return V.red_band_precision_recall(_with_outcomes(spark, sf_dir))
+
+
+@register("fairness_by_quartile", sql(out_sql(
+    "vulnerability_quartile:l, areas:l, red_count:l, red_share:d, population_share:d", """(
+    SELECT q AS vulnerability_quartile, count(*) AS areas, count(*) FILTER (WHERE priority_band = 'Red') AS red_count,
+      (count(*) FILTER (WHERE priority_band = 'Red'))::DOUBLE / count(*) AS red_share,
+      sum(population) / (SELECT sum(population) FROM af) AS population_share
+    FROM (SELECT *, ntile(4) OVER (ORDER BY vulnerability_score ASC NULLS FIRST, area_id) AS q FROM af)
+    GROUP BY q)"""), "af"))
+def q_fairness(spark, sf_dir):
+    s = A.scored_indices(spark, sf_dir).drop("vulnerability_score")
+    f = A.area_features(spark, sf_dir).select("area_id", "population", "vulnerability_score")
+    return V.fairness_by_quartile(s.join(f, "area_id"))
+
+
+def _sens_sql() -> str:
+    base = C.PHASE_WEIGHTS[C.DEFAULT_PHASE]
+    rows = []
+    for comp in ("risk", "rr", "rc"):
+        for dlt in C.SPEC_SENSITIVITY_DELTAS:
+            w = dict(base)
+            w[comp] = w[comp] * (1 + dlt)
+            tot = sum(w.values())
+            rows.append(f"('{comp}', {float(dlt)}::DOUBLE, {w['risk'] / tot!r}::DOUBLE, "
+                        f"{w['rr'] / tot!r}::DOUBLE, {w['rc'] / tot!r}::DOUBLE)")
+    scen = f"(VALUES {', '.join(rows)}) AS sc(component, delta, w_risk, w_rr, w_rc)"
+    p_new = ("CASE WHEN x IS NOT NULL THEN least(greatest(x, 0.0::DOUBLE), 100.0::DOUBLE) END")
+    inner = ("risk_index_raw * w_risk + (100.0::DOUBLE - response_readiness_index) * w_rr"
+             " + (100.0::DOUBLE - recovery_capacity_index) * w_rc")
+    return f"""(
+    SELECT component, delta, corr(rb::DOUBLE, rn::DOUBLE) AS spearman_rank_corr, max(abs(rb - rn)) AS max_rank_shift
+    FROM (SELECT *, row_number() OVER (PARTITION BY component, delta ORDER BY priority_index DESC, area_id) AS rb,
+                    row_number() OVER (PARTITION BY component, delta ORDER BY p_new DESC, area_id) AS rn
+          FROM (SELECT s.area_id, s.priority_index, sc.component, sc.delta,
+                       {p_new.replace('x', '(' + inner + ')')} AS p_new
+                FROM scored s, {scen}))
+    GROUP BY component, delta)"""
+
+
+@register("weight_sensitivity", sql(out_sql("component, delta:d, spearman_rank_corr:d, max_rank_shift:l",
+                                            _sens_sql()), "scored"))
+def q_sensitivity(spark, sf_dir):
+    return V.weight_sensitivity(A.scored_indices(spark, sf_dir))
+
+
+@register("dropout_stability", None)
+def q_dropout(spark, sf_dir):
+    """SP-23 (rows-only check; covered by a brute-force test)."""
+    feats = A.area_features(spark, sf_dir)
+    haz = A.area_hazard(spark, sf_dir, areas=feats)
+    h = haz.select("area_id", "nws_global_alert_score", "flood_hazard_muni", "earthquake_hazard_score",
+                   "hazard_combined", "noaa_latest_obs_utc")
+    return V.dropout_stability(feats.join(h, "area_id"), bind.series_as_of(spark, sf_dir))
+
+

@@ -231,3 +231,17 @@ def towns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def area_key(col: Column) -> Column:
     return normalize_text(col)
+
+
+# ---------------------------------------------------------------------------
+# Observed outcomes per area (labels) -- the backtest "event library"
+# ---------------------------------------------------------------------------
+
+def area_outcomes(spark: SparkSession, sf_dir: str, n_areas: int = 25) -> DataFrame:
+    """Observed impact per area: labels folded onto areas by doc_id modulo the
+    area count (impact_count = toxic labels, impact_observed = any)."""
+    lab = read_table(spark, sf_dir, "labels")
+    return lab.groupBy((F.col("doc_id") % n_areas).cast("long").alias("area_id")).agg(
+        F.sum("toxic").cast("long").alias("impact_count"),
+        F.max("toxic").cast("long").alias("impact_observed"),
+    )
