@@ -32,6 +32,11 @@ def hours_between(later, earlier) -> Column:
     return (F.unix_micros(as_utc(later)) - F.unix_micros(as_utc(earlier))) / F.lit(3.6e9)
 
 
+def minutes_between(later, earlier) -> Column:
+    """Signed minutes from ``earlier`` to ``later`` (one division, micro-second exact)."""
+    return (F.unix_micros(as_utc(later)) - F.unix_micros(as_utc(earlier))) / F.lit(6e7)
+
+
 def hours_between_floor(later, earlier, floor: float) -> Column:
     """D-DT4: hours between, floored (1e-6 for rates, 0 for ages)."""
     return F.greatest(hours_between(later, earlier), F.lit(float(floor)))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import EXCEED_BOUNDS, MIN_DELTA_HOURS, RISE_BOUNDS
 from tidewatch.functions.numeric import clip, nan_mean, normalize_linear
-from tidewatch.functions.timefn import hours_between, hours_between_floor
+from tidewatch.functions.timefn import hours_between, hours_between_floor, minutes_between
 
 
 def latest_k(series: DataFrame, k: int, key: str = "station_id", time_col: str = "time_utc",
@@ -155,12 +155,13 @@ def gaps(series: DataFrame, cadence_minutes: float, factor: float = 2.0, key: st
     gap_minutes, kind ('gap' | 'duplicate').
     """
     s = with_prev(series.select(key, time_col, tie_col), key, time_col, tie_col, cols=())
-    gap_min = hours_between(time_col, f"prev_{time_col}") * F.lit(60.0)
-    s = s.withColumn("gap_minutes", gap_min)
-    kind = (F.when(F.col("gap_minutes") == 0, "duplicate")
-            .when(F.col("gap_minutes") > cadence_minutes * factor, "gap"))
+    gap_us = F.unix_micros(F.col(time_col).cast("timestamp")) - F.unix_micros(F.col(f"prev_{time_col}").cast("timestamp"))
+    s = s.withColumn("_gap_us", gap_us)
+    kind = (F.when(F.col("_gap_us") == 0, "duplicate")
+            .when(F.col("_gap_us") > F.lit(int(cadence_minutes * factor * 60_000_000)), "gap"))
     return (s.withColumn("kind", kind).filter(F.col("kind").isNotNull())
-             .select(key, time_col, tie_col, F.col(f"prev_{time_col}").alias("prev_time_utc"), "gap_minutes", "kind"))
+             .select(key, time_col, tie_col, F.col(f"prev_{time_col}").alias("prev_time_utc"),
+                     (F.col("_gap_us") / F.lit(1e6)).alias("gap_seconds"), "kind"))
 
 
 def per_row_rate(series: DataFrame, key: str = "station_id", time_col: str = "time_utc",

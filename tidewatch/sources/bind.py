@@ -245,3 +245,79 @@ def area_outcomes(spark: SparkSession, sf_dir: str, n_areas: int = 25) -> DataFr
         F.sum("toxic").cast("long").alias("impact_count"),
         F.max("toxic").cast("long").alias("impact_observed"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Spec indicator carriers (long format: area_id, indicator, value)
+# ---------------------------------------------------------------------------
+
+def _stack(wide: DataFrame, key: str, names: list[str]) -> DataFrame:
+    return wide.unpivot([key], names, "indicator", "value")
+
+
+def area_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Infrastructure (ICS), readiness and recovery indicators per area.
+
+    ICS sectors come from line items by supplier nation; readiness and
+    recovery from orders by customer nation.  Both are partial-aggregating
+    group-bys over the whole fact tables.
+    """
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_discount", "l_tax", "l_quantity", "l_returnflag", "l_linestatus", "l_extendedprice")
+    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    c = F.col
+    ics = li.join(sup, li.l_suppkey == sup.s_suppkey).groupBy(c("s_nationkey").cast("long").alias("area_id")).agg(
+        F.avg("l_discount").alias("hospitals"),
+        F.avg("l_tax").alias("power"),
+        F.avg("l_quantity").alias("water"),
+        (F.avg((c("l_returnflag") == "R").cast("double")) * 100.0).alias("roads_bridges"),
+        (F.avg((c("l_linestatus") == "O").cast("double")) * 100.0).alias("telecom"),
+        F.avg("l_extendedprice").alias("ports"),
+        F.count(F.lit(1)).cast("double").alias("airports"),
+        F.sum("l_quantity").alias("emergency_facilities"),
+    )
+    o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    rr = o.join(cu, o.o_custkey == cu.c_custkey).groupBy(c("c_nationkey").cast("long").alias("area_id")).agg(
+        (F.avg((c("o_orderstatus") == "F").cast("double")) * 100.0).alias("route_reliability"),
+        (F.avg("o_totalprice") / 1000.0).alias("resource_proximity"),
+        (F.avg(c("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("double")) * 100.0).alias("comms_reach"),
+        F.max((c("o_orderpriority") == "1-URGENT").cast("double")).alias("eoc_staffing_flag"),
+        (F.avg("o_totalprice") / 10000.0).alias("utility_restoration_velocity"),
+        (F.avg("c_acctbal") / 100.0).alias("healthcare_access_restoration"),
+        (F.avg((c("o_orderstatus") != "P").cast("double")) * 100.0).alias("school_reopening_pct"),
+        (F.avg((c("c_mktsegment") == "HOUSEHOLD").cast("double")) * 100.0).alias("housing_habitability_proxy"),
+    )
+    ics_names = [n for n in ics.columns if n != "area_id"]
+    rr_names = [n for n in rr.columns if n != "area_id"]
+    return _stack(ics, "area_id", ics_names).unionByName(_stack(rr, "area_id", rr_names))
+
+
+# indicator -> (index, direction, policy, fixed lo, fixed hi); weights come from config
+INDICATOR_SPEC = {
+    "hospitals": ("ics", "higher_worse", "percentiles", None, None),
+    "power": ("ics", "higher_worse", "percentiles", None, None),
+    "water": ("ics", "higher_worse", "percentiles", None, None),
+    "roads_bridges": ("ics", "higher_worse", "fixed", 0.0, 100.0),
+    "telecom": ("ics", "higher_worse", "fixed", 0.0, 100.0),
+    "ports": ("ics", "higher_worse", "percentiles", None, None),
+    "airports": ("ics", "higher_worse", "percentiles", None, None),
+    "emergency_facilities": ("ics", "higher_worse", "percentiles", None, None),
+    "route_reliability": ("readiness", "higher_better", "fixed", 0.0, 100.0),
+    "resource_proximity": ("readiness", "lower_better", "percentiles", None, None),
+    "comms_reach": ("readiness", "higher_better", "fixed", 0.0, 100.0),
+    "eoc_staffing_flag": ("readiness", "higher_better", "fixed", 0.0, 1.0),
+    "utility_restoration_velocity": ("recovery", "higher_better", "percentiles", None, None),
+    "healthcare_access_restoration": ("recovery", "lower_better", "percentiles", None, None),
+    "school_reopening_pct": ("recovery", "higher_better", "fixed", 0.0, 100.0),
+    "housing_habitability_proxy": ("recovery", "higher_worse", "percentiles", None, None),
+}
+
+
+def indicator_meta_rows() -> list[tuple]:
+    from tidewatch import config as C
+    weights = {"ics": C.SPEC_ICS_WEIGHTS, "readiness": C.SPEC_READINESS_WEIGHTS, "recovery": C.SPEC_RECOVERY_WEIGHTS}
+    rows = []
+    for ind, (idx, direction, policy, lo, hi) in INDICATOR_SPEC.items():
+        rows.append((ind, idx, float(weights[idx][ind]), direction, policy, lo, hi))
+    return rows
