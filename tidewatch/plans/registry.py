@@ -61,3 +61,4 @@ def register(name: str, sql_text: str | None):
 
 from tidewatch.plans import queries_core  # noqa: E402,F401  (registers)
 from tidewatch.plans import queries_spec  # noqa: E402,F401  (registers)
+from tidewatch.plans import queries_io  # noqa: E402,F401  (registers)
