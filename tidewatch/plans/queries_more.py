@@ -286,3 +286,58 @@ def q_geojson(spark, sf_dir):
     s = A.scored_indices(spark, sf_dir).select("area_id", "municipio", "latitude", "longitude", "priority_band",
                                                "priority_index_conf_adj")
     return geojson_features(s)
+
+
+# ---------------- ST-* streaming (run to completion, read back) -----------------
+
+_H = "(epoch_us({a}) - epoch_us({b})) / 3600000000.0::DOUBLE"
+
+
+@register("stream_window_stats", sql(out_sql(
+    "station_id:l, window_start, window_end, obs_count:l, peak_value:d, mean_value:d", """(
+    SELECT station_id, ws AS window_start, ws + INTERVAL 60 MINUTE AS window_end, count(water_level) AS obs_count,
+      max(water_level) AS peak_value, avg(water_level) AS mean_value
+    FROM (SELECT s.*, time_bucket(INTERVAL 15 MINUTE, time_utc) - k * INTERVAL 15 MINUTE AS ws
+          FROM tidal_series s, range(0, 4) t(k))
+    GROUP BY station_id, ws)"""), "tidal_series"))
+def q_stream_stats(spark, sf_dir):
+    """ST-01..ST-03: file stream -> dedupe within watermark -> sliding hourly stats."""
+    from tidewatch.streaming.streams import station_window_stats
+    d = station_window_stats(spark, sf_dir)
+    return d.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
+            .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+@register("stream_latest_state", sql(out_sql(
+    "station_id:l, latest_time_utc, latest_water_level:d, prev_time_utc, prev_water_level:d, rise_rate_per_hour:d",
+    f"""(
+    SELECT *, CASE WHEN latest_water_level IS NOT NULL AND prev_water_level IS NOT NULL THEN
+        (latest_water_level - prev_water_level) /
+        greatest({_H.format(a='latest_time_utc', b='prev_time_utc')}, 1e-6::DOUBLE) END AS rise_rate_per_hour
+    FROM latest_prev)"""), "latest_prev"))
+def q_stream_latest(spark, sf_dir):
+    """ST-04 + ST-05: latest / previous reading per station kept across micro-batches."""
+    from tidewatch.streaming.streams import latest_state_stream
+    d = latest_state_stream(spark, sf_dir)
+    for c in ("latest_time_utc", "prev_time_utc"):
+        d = d.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return d.select("station_id", "latest_time_utc", "latest_water_level", "prev_time_utc", "prev_water_level",
+                    "rise_rate_per_hour")
+
+
+@register("stream_alert_sessions", sql(out_sql("zone_id, session_start, session_end, n_alerts:l", """(
+    SELECT zone_id, min(onset) AS session_start, max(onset) + INTERVAL 24 HOUR AS session_end, count(*) AS n_alerts
+    FROM (SELECT *, sum(CASE WHEN prev IS NULL OR onset >= prev + INTERVAL 24 HOUR THEN 1 ELSE 0 END)
+                      OVER (PARTITION BY zone_id ORDER BY onset, alert_key ROWS UNBOUNDED PRECEDING) AS sid
+          FROM (SELECT a.alert_key, a.onset, z.zone_id,
+                  lag(a.onset) OVER (PARTITION BY z.zone_id ORDER BY a.onset, a.alert_key) AS prev
+                FROM (SELECT o_orderkey AS alert_key, o_orderdate AS onset FROM orders) a
+                JOIN (SELECT DISTINCT alert_key, zone_id FROM alert_zones) z ON a.alert_key = z.alert_key))
+    GROUP BY zone_id, sid)"""), "alert_zones"))
+def q_stream_sessions(spark, sf_dir):
+    """ST-06: alert sessions per zone (24 h gap) from an orders stream joined to static zones."""
+    from tidewatch.streaming.streams import alert_sessions
+    d = alert_sessions(spark, sf_dir)
+    for c in ("session_start", "session_end"):
+        d = d.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return d
