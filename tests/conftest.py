@@ -20,6 +20,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "8g")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("FATAL")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Python-side call-site capture for error context costs a stack walk and
+    # JVM round trips per Column call; plans here build thousands of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -62,11 +66,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage between pipeline stages with a reliable checkpoint.
+def stage_checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage between pipeline stages with a table in the shared folder.
 
-    The data is written to the shared checkpoint folder, so a lost executor
-    re-reads it instead of recomputing the whole upstream plan.
+    The stage is written once as Parquet under ``spark.checkpoint.dir`` and
+    read back, so downstream plans start from a pruned columnar scan and a
+    lost executor re-reads the files instead of recomputing the upstream
+    plan.  (``DataFrame.checkpoint(eager=True)`` would compute the plan twice:
+    once to count, once to write.)
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = os.path.join(base, "stages", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

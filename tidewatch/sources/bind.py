@@ -20,8 +20,23 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Reader for one landed table.
+
+    The reader DataFrame (file listing + footer schema, no data) is reused
+    per session and path, since a landed table does not change during a run;
+    every query still scans the files itself.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READERS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READERS[key] = df
+    return df
 
 
 def _lit(x: float) -> Column:
