@@ -92,3 +92,46 @@ def test_baseline_percentiles_close_to_exact(spark):
     for k, r in approx.items():
         e = exact[k]
         assert e.lo <= r.baseline_p05 <= r.baseline_p95 <= e.hi
+
+
+def test_dedupe_first_matches_brute_force(spark):
+    from tidewatch.operators.catalog import dedupe_first
+    rng = random.Random(7)
+    # one hot key holding a third of the rows
+    rows = [(("hot" if i % 3 == 0 else f"k{rng.randrange(40)}"), rng.randrange(10_000) * 10 + i % 10, f"v{i}")
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, seq long, v string")
+    got = {r.id: (r.seq, r.v) for r in dedupe_first(df, "id", "seq").collect()}
+    want = {}
+    for k, s, v in rows:
+        if k not in want or (s, v) < want[k]:
+            want[k] = (s, v)
+    assert got == want
+
+
+def test_coordinate_fallback_and_catalog_filter(spark):
+    from tidewatch.operators.catalog import catalog_filter, with_coordinate_fallback
+    st = spark.createDataFrame([
+        ("a", 18.0, -66.0, True),    # valid, kept as is
+        ("b", 0.0, 0.0, True),       # (0, 0) -> fallback
+        ("c", None, -66.0, True),    # missing -> no fallback row -> dropped
+        ("d", 95.0, -66.0, None),    # out of range -> fallback, but datum flag missing -> dropped
+        ("e", 18.0, -66.0, False),   # not tidal -> dropped
+        ("f", 30.0, -66.0, True),    # valid but outside the box -> dropped
+    ], "id string, lat double, lon double, tidal boolean")
+    lk = spark.createDataFrame([("b", 18.2, -66.2), ("b", 18.2, -66.2), ("d", 18.1, -66.1)],
+                               "id string, fb_lat double, fb_lon double")
+    out = catalog_filter(with_coordinate_fallback(st, lk, "id"), (17.8, 18.6, -67.5, -65.0))
+    got = {r.id: (r.lat, r.lon, r.coord_source) for r in out.collect()}
+    assert got == {"a": (18.0, -66.0, "feed"), "b": (18.2, -66.2, "fallback")}
+
+
+def test_assert_rows_guards(spark):
+    import pytest
+    from tidewatch.operators.catalog import assert_rows
+    df = spark.range(5)
+    assert assert_rows(df, 1, 10).count() == 5
+    with pytest.raises(Exception, match="more than 3"):
+        assert_rows(df, 1, 3, what="catalogue").count()
+    with pytest.raises(Exception, match="at least 1"):
+        assert_rows(df.filter("id < 0"), 1).count()

@@ -63,3 +63,4 @@ from tidewatch.plans import queries_core  # noqa: E402,F401  (registers)
 from tidewatch.plans import queries_spec  # noqa: E402,F401  (registers)
 from tidewatch.plans import queries_io  # noqa: E402,F401  (registers)
 from tidewatch.plans import queries_more  # noqa: E402,F401  (registers)
+from tidewatch.plans import queries_feeds  # noqa: E402,F401  (registers)

@@ -74,9 +74,10 @@ def _parse(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
 
 # ---------------- S-01 / S-02 -----------------
 
-def flatten_catalog(doc: DataFrame) -> DataFrame:
-    s = doc.select(F.explode("stations").alias("s"))
-    return s.select(F.col("s.id").alias("id"), F.col("s.name").alias("name"), F.col("s.state").alias("state"),
+def flatten_catalog(doc: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Station rows of catalogue documents; ``keep`` carries document-level columns."""
+    s = doc.select(*keep, F.explode("stations").alias("s"))
+    return s.select(*keep, F.col("s.id").alias("id"), F.col("s.name").alias("name"), F.col("s.state").alias("state"),
                     F.col("s.lat").alias("lat"), F.col("s.lng").alias("lng"), F.col("s.shefcode").alias("shefcode"),
                     F.col("s.tidal").alias("tidal"))
 
