@@ -135,3 +135,48 @@ def test_assert_rows_guards(spark):
         assert_rows(df, 1, 3, what="catalogue").count()
     with pytest.raises(Exception, match="at least 1"):
         assert_rows(df.filter("id < 0"), 1).count()
+
+
+def test_area_quake_raw_matches_brute_force(spark):
+    """Pre-aggregating co-located events must not change the per-area maximum
+    (negative magnitudes, missing magnitude / depth / position included)."""
+    import datetime as dt
+    from tidewatch.operators.spatial import area_quake_raw
+    rng = random.Random(3)
+    as_of = dt.datetime(2024, 1, 10)
+    locs = [(17.5 + rng.random(), -67.5 + 2 * rng.random()) for _ in range(15)]
+    quakes = []
+    for i in range(400):
+        la, lo = locs[rng.randrange(len(locs))]
+        if i % 37 == 0:
+            la = None
+        mag = None if i % 11 == 0 else rng.uniform(-1.0, 6.0)
+        depth = None if i % 13 == 0 else rng.uniform(0, 150)
+        quakes.append((la, lo, mag, depth, as_of - dt.timedelta(hours=rng.uniform(-5, 400))))
+    areas = [(k, 17.6 + rng.random(), -67.4 + 2 * rng.random()) for k in range(12)] + [(99, None, -66.0)]
+    qdf = spark.createDataFrame(quakes, "latitude double, longitude double, magnitude double, depth_km double,"
+                                        " time_utc timestamp")
+    adf = spark.createDataFrame(areas, "area_id long, latitude double, longitude double")
+    got = {r.area_id: r.earthquake_raw for r in area_quake_raw(adf, qdf, F.lit(as_of).cast("timestamp")).collect()}
+
+    def hav(a1, o1, a2, o2):
+        p1, p2 = math.radians(a1), math.radians(a2)
+        a = math.sin(math.radians(a2 - a1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(o2 - o1) / 2) ** 2
+        return 2 * 6371.0 * math.asin(math.sqrt(a))
+
+    want = {}
+    for k, ala, alo in areas:
+        if ala is None:
+            continue
+        vals = []
+        for la, lo, mag, depth, t in quakes:
+            if la is None:
+                continue
+            age = (as_of - t).total_seconds() / 3600.0
+            d = hav(ala, alo, la, lo)
+            vals.append((mag or 0.0) / math.log1p(max(d, 1e-3)) / (1 + (depth or 0.0) / 70.0)
+                        * math.exp(-max(age, 0.0) / 168.0))
+        want[k] = max(vals)
+    assert set(got) == set(want)
+    for k in want:
+        assert math.isclose(got[k], want[k], rel_tol=1e-12, abs_tol=1e-12)

@@ -40,11 +40,21 @@ def depth_factor_spec(depth_km) -> Column:
     return out.otherwise(F.lit(EQ_SPEC_DEPTH_ELSE))
 
 
-def quake_intensity(magnitude, dist_km, depth_km, age_hours, depth=depth_factor) -> Column:
-    """M-09: mag / log1p(max(d, 1e-3)) * depth factor * exp(-max(age, 0) / 168)."""
+def quake_source_factor(magnitude, depth_km, age_hours, depth=depth_factor) -> Column:
+    """The per-event part of M-09: mag (missing -> 0) * depth factor * exp(-max(age, 0) / 168)."""
     mag = F.coalesce(_c(magnitude), F.lit(0.0))
     recency = F.exp(-F.greatest(_c(age_hours), F.lit(0.0)) / F.lit(EQ_RECENCY_HOURS))
-    return mag / F.log1p(F.greatest(_c(dist_km), F.lit(EQ_MIN_DIST_KM))) * depth(depth_km) * recency
+    return mag * depth(depth_km) * recency
+
+
+def distance_attenuation(dist_km) -> Column:
+    """The per-pair part of M-09: log1p(max(d, 1e-3)), always > 0."""
+    return F.log1p(F.greatest(_c(dist_km), F.lit(EQ_MIN_DIST_KM)))
+
+
+def quake_intensity(magnitude, dist_km, depth_km, age_hours, depth=depth_factor) -> Column:
+    """M-09: mag / log1p(max(d, 1e-3)) * depth factor * exp(-max(age, 0) / 168)."""
+    return quake_source_factor(magnitude, depth_km, age_hours, depth) / distance_attenuation(dist_km)
 
 
 def in_bbox(lat, lon, min_lat, max_lat, min_lon, max_lon) -> Column:

@@ -156,15 +156,27 @@ def area_flood_hazard(areas: DataFrame, stations: DataFrame, global_alert: Colum
 
 def area_quake_raw(areas: DataFrame, quakes: DataFrame, as_of: Column, area_key: str = "area_id",
                    depth_fn=None) -> DataFrame:
-    """D-16 raw part: max over all events of the M-09 intensity, per area."""
-    from tidewatch.functions.geo import depth_factor, quake_intensity
-    depth_fn = depth_fn or depth_factor
+    """D-16 raw part: max over all events of the M-09 intensity, per area.
+
+    Intensity = source factor / attenuation(distance), and the attenuation is
+    positive, so at one location only the largest source factor can be the
+    maximum.  Events are therefore reduced to (location, max factor) first --
+    a partial-aggregating group-by, so a location hit by a third of all
+    events still ships one row per map task -- and the per-event expressions
+    (JSON fields, ages) are evaluated once per event instead of once per
+    (event, area) pair inside the nested loop.  Events without a position or
+    time give a null intensity, which ``max`` skips; they are dropped here.
+    """
+    from tidewatch.functions.geo import depth_factor, distance_attenuation, quake_source_factor
     from tidewatch.functions.timefn import hours_between
-    q = quakes.select(F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "magnitude", "depth_km",
-                      hours_between(as_of, F.col("time_utc")).alias("age_h"))
+    depth_fn = depth_fn or depth_factor
+    f = quake_source_factor("magnitude", "depth_km", hours_between(as_of, F.col("time_utc")), depth=depth_fn)
+    q = (quakes.select(F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), f.alias("_f"))
+               .groupBy("lat", "lon").agg(F.max("_f").alias("_f"))
+               .filter(F.col("_f").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()))
 
     def aggs(dist: Column):
-        return [F.max(quake_intensity("magnitude", dist, "depth_km", "age_h", depth=depth_fn)).alias("earthquake_raw")]
+        return [F.max(F.col("_f") / distance_attenuation(dist)).alias("earthquake_raw")]
 
     located = areas.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     return kernel_aggregate(located, q, area_key, aggs)
