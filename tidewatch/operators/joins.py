@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Lookups (code tables, zone references) above this many rows are joined by
+# the optimizer's own choice (shuffle, or AQE's size-measured broadcast).
+MAX_BROADCAST_LOOKUP_ROWS = 100_000
+
+
+def checked_size(df: DataFrame, max_rows: int) -> int | None:
+    """Row count if it is at most ``max_rows``, else None (reads at most max_rows + 1 rows)."""
+    n = df.limit(max_rows + 1).count()
+    return n if n <= max_rows else None
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_LOOKUP_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven to be at most ``max_rows``;
+    otherwise ``df`` unchanged, leaving the strategy to Catalyst / AQE."""
+    return F.broadcast(df) if checked_size(df, max_rows) is not None else df

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import config as C
 from tidewatch.functions.geo import haversine_km
+from tidewatch.operators.joins import checked_size  # noqa: F401  (re-exported)
 
 KM_PER_RAD = C.EARTH_RADIUS_KM
 MAX_BROADCAST_AREAS = 20000
@@ -38,12 +39,6 @@ class BroadcastBoundExceeded(ValueError):
     pass
 
 
-def checked_size(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None (reads at most max_rows + 1 rows)."""
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
-
-
 def _cell_sizes(r_km: float, max_abs_lat: float) -> tuple[float, float]:
     """Cell sizes in degrees so any pair within r_km is at most one cell apart.
 

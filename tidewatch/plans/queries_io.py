@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import config as C
 from tidewatch.operators import alerts as al
+from tidewatch.operators.joins import bounded_broadcast
 from tidewatch.plans import oracle as _O
 from tidewatch.plans.oracle import sql
 from tidewatch.plans.registry import out_sql, register
@@ -203,7 +204,7 @@ def q_daily_water(spark, sf_dir):
     stats = stats.dropDuplicates(["statistic_id"])
     w = (w.withColumn("parameter_code", zero_pad_code(F.col("parameter_code")))
           .withColumn("statistic_id", zero_pad_code(F.col("statistic_id"))))
-    w = w.join(F.broadcast(params), "parameter_code", "left").join(F.broadcast(stats), "statistic_id", "left")
+    w = w.join(bounded_broadcast(params), "parameter_code", "left").join(bounded_broadcast(stats), "statistic_id", "left")
     return w.withColumn("qualifier", join_list("qualifier", " - ")).select(*_names(WATER))
 
 
@@ -271,7 +272,7 @@ def q_alerts_by_zone(spark, sf_dir):
     geo = bind.towns(spark, sf_dir).select(F.col("designated_area"), F.col("latitude").alias("g_lat"),
                                            F.col("longitude").alias("g_lon"))
     u = u.join(geo, u.area_desc == geo.designated_area, "left").drop("designated_area")
-    u = u.join(F.broadcast(ref), "zone_id", "left")
+    u = u.join(bounded_broadcast(ref), "zone_id", "left")
     return u.select(*_names(ABZ)[:8], F.coalesce("g_lat", "zone_lat").alias("latitude"),
                     F.coalesce("g_lon", "zone_lon").alias("longitude"))
 
