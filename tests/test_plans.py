@@ -24,3 +24,27 @@ def test_series_scan_prunes_columns(spark):
 def test_scored_has_no_python(spark):
     p = _plan(A.scored_indices(spark, SF))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
+
+
+def test_no_registered_query_runs_python(spark):
+    import __spark_entry__ as E
+    bad = {}
+    for name, fn in E.queries().items():
+        p = _plan(fn(spark, SF))
+        hits = [k for k in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
+                            "MapInPandas", "PythonMapInArrow") if k in p]
+        if hits:
+            bad[name] = hits
+    assert not bad
+
+
+def test_quake_kernel_aggregates_events_before_the_area_loop(spark):
+    from pyspark.sql import functions as F
+
+    from tidewatch.operators.spatial import area_quake_raw
+    from tidewatch.sources import bind
+    areas = spark.createDataFrame([(1, 18.0, -66.0), (2, 18.3, -66.5)], "area_id long, latitude double, longitude double")
+    df = area_quake_raw(areas, bind.earthquakes(spark, SF), F.lit("2024-01-01").cast("timestamp"))
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    join_at = p.index("Join Cross")
+    assert "Aggregate [lat" in p[join_at:]   # the (location, max factor) aggregate sits below the join
