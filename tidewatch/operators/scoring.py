@@ -8,7 +8,7 @@ bounded dimension); ``approx=True`` switches to ``percentile_approx``.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import config as C
@@ -93,12 +93,11 @@ def zscore(df: DataFrame, col: str, out: str) -> DataFrame:
 
 
 def quantile_score(df: DataFrame, col: str, out: str, order_key: str) -> DataFrame:
-    """SP-26: percent rank x 100 (ties share the lowest rank).
-
-    Area-level only: a global rank is a single-task window.
-    """
-    w = Window.orderBy(F.col(col).asc_nulls_last(), F.col(order_key))
-    return df.withColumn(out, F.when(F.col(col).isNotNull(), F.percent_rank().over(w) * 100.0))
+    """SP-26: percent rank x 100 over (col asc nulls last, order_key); rows tie
+    only when both are equal.  Distributed (``ranking.global_percent_rank``)."""
+    from tidewatch.operators.ranking import global_percent_rank
+    r = global_percent_rank(df, [F.col(col).asc_nulls_last(), F.col(order_key)], [col, order_key], "_pr")
+    return r.withColumn(out, F.when(F.col(col).isNotNull(), F.col("_pr") * 100.0)).drop("_pr")
 
 
 def band(score: Column) -> Column:

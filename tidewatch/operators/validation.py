@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import config as C
@@ -52,12 +52,12 @@ def index_metrics(scored: DataFrame, col: str = "priority_index_conf_adj", band_
 
 
 def average_rank(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Rank 1..n ascending with ties sharing the average rank (nulls excluded -> null)."""
-    w = Window.orderBy(F.col(col))
-    wt = Window.partitionBy(F.col(col))
-    d = df.withColumn("_r", F.rank().over(w)).withColumn("_n", F.count(F.lit(1)).over(wt))
-    return d.withColumn(out, F.when(F.col(col).isNotNull(),
-                                    F.col("_r") + (F.col("_n") - F.lit(1)) / F.lit(2.0))).drop("_r", "_n")
+    """Rank 1..n ascending (nulls first, as ``rank()``) with ties sharing the
+    average rank; null values get a null rank.  Distributed
+    (``ranking.global_rank``), no single-partition window."""
+    from tidewatch.operators.ranking import global_rank
+    d = global_rank(df, [F.col(col).asc_nulls_first()], [col], "_avg", average=True)
+    return d.withColumn(out, F.when(F.col(col).isNotNull(), F.col("_avg"))).drop("_avg")
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -86,8 +86,8 @@ def red_band_precision_recall(df: DataFrame, band_col: str = "priority_band", ou
 def fairness_by_quartile(df: DataFrame, vuln_col: str = "vulnerability_score", pop_col: str = "population",
                          band_col: str = "priority_band", key: str = "area_id") -> DataFrame:
     """SP-24: red share per vulnerability quartile against the population share."""
-    w = Window.orderBy(F.col(vuln_col).asc_nulls_first(), F.col(key))
-    d = df.withColumn("vulnerability_quartile", F.ntile(4).over(w).cast("long"))
+    from tidewatch.operators.ranking import global_ntile
+    d = global_ntile(df, [F.col(vuln_col).asc_nulls_first(), F.col(key)], 4, "vulnerability_quartile")
     tot = d.select(F.sum(pop_col)).scalar()
     agg = d.groupBy("vulnerability_quartile").agg(
         F.count(F.lit(1)).alias("areas"),
@@ -124,11 +124,15 @@ def weight_sensitivity(scored: DataFrame, phase: str = C.DEFAULT_PHASE, key: str
     d = d.withColumn("p_new", priority_from_components(F.col("risk_index_raw"), F.col("response_readiness_index"),
                                                        F.col("recovery_capacity_index"), F.col("s.w_risk"),
                                                        F.col("s.w_rr"), F.col("s.w_rc")))
-    grp = [F.col("s.component"), F.col("s.delta")]
-    wb = Window.partitionBy(*grp).orderBy(F.col("priority_index").desc(), F.col(key))
-    wn = Window.partitionBy(*grp).orderBy(F.col("p_new").desc(), F.col(key))
-    d = d.withColumn("_rb", F.row_number().over(wb)).withColumn("_rn", F.row_number().over(wn))
-    return d.groupBy(F.col("s.component").alias("component"), F.col("s.delta").alias("delta")).agg(
+    # each scenario is a full copy of the area table: ranks per scenario come
+    # from one distributed row number over (scenario, order), not a window
+    from tidewatch.operators.ranking import row_number_within
+    d = d.select(key, "priority_index", "p_new", F.col("s.component").alias("component"),
+                 F.col("s.delta").alias("delta"))
+    grp = ["component", "delta"]
+    d = row_number_within(d, grp, [F.col("priority_index").desc(), F.col(key)], "_rb")
+    d = row_number_within(d, grp, [F.col("p_new").desc(), F.col(key)], "_rn")
+    return d.groupBy("component", "delta").agg(
         F.corr(F.col("_rb").cast("double"), F.col("_rn").cast("double")).alias("spearman_rank_corr"),
         F.max(F.abs(F.col("_rb") - F.col("_rn"))).cast("long").alias("max_rank_shift"),
     )

@@ -122,13 +122,12 @@ def priority_actions(spark: SparkSession, sf_dir: str, phase: str = C.DEFAULT_PH
                      scored: DataFrame | None = None) -> DataFrame:
     """P50: rank by adjusted priority (tie: municipio), recommended actions.
 
-    The global rank is a single-partition window, taken only on the
-    area-level table (one row per area).
+    The rank is a distributed global row number (``ranking``), not a
+    single-partition window.
     """
-    from pyspark.sql import Window
+    from tidewatch.operators.ranking import global_row_number
     s = scored if scored is not None else scored_indices(spark, sf_dir, phase)
-    w = Window.orderBy(F.col("priority_index_conf_adj").desc_nulls_last(), F.col("municipio"))
-    s = s.withColumn("rank", F.row_number().over(w).cast("long"))
+    s = global_row_number(s, [F.col("priority_index_conf_adj").desc_nulls_last(), F.col("municipio")], "rank")
     s = s.withColumn("recommended_actions", sc.recommended_actions(s))
     return s.select("rank", "municipio", "priority_band", "priority_index_conf_adj", "hazard_combined",
                     "flood_hazard_muni", "earthquake_hazard_score", "vulnerability_score",
