@@ -156,17 +156,26 @@ def alert_sessions(spark: SparkSession, folder: str, gap_hours: float = 24.0,
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_hours * 3600.0))
     delay = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(delay_hours * 3600.0))
     seg_cols = ["zone_id", "s_start", "s_last", "n", "wm"]
+    gap_us = int(round(gap_hours * 3600 * 1_000_000))
     last_version = {"v": None}
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         sp = batch.sparkSession
-        seg = batch.select("zone_id", F.col("onset").alias("s_start"), F.col("onset").alias("s_last"),
-                           F.lit(1).cast("long").alias("n"))
-        prev_wm = None
+        pts = batch.select("zone_id", "onset")
+        prev_wm, st = None, None
         if last_version["v"] is not None:
             st = sp.read.parquet(last_version["v"])
             prev_wm = st.select(F.max("wm")).scalar()
-            seg = seg.filter(F.col("s_last") >= F.coalesce(prev_wm, F.col("s_last")))   # late rows dropped
+            pts = pts.filter(F.col("onset") >= F.coalesce(prev_wm, F.col("onset")))   # late rows dropped
+        # Alerts less than one gap apart always share a session, so the batch is
+        # first reduced to one segment per (zone, gap-wide time bucket) by a
+        # partial aggregate; the per-zone ordering below then sees at most one
+        # segment per bucket, not one row per alert (a hot zone stays small).
+        bucket = F.floor(F.unix_micros(F.col("onset").cast("timestamp")) / F.lit(gap_us))
+        seg = pts.groupBy("zone_id", bucket.alias("_bk")).agg(
+            F.min("onset").alias("s_start"), F.max("onset").alias("s_last"),
+            F.count(F.lit(1)).alias("n")).drop("_bk")
+        if st is not None:
             seg = seg.unionByName(st.select(*seg_cols[:-1]))
         w = Window.partitionBy("zone_id").orderBy("s_start", "s_last")
         prev_max = F.max("s_last").over(w.rowsBetween(Window.unboundedPreceding, -1))
