@@ -10,7 +10,8 @@ task.  Here a global row number is built from a distributed sort instead:
    fixed (a recomputation cannot renumber them) and lineage is cut.
 3. Per-partition row counts (one row per partition, a bound set by the
    shuffle partition count) give each partition's offset; the offsets are
-   broadcast behind a checked bound and added to the in-partition position.
+   broadcast (bounded by the partition count by construction) and added to
+   the in-partition position.
 
 Ranks with ties (``rank``, average rank), ``percent_rank`` and ``ntile`` are
 derived from the row number with group-bys and scalar subqueries, all of
@@ -21,7 +22,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.joins import bounded_broadcast
 from tidewatch.session import stage_checkpoint
 
 _POS_BITS = 33
@@ -39,7 +39,9 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "row_number
     sizes = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    s = s.join(bounded_broadcast(offs), "_pid")
+    # one row per partition of the sort: bounded by the partition count by
+    # construction, so the broadcast needs no data-dependent size check
+    s = s.join(F.broadcast(offs), "_pid")
     pos = F.col("_gid") - F.shiftleft(F.col("_pid"), _POS_BITS)
     return s.withColumn(out, (F.col("_off") + pos + F.lit(1)).cast("long")).drop("_gid", "_pid", "_off")
 
