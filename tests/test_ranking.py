@@ -71,3 +71,15 @@ def test_ntile_small_tables(spark):
         d = spark.range(n).withColumnRenamed("id", "k")
         ref = _by_key(d.withColumn("x", F.ntile(4).over(Window.orderBy("k"))), "x")
         assert _by_key(R.global_ntile(d, [F.col("k")], 4, "x"), "x") == ref
+
+
+def test_grouped_discrete_quantile_matches_percentile(spark):
+    rng = random.Random(9)
+    rows = [(("hot" if i % 3 == 0 else f"g{rng.randrange(6)}"), None if i % 29 == 0 else rng.randrange(40))
+            for i in range(3000)] + [("single", 7), ("nulls", None)]
+    d = spark.createDataFrame(rows, "g string, v long")
+    for q in (0.05, 0.5, 0.95):
+        got = {r.g: r.x for r in R.grouped_discrete_quantile(d, ["g"], "v", q, "x").collect()}
+        ref = {r.g: r.x for r in d.groupBy("g").agg(F.percentile("v", q).alias("x")).collect() if r.x is not None}
+        assert set(got) == set(ref)
+        assert all(abs(got[k] - ref[k]) < 1e-9 for k in ref)
