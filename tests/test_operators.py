@@ -180,3 +180,30 @@ def test_area_quake_raw_matches_brute_force(spark):
     assert set(got) == set(want)
     for k in want:
         assert math.isclose(got[k], want[k], rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_with_prev_matches_brute_force_with_hot_station(spark):
+    import datetime as dt
+    from tidewatch.operators.timeseries import with_prev
+    rng = random.Random(21)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(4000):
+        sid = 7 if i % 3 == 0 else rng.randrange(30)          # a third of the rows on one station
+        t = t0 + dt.timedelta(minutes=rng.randrange(0, 60 * 24 * 5))
+        if i % 50 == 0 and rows:                               # duplicate timestamps
+            t = rows[-1][2]
+        rows.append((sid, i, t, None if i % 13 == 0 else rng.random()))
+    df = spark.createDataFrame(rows, "station_id long, obs_id long, time_utc timestamp, water_level double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.obs_id: (r.prev_obs_id, r.prev_time_utc, r.prev_water_level) for r in with_prev(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = {}
+    last = {}
+    for sid, oid, t, v in sorted(rows, key=lambda r: (r[0], r[2], r[1])):
+        p = last.get(sid)
+        want[oid] = (p[1], p[2], p[3]) if p else (None, None, None)
+        last[sid] = (sid, oid, t, v)
+    assert got == want

@@ -126,25 +126,31 @@ def with_prev(series: DataFrame, key: str = "station_id", time_col: str = "time_
               tie_col: str = "obs_id", cols=("water_level",)) -> DataFrame:
     """Previous row per key (time order) for every row: ``prev_<col>`` columns.
 
-    Windowed by (key, day) so no task holds a whole station; the first row of
-    each day takes its predecessor from the previous day's last row through
-    a per-(key, day) aggregate, which is small (one row per key and day).
+    Skew-proof: the rows are range-partitioned and sorted on (key, time, tie),
+    so a station holding a third of all rows is spread over many balanced
+    partitions, and numbered in sort order; the numbered table is written
+    once to the checkpoint folder (numbers fixed, lineage cut).  Inside a sort
+    partition the previous row is a lag over that partition, whose size is
+    set by the range partitioner, not by the key; the first row of a
+    partition takes the last row of the preceding non-empty partition from a
+    per-partition aggregate (one row per partition, broadcast).  A previous
+    row of another key is no previous row (nulls).
     """
-    day = F.to_date(F.col(time_col))
-    s = series.withColumn("_day", day)
-    w = Window.partitionBy(key, "_day").orderBy(time_col, tie_col)
-    s = s.withColumn("_rn", F.row_number().over(w))
-    for c in (time_col, tie_col) + tuple(cols):
-        s = s.withColumn(f"prev_{c}", F.lag(c).over(w))
-    # last row of each (key, day), to seed the next day's first row
-    last = (series.withColumn("_day", day).groupBy(key, "_day")
-            .agg(F.max(F.struct(time_col, tie_col, *cols)).alias("_last")))
-    wd = Window.partitionBy(key).orderBy("_day")
-    seeds = last.select(key, "_day", F.lag("_last").over(wd).alias("_seed"))
-    s = s.join(seeds, [key, "_day"], "left")
-    for c in (time_col, tie_col) + tuple(cols):
-        s = s.withColumn(f"prev_{c}", F.when(F.col("_rn") == 1, F.col(f"_seed.{c}")).otherwise(F.col(f"prev_{c}")))
-    return s.drop("_day", "_rn", "_seed")
+    from tidewatch.session import stage_checkpoint
+    carry = (time_col, tie_col) + tuple(c for c in cols if c not in (time_col, tie_col))
+    s = series.orderBy(key, time_col, tie_col).withColumn("_gid", F.monotonically_increasing_id())
+    s = stage_checkpoint(s, "sorted_series").withColumn("_pid", F.shiftright(F.col("_gid"), 33))
+    w = Window.partitionBy("_pid").orderBy("_gid")
+    s = s.withColumn("_lag", F.lag(F.struct(key, *carry)).over(w))
+    last = s.groupBy("_pid").agg(F.max(F.struct("_gid", key, *carry)).alias("_last"))
+    # one row per sort partition: bounded by the partition count by construction
+    last_row = F.struct(*[F.col("_last")[c].alias(c) for c in (key,) + carry])
+    seeds = last.select("_pid", F.lag(last_row).over(Window.orderBy("_pid")).alias("_seed"))
+    s = s.join(F.broadcast(seeds), "_pid", "left")
+    prev = F.when(F.col("_lag").isNull(), F.col("_seed")).otherwise(F.col("_lag"))
+    s = s.withColumn("_prev", F.when(prev[key] == F.col(key), prev))
+    s = s.withColumns({f"prev_{c}": F.col("_prev")[c] for c in carry})
+    return s.drop("_gid", "_pid", "_lag", "_seed", "_prev")
 
 
 def gaps(series: DataFrame, cadence_minutes: float, factor: float = 2.0, key: str = "station_id",
