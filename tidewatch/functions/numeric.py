@@ -85,3 +85,22 @@ def round_half_even(x, digits: int = 1) -> Column:
 def round6(x) -> Column:
     """Presentation rounding for float outputs (sums are order dependent)."""
     return F.round(_c(x), 6)
+
+
+def bounds_predicate(bounds: dict[str, tuple[float | None, float | None]]) -> Column:
+    """F-10: inclusive range predicate over several columns, each bound optional.
+
+    ``{"magnitude": (2.5, None), "longitude": (None, -65.5)}`` -> magnitude >= 2.5
+    AND longitude <= -65.5.  A missing value fails any bound that applies; no
+    bounds at all -> true.
+    """
+    preds = []
+    for col, (lo, hi) in bounds.items():
+        if lo is not None:
+            preds.append(F.col(col) >= F.lit(lo))
+        if hi is not None:
+            preds.append(F.col(col) <= F.lit(hi))
+    out = F.lit(True)
+    for p in preds:
+        out = out & p
+    return F.coalesce(out, F.lit(False))

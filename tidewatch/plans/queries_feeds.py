@@ -1,4 +1,5 @@
-"""Registered queries: station catalogue feed, forecast periods, JSON shape coverage.
+"""Registered queries: station catalogue feed, forecast periods, JSON shape coverage,
+earthquake lookback and extent filters, alerts from two fetch strategies.
 
 As in ``queries_io``, whole test tables are serialised into the feed format
 with ``to_json`` and parsed back through the feed flatteners, so the parsing
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.operators import catalog as cat
-from tidewatch.plans.oracle import _meta
+from tidewatch.plans.oracle import _meta, sql
 from tidewatch.plans.registry import out_sql, register
 from tidewatch.sources import bind
 from tidewatch.sources import envelopes as env
@@ -157,3 +158,61 @@ def q_type_coverage(spark, sf_dir):
     q = F.col("f.properties.qualifier")
     return (f.groupBy(F.coalesce(F.schema_of_variant(q), F.lit("NULL")).alias("value_type")).count()
             .select(F.lit("qualifier").alias("field"), "value_type", F.col("count").alias("n")))
+
+
+# ---------------- F-09 + F-10 earthquake lookback, magnitude and extent -----------------
+
+# Run parameters: the feed's default lookback, a minimum magnitude with no
+# maximum, a latitude band and only an eastern longitude limit (every bound
+# is optional).
+QUAKE_LOOKBACK_DAYS = 30
+QUAKE_BOUNDS = {"magnitude": (2.5, None), "latitude": (17.5, 19.0), "longitude": (None, -65.5)}
+
+QX = "event_id:l, time_utc, magnitude:d, depth_km:d, latitude:d, longitude:d, place"
+
+
+@register("earthquakes_in_extent", sql(out_sql(QX, f"""(
+    SELECT * FROM quakes
+    WHERE time_utc >= (SELECT as_of FROM as_of) - INTERVAL {QUAKE_LOOKBACK_DAYS} DAY
+      AND time_utc <= (SELECT as_of FROM as_of)
+      AND magnitude >= 2.5 AND latitude >= 17.5 AND latitude <= 19.0 AND longitude <= -65.5)"""),
+    "quakes", "as_of"))
+def q_quakes_extent(spark, sf_dir):
+    """F-09 lookback from the data's run time, then F-10: optional magnitude
+    and extent bounds combined into one predicate (pushed into the scan stage)."""
+    from tidewatch.functions.numeric import bounds_predicate
+    from tidewatch.operators.timeseries import lookback
+    q = lookback(bind.earthquakes(spark, sf_dir), bind.series_as_of(spark, sf_dir), QUAKE_LOOKBACK_DAYS * 24.0)
+    return q.filter(bounds_predicate(QUAKE_BOUNDS)).select(*_names(QX))
+
+
+# ---------------- U-02 + A-13 two fetch strategies, appended and de-duplicated -----------------
+
+FETCH_ZONES = ["PRZ001", "PRZ002", "PRZ003", "PRZ004"]
+TWO = "id, event, severity, sent, fetch_seq:l, fetch_strategy"
+
+
+@register("alerts_two_fetches", sql(out_sql(TWO, f"""(
+    WITH f1 AS (SELECT id, event, severity, sent, 1 AS fetch_seq FROM alerts
+                WHERE strpos(lower(event), 'flood') > 0),
+    f2 AS (SELECT a.id, a.event, a.severity, a.sent, 2 AS fetch_seq
+           FROM alerts a JOIN alert_zones z ON a.alert_key = z.alert_key
+           WHERE z.zone_id IN ({", ".join(f"'{z}'" for z in FETCH_ZONES)})),
+    u AS (SELECT * FROM f1 UNION ALL SELECT * FROM f2)
+    SELECT id, event, severity, sent, max(fetch_seq) AS fetch_seq,
+      CASE WHEN max(fetch_seq) = 1 THEN 'area' ELSE 'zone' END AS fetch_strategy
+    FROM u GROUP BY id, event, severity, sent)"""), "alerts", "alert_zones"))
+def q_two_fetches(spark, sf_dir):
+    """U-02: alerts from an event-based fetch and from a per-zone fetch (one
+    copy per matching zone line) appended, then A-13 last seen wins per id --
+    a partial aggregate, so an alert repeated across many zones ships one row
+    per map task."""
+    from tidewatch.operators.alerts import dedupe_last_seen
+    a = bind.alerts(spark, sf_dir).select("id", "alert_key", "event", "severity", "sent")
+    f1 = a.filter(F.lower("event").contains("flood")).select("id", "event", "severity", "sent",
+                                                              F.lit(1).alias("fetch_seq"))
+    z = bind.alert_zones(spark, sf_dir).filter(F.col("zone_id").isin(FETCH_ZONES))
+    f2 = a.join(z, "alert_key").select("id", "event", "severity", "sent", F.lit(2).alias("fetch_seq"))
+    d = dedupe_last_seen(f1.unionByName(f2), "id", "fetch_seq")
+    return d.withColumn("fetch_strategy", F.when(F.col("fetch_seq") == 1, "area").otherwise("zone")) \
+        .select(*_names(TWO))
