@@ -120,9 +120,35 @@ def q_sensitivity(spark, sf_dir):
     return V.weight_sensitivity(A.scored_indices(spark, sf_dir))
 
 
-@register("dropout_stability", None)
+def _dropout_sql() -> str:
+    """SP-23 oracle: the scoring CTEs re-run on a per-level copy of the inputs
+    whose hazard is removed for the masked areas."""
+    sc = _O._scored_ctes(C.DEFAULT_PHASE)
+    D = _O.D
+    levels = ", ".join(f"({x}{D})" for x in C.SPEC_DROPOUT_LEVELS)
+    mask = "((s.area_id * 37 + 11) % 100 + 100) % 100 < CAST(round(lv.level * 100) AS INTEGER)"
+    _O.EXTRA_CTES["dl0"] = (["sc0"], f"""
+        SELECT s.* REPLACE (CASE WHEN {mask} THEN NULL ELSE s.hazard_combined END AS hazard_combined,
+                            CASE WHEN {mask} THEN 0.0{D} ELSE s._h END AS _h),
+               lv.level, {mask} AS masked
+        FROM sc0 s CROSS JOIN (VALUES {levels}) lv(level)""")
+    _O.EXTRA_CTES["dl1"] = (["dl0"], sc["sc1"][1].replace("FROM sc0", "FROM dl0"))
+    _O.EXTRA_CTES["dl2"] = (["dl1", "as_of"], sc["sc2"][1].replace("FROM sc1", "FROM dl1"))
+    return sql(out_sql("level:d, mae_priority:d, dropped_areas:l", f"""(
+        WITH m AS (SELECT level, median(priority_index) AS _med FROM dl2 GROUP BY level),
+        a AS (SELECT d.area_id, d.level, d.masked,
+                {_O._clip(f'd.confidence_score / 100.0{D}', 0.0, 1.0)} * d.priority_index
+                + (1.0{D} - {_O._clip(f'd.confidence_score / 100.0{D}', 0.0, 1.0)}) * m._med AS adj
+              FROM dl2 d JOIN m ON d.level = m.level)
+        SELECT a.level, avg(abs(a.adj - s.priority_index_conf_adj)) AS mae_priority,
+          count(*) FILTER (WHERE a.masked) AS dropped_areas
+        FROM a JOIN scored s ON a.area_id = s.area_id GROUP BY a.level)"""), "dl2", "scored")
+
+
+@register("dropout_stability", _dropout_sql())
 def q_dropout(spark, sf_dir):
-    """SP-23 (rows-only check; covered by a brute-force test)."""
+    """SP-23: hazard dropped for 20 / 30 / 40 % of areas, indices and
+    confidence recomputed, MAE of the adjusted priority against the full run."""
     feats = A.area_features(spark, sf_dir)
     haz = A.area_hazard(spark, sf_dir, areas=feats)
     h = haz.select("area_id", "nws_global_alert_score", "flood_hazard_muni", "earthquake_hazard_score",
