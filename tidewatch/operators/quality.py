@@ -106,6 +106,26 @@ def baseline_percentiles(series: DataFrame, as_of: Column, days: int = C.SPEC_BA
     ).select(key, F.col("_p")[0].alias("baseline_p05"), F.col("_p")[1].alias("baseline_p95"), "n_values")
 
 
+def baseline_percentiles_exact(series: DataFrame, as_of: Column, days: int = C.SPEC_BASELINE_WINDOW_DAYS,
+                               key: str = "station_id", resolution: float = 0.001) -> DataFrame:
+    """SP-14, exact: p05 / p95 of each station's level over the trailing
+    ``days``, on readings taken at the gauge resolution (0.001 ft).
+
+    Levels become whole multiples of the resolution, and the quantiles come
+    from per-(station, level) counts (``ranking.grouped_discrete_quantiles``):
+    exact like ``percentile``, but a station with a third of all rows ships
+    one row per distinct level per map task instead of all its readings.
+    """
+    from tidewatch.operators.ranking import grouped_discrete_quantiles
+    win = F.make_dt_interval(F.lit(days), F.lit(0), F.lit(0), F.lit(0.0))
+    s = series.filter((F.col("time_utc") >= as_of - win) & (F.col("time_utc") <= as_of))
+    s = s.select(key, F.round(F.col("water_level") / F.lit(resolution)).cast("long").alias("_units"))
+    q = grouped_discrete_quantiles(s, [key], "_units", [C.ROBUST_LO_Q, C.ROBUST_HI_Q], ["_p05", "_p95"])
+    n = s.groupBy(key).agg(F.count("_units").alias("n_values"))
+    return q.join(n, key).select(key, (F.col("_p05") * resolution).alias("baseline_p05"),
+                                 (F.col("_p95") * resolution).alias("baseline_p95"), "n_values")
+
+
 def observation_quality(series: DataFrame, as_of: Column, recent_hours: float = 24.0,
                         lo: float = 0.0, hi: float = 45.0, key: str = "station_id") -> DataFrame:
     """SP-16: per-station quality factors.

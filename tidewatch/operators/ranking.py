@@ -104,19 +104,21 @@ def row_number_within(df: DataFrame, group_cols: list[str], order: list[Column],
     return r.withColumn(out, within).drop("_g_rn", "_g_first", "_g_ties")
 
 
-def grouped_discrete_quantile(df: DataFrame, keys: list[str], value: str, q: float, out: str,
-                              weight: str | None = None) -> DataFrame:
-    """Exact ``percentile(value, q)`` per key (linear interpolation, nulls
-    ignored) for *discrete* values -- whole minutes, counts, codes.
+def grouped_discrete_quantiles(df: DataFrame, keys: list[str], value: str, qs: list[float], outs: list[str],
+                               weight: str | None = None) -> DataFrame:
+    """Exact ``percentile(value, q)`` per key for each q (linear interpolation,
+    nulls ignored) for *discrete* values -- whole minutes, counts, readings at
+    a fixed instrument resolution.
 
     A percentile aggregate keeps every value of its group in one buffer; here
     the rows are first reduced to (key, value, count) by a partial aggregate,
     so a key holding a third of all rows ships one row per distinct value per
     map task.  A running count per key over its distinct values (bounded by
     the value domain, not by the row count) then locates the two order
-    statistics around position (n - 1) * q.  Returns one row per key with at
-    least one value.  For continuous values use ``percentile_approx``.
-    ``weight`` names a row-count column when ``df`` is already pre-aggregated.
+    statistics around position (n - 1) * q; all quantiles come from one pass.
+    Returns one row per key with at least one value.  For continuous values
+    use ``percentile_approx``.  ``weight`` names a row-count column when
+    ``df`` is already pre-aggregated.
     """
     v = F.col(value)
     w = F.col(weight) if weight else F.lit(1)
@@ -124,14 +126,24 @@ def grouped_discrete_quantile(df: DataFrame, keys: list[str], value: str, q: flo
     upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     c = counts.withColumn("_cum", F.sum("_c").over(upto))
     c = c.withColumn("_n", F.max("_cum").over(Window.partitionBy(*keys)))
-    pos = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(q))
-    lo, hi = F.floor(pos), F.ceil(pos)
 
     def covers(k):  # 0-based index k falls in this value's run of rows
         return (F.col("_cum") - F.col("_c") <= k) & (F.col("_cum") > k)
 
-    agg = c.groupBy(*keys).agg(
-        F.max(F.when(covers(lo), v)).cast("double").alias("_lo"),
-        F.max(F.when(covers(hi), v)).cast("double").alias("_hi"),
-        F.max(pos - lo).alias("_f"))
-    return agg.select(*keys, (F.col("_lo") + F.col("_f") * (F.col("_hi") - F.col("_lo"))).alias(out))
+    aggs = []
+    for i, q in enumerate(qs):
+        pos = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(q))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs += [F.max(F.when(covers(lo), v)).cast("double").alias(f"_lo{i}"),
+                 F.max(F.when(covers(hi), v)).cast("double").alias(f"_hi{i}"),
+                 F.max(pos - lo).alias(f"_f{i}")]
+    agg = c.groupBy(*keys).agg(*aggs)
+    vals = [(F.col(f"_lo{i}") + F.col(f"_f{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(o)
+            for i, o in enumerate(outs)]
+    return agg.select(*keys, *vals)
+
+
+def grouped_discrete_quantile(df: DataFrame, keys: list[str], value: str, q: float, out: str,
+                              weight: str | None = None) -> DataFrame:
+    """One quantile of ``grouped_discrete_quantiles``."""
+    return grouped_discrete_quantiles(df, keys, value, [q], [out], weight)

@@ -401,6 +401,19 @@ def q_baseline_pct(spark, sf_dir):
     return baseline_percentiles(_series(spark, sf_dir), bind.series_as_of(spark, sf_dir))
 
 
+@register("baseline_percentiles_exact", sql(out_sql("station_id:l, baseline_p05:d, baseline_p95:d, n_values:l", f"""(
+    SELECT station_id, quantile_cont(u, {C.ROBUST_LO_Q}) * 0.001 AS baseline_p05,
+      quantile_cont(u, {C.ROBUST_HI_Q}) * 0.001 AS baseline_p95, count(u) AS n_values
+    FROM (SELECT station_id, CAST(round(water_level / 0.001) AS BIGINT) AS u FROM tidal_series
+          WHERE time_utc >= (SELECT as_of FROM as_of) - INTERVAL {C.SPEC_BASELINE_WINDOW_DAYS} DAY
+            AND time_utc <= (SELECT as_of FROM as_of))
+    GROUP BY station_id HAVING count(u) > 0)"""), "tidal_series", "as_of"))
+def q_baseline_pct_exact(spark, sf_dir):
+    """SP-14 exact at the gauge resolution (0.001 ft), skew-safe."""
+    from tidewatch.operators.quality import baseline_percentiles_exact
+    return baseline_percentiles_exact(_series(spark, sf_dir), bind.series_as_of(spark, sf_dir))
+
+
 QUALITY = ("station_id:l, latest_time_utc, n_obs:l, n_recent:l, n_recent_missing:l, n_out_of_range:l, "
            "n_flagged:l, freshness_hours:d, missing_rate:d, out_of_range_rate:d, flagged_rate:d, quality_score:d")
 
