@@ -74,3 +74,16 @@ def test_ring_centroid(spark):
                                "r array<array<array<double>>>")
     c = df.select(geo.ring_centroid("r").alias("c")).first()["c"]
     assert (c["lon"], c["lat"]) == (1.0, 0.5)
+
+
+def test_bounds_predicate_optional_bounds(spark):
+    from tidewatch.functions.numeric import bounds_predicate
+    df = spark.createDataFrame([(1, 3.0, -66.0), (2, 2.0, -66.0), (3, None, -66.0), (4, 3.0, -65.0)],
+                               "k long, m double, lon double")
+    keep = lambda b: sorted(r.k for r in df.filter(bounds_predicate(b)).collect())
+    assert keep({}) == [1, 2, 3, 4]
+    assert keep({"m": (2.5, None)}) == [1, 4]
+    assert keep({"m": (None, 2.5)}) == [2]
+    assert keep({"m": (2.5, None), "lon": (None, -65.5)}) == [1]
+    assert keep({"m": (None, None)}) == [1, 2, 3, 4]
+    assert df.filter(~bounds_predicate({"m": (2.5, None)})).count() == 2   # the missing value is excluded, not null
