@@ -83,3 +83,36 @@ def test_grouped_discrete_quantile_matches_percentile(spark):
         ref = {r.g: r.x for r in d.groupBy("g").agg(F.percentile("v", q).alias("x")).collect() if r.x is not None}
         assert set(got) == set(ref)
         assert all(abs(got[k] - ref[k]) < 1e-9 for k in ref)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def _py_percentile(vals, q):
+    vals = sorted(vals)
+    pos = (len(vals) - 1) * q
+    lo, hi = int(pos // 1), int(-(-pos // 1))
+    return vals[lo] + (pos - lo) * (vals[hi] - vals[lo])
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 5))), min_size=1, max_size=60),
+       st.sampled_from([0.0, 0.05, 0.5, 0.95, 1.0]))
+def test_property_discrete_quantile_and_average_rank(spark, rows, q):
+    d = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "k long, g long, v long")
+    got = {r.g: r.x for r in R.grouped_discrete_quantile(d, ["g"], "v", q, "x").collect()}
+    groups = {}
+    for g, v in rows:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    assert set(got) == set(groups)
+    assert all(abs(got[g] - _py_percentile(vs, q)) < 1e-9 for g, vs in groups.items())
+    # average rank over all rows, nulls first, ties share the mean position
+    avg = _by_key(R.global_rank(d, [F.col("v").asc_nulls_first()], ["v"], "x", average=True), "x")
+    keyed = sorted(enumerate(rows), key=lambda t: (t[1][1] is not None, t[1][1] if t[1][1] is not None else 0))
+    pos = {}
+    for p, (i, (_, v)) in enumerate(keyed, start=1):
+        pos.setdefault(v, []).append(p)
+    want = {i: sum(pos[v]) / len(pos[v]) for i, (_, v) in enumerate(rows)}
+    assert avg == want
