@@ -27,3 +27,8 @@ def list_or_scalar(variant_col) -> Column:
     as_scalar = F.try_variant_get(v, "$", "string")
     return F.when(v.isNull(), F.lit(None).cast("array<string>")).otherwise(
         F.coalesce(as_list, F.when(as_scalar.isNotNull(), F.array(as_scalar))))
+
+
+def select_existing(df, cols):
+    """F-01: the listed columns that exist in ``df``, in the listed order."""
+    return df.select(*[c for c in cols if c in df.columns])

@@ -216,3 +216,50 @@ def q_two_fetches(spark, sf_dir):
     d = dedupe_last_seen(f1.unionByName(f2), "id", "fetch_seq")
     return d.withColumn("fetch_strategy", F.when(F.col("fetch_seq") == 1, "area").otherwise("zone")) \
         .select(*_names(TWO))
+
+
+# ---------------- F-18 list-typed values + F-01 -----------------
+
+@register("water_multi_qualifier", out_sql("timeseries_id, qualifier_count:l, qualifier_text", """(
+    SELECT 'TS' || CAST(p_partkey AS VARCHAR) AS timeseries_id, 2 AS qualifier_count,
+      'A, e' AS qualifier_text
+    FROM part WHERE p_partkey % 3 = 0)"""))
+def q_multi_qualifier(spark, sf_dir):
+    """F-18: features whose list-or-scalar qualifier holds more than one value;
+    F-01 keeps the listed output columns that exist (``unit_label`` does not)."""
+    from tidewatch.functions.arrays import join_list, select_existing
+    from tidewatch.plans.queries_io import _water_docs
+    w = env.flatten_water(env._parse(_water_docs(spark, sf_dir), "payload", env.WATER_SCHEMA))
+    w = w.filter(F.size("qualifier") > 1).withColumns({
+        "qualifier_count": F.size("qualifier").cast("long"), "qualifier_text": join_list("qualifier", ", ")})
+    return select_existing(w, ["timeseries_id", "qualifier_count", "unit_label", "qualifier_text"])
+
+
+# ---------------- L-03 top-n report, L-04 capped sorted id list -----------------
+
+TOP_N = 10            # preview size of the priority report
+STATION_CAP = 100     # active station cap (the feed client's default)
+
+TOPN = "municipio, priority_index_conf_adj:d, priority_band"
+
+
+@register("top_priority_areas", sql(out_sql(TOPN, f"""(
+    SELECT municipio, priority_index_conf_adj, priority_band FROM scored
+    ORDER BY priority_index_conf_adj DESC NULLS LAST, municipio LIMIT {TOP_N})"""), "scored"))
+def q_top_priority(spark, sf_dir):
+    """L-03: the top-n preview of the priority report (the limit is the
+    feature).  ``orderBy().limit(n)`` plans as a per-partition top-n followed
+    by one merge of at most n rows per partition."""
+    from tidewatch.plans import areas as A
+    s = A.scored_indices(spark, sf_dir)
+    return (s.orderBy(F.col("priority_index_conf_adj").desc_nulls_last(), F.col("municipio")).limit(TOP_N)
+             .select(*_names(TOPN)))
+
+
+@register("capped_station_list", sql(out_sql("station_id:l", f"""(
+    SELECT DISTINCT station_id FROM tidal_series ORDER BY station_id LIMIT {STATION_CAP})"""), "tidal_series"))
+def q_capped_stations(spark, sf_dir):
+    """L-04: the catalogue's station ids, sorted, capped at the active-station
+    limit (a per-partition top-n over the distinct ids, then one small merge)."""
+    from tidewatch.plans.stations import tidal_series
+    return tidal_series(spark, sf_dir).select("station_id").distinct().orderBy("station_id").limit(STATION_CAP)
