@@ -263,3 +263,28 @@ def q_capped_stations(spark, sf_dir):
     limit (a per-partition top-n over the distinct ids, then one small merge)."""
     from tidewatch.plans.stations import tidal_series
     return tidal_series(spark, sf_dir).select("station_id").distinct().orderBy("station_id").limit(STATION_CAP)
+
+
+# ---------------- J-04 name lookup with fallback to the key -----------------
+
+NAMED_ZONES = 10      # the zone reference names the first ten zones only
+
+
+@register("alert_zone_names", out_sql("zone_id, zone_name, n_alert_lines:l", f"""(
+    SELECT zone_id, coalesce(name, zone_id) AS zone_name, count(*) AS n_alert_lines
+    FROM (SELECT 'PRZ' || lpad(CAST(l_suppkey % 13 + 1 AS VARCHAR), 3, '0') AS zone_id,
+                 CASE WHEN l_suppkey % 13 + 1 <= {NAMED_ZONES}
+                      THEN 'Zone ' || CAST(l_suppkey % 13 + 1 AS VARCHAR) END AS name
+          FROM lineitem)
+    GROUP BY zone_id, name)"""))
+def q_zone_names(spark, sf_dir):
+    """J-04: alert lines per zone with the zone's name from the reference,
+    falling back to the zone id when the reference has no name.  The counts
+    are a partial aggregate; the reference is joined after it (one row per zone)."""
+    from tidewatch.operators.alerts import fallback_zones
+    ref = fallback_zones(spark).withColumn("_n", F.substring("zone_id", 4, 3).cast("int"))
+    ref = ref.filter(F.col("_n") <= NAMED_ZONES).select(
+        "zone_id", F.concat(F.lit("Zone "), F.col("_n").cast("string")).alias("name"))
+    n = bind.alert_zones(spark, sf_dir).groupBy("zone_id").agg(F.count(F.lit(1)).alias("n_alert_lines"))
+    j = n.join(ref, "zone_id", "left")
+    return j.select("zone_id", F.coalesce("name", "zone_id").alias("zone_name"), "n_alert_lines")
