@@ -87,3 +87,26 @@ def test_bounds_predicate_optional_bounds(spark):
     assert keep({"m": (2.5, None), "lon": (None, -65.5)}) == [1]
     assert keep({"m": (None, None)}) == [1, 2, 3, 4]
     assert df.filter(~bounds_predicate({"m": (2.5, None)})).count() == 2   # the missing value is excluded, not null
+
+
+def test_library_helpers_without_queries(spark, tmp_path):
+    import datetime as dt
+
+    from tidewatch.functions.geo import depth_factor_spec
+    from tidewatch.functions.text import simple_key, split_list
+    from tidewatch.functions.timefn import ts_to_epoch_ms
+    from tidewatch.sources.envelopes import read_table_csv
+    df = spark.createDataFrame([("  San Juan Bay ", " 8720030, ,9755371 ,", 10.0),
+                                (None, None, 50.0), ("X", "", None), ("Y", "a", 90.0)],
+                               "name string, ids string, depth double")
+    r = df.select(simple_key("name").alias("k"), split_list("ids").alias("l"),
+                  depth_factor_spec("depth").alias("f")).collect()
+    assert r[0].k == "san_juan_bay" and r[1].k is None
+    assert r[0].l == ["8720030", "9755371"] and r[1].l == [] and r[2].l == []
+    assert [x.f for x in r] == [1.0, 0.7, 1.0, 0.4]          # <= 30, <= 70, missing -> 1.0, else 0.4
+    t = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 1, 500000),)], "t timestamp_ntz")
+    assert t.select(ts_to_epoch_ms("t").alias("ms")).first().ms == 1704067201500
+    p = tmp_path / "lk.csv"
+    p.write_text("code,name\n00060,Discharge\n00065,Gage height\n")
+    lk = read_table_csv(spark, str(p), "code string, name string")
+    assert sorted((x.code, x.name) for x in lk.collect()) == [("00060", "Discharge"), ("00065", "Gage height")]
