@@ -288,3 +288,39 @@ def q_zone_names(spark, sf_dir):
     n = bind.alert_zones(spark, sf_dir).groupBy("zone_id").agg(F.count(F.lit(1)).alias("n_alert_lines"))
     j = n.join(ref, "zone_id", "left")
     return j.select("zone_id", F.coalesce("name", "zone_id").alias("zone_name"), "n_alert_lines")
+
+
+# ---------------- SP-02 earthquake maximum with the spec's piecewise depth factor -----------------
+
+def _spec_depth_sql(depth: str) -> str:
+    from tidewatch.config import EQ_SPEC_DEPTH_ELSE, EQ_SPEC_DEPTH_STEPS
+    d = f"coalesce({depth}, 0.0::DOUBLE)"
+    whens = " ".join(f"WHEN {d} <= {lim} THEN {fac}::DOUBLE" for lim, fac in EQ_SPEC_DEPTH_STEPS)
+    return f"CASE {whens} ELSE {EQ_SPEC_DEPTH_ELSE}::DOUBLE END"
+
+
+def _quake_spec_sql() -> str:
+    from tidewatch import config as C
+    from tidewatch.plans import oracle as O
+    hav = O._haversine("a.latitude", "a.longitude", "q.latitude", "q.longitude")
+    age = O._hours("(SELECT as_of FROM as_of)", "q.time_utc")
+    return sql(out_sql("area_id:l, earthquake_raw_spec:d", f"""(
+        SELECT a.area_id, max(
+          coalesce(q.magnitude, 0.0::DOUBLE) / ln(1 + greatest({hav}, {C.EQ_MIN_DIST_KM}::DOUBLE))
+          * {_spec_depth_sql('q.depth_km')}
+          * exp(-greatest({age}, 0.0::DOUBLE) / {C.EQ_RECENCY_HOURS}::DOUBLE)) AS earthquake_raw_spec
+        FROM located_areas a CROSS JOIN quakes q GROUP BY a.area_id)"""), "located_areas", "quakes", "as_of")
+
+
+@register("earthquake_spec_intensity", _quake_spec_sql())
+def q_quake_spec(spark, sf_dir):
+    """SP-02: per-area earthquake maximum (M-09) with the spec's piecewise
+    depth factor 1.0 / 0.7 / 0.4 instead of 1 / (1 + depth / 70); same
+    location pre-aggregation and checked area broadcast as the hazard stage."""
+    from tidewatch.functions.geo import depth_factor_spec
+    from tidewatch.operators.spatial import area_quake_raw
+    from tidewatch.plans import areas as A
+    areas = A.area_features(spark, sf_dir)
+    q = area_quake_raw(areas, bind.earthquakes(spark, sf_dir), bind.series_as_of(spark, sf_dir),
+                       depth_fn=depth_factor_spec)
+    return q.select("area_id", F.col("earthquake_raw").alias("earthquake_raw_spec"))
