@@ -50,3 +50,13 @@ def test_quake_kernel_aggregates_events_before_the_area_loop(spark):
     p = df._jdf.queryExecution().optimizedPlan().toString()
     join_at = p.index("Join Cross")
     assert "Aggregate [lat" in p[join_at:]   # the (location, max factor) aggregate sits below the join
+
+
+def test_per_row_lag_has_no_window_over_a_station(spark):
+    """Skew guard: gaps / rates must not window by station (a hot station
+    would land in one task); their windows run over sort partitions only."""
+    import __spark_entry__ as E
+    for name in ("station_gaps", "station_rates"):
+        p = _plan(E.queries()[name](spark, SF))
+        assert "windowspecdefinition(station_id" not in p, name
+        assert "windowspecdefinition(_pid" in p, name
