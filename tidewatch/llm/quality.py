@@ -35,7 +35,7 @@ SALTS = 32
 #: feature -> (spreads allowed from the median, slack below or None, slack above)
 FENCES = {
     "symbols_pm": (4, None, 50),
-    "dup_lines_pm": (4, None, 100),
+    "dup_lines_pm": (4, None, 350),
     "repeats_pm": (4, None, 100),
     "word_len_pc": (4, 250, 250),
 }
@@ -106,8 +106,8 @@ def merge(sketches: DataFrame, by: list[str]) -> DataFrame:
     return sketches.groupBy(*by, "feature", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quantiles(sketches: DataFrame, by: list[str], prefix: str) -> DataFrame:
-    """One row per group: rows seen and the quartiles of each feature, columns named with ``prefix``."""
+def quantiles(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """One row per group: rows seen and the quartiles of each feature."""
     key = [*by, "feature"]
     w = Window.partitionBy(*key)  # at most a few hundred buckets per feature
     run = F.sum("n").over(w.orderBy("bucket"))
@@ -115,32 +115,35 @@ def quantiles(sketches: DataFrame, by: list[str], prefix: str) -> DataFrame:
     at = lambda k: F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("bucket")))
     s = s.groupBy(*key).agg(F.max("total").alias("total"), *[at(k).alias(f"q{k}") for k in (1, 2, 3)])
     return s.groupBy(*by).agg(
-        F.max("total").alias(f"{prefix}rows"),
-        *[F.max(F.when(F.col("feature") == f, F.col(f"q{k}"))).alias(f"{prefix}{f}_q{k}") for f in FENCES for k in (1, 2, 3)])
+        F.max("total").alias("rows"),
+        *[F.max(F.when(F.col("feature") == f, F.col(f"q{k}"))).alias(f"{f}_q{k}") for f in FENCES for k in (1, 2, 3)])
 
 
 def limits(sketches: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """One row per (lang, source): low and high limit of each feature, and the sketch they come from."""
-    own = quantiles(sketches, ["lang", "source"], "own_")
-    lang = quantiles(merge(sketches, ["lang"]), ["lang"], "lang_").withColumnRenamed("lang", "of_lang")
-    everything = quantiles(merge(sketches, []).withColumn("one", F.lit(1)), ["one"], "all_")
-    x = (own.join(lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
-         .withColumn("one", F.lit(1)).join(everything, "one", "left"))
-    level = (F.when(F.col("own_rows") >= min_rows, "own").when(F.col("lang_rows") >= min_rows, "lang").otherwise("all"))
-    x = x.withColumn("level", level)
-
-    def q(feature: str, k: int) -> Column:
-        return reduce(lambda acc, p: acc.when(F.col("level") == p, F.col(f"{p}_{feature}_q{k}")),
-                      ["lang", "all"], F.when(F.col("level") == "own", F.col(f"own_{feature}_q{k}")))
-
+    own = quantiles(sketches, ["lang", "source"]).withColumn("level", F.lit(0))
+    lang = quantiles(merge(sketches, ["lang"]), ["lang"]).withColumns({"source": F.lit(None).cast("string"), "level": F.lit(1)})
+    every = quantiles(merge(sketches, []).withColumn("lang", F.lit(None).cast("string")), ["lang"]).withColumns(
+        {"source": F.lit(None).cast("string"), "level": F.lit(2)})
+    levels = own.unionByName(lang).unionByName(every).withColumnsRenamed({"lang": "l_lang", "source": "l_source", "level": "l_level"})
+    nothing = F.lit(None).cast("string")
+    wanted = sketches.select("lang", "source").distinct().select("lang", "source", F.explode(F.array(
+        F.struct(F.lit(0).alias("level"), F.col("lang").alias("k_lang"), F.col("source").alias("k_source")),
+        F.struct(F.lit(1).alias("level"), F.col("lang").alias("k_lang"), nothing.alias("k_source")),
+        F.struct(F.lit(2).alias("level"), nothing.alias("k_lang"), nothing.alias("k_source")))).alias("k"))
+    x = wanted.join(levels, (F.col("k.level") == F.col("l_level")) & F.col("k.k_lang").eqNullSafe(F.col("l_lang"))
+                    & F.col("k.k_source").eqNullSafe(F.col("l_source")))
+    x = x.filter((F.col("rows") >= min_rows) | (F.col("l_level") == 2))
+    x = x.groupBy("lang", "source").agg(F.min_by(F.struct("l_level", *[f"{f}_q{k}" for f in FENCES for k in (1, 2, 3)]), "l_level").alias("x")).select("lang", "source", "x.*")
     cols = []
     for f, (spreads, below, above) in FENCES.items():
-        mid = q(f, 2)
+        q1, mid, q3 = (F.col(f"{f}_q{k}") for k in (1, 2, 3))
         # features bounded below by 0 use the spread of the lower half, which junk cannot widen
-        up = mid + spreads * ((q(f, 3) - mid) if below is not None else (mid - q(f, 1))) + above
-        down = mid - spreads * (mid - q(f, 1)) - below if below is not None else F.lit(0).cast("long")
+        up = mid + spreads * ((q3 - mid) if below is not None else (mid - q1)) + above
+        down = mid - spreads * (mid - q1) - below if below is not None else F.lit(0).cast("long")
         cols += [down.alias(f"{f}_low"), up.alias(f"{f}_high")]
-    return x.select("lang", "source", F.col("level").alias("limits_from"), *cols)
+    level = F.element_at(F.array(*map(F.lit, ["own", "lang", "all"])), F.col("l_level") + 1)
+    return x.select("lang", "source", level.alias("limits_from"), *cols)
 
 
 def quality_rules(docs: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:

@@ -1,14 +1,17 @@
 """Queries of this package: name -> (spark, sf_dir) builder, and DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
-from tidewatch.llm import quality, secret_scan, urls
+from tidewatch.llm import chat, packing, quality, secret_scan, urls
 
 QUERIES = {
     "op1_quality_rules": quality.q_op1,
+    "op5_chat_formatting": chat.q_op5,
+    "op6_best_fit_packing": packing.q_op6,
     "op9_url_filters": urls.q_op9,
     "op10_secret_scans": secret_scan.q_op10,
 }
 ORACLE = {
     "op1_quality_rules": quality.ORACLE_OP1,
+    "op5_chat_formatting": chat.ORACLE_OP5,
     "op9_url_filters": urls.ORACLE_OP9,
 }
