@@ -1,10 +1,11 @@
 """Queries of this package: name -> (spark, sf_dir) builder, and DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
-from tidewatch.llm import chat, packing, quality, secret_scan, urls
+from tidewatch.llm import chat, packing, quality, secret_scan, toxicity, urls
 
 QUERIES = {
     "op1_quality_rules": quality.q_op1,
+    "op2_toxicity": toxicity.q_op2,
     "op5_chat_formatting": chat.q_op5,
     "op6_best_fit_packing": packing.q_op6,
     "op9_url_filters": urls.q_op9,
