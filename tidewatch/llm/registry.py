@@ -1,11 +1,12 @@
 """Queries of this package: name -> (spark, sf_dir) builder, and DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
-from tidewatch.llm import chat, packing, quality, secret_scan, toxicity, urls
+from tidewatch.llm import chat, licenses, packing, quality, secret_scan, toxicity, urls
 
 QUERIES = {
     "op1_quality_rules": quality.q_op1,
     "op2_toxicity": toxicity.q_op2,
+    "op4_license_scans": licenses.q_op4,
     "op5_chat_formatting": chat.q_op5,
     "op6_best_fit_packing": packing.q_op6,
     "op9_url_filters": urls.q_op9,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 ORACLE = {
     "op1_quality_rules": quality.ORACLE_OP1,
+    "op4_license_scans": licenses.ORACLE_OP4,
     "op5_chat_formatting": chat.ORACLE_OP5,
     "op9_url_filters": urls.ORACLE_OP9,
 }
