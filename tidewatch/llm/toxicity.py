@@ -14,7 +14,7 @@ toxic rows among the labelled rows of the training fold.
 
 Each member learns from a bounded sample (``MAX_POSITIVE``, ``MAX_UNLABELLED``
 rows, by hash of the id) in a Spark task of its own; the model is at most
-``MEMBERS * MAX_WORDS`` features.  Every document is scored whole.
+``MEMBERS * MAX_FEATURES`` features.  Every document is scored whole.
 
 Labels of ids with crc32 mod 5 = 0 are never read.  Only the text enters a
 score.  Words: runs of 0-9, a-z and any non-ASCII byte of the text with A-Z
@@ -28,6 +28,7 @@ rows; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,12 +42,12 @@ from tidewatch.llm.common import fold, fold_column, map_batches, pick, table, te
 FOLDS = 5
 MEMBERS = 3
 MAX_POSITIVE = 2000
-MAX_UNLABELLED = 8000
-MAX_WORDS = 3000
+MAX_UNLABELLED = 6000
+MAX_FEATURES = 3000
 MIN_DOCS = 3
 GRAM = 5
 #: Words remembered per Python worker while scoring.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 MIN_Z = 4.0
 STEPS = 300
 RATE = 0.05
@@ -58,44 +59,44 @@ def words_of(text: bytes | None) -> set[bytes]:
     return set(WORD.findall(text.lower())) if text else set()
 
 
-def parts_of(word: bytes) -> list[bytes]:
-    """Features of a word: itself, and its runs of GRAM bytes with the start marked (both kinds marked apart)."""
+def parts_of(word: bytes) -> list[int]:
+    """Features of a word, as crc32 codes: itself, and its runs of GRAM bytes with the start marked."""
     marked = b"^" + word
-    return [b"=" + word, *(marked[k:k + GRAM] for k in range(len(marked) - GRAM + 1))]
+    return [zlib.crc32(b"=" + word), *(zlib.crc32(marked[k:k + GRAM]) for k in range(len(marked) - GRAM + 1))]
 
 
 class Parts(dict):
-    """Word -> its features that a model knows; remembers at most ``REMEMBERED`` words."""
+    """Word -> its features (those that ``known`` has, if given); remembers at most ``REMEMBERED`` words."""
 
-    def __init__(self, known: set[bytes]):
+    def __init__(self, known: set[int] | None = None):
         super().__init__()
         self.known = known
 
-    def __missing__(self, word: bytes) -> tuple[bytes, ...]:
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = found = tuple(x for x in parts_of(word) if x in self.known)
+        found = tuple(x for x in parts_of(word) if self.known is None or x in self.known)
+        self[word] = found
         return found
 
-    def of(self, text: bytes | None) -> set[bytes]:
+    def of(self, text: bytes | None) -> set[int]:
         return set().union(*filter(None, map(self.__getitem__, words_of(text))))
 
 
 # --- one classifier (numpy) ------------------------------------------------------
 
-def choose_words(positive: list[set[bytes]], unlabelled: list[set[bytes]], max_words: int = MAX_WORDS) -> list[bytes]:
-    """Words whose share of texts differs most between P and U, in standard errors."""
-    from collections import Counter
-
-    p, u = Counter(w for s in positive for w in s), Counter(w for s in unlabelled for w in s)
-    words = sorted(w for w, n in (p + u).items() if n >= MIN_DOCS)
-    a = np.array([p[w] for w in words], float)
-    b = np.array([u[w] for w in words], float)
+def choose(positive: list[np.ndarray], unlabelled: list[np.ndarray], most: int = MAX_FEATURES) -> np.ndarray:
+    """Features whose share of texts differs most between P and U, in standard errors; sorted."""
+    every, place = np.unique(np.concatenate([*positive, *unlabelled]), return_inverse=True)
     n, m = len(positive), len(unlabelled)
+    cut = sum(map(len, positive))
+    a = np.bincount(place[:cut], minlength=len(every))
+    b = np.bincount(place[cut:], minlength=len(every))
     mean = (a + b + 1) / (n + m + 2)
     z = np.abs(a / n - b / m) / np.sqrt(mean * (1 - mean) * (1 / n + 1 / m))
-    best = np.argsort(-z, kind="stable")[:max_words]
-    return [words[k] for k in best if z[k] >= MIN_Z]
+    z[a + b < MIN_DOCS] = 0
+    best = np.argsort(-z, kind="stable")[:most]
+    return np.sort(every[best[z[best] >= MIN_Z]])
 
 
 def sigmoid(z):
@@ -113,26 +114,27 @@ def nn_pu_step(z_p: np.ndarray, z_u: np.ndarray, prior: float) -> tuple[float, n
     return pos, d_pos, np.zeros_like(z_u)
 
 
-def train(positive: list[set[bytes]], unlabelled: list[set[bytes]], prior: float, steps: int = STEPS) -> dict[bytes, float]:
-    """Weights by word; the empty word holds the intercept."""
-    vocabulary = choose_words(positive, unlabelled)
-    place = {w: k for k, w in enumerate(vocabulary)}
-    n = len(positive)
-    rows = [[place[w] for w in s if w in place] for s in [*positive, *unlabelled]]
-    col = np.array([k for r in rows for k in r], np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    w, b = np.zeros(len(vocabulary)), float(np.log(prior / (1 - prior))) if 0 < prior < 1 else 0.0
-    theta = np.append(w, b)
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS) -> tuple[float, np.ndarray, np.ndarray]:
+    """Intercept, features and their weights; texts are arrays of distinct feature codes."""
+    chosen = choose(positive, unlabelled)
+    n, texts_ = len(positive), [*positive, *unlabelled]
+    row = np.repeat(np.arange(len(texts_)), [len(x) for x in texts_])
+    codes = np.concatenate(texts_)
+    col = np.searchsorted(chosen, codes)
+    known = chosen[np.minimum(col, len(chosen) - 1)] == codes if len(chosen) else np.zeros(len(codes), bool)
+    row, col = row[known], col[known]
+    theta = np.zeros(len(chosen) + 1)
+    theta[-1] = np.log(prior / (1 - prior)) if prior < 1 else 0.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
-        z = np.bincount(row, theta[col], len(rows)) + theta[-1]
+        z = np.bincount(row, theta[col], len(texts_)) + theta[-1]
         _, d_p, d_u = nn_pu_step(z[:n], z[n:], prior)
         d = np.concatenate([d_p, d_u])
-        grad = np.append(np.bincount(col, d[row], len(vocabulary)), d.sum())
+        grad = np.append(np.bincount(col, d[row], len(chosen)), d.sum())
         grad[:-1] += DECAY * theta[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         theta -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    return {b"": float(theta[-1])} | {x: float(y) for x, y in zip(vocabulary, theta)}
+    return float(theta[-1]), chosen, theta[:-1]
 
 
 # --- Spark -----------------------------------------------------------------------
@@ -156,50 +158,52 @@ def training_rows(docs: DataFrame, labels: DataFrame, members: int = MEMBERS) ->
     return text.groupBy("member", "positive", "doc_id").agg(F.min("text").alias("text")), prior
 
 
-def fit(docs: DataFrame, labels: DataFrame, members: int = MEMBERS) -> list[dict[bytes, float]]:
-    """The trained members; none without positive rows."""
+Model = tuple[float, dict[int, float]]
+
+
+def fit(docs: DataFrame, labels: DataFrame, members: int = MEMBERS) -> list[Model]:
+    """The trained members (intercept, weight by feature); none without positive rows."""
     rows, prior = training_rows(docs, labels, members)
     if not 0 < prior:
         return []
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts()
         for b in batches:
-            joined = [b" ".join(sorted(words_of(t))) for t in texts(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("member"), b.column("positive"), b.column("doc_id"), pa.array(joined, pa.binary())],
-                                             ["member", "positive", "doc_id", "words"])
+            codes = [np.array(sorted(parts.of(t)), np.uint32).tobytes() for t in texts(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([b.column("member"), b.column("positive"), b.column("doc_id"), pa.array(codes, pa.binary())],
+                                             ["member", "positive", "doc_id", "codes"])
 
     def member(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id")
-        sets = lambda flag: [{p for w in x.split() for p in parts_of(w)} for x in rows.words[rows.positive == flag]]
-        p, u = sets(True), sets(False)
+        arrays = lambda flag: [np.frombuffer(x, np.uint32) for x in rows.codes[rows.positive == flag]]
+        p, u = arrays(True), arrays(False)
         if not p or not u:
-            return pd.DataFrame({"member": [], "word": [], "weight": []})
-        model = train(p, u, prior)
-        return pd.DataFrame({"member": rows.member.iloc[0], "word": list(model), "weight": list(model.values())})
+            return pd.DataFrame({"member": [], "intercept": [], "codes": [], "weights": []})
+        b, codes, weights = train(p, u, prior)
+        return pd.DataFrame({"member": [rows.member.iloc[0]], "intercept": [b], "codes": [codes.astype(np.int64)], "weights": [weights]})
 
-    sparse = map_batches(rows, features, "member int, positive boolean, doc_id long, words binary")
-    weights = sparse.groupBy("member").applyInPandas(member, "member int, word binary, weight double")
-    models: dict[int, dict[bytes, float]] = {}
-    for r in weights.collect():  # at most members * (MAX_WORDS + 1) rows
-        models.setdefault(r["member"], {})[bytes(r["word"])] = r["weight"]
-    return [models[k] for k in sorted(models)]
+    sparse = map_batches(rows, features, "member int, positive boolean, doc_id long, codes binary")
+    trained = sparse.groupBy("member").applyInPandas(member, "member int, intercept double, codes array<long>, weights array<double>")
+    # at most members * MAX_FEATURES numbers reach the driver
+    return [(r["intercept"], dict(zip(r["codes"], r["weights"]))) for r in sorted(trained.collect(), key=lambda r: r["member"])]
 
 
 class Scorer:
     """Mean probability of the members."""
 
-    def __init__(self, models: list[dict[bytes, float]]):
+    def __init__(self, models: list[Model]):
         self.models = models
-        self.parts = Parts(set().union(*models) - {b""})
+        self.parts = Parts(set().union(*(w for _, w in models)))
 
     def __call__(self, text: bytes | None) -> float:
         if not self.models:
             return 0.0
         found = sorted(self.parts.of(text))
-        return float(np.mean([sigmoid(m[b""] + sum(m.get(x, 0.0) for x in found)) for m in self.models]))
+        return float(np.mean([sigmoid(b + sum(w.get(x, 0.0) for x in found)) for b, w in self.models]))
 
 
-def score(docs: DataFrame, models: list[dict[bytes, float]]) -> DataFrame:
+def score(docs: DataFrame, models: list[Model]) -> DataFrame:
     """All rows of ``docs`` (doc_id, text) with held_out, score and predicted."""
     def run(batches):
         score_text = Scorer(models)
@@ -213,7 +217,7 @@ def score(docs: DataFrame, models: list[dict[bytes, float]]) -> DataFrame:
     return map_batches(pick(docs, "doc_id", "text"), run, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def keep_clean(docs: DataFrame, models: list[dict[bytes, float]]) -> DataFrame:
+def keep_clean(docs: DataFrame, models: list[Model]) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
     def run(batches):
         score_text = Scorer(models)
