@@ -20,7 +20,7 @@ def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
         e = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = e.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    low = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     if both_ways:
         moved = e.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -37,7 +37,6 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     table gives no rows.
     """
     e = materialise(edges.select("u", "v").filter("u <> v").distinct(), name)
-    # every row is a link of a different end, so a table without rows is done
     before = None
     while True:
         step = materialise(_star(e, True), name)
