@@ -1,7 +1,7 @@
 """Queries of this package: name -> (spark, sf_dir) builder, and DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
-from tidewatch.llm import chat, decontam, licenses, ngram_join, packing, quality, secret_scan, toxicity, urls
+from tidewatch.llm import chat, decontam, katz, licenses, ngram_join, packing, quality, secret_scan, toxicity, urls
 
 QUERIES = {
     "op1_quality_rules": quality.q_op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_license_scans": licenses.q_op4,
     "op5_chat_formatting": chat.q_op5,
     "op6_best_fit_packing": packing.q_op6,
+    "op7_katz_scores": katz.q_op7,
     "op8_ngram_jaccard_join": ngram_join.q_op8,
     "op9_url_filters": urls.q_op9,
     "op10_secret_scans": secret_scan.q_op10,
