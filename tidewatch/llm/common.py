@@ -25,16 +25,23 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, bucket: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     Later plans start from the files: a lost executor rereads them instead of
-    running the upstream plan again.
+    running the upstream plan again.  With ``bucket`` the files are bucketed by
+    that column, and joins and groups by it leave the table where it is.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    run = uuid.uuid4().hex
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{run}"
+    if bucket:
+        known = f"{name.replace('-', '_')}_{run}"
+        df.write.bucketBy(shuffle_parts(spark), bucket).option("path", path).saveAsTable(known)
+        out = spark.table(known)
+    else:
+        df.write.parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
     out._stage_path = path
     return out
 

@@ -12,8 +12,9 @@ words, and one class for all unknown words that holds the freed mass.
 All counts are over all training documents.  They live in tables dealt by the
 hash of the history (level 1: of the word), never in one place:
 
-* documents become *chunks* of up to ``CHUNK`` tokens, written once: word
-  hashes, and tokens as places in them;
+* documents become *chunks* of up to ``CHUNK`` tokens, written once, bucketed by
+  chunk so that answers can join without moving them: word hashes, and tokens
+  as places in them;
 * for each level a chunk asks each part of the table for its distinct n-grams,
   with their training counts and lower-order probabilities: the counts are
   summed per part (pre-aggregated per chunk, so a frequent word costs one
@@ -67,6 +68,15 @@ def _unpack(x: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(x)), kind)
 
 
+def _pack_planes(x: np.ndarray) -> bytes:
+    """Small numbers by byte planes, which compress well."""
+    return _pack(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+
+
+def _unpack_planes(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(_unpack(x, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 # --- model -------------------------------------------------------------------------
 
 def discounts(counts_of_counts: list[int]) -> np.ndarray:
@@ -111,7 +121,7 @@ def backoff(lower: np.ndarray, c: np.ndarray, c_h: np.ndarray, small: np.ndarray
 # --- chunks ------------------------------------------------------------------------
 
 class Chunk:
-    """Documents as places in a sorted list of word hashes."""
+    """Documents as places in a list of word hashes (frequent words first)."""
 
     def __init__(self, lengths: np.ndarray, train: np.ndarray, words: np.ndarray, tokens: np.ndarray):
         self.lengths, self.words, self.tokens = lengths, words, tokens
@@ -140,7 +150,7 @@ class Chunk:
 
 def _chunk(row) -> Chunk:
     return Chunk(_unpack(row["lengths"], np.int64), _unpack(row["train"], bool), _unpack(row["words"], np.uint64),
-                 _unpack(row["tokens"], np.uint32).astype(np.int64))
+                 _unpack_planes(row["tokens"]).astype(np.int64))
 
 
 CHUNKS = "chunk long, docs array<long>, lengths binary, train binary, words binary, tokens binary"
@@ -153,11 +163,12 @@ def chunks(docs: DataFrame) -> DataFrame:
 
         def done():
             words = np.array([END if w == b"" else xxhash.xxh3_64_intdigest(w) for w in places], np.uint64)
-            order = np.argsort(words, kind="stable")
+            tokens = np.concatenate(held)
+            order = np.argsort(-np.bincount(tokens), kind="stable")
             rank = np.empty(len(words), np.uint32)
             rank[order] = np.arange(len(words), dtype=np.uint32)
             train = np.array([fold(d, FOLDS) != 0 for d in ids], bool)
-            cols = [number, ids, _pack(np.array(lengths, np.int64)), _pack(train), _pack(words[order]), _pack(rank[np.concatenate(held)])]
+            cols = [number, ids, _pack(np.array(lengths, np.int64)), _pack(train), _pack(words[order]), _pack_planes(rank[tokens])]
             kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
             return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cols, kinds)], [x.split()[0] for x in CHUNKS.split(", ")])
 
@@ -330,8 +341,8 @@ def _release(spark) -> None:
 def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """One row per document: held_out, n_tokens, n_known, train_tokens, base_score and score (log10)."""
     spark = docs.sparkSession
-    parts = shuffle_parts(spark)
-    held = materialise(chunks(docs), "katz-chunks")
+    parts = 2 * shuffle_parts(spark)
+    held = materialise(chunks(docs), "katz-chunks", bucket="chunk")
     answers = materialise(word_counts(held, parts), "katz-1")
     stats = {1: _stats(answers)}
     for level in range(2, order + 1):
