@@ -267,10 +267,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> D
     return out.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("score", "question_overlap", "answer_overlap")])
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no test item is found (null ids are kept only if clean, too)."""
-    found = materialise(contaminated(docs, benchmark).select(F.col("doc_id").alias("bad")).distinct(), "decontam-found")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("bad")), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFrame:
+    """The rows of ``docs`` in whose text no test item is found, all columns as they are."""
+    for index in indexes(benchmark, shard):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def run(batches, shared=shared):
+            for b in batches:
+                rows = [(k, words_of(t)) for k, t in enumerate(texts(b.column("text")))]
+                bad = {hit[0] for hit in find(rows, shared.value)}
+                yield b.filter(pa.array([k not in bad for k, _ in rows], pa.bool_()))
+
+        docs = map_batches(docs, run, docs.schema)
+    return docs
 
 
 def q_op3(spark, sf_dir):

@@ -134,7 +134,7 @@ def license_scan(docs: DataFrame, templates=None) -> DataFrame:
         "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
         F.array_min(base).cast("long").alias("first_word"), F.array_max(base).cast("long").alias("last_word"),
         labels(F.filter("found", lambda c: F.get(t_base, c["t"]))).alias("base_labels"), labels(F.col("found")).alias("labels"),
-        F.coalesce(F.array_max(F.transform("found", lambda c: c["share"])), F.lit(0.0)).alias("score"))
+        F.least(F.coalesce(F.array_max(F.transform("found", lambda c: c["share"])), F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
 def q_op4(spark, sf_dir):
@@ -167,6 +167,6 @@ per AS (SELECT rid, count(*) FILTER (base) AS n_base, min(o) FILTER (base) AS fi
           string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM ok GROUP BY rid)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
   CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
-  CAST(coalesce(score, 0) AS DOUBLE) AS score
+  least(CAST(coalesce(score, 0) AS DOUBLE), 1.0::DOUBLE) AS score
 FROM d LEFT JOIN per ON d.rid = per.rid
 """
