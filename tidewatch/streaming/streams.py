@@ -1,27 +1,33 @@
 """Structured Streaming variants of the batch operators (ST-01 .. ST-06).
 
-* ST-01 file-stream ingest with an explicit schema (``readStream.schema()``);
-  the source table is selected from a folder by ``pathGlobFilter``.
+* ST-01 file-stream ingest with an explicit schema (``readStream.schema()``)
+  over a table that is one file or a folder of part files with any names;
+  Parquet or JSON.
 * ST-02 de-duplication on the declared key within the watermark.
 * ST-03 sliding hourly station statistics (60 min windows every 15 min).
 * ST-04 / ST-05 latest and previous reading per station kept across
   micro-batches by ``foreachBatch``: each batch merges its rows into a small
   state table (two rows per station, WindowGroupLimit top-2), writes the new
-  state version and re-scores the station hazard from it.  No Python worker
+  state version and scores the stations' hazard from it.  No Python worker
   runs per row; the merge is a DataFrame job per batch.
-* ST-06 alert sessions per zone with ``session_window`` (24 h gap).
-
-Sinks are Parquet folders under the checkpoint directory.  Update-mode
-outputs carry the batch id, and ``read_latest`` keeps the newest version of
-each key, so a restarted query (same checkpoint) converges to the same
-result.  Rows later than the watermark are dropped (no reference rule).
+* ST-06 alert sessions per zone with ``session_window`` (24 h gap), in complete
+  mode: the state has one row per session, and files in any order give the
+  result of a batch query.
+
+State, output and checkpoint live in one folder per query, ``state_dir``
+(default: named after the query and its input, under the checkpoint folder).
+Started again with the same folder, a query continues where it stopped.
+Every batch overwrites its own output partition ``_batch=<id>``, so a repeated
+batch writes the same rows once; ``read_latest`` keeps the newest version of
+each key.  In ST-02 / ST-03, rows later than the watermark are dropped (no
+reference rule).
 """
 from __future__ import annotations
 
 import os
-import uuid
+import zlib
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.session import ensure_checkpoint_dir
@@ -32,16 +38,20 @@ ORDERS_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_t
                  "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
+def state_folder(spark: SparkSession, name: str, folder: str) -> str:
+    """Default folder of a query's state: the same name for the same query and input."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
+    return os.path.join(base, "streams", f"{name}-{zlib.crc32(folder.encode()):08x}")
 
 
 def read_table_stream(spark: SparkSession, folder: str, table: str, schema: str,
-                      max_files: int = 1) -> DataFrame:
-    """ST-01: a file stream over ``folder`` restricted to ``<table>.parquet``."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-            .option("maxFilesPerTrigger", max_files).parquet(folder))
+                      max_files: int = 1, fmt: str = "parquet") -> DataFrame:
+    """ST-01: a file stream over ``<folder>/<table>.<fmt>``, a file or a folder of part files.
+
+    The path is given as a pattern, which the file source accepts for both.
+    """
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+            .format(fmt).load(f"{folder.rstrip('/')}/{table}.{fmt[:-1]}[{fmt[-1]}]"))
 
 
 def station_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,13 +87,14 @@ def windowed_stats(df: DataFrame, length: str = "60 minutes", slide: str = "15 m
                     "obs_count", "peak_value", "mean_value"))
 
 
-def run_update_to_parquet(df: DataFrame, path: str, checkpoint: str) -> None:
-    """Run a streaming aggregate in update mode to completion (availableNow);
-    each batch's updated rows are appended with their batch id."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(path)
+def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    """One output partition per batch; a repeated batch replaces its own."""
+    batch.write.mode("overwrite").parquet(os.path.join(path, f"_batch={batch_id}"))
 
-    q = (df.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+
+def run_to_end(df: DataFrame, checkpoint: str, sink, mode: str = "append") -> None:
+    """Run a stream over all input there is (availableNow) through ``sink(batch, batch_id)``."""
+    q = (df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -96,132 +107,55 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
-def station_window_stats(spark: SparkSession, folder: str) -> DataFrame:
+def station_window_stats(spark: SparkSession, folder: str, state_dir: str | None = None) -> DataFrame:
     """ST-01 + ST-02 + ST-03 end to end; returns the final windowed table."""
-    out, ck = _scratch(spark, "window-stats"), _scratch(spark, "window-stats-ckpt")
+    root = state_dir or state_folder(spark, "window-stats", folder)
+    out = os.path.join(root, "out")
     s = dedupe(station_stream(spark, folder), ["station_id", "obs_id"])
-    run_update_to_parquet(windowed_stats(s, delay=None), out, ck)
+    run_to_end(windowed_stats(s, delay=None), os.path.join(root, "checkpoint"),
+               lambda batch, batch_id: write_batch(batch, batch_id, out), mode="update")
     return read_latest(spark, out, ["station_id", "window_start", "window_end"])
 
 
-def latest_state_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """ST-04 + ST-05: latest/previous reading per station across micro-batches,
-    re-scored each batch; returns the final station table."""
-    from tidewatch.operators.timeseries import latest_and_previous, latest_k, rise_rate
-    state_dir = _scratch(spark, "latest-state")
-    out_dir, ck = _scratch(spark, "latest-scores"), _scratch(spark, "latest-ckpt")
+def latest_state_stream(spark: SparkSession, folder: str, state_dir: str | None = None) -> DataFrame:
+    """ST-04 + ST-05: latest/previous reading per station across micro-batches, scored with the
+    station hazard rules each batch; returns the final station table."""
+    from tidewatch.operators.timeseries import latest_and_previous, latest_k, with_station_hazard
+    from tidewatch.plans.stations import with_station_meta
+    root = state_dir or state_folder(spark, "latest-state", folder)
+    out = os.path.join(root, "out")
     cols = ["station_id", "obs_id", "time_utc", "water_level"]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         sp = batch.sparkSession
         rows = batch.select(*cols)
-        if batch_id > 0:
-            try:  # state written by the previous batch (absent only before the first write)
-                rows = rows.unionByName(sp.read.parquet(os.path.join(state_dir, f"v{batch_id - 1}")))
-            except Exception:  # noqa: BLE001
-                pass
-        top2 = latest_k(rows, 2).drop("rn")
-        top2.write.mode("overwrite").parquet(os.path.join(state_dir, f"v{batch_id}"))
-        st = sp.read.parquet(os.path.join(state_dir, f"v{batch_id}"))
-        lp = latest_and_previous(st)
-        scored = lp.withColumn("rise_rate_per_hour", rise_rate("latest_water_level", "prev_water_level",
-                                                               "latest_time_utc", "prev_time_utc"))
-        scored.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out_dir)
-
-    q = (station_stream(spark, folder).writeStream.foreachBatch(merge).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return read_latest(spark, out_dir, ["station_id"])
+        if batch_id > 0:  # every batch writes its version, also one without rows
+            rows = rows.unionByName(sp.read.parquet(os.path.join(root, f"state/v{batch_id - 1}")))
+        now = os.path.join(root, f"state/v{batch_id}")
+        latest_k(rows, 2).drop("rn").write.mode("overwrite").parquet(now)
+        scored = with_station_hazard(with_station_meta(latest_and_previous(sp.read.parquet(now))))
+        write_batch(scored, batch_id, out)
 
+    run_to_end(station_stream(spark, folder), os.path.join(root, "checkpoint"), merge)
+    return read_latest(spark, out, ["station_id"])
 
-def alert_sessions(spark: SparkSession, folder: str, gap_hours: float = 24.0,
-                   delay_hours: float = 48.0) -> DataFrame:
-    """ST-06: per zone, sessions of alert onsets separated by >= ``gap_hours``.
 
-    Incremental sessionization in ``foreachBatch``: open sessions live in a
-    small state table (zone, start, last, n); each batch adds its alerts as
-    one-point segments, segments are merged per zone by a running maximum of
-    their last onset, and sessions whose end (last + gap) is behind the
-    watermark (max onset seen - delay) are closed and appended to the output.
-    Alerts behind the watermark are dropped.  The result is the closed
-    sessions plus the sessions still open when the input ends.
+def alert_sessions(spark: SparkSession, folder: str, gap_hours: float = 24.0, state_dir: str | None = None) -> DataFrame:
+    """ST-06: per zone, sessions of alert onsets separated by at least ``gap_hours``.
+
+    The zones of an alert are a static side of the join; their distinct pairs
+    are written once before the stream starts.  ``session_window`` also joins
+    rows exactly one gap apart, hence the gap less one microsecond.
     """
     from tidewatch.sources.bind import alert_zones
+    root = state_dir or state_folder(spark, "sessions", folder)
+    out, zones = os.path.join(root, "out"), os.path.join(root, "zones")
+    alert_zones(spark, folder).distinct().write.mode("overwrite").parquet(zones)
     o = read_table_stream(spark, folder, "orders", ORDERS_SCHEMA)
-    a = o.select(F.col("o_orderkey").alias("alert_key"), F.col("o_orderdate").alias("onset"))
-    z = alert_zones(spark, folder).distinct()          # static side of a stream-static join
-    events = a.join(z, "alert_key").select("zone_id", "onset")
-    state_dir, closed_dir = _scratch(spark, "sessions-state"), _scratch(spark, "sessions-closed")
-    ck = _scratch(spark, "sessions-ckpt")
-    gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_hours * 3600.0))
-    delay = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(delay_hours * 3600.0))
-    seg_cols = ["zone_id", "s_start", "s_last", "n", "wm"]
-    gap_us = int(round(gap_hours * 3600 * 1_000_000))
-    last_version = {"v": None}
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        sp = batch.sparkSession
-        pts = batch.select("zone_id", "onset")
-        prev_wm, st = None, None
-        if last_version["v"] is not None:
-            st = sp.read.parquet(last_version["v"])
-            prev_wm = st.select(F.max("wm")).scalar()
-            pts = pts.filter(F.col("onset") >= F.coalesce(prev_wm, F.col("onset")))   # late rows dropped
-        # Alerts less than one gap apart always share a session, so the batch is
-        # first reduced to one segment per (zone, gap-wide time bucket) by a
-        # partial aggregate; the per-zone ordering below then sees at most one
-        # segment per bucket, not one row per alert (a hot zone stays small).
-        bucket = F.floor(F.unix_micros(F.col("onset").cast("timestamp")) / F.lit(gap_us))
-        seg = pts.groupBy("zone_id", bucket.alias("_bk")).agg(
-            F.min("onset").alias("s_start"), F.max("onset").alias("s_last"),
-            F.count(F.lit(1)).alias("n")).drop("_bk")
-        if st is not None:
-            seg = seg.unionByName(st.select(*seg_cols[:-1]))
-        w = Window.partitionBy("zone_id").orderBy("s_start", "s_last")
-        prev_max = F.max("s_last").over(w.rowsBetween(Window.unboundedPreceding, -1))
-        seg = seg.withColumn("_new", (prev_max.isNull() | (F.col("s_start") >= prev_max + gap)).cast("int"))
-        seg = seg.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        sess = seg.groupBy("zone_id", "_sid").agg(F.min("s_start").alias("s_start"), F.max("s_last").alias("s_last"),
-                                                 F.sum("n").alias("n")).drop("_sid")
-        max_seen = seg.select(F.max("s_last")).scalar()
-        wm = F.greatest(max_seen - delay, F.coalesce(prev_wm, max_seen - delay)) if prev_wm is not None \
-            else max_seen - delay
-        sess = sess.withColumn("wm", wm)
-        path = os.path.join(state_dir, f"v{batch_id}")
-        sess.write.mode("overwrite").parquet(path)
-        sess = sp.read.parquet(path)
-        done = sess.filter(F.col("s_last") + gap <= F.col("wm")).drop("wm")
-        done.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(closed_dir)
-        open_path = os.path.join(state_dir, f"open{batch_id}")
-        sess.filter(F.col("s_last") + gap > F.col("wm")).write.mode("overwrite").parquet(open_path)
-        last_version["v"] = open_path
-
-    q = (events.writeStream.foreachBatch(merge).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    parts = []
-    try:
-        parts.append(spark.read.parquet(closed_dir).drop("_batch"))
-    except Exception:  # noqa: BLE001 -- nothing closed yet
-        pass
-    if last_version["v"] is not None:
-        parts.append(spark.read.parquet(last_version["v"]).drop("wm"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("zone_id", F.col("s_start").alias("session_start"),
-                      (F.col("s_last") + gap).alias("session_end"), F.col("n").alias("n_alerts"))
-
-
-def batch_sessions(df: DataFrame, key: str, time_col: str, gap_hours: float) -> DataFrame:
-    """Batch twin of ST-06 (sessionization by lag + running sum) for checks."""
-    w = Window.partitionBy(key).orderBy(time_col)
-    gap_s = gap_hours * 3600
-    d = df.withColumn("_prev", F.lag(time_col).over(w))
-    new = (F.col("_prev").isNull()
-           | ((F.unix_seconds(F.col(time_col)) - F.unix_seconds(F.col("_prev"))) >= F.lit(gap_s)))
-    d = d.withColumn("_sid", F.sum(new.cast("int")).over(w))
-    return d.groupBy(key, "_sid").agg(F.min(time_col).alias("session_start"),
-                                      (F.max(time_col) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                                                                            F.lit(float(gap_s))))
-                                      .alias("session_end"), F.count(F.lit(1)).alias("n_alerts")).drop("_sid")
+    a = o.select(F.col("o_orderkey").alias("alert_key"), F.col("o_orderdate").cast("timestamp").alias("onset"))
+    s = a.join(spark.read.parquet(zones), "alert_key").groupBy(
+        "zone_id", F.session_window("onset", f"{int(gap_hours * 3_600_000_000) - 1} microseconds").alias("w")).agg(F.count(F.lit(1)).alias("n_alerts"))
+    s = s.select("zone_id", F.col("w.start").alias("session_start"), (F.col("w.end") + F.expr("INTERVAL 0.000001 SECONDS")).alias("session_end"), "n_alerts")
+    run_to_end(s, os.path.join(root, "checkpoint"), lambda batch, batch_id: write_batch(batch, batch_id, out), mode="complete")
+    d = spark.read.parquet(out)
+    return d.filter(F.col("_batch") == d.select(F.max("_batch")).scalar()).drop("_batch")
