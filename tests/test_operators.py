@@ -53,18 +53,37 @@ def test_radius_join_equals_brute_force(spark):
     assert grid == exact and len(exact) > 0
 
 
-def test_kernel_aggregate_bucketed_equals_broadcast(spark):
-    a = spark.createDataFrame(_points(spark, 40, 3), "area_id long, latitude double, longitude double")
-    p = spark.createDataFrame([(x[1], x[2], float(x[0] % 7)) for x in _points(spark, 60, 4)],
-                              "lat double, lon double, h double")
+def test_kernel_aggregate_equals_brute_force_with_any_buckets(spark):
+    areas, points = _points(spark, 40, 3), _points(spark, 60, 4)
+    a = spark.createDataFrame(areas, "area_id long, latitude double, longitude double")
+    p = spark.createDataFrame([(x[1], x[2], float(x[0] % 7)) for x in points], "lat double, lon double, h double")
 
     def aggs(d):
-        return [F.sum(F.exp(-d / 25.0) * F.col("h")).alias("s"), F.max(F.when(d <= 12.0, F.col("h"))).alias("m")]
+        return [F.sum(F.exp(-d / 25.0) * F.col("h")).alias("s"), F.max(F.when(d <= 12.0, F.col("h"))).alias("m"), F.count("*").alias("n")]
 
-    x = {r.area_id: (round(r.s, 9), r.m) for r in spatial.kernel_aggregate(a, p, "area_id", aggs).collect()}
-    y = {r.area_id: (round(r.s, 9), r.m)
-         for r in spatial.kernel_aggregate(a, p, "area_id", aggs, max_areas=5, buckets=7).collect()}
-    assert x == y and len(x) == 40
+    def km(la, lo, pa, po):
+        la, lo, pa, po = map(math.radians, (la, lo, pa, po))
+        x = math.sin((pa - la) / 2) ** 2 + math.cos(la) * math.cos(pa) * math.sin((po - lo) / 2) ** 2
+        return 2 * spatial.KM_PER_RAD * math.asin(math.sqrt(x))
+
+    want = {}
+    for i, la, lo in areas:
+        d = [(km(la, lo, pa, po), float(k % 7)) for k, pa, po in points]
+        want[i] = (round(sum(math.exp(-x / 25) * h for x, h in d), 6), max((h for x, h in d if x <= 12), default=None), len(points))
+    for ab, pb in ((8, 16), (1, 1), (7, 3)):
+        got = {r.area_id: (round(r.s, 6), r.m, r.n) for r in spatial.kernel_aggregate(a, p, "area_id", aggs, area_buckets=ab, point_buckets=pb).collect()}
+        assert got == want
+
+
+def test_area_flood_hazard_weighs_every_station_at_one_place(spark):
+    areas = spark.createDataFrame([(1, 18.0, -66.0), (2, 18.4, -66.4), (3, None, -66.0)], "area_id long, latitude double, longitude double")
+    st = [(18.01, -66.0, 40.0), (18.01, -66.0, 80.0), (18.01, -66.0, None), (18.4, -66.4, 10.0), (None, -66.0, 99.0)]
+    df = spark.createDataFrame(st, "lat double, lon double, flood_hazard_final double")
+    got = {r.area_id: r for r in spatial.area_flood_hazard(areas, df, F.lit(0.0)).collect()}
+    assert set(got) == {1, 2}
+    assert got[1].flood_hazard_local_max == 80.0 and got[2].flood_hazard_local_max == 10.0
+    assert (got[1].supporting_station_count, got[1].nearby_station_count) == (5, 3)
+    assert (got[2].supporting_station_count, got[2].nearby_station_count) == (5, 1)
 
 
 def test_recommended_actions_default_and_order(spark):
@@ -109,21 +128,44 @@ def test_dedupe_first_matches_brute_force(spark):
     assert got == want
 
 
-def test_coordinate_fallback_and_catalog_filter(spark):
-    from tidewatch.operators.catalog import catalog_filter, with_coordinate_fallback
+def test_catalog_steps(spark):
+    from tidewatch.operators.catalog import dedupe_first, in_catalog_box, on_tidal_datum, with_coordinate_fallback
+    entries = spark.createDataFrame([
+        ("a", 1, 30.0, -66.0), ("a", 2, 18.0, -66.0),   # first entry outside the box: the second stays
+        ("b", 1, 18.1, -66.1), ("b", 2, 18.2, -66.2),   # both inside: the first stays
+        ("c", 1, None, -66.0), ("d", 1, 0.0, 0.0),      # no position, wrong position: outside
+    ], "id string, seq int, lat double, lon double")
+    box = (17.8, 18.6, -67.5, -65.0)
+    got = {r.id: (r.seq, r.lat) for r in dedupe_first(in_catalog_box(entries, box), "id", "seq").collect()}
+    assert got == {"a": (2, 18.0), "b": (1, 18.1)}
     st = spark.createDataFrame([
         ("a", 18.0, -66.0, True),    # valid, kept as is
         ("b", 0.0, 0.0, True),       # (0, 0) -> fallback
         ("c", None, -66.0, True),    # missing -> no fallback row -> dropped
         ("d", 95.0, -66.0, None),    # out of range -> fallback, but datum flag missing -> dropped
         ("e", 18.0, -66.0, False),   # not tidal -> dropped
-        ("f", 30.0, -66.0, True),    # valid but outside the box -> dropped
     ], "id string, lat double, lon double, tidal boolean")
     lk = spark.createDataFrame([("b", 18.2, -66.2), ("b", 18.2, -66.2), ("d", 18.1, -66.1)],
                                "id string, fb_lat double, fb_lon double")
-    out = catalog_filter(with_coordinate_fallback(st, lk, "id"), (17.8, 18.6, -67.5, -65.0))
-    got = {r.id: (r.lat, r.lon, r.coord_source) for r in out.collect()}
-    assert got == {"a": (18.0, -66.0, "feed"), "b": (18.2, -66.2, "fallback")}
+    out = on_tidal_datum(with_coordinate_fallback(st, lk, "id"))
+    assert {r.id: (r.lat, r.lon, r.coord_source) for r in out.collect()} == {"a": (18.0, -66.0, "feed"), "b": (18.2, -66.2, "fallback")}
+
+
+def test_station_selection_and_sorted_ids(spark):
+    from tidewatch.operators.catalog import sorted_ids, station_selection
+    ids = lambda *x: spark.createDataFrame([(k,) for k in x], "station_id long")
+    chosen = lambda *a: sorted((r.station_id, r.selection_mode) for r in station_selection(*a).collect())
+    assert chosen(ids(1, 2, 3), ids(2, 9), ids()) == [(2, "requested")]
+    assert chosen(ids(1, 2, 3), ids(2, 9), ids(2)) == []  # every requested station excluded
+    assert chosen(ids(1, 2, 3), ids(9), ids(3)) == [(1, "catalog"), (2, "catalog")]
+    assert [r.station_id for r in sorted_ids(ids(9, 10, 2, 100, 9)).collect()] == [10, 100, 2, 9]
+    assert [r.station_id for r in sorted_ids(ids(9, 10, 2, 100), cap=2).collect()] == [10, 100]
+
+
+def test_station_codes_keep_long_ids(spark):
+    from tidewatch.sources.bind import station_meta_columns
+    df = spark.createDataFrame([(7,), (12345,), (12346,)], "sid long")
+    assert [r[0] for r in df.select(station_meta_columns(F.col("sid"))["shefcode"]).collect()] == ["PR0007", "PR12345", "PR12346"]
 
 
 def test_assert_rows_guards(spark):

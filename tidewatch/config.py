@@ -130,6 +130,7 @@ SPEC_NWS_SCORES = {"Flood Watch": 40, "Flood Warning": 70, "Flash Flood Warning"
 SPEC_FORCE_RED_EVENTS = ["Flash Flood Warning"]
 SPEC_PHASE_EVENTS = {"PRE": ["Flood Watch"], "DURING": ["Flood Warning", "Flash Flood Warning"]}
 SPEC_POST_ALERT_HOURS = 24.0
+SPEC_CONFIDENCE_WEIGHTS = {"freshness": 0.35, "completeness": 0.25, "validity": 0.25, "crosscheck": 0.15}
 SPEC_BASELINE_WINDOW_DAYS = 365
 SPEC_DROPOUT_LEVELS = [0.2, 0.3, 0.4]
 SPEC_SENSITIVITY_DELTAS = [-0.2, -0.1, 0.1, 0.2]
@@ -174,3 +175,6 @@ def weights_frame(spark: SparkSession, weights: dict[str, float], index: str,
         T.StructField("w", T.DoubleType()),
     ])
     return spark.createDataFrame(rows, schema)
+
+# Own choice: side of the cells within which latest levels are compared.
+CROSSCHECK_CELL_DEGREES = 0.25

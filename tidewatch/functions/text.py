@@ -1,13 +1,22 @@
 """Text column builders (T-01 .. T-13)."""
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# FIXED VALUES: accented letters and their base letters (Latin-1 and the
-# Spanish/French/Portuguese set), used by normalize_text in place of NFKD.
-ACCENTED = "ÁÀÂÄÃÅáàâäãåÉÈÊËéèêëÍÌÎÏíìîïÓÒÔÖÕóòôöõÚÙÛÜúùûüÑñÇçÝýÿ"
-UNACCENTED = "AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuNnCcYyy"
+def _fold_table() -> tuple[str, str]:
+    """Letters whose compatibility decomposition is one ASCII letter or digit and marks, and that character."""
+    pairs = []
+    for k in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF10, 0xFF5B)]:
+        base = [c for c in unicodedata.normalize("NFKD", chr(k)) if not unicodedata.combining(c)]
+        if len(base) == 1 and base[0].isascii() and base[0].isalnum():
+            pairs.append((chr(k), base[0]))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+ACCENTED, UNACCENTED = _fold_table()
 
 
 def _c(x) -> Column:
@@ -15,11 +24,11 @@ def _c(x) -> Column:
 
 
 def normalize_text(x) -> Column:
-    """T-01: strip, fold accents, non-alphanumerics -> space, collapse, lower.
+    """T-01: strip, fold accents (composed and decomposed), non-alphanumerics -> space, collapse, lower.
 
     Missing -> "".
     """
-    s = F.translate(F.trim(_c(x)), ACCENTED, UNACCENTED)
+    s = F.translate(F.regexp_replace(F.trim(_c(x)), r"\p{M}", ""), ACCENTED, UNACCENTED)
     s = F.regexp_replace(s, r"[^a-zA-Z0-9\s]", " ")
     s = F.regexp_replace(s, r"\s+", " ")
     return F.coalesce(F.trim(F.lower(s)), F.lit(""))

@@ -1,7 +1,7 @@
 """Alert operators (D-05, A-01, F-11, A-13, J-16, D-28, SP-04, SP-12, SP-15)."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import config as C
@@ -62,30 +62,6 @@ def alerts_enriched(alerts: DataFrame, zones: DataFrame) -> DataFrame:
             .drop("_ugc")
 
 
-def alerts_by_zone(alerts: DataFrame, zones: DataFrame, zone_ref: DataFrame) -> DataFrame:
-    """D-28 core: one row per (alert, zone); zones with no alert get a placeholder row.
-
-    Alerts without zones keep one row with ``zone_id`` null (explode_outer).
-    Placeholders come from an anti join of the zone reference against zones
-    that have at least one alert (J-16, U-03).
-    """
-    a = alert_score(alerts).select("id", "alert_key", "event", "severity", "headline", "sent", "alert_score")
-    z = zones.distinct()
-    rows = a.join(z, "alert_key", "left").drop("alert_key")
-    covered = rows.select("zone_id").where(F.col("zone_id").isNotNull())
-    missing = zone_ref.join(covered, "zone_id", "left_anti")
-    placeholders = missing.select(
-        F.format_string("placeholder-%s", F.col("zone_id")).alias("id"),
-        F.lit("No active alert").alias("event"),
-        F.lit(None).cast("string").alias("severity"),
-        F.format_string("No active alert for %s", F.col("zone_id")).alias("headline"),
-        F.lit(None).cast(rows.schema["sent"].dataType).alias("sent"),
-        F.lit(0).alias("alert_score"),
-        "zone_id",
-    )
-    return rows.unionByName(placeholders)
-
-
 def fallback_zones(spark: SparkSession) -> DataFrame:
     """S-05 fallback: PRZ001 .. PRZ013."""
     return spark.range(1, C.ZONE_FALLBACK_COUNT + 1).select(
@@ -98,23 +74,26 @@ def area_alert_score(alerts: DataFrame, zones: DataFrame, at: Column) -> DataFra
     return a.join(zones, "alert_key").groupBy("zone_id").agg(F.max("alert_score").alias("zone_alert_score"))
 
 
-def phase_from_alerts(alerts: DataFrame, zones: DataFrame, at: Column,
+def phase_from_alerts(alerts: DataFrame, zones: DataFrame, zone_list: DataFrame, at: Column,
                       post_hours: float = C.SPEC_POST_ALERT_HOURS) -> DataFrame:
-    """SP-12: warning active -> DURING; watch active -> PRE; an alert ended within
-    post_hours before ``at`` -> POST; otherwise PRE (default readiness)."""
-    a = alerts.join(zones, "alert_key")
-    ev = F.lower(F.col("event"))
-    active = (F.col("onset") <= at) & (F.col("ends") > at)
-    recent_end = (F.col("ends") <= at) & (F.col("ends") > at - F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), F.lit(post_hours * 3600.0)))
+    """SP-12: phase of every zone of ``zone_list`` from the events the spec names:
+    a warning active -> DURING; a watch active -> PRE; one of them ended within
+    ``post_hours`` before ``at`` -> POST; otherwise PRE (default readiness).
+
+    Only alerts that can matter (named, begun, ended after ``at - post_hours``)
+    meet their zones.
+    """
+    names = [e for events in C.SPEC_PHASE_EVENTS.values() for e in events]
+    since = at - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(post_hours * 3600.0))
+    a = alerts.filter(F.col("event").isin(names) & (F.col("onset") <= at) & (F.col("ends") > since))
+    a = a.select("alert_key", "event", (F.col("ends") > at).alias("_active")).join(zones, "alert_key")
     agg = a.groupBy("zone_id").agg(
-        F.max(active & ev.contains("warning")).alias("_warn"),
-        F.max(active & ev.contains("watch")).alias("_watch"),
-        F.max(recent_end).alias("_post"),
-    )
-    phase = (F.when(F.col("_warn"), "DURING").when(F.col("_watch"), "PRE").when(F.col("_post"), "POST")
+        F.max(F.col("_active") & F.col("event").isin(C.SPEC_PHASE_EVENTS["DURING"])).alias("_during"),
+        F.max(F.col("_active") & F.col("event").isin(C.SPEC_PHASE_EVENTS["PRE"])).alias("_pre"),
+        F.max(~F.col("_active")).alias("_post"))
+    phase = (F.when(F.col("_during"), "DURING").when(F.col("_pre"), "PRE").when(F.col("_post"), "POST")
              .otherwise("PRE"))
-    return agg.select("zone_id", phase.alias("phase"))
+    return zone_list.select("zone_id").join(agg, "zone_id", "left").select("zone_id", phase.alias("phase"))
 
 
 def forced_band(event: Column, major_exceeded: Column, band: Column) -> Column:
@@ -123,10 +102,3 @@ def forced_band(event: Column, major_exceeded: Column, band: Column) -> Column:
     return (F.when(ffw, F.lit("Red"))
              .when(F.coalesce(major_exceeded, F.lit(False)) & band.isin("Green", "Yellow"), F.lit("Orange"))
              .otherwise(band))
-
-
-def latest_alert_per_zone(alerts: DataFrame, zones: DataFrame) -> DataFrame:
-    """Latest alert per zone by onset (tie: id) -- one row per zone."""
-    a = alerts.join(zones, "alert_key")
-    w = Window.partitionBy("zone_id").orderBy(F.col("onset").desc(), F.col("id").desc())
-    return a.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -1,10 +1,10 @@
 """Station catalogue operators: first-seen dedupe, coordinate repair, row guards.
 
 A catalogue arrives as a list of station entries, possibly repeated across
-documents.  It is reduced to one entry per station id, coordinates that fail
-the validity test are replaced from a lookup keyed by station id, and rows
-still without a valid position, outside the bounding box or not on the tidal
-datum are dropped.
+documents.  Entries outside the bounding box or without a position are
+dropped, then the first entry per station id stays.  The metadata step after
+the selection repairs coordinates that fail the validity test from a lookup
+keyed by station id.
 """
 from __future__ import annotations
 
@@ -48,14 +48,31 @@ def with_coordinate_fallback(df: DataFrame, lookup: DataFrame, key: str,
     return j.filter(F.col("coord_source").isNotNull()).drop("fb_lat", "fb_lon")
 
 
-def catalog_filter(df: DataFrame, bbox: tuple[float, float, float, float] | None,
-                   lat: str = "lat", lon: str = "lon", tidal: str = "tidal") -> DataFrame:
-    """F-03 + F-06: inside the inclusive box (when given) and on the tidal datum
-    (a missing flag counts as false)."""
-    cond = F.coalesce(F.col(tidal), F.lit(False))
-    if bbox is not None:
-        cond = cond & in_bbox(F.col(lat), F.col(lon), *bbox)
-    return df.filter(cond)
+def station_selection(catalog: DataFrame, requested: DataFrame, excluded: DataFrame,
+                      key: str = "station_id") -> DataFrame:
+    """J-14: the requested ids that the catalogue has, else the whole catalogue; excluded ids are
+    taken out last.  Each side has one row per id; ``selection_mode`` says which list was used."""
+    hit = catalog.join(requested, key, "left_semi")
+    any_hit = hit.select(F.count(F.lit(1)) > 0).scalar()
+    chosen = hit.withColumn("selection_mode", F.lit("requested")).unionByName(
+        catalog.filter(~any_hit).withColumn("selection_mode", F.lit("catalog")))
+    return chosen.join(excluded, key, "left_anti")
+
+
+def sorted_ids(ids: DataFrame, key: str = "station_id", cap: int | None = None) -> DataFrame:
+    """L-04: distinct ids in text order; ``cap`` guards what is downloaded and is off by default."""
+    out = ids.select(key).distinct().orderBy(F.col(key).cast("string"))
+    return out if cap is None else out.limit(cap)
+
+
+def in_catalog_box(df: DataFrame, bbox: tuple[float, float, float, float], lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """F-03: entries inside the inclusive box; entries without a position are outside."""
+    return df.filter(in_bbox(F.col(lat), F.col(lon), *bbox))
+
+
+def on_tidal_datum(df: DataFrame, tidal: str = "tidal") -> DataFrame:
+    """F-06: a missing flag counts as false."""
+    return df.filter(F.coalesce(F.col(tidal), F.lit(False)))
 
 
 def assert_rows(df: DataFrame, min_rows: int = 1, max_rows: int | None = None, what: str = "rows") -> DataFrame:

@@ -13,6 +13,7 @@ from tidewatch import config as C
 from tidewatch.functions.numeric import clip, normalize_linear, weighted_sum
 from tidewatch.functions.text import first_flag
 from tidewatch.functions.timefn import hours_between, hours_between_floor
+from tidewatch.operators.ranking import join_stats
 from tidewatch.operators.scoring import robust_scores
 
 
@@ -30,7 +31,9 @@ def window_rise(series: DataFrame, minutes: float = C.SPEC_RISE_WINDOW_MINUTES,
     Missing when either value is missing."""
     lt = latest_row(series, key)
     win = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(minutes) * 60.0))
-    j = series.join(lt, key).filter((F.col("time_utc") >= F.col("latest_time_utc") - win)
+    stats = lt.select(F.col(key).alias("_key"), "latest_time_utc")
+    j = join_stats(series.select(key, "time_utc", "obs_id", "water_level"), stats, [key], ["_key"], "obs_id", "inner")
+    j = j.filter((F.col("time_utc") >= F.col("latest_time_utc") - win)
                                      & (F.col("time_utc") <= F.col("latest_time_utc")))
     first = j.groupBy(key).agg(F.min(F.struct("time_utc", "obs_id", "water_level")).alias("_f"))
     out = lt.join(first, key)
@@ -107,55 +110,67 @@ def baseline_percentiles(series: DataFrame, as_of: Column, days: int = C.SPEC_BA
 
 
 def baseline_percentiles_exact(series: DataFrame, as_of: Column, days: int = C.SPEC_BASELINE_WINDOW_DAYS,
-                               key: str = "station_id", resolution: float = 0.001) -> DataFrame:
-    """SP-14, exact: p05 / p95 of each station's level over the trailing
-    ``days``, on readings taken at the gauge resolution (0.001 ft).
-
-    Levels become whole multiples of the resolution, and the quantiles come
-    from per-(station, level) counts (``ranking.grouped_discrete_quantiles``):
-    exact like ``percentile``, but a station with a third of all rows ships
-    one row per distinct level per map task instead of all its readings.
+                               key: str = "station_id") -> DataFrame:
+    """SP-14, exact: p05 / p95 of each station's level over the trailing ``days``.
+
+    The quantiles come from per-(station, level) counts of the readings as
+    they are (``ranking.grouped_discrete_quantiles``): exact like
+    ``percentile``, but a station with a third of all rows ships one row per
+    distinct level per map task instead of all its readings.
     """
     from tidewatch.operators.ranking import grouped_discrete_quantiles
     win = F.make_dt_interval(F.lit(days), F.lit(0), F.lit(0), F.lit(0.0))
-    s = series.filter((F.col("time_utc") >= as_of - win) & (F.col("time_utc") <= as_of))
-    s = s.select(key, F.round(F.col("water_level") / F.lit(resolution)).cast("long").alias("_units"))
-    q = grouped_discrete_quantiles(s, [key], "_units", [C.ROBUST_LO_Q, C.ROBUST_HI_Q], ["_p05", "_p95"])
-    n = s.groupBy(key).agg(F.count("_units").alias("n_values"))
-    return q.join(n, key).select(key, (F.col("_p05") * resolution).alias("baseline_p05"),
-                                 (F.col("_p95") * resolution).alias("baseline_p95"), "n_values")
+    s = series.filter((F.col("time_utc") >= as_of - win) & (F.col("time_utc") <= as_of)).select(key, "water_level")
+    q = grouped_discrete_quantiles(s, [key], "water_level", [C.ROBUST_LO_Q, C.ROBUST_HI_Q], ["baseline_p05", "baseline_p95"])
+    n = s.groupBy(key).agg(F.count("water_level").alias("n_values"))
+    return q.join(n, key).select(key, "baseline_p05", "baseline_p95", "n_values")
+
 
+def observation_quality(series: DataFrame, as_of: Column, meta_fn, recent_hours: float = 24.0,
+                        lo: float = 0.0, hi: float = 45.0, cell_degrees: float = C.CROSSCHECK_CELL_DEGREES,
+                        key: str = "station_id") -> DataFrame:
+    """SP-16: per-station quality factors (0..1) and the spec's confidence.
 
-def observation_quality(series: DataFrame, as_of: Column, recent_hours: float = 24.0,
-                        lo: float = 0.0, hi: float = 45.0, key: str = "station_id") -> DataFrame:
-    """SP-16: per-station quality factors.
+    Freshness (age of the latest reading), completeness (missing readings in
+    the recent window), validity (in range, and first flag not set) and
+    cross-check (the latest level against the mean latest level of the stations
+    in the same cell; 1 where there is nothing to compare), weighted
+    .35 / .25 / .25 / .15; ``quality_score`` is 100 times the sum.
 
-    freshness_hours (as_of - latest), missing_rate over the recent window,
-    out_of_range_rate (plausibility), flagged_rate (first flag != 0), and a
-    0-100 quality score = mean of (freshness, completeness, range, flags).
+    The cells are means over one row per station, joined back salted.
     """
     recent = F.col("time_utc") >= as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
                                                               F.lit(recent_hours * 3600.0))
     v = F.col("water_level")
     agg = series.groupBy(key).agg(
-        F.max("time_utc").alias("latest_time_utc"),
+        F.max(F.struct("time_utc", "obs_id", "water_level")).alias("_l"),
         F.count(F.lit(1)).alias("n_obs"),
         F.count_if(recent).alias("n_recent"),
         F.count_if(recent & v.isNull()).alias("n_recent_missing"),
         F.count_if(v.isNotNull() & ((v < lo) | (v > hi))).alias("n_out_of_range"),
         F.count_if(first_flag(F.col("flags")) != 0).alias("n_flagged"),
     )
-    fresh_h = hours_between(as_of, F.col("latest_time_utc"))
     d = agg.withColumns({
-        "freshness_hours": fresh_h,
+        "latest_time_utc": F.col("_l.time_utc"), "_level": F.col("_l.water_level"),
+        "freshness_hours": hours_between(as_of, F.col("_l.time_utc")),
         "missing_rate": F.try_divide(F.col("n_recent_missing"), F.col("n_recent")).cast("double"),
         "out_of_range_rate": (F.col("n_out_of_range") / F.col("n_obs")).cast("double"),
         "flagged_rate": (F.col("n_flagged") / F.col("n_obs")).cast("double"),
-    })
-    fresh_s = clip(F.lit(100.0) - F.col("freshness_hours") / F.lit(C.FRESHNESS_HOURS) * 100.0, 0.0, 100.0)
-    comp_s = F.lit(100.0) - F.coalesce(F.col("missing_rate"), F.lit(1.0)) * 100.0
-    return d.withColumn("quality_score", (fresh_s + comp_s + (F.lit(1.0) - F.col("out_of_range_rate")) * 100.0
-                                          + (F.lit(1.0) - F.col("flagged_rate")) * 100.0) / 4.0)
+    }).drop("_l")
+    cell = lambda c: F.floor(F.col(c) / F.lit(cell_degrees)).cast("long")
+    d = meta_fn(d).withColumns({"_cy": cell("lat"), "_cx": cell("lon")})
+    near = d.groupBy(F.col("_cy").alias("_ky"), F.col("_cx").alias("_kx")).agg(F.avg("_level").alias("_near"))
+    d = join_stats(d, near, ["_cy", "_cx"], ["_ky", "_kx"], key)
+    one = F.lit(1.0)
+    factors = {
+        "freshness": clip(one - F.col("freshness_hours") / F.lit(C.FRESHNESS_HOURS), 0.0, 1.0),
+        "completeness": one - F.coalesce(F.col("missing_rate"), one),
+        "validity": (one - F.col("out_of_range_rate")) * (one - F.col("flagged_rate")),
+        "crosscheck": F.coalesce(clip(one - F.abs(F.col("_level") - F.col("_near")) / F.lit(hi - lo), 0.0, 1.0), one),
+    }
+    d = d.withColumns({f"{k}_factor": x for k, x in factors.items()})
+    score = weighted_sum([(f"{k}_factor", w) for k, w in C.SPEC_CONFIDENCE_WEIGHTS.items()], fill_missing=0.0)
+    return d.withColumn("quality_score", score * F.lit(100.0))
 
 
 def replay_latest(series: DataFrame, meta_fn, step_hours: int = 24, key: str = "station_id") -> DataFrame:

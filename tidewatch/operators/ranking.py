@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tidewatch.session import stage_checkpoint
 
 _POS_BITS = 33
+#: Join keys that the rows of one hot key are spread over.
+SALTS = 32
 
 
 def global_row_number(df: DataFrame, order: list[Column], out: str = "row_number") -> DataFrame:
@@ -46,17 +48,31 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "row_number
     return s.withColumn(out, (F.col("_off") + pos + F.lit(1)).cast("long")).drop("_gid", "_pid", "_off")
 
 
+def join_stats(rows: DataFrame, stats: DataFrame, cols: list[str], stat_cols: list[str], spread: str,
+               how: str = "left", salts: int = SALTS) -> DataFrame:
+    """Rows joined to the one statistics row of their ``cols`` (named ``stat_cols`` there, dropped after).
+
+    A key may hold a third of all rows, and the skew rule does not split a
+    join whose other side is an aggregate over its own shuffle: rows are
+    therefore spread over ``salts`` join keys by the column ``spread``, and each
+    statistics row is repeated once per salt.  Null keys match each other.
+    """
+    r = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    s = stats.withColumn("_stat_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(cols, stat_cols)] + [F.col("_salt") == F.col("_stat_salt")]
+    return r.join(s, cond, how).drop("_salt", "_stat_salt", *stat_cols)
+
+
 def _tie_stats(ranked: DataFrame, rn: str, tie_cols: list[str]) -> DataFrame:
     """Per group of equal ``tie_cols`` values: the first row number and the size.
 
-    The group-by aggregates map-side; the join back is an equi-join on the
-    tie values (AQE splits a skewed tie group on the large side).
+    The group-by aggregates map-side; the join back is salted, since a tie
+    group may hold most rows.
     """
     keys = [f"_tk{i}" for i in range(len(tie_cols))]
     stats = ranked.groupBy(*tie_cols).agg(F.min(rn).alias("_g_first"), F.count(F.lit(1)).alias("_g_ties"))
     stats = stats.select(*[F.col(c).alias(k) for c, k in zip(tie_cols, keys)], "_g_first", "_g_ties")
-    cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(tie_cols, keys)]
-    return ranked.join(stats, cond, "left").drop(*keys)
+    return join_stats(ranked, stats, tie_cols, keys, rn)
 
 
 def global_rank(df: DataFrame, order: list[Column], tie_cols: list[str], out: str = "rank",

@@ -12,13 +12,11 @@ Two strategies, both exact:
 * ``kernel_aggregate`` (J-11 / J-12 + A-04 / A-05 / A-16) -- the decay-weighted
   mean and the earthquake maximum sum over *every* station / event (the
   weight ``exp(-d / 25 km)`` never reaches zero), so the work is inherently
-  areas x points.  Areas are an administrative dimension with a checked
-  bound: they are broadcast only after ``limit(max_areas + 1).count()``
-  proves the bound, each task evaluates its points against them and a
-  map-side partial aggregate folds the pairs in the same code-generated
-  stage, so the shuffle carries one row per area per task.  Beyond the bound
-  the areas are hash-bucketed and the points replicated once per bucket, so
-  each task holds one bucket of areas (still exact, no broadcast).
+  areas x locations.  Points are reduced to one row per location first.  Areas
+  and locations are then dealt to a grid of (area bucket, location bucket)
+  keys and equi-joined on it, at every size: each task meets one bucket of
+  either side, and a map-side partial aggregate folds the pairs, so the next
+  shuffle carries one row per area and grid key.
 """
 from __future__ import annotations
 
@@ -29,14 +27,11 @@ from pyspark.sql import functions as F
 
 from tidewatch import config as C
 from tidewatch.functions.geo import haversine_km
-from tidewatch.operators.joins import checked_size  # noqa: F401  (re-exported)
 
 KM_PER_RAD = C.EARTH_RADIUS_KM
-MAX_BROADCAST_AREAS = 20000
-
-
-class BroadcastBoundExceeded(ValueError):
-    pass
+#: Sides of the (area bucket, location bucket) grid of ``kernel_aggregate``.
+AREA_BUCKETS = 8
+POINT_BUCKETS = 16
 
 
 def _cell_sizes(r_km: float, max_abs_lat: float) -> tuple[float, float]:
@@ -92,25 +87,21 @@ def radius_join(left: DataFrame, right: DataFrame, r_km: float,
 
 def kernel_aggregate(areas: DataFrame, points: DataFrame, area_key: str, aggs_fn,
                      area_coords=("latitude", "longitude"), point_coords=("lat", "lon"),
-                     max_areas: int = MAX_BROADCAST_AREAS, buckets: int = 64) -> DataFrame:
+                     area_buckets: int = AREA_BUCKETS, point_buckets: int = POINT_BUCKETS) -> DataFrame:
     """Aggregate a function of (area, point, distance) over every point, per area.
 
-    ``aggs_fn(dist_col: Column) -> list[Column]`` builds the aggregate columns.
-    Returns one row per area that has at least one point.
+    ``points`` has one row per location.  ``aggs_fn(dist_col: Column) ->
+    list[Column]`` builds the aggregate columns.  Returns one row per area if
+    there is a point at all.
     """
     la, lo = area_coords
     pa, po = point_coords
-    a = areas.select(area_key, F.col(la).alias("_alat"), F.col(lo).alias("_alon"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    a = areas.select(area_key, F.col(la).alias("_alat"), F.col(lo).alias("_alon")).withColumn(
+        "_ab", F.pmod(F.xxhash64(area_key), F.lit(area_buckets)).cast("int")).withColumn("_pb", every(point_buckets))
+    p = points.withColumn("_pb", F.pmod(F.xxhash64(pa, po), F.lit(point_buckets)).cast("int")).withColumn("_ab", every(area_buckets))
     d = haversine_km(F.col("_alat"), F.col("_alon"), F.col(pa), F.col(po))
-    if checked_size(a, max_areas) is not None:
-        pairs = points.crossJoin(F.broadcast(a))
-    else:
-        # Bucketed replication: each task joins one bucket of areas with all
-        # points of its input split.  Exact, no broadcast of unbounded data.
-        ab = a.withColumn("_bk", F.pmod(F.xxhash64(area_key), F.lit(buckets)))
-        pb = points.withColumn("_bk", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-        pairs = pb.join(ab, "_bk").drop("_bk")
-    pairs = pairs.withColumn("_d", d)
+    pairs = p.join(a, ["_ab", "_pb"]).withColumn("_d", d)
     return pairs.groupBy(area_key).agg(*aggs_fn(F.col("_d")))
 
 
@@ -123,21 +114,21 @@ def area_flood_hazard(areas: DataFrame, stations: DataFrame, global_alert: Colum
     dropped (as in the reference); the rest keep null station columns when
     there are no stations.
     """
-    h = F.col("flood_hazard_final")
-
     def aggs(dist: Column):
         w = F.exp(-dist / F.lit(float(lambda_km)))
         near = dist <= F.lit(float(override_km))
         return [
-            F.sum(w * h).alias("_swh"),
-            F.sum(w).alias("_sw"),
-            F.max(F.when(near, h)).alias("flood_hazard_local_max"),
-            F.count(F.lit(1)).alias("supporting_station_count"),
-            F.count_if(near).alias("nearby_station_count"),
+            F.sum(w * F.col("_h")).alias("_swh"),
+            F.sum(w * F.col("_n")).alias("_sw"),
+            F.max(F.when(near, F.col("_top"))).alias("flood_hazard_local_max"),
+            F.sum("_n").alias("supporting_station_count"),
+            F.coalesce(F.sum(F.when(near, F.col("_n"))), F.lit(0)).alias("nearby_station_count"),
         ]
 
     located = areas.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    st = stations.select("lat", "lon", "flood_hazard_final")
+    # stations at one place weigh alike: their sum, largest and number are all the formula needs
+    st = stations.groupBy("lat", "lon").agg(F.sum("flood_hazard_final").alias("_h"), F.max("flood_hazard_final").alias("_top"),
+                                            F.count(F.lit(1)).alias("_n"))
     k = kernel_aggregate(located, st, area_key, aggs)
     out = located.join(k, area_key, "left")
     return (out.withColumn("flood_hazard_weighted", F.try_divide(F.col("_swh"), F.col("_sw")))

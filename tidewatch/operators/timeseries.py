@@ -178,15 +178,15 @@ def per_row_rate(series: DataFrame, key: str = "station_id", time_col: str = "ti
 
 
 def outliers(series: DataFrame, z: float = 3.0, key: str = "station_id", value_col: str = "water_level",
-             lo: float | None = None, hi: float | None = None) -> DataFrame:
+             lo: float | None = None, hi: float | None = None, tie_col: str = "obs_id") -> DataFrame:
     """SP-18: z-score outliers per station and plausibility-range violations.
 
-    Station mean and stddev come from a partial aggregate joined back on the
-    station key (one row per station, so the join side is small and AQE can
-    broadcast it).
+    Station mean and stddev come from a partial aggregate and are joined back
+    with salted keys, so a station with a third of all rows is many tasks.
     """
-    stats = series.groupBy(key).agg(F.avg(value_col).alias("mu"), F.stddev_samp(value_col).alias("sd"))
-    s = series.join(stats, key, "left")
+    from tidewatch.operators.ranking import join_stats
+    stats = series.groupBy(F.col(key).alias("_key")).agg(F.avg(value_col).alias("mu"), F.stddev_samp(value_col).alias("sd"))
+    s = join_stats(series, stats, [key], ["_key"], tie_col)
     zc = F.try_divide(F.col(value_col) - F.col("mu"), F.col("sd"))
     s = s.withColumn("z_score", zc)
     bad_range = F.lit(False)

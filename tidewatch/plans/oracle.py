@@ -71,7 +71,7 @@ def _meta(sid: str) -> dict[str, str]:
     base_minor = f"(1.0{D} + ({sid} % 5) * 0.5{D})"
     return {
         "station_name": f"'Station ' || CAST({sid} AS VARCHAR)",
-        "shefcode": f"'PR' || lpad(CAST({sid} AS VARCHAR), 4, '0')",
+        "shefcode": f"'PR' || lpad(CAST({sid} AS VARCHAR), greatest(4, length(CAST({sid} AS VARCHAR)))::INT, '0')",
         "lat": f"17.9{D} + (({sid} * 7) % 60) / 100.0{D}",
         "lon": f"-67.3{D} + (({sid} * 13) % 210) / 100.0{D}",
         "nos_minor": f"CASE WHEN {sid} % 7 = 0 THEN NULL WHEN {sid} % 13 = 0 THEN 0.0{D} ELSE {base_minor} END",
@@ -135,7 +135,7 @@ CTES: dict[str, tuple[list[str], str]] = {
           CASE WHEN o_orderstatus = 'P' THEN 'Possible' ELSE 'Likely' END AS certainty,
           o_orderdate AS sent, o_orderdate AS onset, o_orderdate + INTERVAL 3 DAY AS ends,
           'Actual' AS status,
-          'Supplier#' || lpad(CAST(o_custkey % 100 AS VARCHAR), 9, '0') AS area_desc,
+          'Supplier#' || lpad(CAST(o_custkey % (SELECT count(*) FROM supplier) AS VARCHAR), 9, '0') AS area_desc,
           CASE WHEN o_orderkey % 3 = 0 THEN 'NWS San Juan PR' ELSE 'NWS Miami FL' END AS sender_name
         FROM orders"""),
     "alerts_h": (["alerts"], """
@@ -223,7 +223,7 @@ CTES: dict[str, tuple[list[str], str]] = {
 
 def _norm_text(x: str) -> str:
     from tidewatch.functions.text import ACCENTED, UNACCENTED
-    s = f"translate(trim({x}), '{ACCENTED}', '{UNACCENTED}')"
+    s = f"translate(regexp_replace(trim({x}), '\\p{{M}}', '', 'g'), '{ACCENTED}', '{UNACCENTED}')"
     s = f"regexp_replace({s}, '[^a-zA-Z0-9\\s]', ' ', 'g')"
     s = f"regexp_replace({s}, '\\s+', ' ', 'g')"
     return f"coalesce(trim(lower({s})), '')"

@@ -43,11 +43,14 @@ def _catalog_docs(spark, sf_dir):
     return ev.select(eid.alias("seq"), F.to_json(F.struct(F.array(entry).alias("stations"))).alias("payload"))
 
 
-def _coordinate_lookup(spark, sf_dir):
-    """F-05 lookup: station id -> coordinates, for suppliers not divisible by 3."""
-    s = bind.read_table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 3 != 0)
-    m = bind.station_meta_columns(F.col("s_suppkey"))
-    return s.select(F.col("s_suppkey").cast("string").alias("id"), m["lat"].alias("fb_lat"), m["lon"].alias("fb_lon"))
+def _metadata(spark, sf_dir):
+    """Station metadata entries by supplier: position ((0, 0) for every fifth), and the fallback position."""
+    s = bind.read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    m = bind.station_meta_columns(k)
+    zero = F.lit(0.0)
+    return s.select(k.cast("string").alias("id"), F.when(k % 5 == 0, zero).otherwise(m["lat"]).alias("md_lat"),
+                    F.when(k % 5 == 0, zero).otherwise(m["lon"]).alias("md_lng"), m["lat"].alias("fb_lat"), m["lon"].alias("fb_lon"))
 
 
 CATALOG = "id, name, state, lat:d, lng:d, shefcode, tidal, coord_source, seq:l"
@@ -66,37 +69,31 @@ _MS = _meta("s_suppkey")
         CASE WHEN user_id % 10 = 9 THEN false WHEN user_id % 10 = 8 AND event_id % 2 = 0 THEN NULL
              ELSE true END AS tidal
       FROM events),
-    f AS (SELECT * FROM e WHERE seq = (SELECT min(seq) FROM e e2 WHERE e2.id = e.id)),
-    lk AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, {_MS['lat']} AS fb_lat, {_MS['lon']} AS fb_lon
-           FROM supplier WHERE s_suppkey % 3 <> 0),
-    j AS (
-      SELECT f.*, lk.fb_lat, lk.fb_lon,
-        (f.lat IS NOT NULL AND f.lng IS NOT NULL AND NOT (abs(f.lat) < 1e-9 AND abs(f.lng) < 1e-9)
-         AND f.lat BETWEEN -90 AND 90 AND f.lng BETWEEN -180 AND 180) AS ok,
-        coalesce(lk.fb_lat IS NOT NULL AND lk.fb_lon IS NOT NULL
-         AND NOT (abs(lk.fb_lat) < 1e-9 AND abs(lk.fb_lon) < 1e-9)
-         AND lk.fb_lat BETWEEN -90 AND 90 AND lk.fb_lon BETWEEN -180 AND 180, false) AS fb_ok
-      FROM f LEFT JOIN lk ON f.id = lk.id),
-    r AS (
-      SELECT id, name, state, shefcode, tidal, seq,
-        CASE WHEN ok THEN lat WHEN fb_ok THEN fb_lat END AS lat,
-        CASE WHEN ok THEN lng WHEN fb_ok THEN fb_lon END AS lng,
-        CASE WHEN ok THEN 'feed' WHEN fb_ok THEN 'fallback' END AS coord_source
-      FROM j WHERE ok OR fb_ok)
-    SELECT * FROM r
-    WHERE coalesce(tidal, false)
-      AND lat BETWEEN {CATALOG_BBOX[0]} AND {CATALOG_BBOX[1]} AND lng BETWEEN {CATALOG_BBOX[2]} AND {CATALOG_BBOX[3]})""",
+    box AS (SELECT * FROM e WHERE lat BETWEEN {CATALOG_BBOX[0]} AND {CATALOG_BBOX[1]}
+              AND lng BETWEEN {CATALOG_BBOX[2]} AND {CATALOG_BBOX[3]}),
+    f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS k FROM box) WHERE k = 1),
+    md AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_suppkey % 5 = 0 THEN 0.0::DOUBLE ELSE {_MS['lat']} END AS md_lat,
+             CASE WHEN s_suppkey % 5 = 0 THEN 0.0::DOUBLE ELSE {_MS['lon']} END AS md_lng, {_MS['lat']} AS fb_lat, {_MS['lon']} AS fb_lon
+           FROM supplier),
+    j AS (SELECT f.* EXCLUDE (lat, lng), coalesce(md_lat, lat) AS lat, coalesce(md_lng, lng) AS lng, fb_lat, fb_lon
+          FROM f LEFT JOIN md ON f.id = md.id),
+    r AS (SELECT *, (abs(lat) >= 1e-9 OR abs(lng) >= 1e-9) AND lat BETWEEN -90 AND 90 AND lng BETWEEN -180 AND 180 AS ok FROM j)
+    SELECT id, name, state, shefcode, tidal, seq, CASE WHEN ok THEN lat ELSE fb_lat END AS lat,
+      CASE WHEN ok THEN lng ELSE fb_lon END AS lng, CASE WHEN ok THEN 'feed' ELSE 'fallback' END AS coord_source
+    FROM r WHERE (ok OR fb_lat IS NOT NULL) AND coalesce(tidal, false))""",
     order="id"))
 def q_station_catalog(spark, sf_dir):
-    """S-01 catalogue envelopes -> A-12 first entry per id -> F-04/F-05 coordinate
-    repair -> F-03 box and F-06 datum filters -> L-02 sorted by id."""
+    """S-01 catalogue envelopes -> F-03 box -> A-12 first entry per id -> metadata
+    step: F-04/F-05 coordinate repair and F-06 datum filter -> L-02 sorted by id."""
     docs = _catalog_docs(spark, sf_dir)
     doc = docs.select("seq", F.from_json("payload", env.CATALOG_SCHEMA).alias("_d")).select("seq", "_d.*")
-    rows = env.flatten_catalog(doc, keep=("seq",))
+    rows = cat.in_catalog_box(env.flatten_catalog(doc, keep=("seq",)), CATALOG_BBOX, lat="lat", lon="lng")
     first = cat.dedupe_first(rows, "id", "seq")
-    fixed = cat.with_coordinate_fallback(first, _coordinate_lookup(spark, sf_dir), "id", lat="lat", lon="lng")
-    out = cat.catalog_filter(fixed, CATALOG_BBOX, lat="lat", lon="lng")
-    return out.select(*_names(CATALOG)).orderBy("id")
+    md = _metadata(spark, sf_dir)
+    placed = first.join(md.select("id", "md_lat", "md_lng"), "id", "left").withColumns(
+        {"lat": F.coalesce("md_lat", "lat"), "lng": F.coalesce("md_lng", "lng")}).drop("md_lat", "md_lng")
+    fixed = cat.with_coordinate_fallback(placed, md.select("id", "fb_lat", "fb_lon"), "id", lat="lat", lon="lng")
+    return cat.on_tidal_datum(fixed).select(*_names(CATALOG)).orderBy("id")
 
 
 # ---------------- S-06 + T-11 + D-DT2/D-DT3 forecast periods -----------------
@@ -188,7 +185,6 @@ def q_quakes_extent(spark, sf_dir):
 
 # ---------------- U-02 + A-13 two fetch strategies, appended and de-duplicated -----------------
 
-FETCH_ZONES = ["PRZ001", "PRZ002", "PRZ003", "PRZ004"]
 TWO = "id, event, severity, sent, fetch_seq:l, fetch_strategy"
 
 
@@ -196,23 +192,21 @@ TWO = "id, event, severity, sent, fetch_seq:l, fetch_strategy"
     WITH f1 AS (SELECT id, event, severity, sent, 1 AS fetch_seq FROM alerts
                 WHERE strpos(lower(event), 'flood') > 0),
     f2 AS (SELECT a.id, a.event, a.severity, a.sent, 2 AS fetch_seq
-           FROM alerts a JOIN alert_zones z ON a.alert_key = z.alert_key
-           WHERE z.zone_id IN ({", ".join(f"'{z}'" for z in FETCH_ZONES)})),
+           FROM alerts a JOIN alert_zones z ON a.alert_key = z.alert_key),
     u AS (SELECT * FROM f1 UNION ALL SELECT * FROM f2)
     SELECT id, event, severity, sent, max(fetch_seq) AS fetch_seq,
       CASE WHEN max(fetch_seq) = 1 THEN 'area' ELSE 'zone' END AS fetch_strategy
     FROM u GROUP BY id, event, severity, sent)"""), "alerts", "alert_zones"))
 def q_two_fetches(spark, sf_dir):
-    """U-02: alerts from an event-based fetch and from a per-zone fetch (one
-    copy per matching zone line) appended, then A-13 last seen wins per id --
+    """U-02: alerts from an event-based fetch and from a fetch for every zone (one
+    copy per zone line) appended, then A-13 last seen wins per id --
     a partial aggregate, so an alert repeated across many zones ships one row
     per map task."""
     from tidewatch.operators.alerts import dedupe_last_seen
     a = bind.alerts(spark, sf_dir).select("id", "alert_key", "event", "severity", "sent")
     f1 = a.filter(F.lower("event").contains("flood")).select("id", "event", "severity", "sent",
                                                               F.lit(1).alias("fetch_seq"))
-    z = bind.alert_zones(spark, sf_dir).filter(F.col("zone_id").isin(FETCH_ZONES))
-    f2 = a.join(z, "alert_key").select("id", "event", "severity", "sent", F.lit(2).alias("fetch_seq"))
+    f2 = a.join(bind.alert_zones(spark, sf_dir), "alert_key").select("id", "event", "severity", "sent", F.lit(2).alias("fetch_seq"))
     d = dedupe_last_seen(f1.unionByName(f2), "id", "fetch_seq")
     return d.withColumn("fetch_strategy", F.when(F.col("fetch_seq") == 1, "area").otherwise("zone")) \
         .select(*_names(TWO))
@@ -221,16 +215,16 @@ def q_two_fetches(spark, sf_dir):
 # ---------------- F-18 list-typed values + F-01 -----------------
 
 @register("water_multi_qualifier", out_sql("timeseries_id, qualifier_count:l, qualifier_text", """(
-    SELECT 'TS' || CAST(p_partkey AS VARCHAR) AS timeseries_id, 2 AS qualifier_count,
-      'A, e' AS qualifier_text
+    SELECT 'TS' || CAST(p_partkey AS VARCHAR) AS timeseries_id, CASE WHEN p_partkey % 6 = 0 THEN 1 ELSE 2 END AS qualifier_count,
+      CASE WHEN p_partkey % 6 = 0 THEN 'A' ELSE 'A, e' END AS qualifier_text
     FROM part WHERE p_partkey % 3 = 0)"""))
 def q_multi_qualifier(spark, sf_dir):
-    """F-18: features whose list-or-scalar qualifier holds more than one value;
+    """F-18: features whose list-or-scalar qualifier is a list, of any length;
     F-01 keeps the listed output columns that exist (``unit_label`` does not)."""
     from tidewatch.functions.arrays import join_list, select_existing
     from tidewatch.plans.queries_io import _water_docs
     w = env.flatten_water(env._parse(_water_docs(spark, sf_dir), "payload", env.WATER_SCHEMA))
-    w = w.filter(F.size("qualifier") > 1).withColumns({
+    w = w.filter(F.col("qualifier_is_list")).withColumns({
         "qualifier_count": F.size("qualifier").cast("long"), "qualifier_text": join_list("qualifier", ", ")})
     return select_existing(w, ["timeseries_id", "qualifier_count", "unit_label", "qualifier_text"])
 
@@ -238,7 +232,6 @@ def q_multi_qualifier(spark, sf_dir):
 # ---------------- L-03 top-n report, L-04 capped sorted id list -----------------
 
 TOP_N = 10            # preview size of the priority report
-STATION_CAP = 100     # active station cap (the feed client's default)
 
 TOPN = "municipio, priority_index_conf_adj:d, priority_band"
 
@@ -256,35 +249,28 @@ def q_top_priority(spark, sf_dir):
              .select(*_names(TOPN)))
 
 
-@register("capped_station_list", sql(out_sql("station_id:l", f"""(
-    SELECT DISTINCT station_id FROM tidal_series ORDER BY station_id LIMIT {STATION_CAP})"""), "tidal_series"))
+@register("capped_station_list", sql(out_sql("station_id:l", """(
+    SELECT DISTINCT station_id FROM tidal_series)""", order="CAST(station_id AS VARCHAR)"), "tidal_series"))
 def q_capped_stations(spark, sf_dir):
-    """L-04: the catalogue's station ids, sorted, capped at the active-station
-    limit (a per-partition top-n over the distinct ids, then one small merge)."""
+    """L-04: the catalogue's station ids in text order; the cap guards downloads and is off here."""
     from tidewatch.plans.stations import tidal_series
-    return tidal_series(spark, sf_dir).select("station_id").distinct().orderBy("station_id").limit(STATION_CAP)
+    return cat.sorted_ids(tidal_series(spark, sf_dir))
 
 
 # ---------------- J-04 name lookup with fallback to the key -----------------
 
-NAMED_ZONES = 10      # the zone reference names the first ten zones only
-
-
-@register("alert_zone_names", out_sql("zone_id, zone_name, n_alert_lines:l", f"""(
-    SELECT zone_id, coalesce(name, zone_id) AS zone_name, count(*) AS n_alert_lines
-    FROM (SELECT 'PRZ' || lpad(CAST(l_suppkey % 13 + 1 AS VARCHAR), 3, '0') AS zone_id,
-                 CASE WHEN l_suppkey % 13 + 1 <= {NAMED_ZONES}
-                      THEN 'Zone ' || CAST(l_suppkey % 13 + 1 AS VARCHAR) END AS name
-          FROM lineitem)
-    GROUP BY zone_id, name)"""))
+@register("alert_zone_names", out_sql("zone_id, zone_name, n_alert_lines:l", """(
+    SELECT zone_id, coalesce(r_name, zone_id) AS zone_name, count(*) AS n_alert_lines
+    FROM (SELECT 'PRZ' || lpad(CAST(l_suppkey % 13 + 1 AS VARCHAR), 3, '0') AS zone_id, l_suppkey % 13 + 1 AS n FROM lineitem)
+      LEFT JOIN region ON r_regionkey = n
+    GROUP BY zone_id, r_name)"""))
 def q_zone_names(spark, sf_dir):
-    """J-04: alert lines per zone with the zone's name from the reference,
-    falling back to the zone id when the reference has no name.  The counts
-    are a partial aggregate; the reference is joined after it (one row per zone)."""
-    from tidewatch.operators.alerts import fallback_zones
-    ref = fallback_zones(spark).withColumn("_n", F.substring("zone_id", 4, 3).cast("int"))
-    ref = ref.filter(F.col("_n") <= NAMED_ZONES).select(
-        "zone_id", F.concat(F.lit("Zone "), F.col("_n").cast("string")).alias("name"))
+    """J-04: alert lines per zone with the zone's name from a reference (the
+    region table, which lacks most zones), falling back to the zone id.  The
+    counts are a partial aggregate; the reference is joined after it."""
+    from tidewatch.functions.text import zero_pad_code
+    ref = bind.read_table(spark, sf_dir, "region").select(
+        F.concat(F.lit("PRZ"), zero_pad_code(F.col("r_regionkey"), 3)).alias("zone_id"), F.col("r_name").alias("name"))
     n = bind.alert_zones(spark, sf_dir).groupBy("zone_id").agg(F.count(F.lit(1)).alias("n_alert_lines"))
     j = n.join(ref, "zone_id", "left")
     return j.select("zone_id", F.coalesce("name", "zone_id").alias("zone_name"), "n_alert_lines")

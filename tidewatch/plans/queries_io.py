@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidewatch import config as C
 from tidewatch.operators import alerts as al
-from tidewatch.operators.joins import bounded_broadcast
 from tidewatch.plans import oracle as _O
 from tidewatch.plans.oracle import sql
 from tidewatch.plans.registry import out_sql, register
@@ -157,7 +156,7 @@ def q_acs_header(spark, sf_dir):
 def _water_docs(spark, sf_dir):
     p = bind.read_table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    qual = (F.when(k % 3 == 0, F.to_json(F.array(F.lit("A"), F.lit("e"))))
+    qual = (F.when(k % 6 == 0, F.to_json(F.array(F.lit("A")))).when(k % 3 == 0, F.to_json(F.array(F.lit("A"), F.lit("e"))))
             .when(k % 3 == 1, F.lit('"P"')))
     props = F.struct(F.concat(F.lit("TS"), k.cast("string")).alias("timeseries_id"),
                      F.concat(F.lit("USGS-"), F.lpad((k % 50).cast("string"), 8, "0")).alias("monitoring_location_id"),
@@ -183,7 +182,7 @@ WATER = ("timeseries_id, value:d, parameter_code, statistic_id, qualifier, param
     SELECT 'TS' || CAST(p_partkey AS VARCHAR) AS timeseries_id, p_retailprice AS value,
       lpad(CAST(p_size AS VARCHAR), 5, '0') AS parameter_code,
       lpad(CAST(p_partkey % 4 + 1 AS VARCHAR), 5, '0') AS statistic_id,
-      CASE WHEN p_partkey % 3 = 0 THEN 'A - e' WHEN p_partkey % 3 = 1 THEN 'P' END AS qualifier,
+      CASE WHEN p_partkey % 6 = 0 THEN 'A' WHEN p_partkey % 3 = 0 THEN 'A - e' WHEN p_partkey % 3 = 1 THEN 'P' END AS qualifier,
       r.r_name AS parameter_name, n.n_name AS statistic_name,
       18.0::DOUBLE + (p_partkey % 50) / 100.0::DOUBLE AS latitude,
       -67.0::DOUBLE + (p_partkey % 200) / 100.0::DOUBLE AS longitude
@@ -204,7 +203,7 @@ def q_daily_water(spark, sf_dir):
     stats = stats.dropDuplicates(["statistic_id"])
     w = (w.withColumn("parameter_code", zero_pad_code(F.col("parameter_code")))
           .withColumn("statistic_id", zero_pad_code(F.col("statistic_id"))))
-    w = w.join(bounded_broadcast(params), "parameter_code", "left").join(bounded_broadcast(stats), "statistic_id", "left")
+    w = w.join(params, "parameter_code", "left").join(stats, "statistic_id", "left")
     return w.withColumn("qualifier", join_list("qualifier", " - ")).select(*_names(WATER))
 
 
@@ -272,7 +271,7 @@ def q_alerts_by_zone(spark, sf_dir):
     geo = bind.towns(spark, sf_dir).select(F.col("designated_area"), F.col("latitude").alias("g_lat"),
                                            F.col("longitude").alias("g_lon"))
     u = u.join(geo, u.area_desc == geo.designated_area, "left").drop("designated_area")
-    u = u.join(bounded_broadcast(ref), "zone_id", "left")
+    u = u.join(ref, "zone_id", "left")
     return u.select(*_names(ABZ)[:8], F.coalesce("g_lat", "zone_lat").alias("latitude"),
                     F.coalesce("g_lon", "zone_lon").alias("longitude"))
 

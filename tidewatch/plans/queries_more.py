@@ -36,17 +36,20 @@ def q_zone_alert(spark, sf_dir):
 
 
 @register("zone_phase", sql(out_sql("zone_id, phase", f"""(
-    SELECT zone_id, CASE WHEN bool_or(act AND strpos(lower(event), 'warning') > 0) THEN 'DURING'
-                         WHEN bool_or(act AND strpos(lower(event), 'watch') > 0) THEN 'PRE'
-                         WHEN bool_or(ends <= {_ASOF_O} AND ends > {_ASOF_O} - INTERVAL 24 HOUR) THEN 'POST'
-                         ELSE 'PRE' END AS phase
-    FROM (SELECT a.*, z.zone_id, (a.onset <= {_ASOF_O} AND a.ends > {_ASOF_O}) AS act
-          FROM alerts a JOIN alert_zones z ON a.alert_key = z.alert_key)
-    GROUP BY zone_id)"""), "alerts", "alert_zones"))
+    SELECT 'PRZ' || lpad(CAST(k AS VARCHAR), 3, '0') AS zone_id,
+      CASE WHEN bool_or(ends > {_ASOF_O} AND event IN ('Flood Warning', 'Flash Flood Warning')) THEN 'DURING'
+           WHEN bool_or(ends > {_ASOF_O} AND event = 'Flood Watch') THEN 'PRE'
+           WHEN bool_or(ends <= {_ASOF_O}) THEN 'POST' ELSE 'PRE' END AS phase
+    FROM range(1, 14) t(k) LEFT JOIN (
+      SELECT z.zone_id, a.event, a.ends FROM alerts a JOIN alert_zones z ON a.alert_key = z.alert_key
+      WHERE a.event IN ('Flood Watch', 'Flood Warning', 'Flash Flood Warning')
+        AND a.onset <= {_ASOF_O} AND a.ends > {_ASOF_O} - INTERVAL 24 HOUR) x
+      ON x.zone_id = 'PRZ' || lpad(CAST(k AS VARCHAR), 3, '0')
+    GROUP BY k)"""), "alerts", "alert_zones"))
 def q_zone_phase(spark, sf_dir):
-    """SP-12: warning active -> DURING, watch active -> PRE, ended within 24 h -> POST."""
+    """SP-12: named warning active -> DURING, watch active -> PRE, ended within 24 h -> POST."""
     as_of = bind.read_table(spark, sf_dir, "orders").select(F.max("o_orderdate")).scalar()
-    return al.phase_from_alerts(bind.alerts(spark, sf_dir), bind.alert_zones(spark, sf_dir), as_of)
+    return al.phase_from_alerts(bind.alerts(spark, sf_dir), bind.alert_zones(spark, sf_dir), al.fallback_zones(spark), as_of)
 
 
 @register("forced_bands", sql(out_sql("area_id:l, priority_band, major_exceeded, forced_band", """(
@@ -252,26 +255,21 @@ def q_routes(spark, sf_dir):
     WITH cat AS (SELECT DISTINCT station_id FROM tidal_series),
     req AS (SELECT DISTINCT s_suppkey AS station_id FROM supplier),
     exc AS (SELECT DISTINCT CAST(n_nationkey AS BIGINT) AS station_id FROM nation WHERE n_regionkey = 0),
-    hit AS (SELECT station_id FROM cat WHERE station_id IN (SELECT station_id FROM req)
-            AND station_id NOT IN (SELECT station_id FROM exc))
-    SELECT station_id, 'requested' AS selection_mode FROM hit
-    UNION ALL
-    SELECT station_id, 'catalog' FROM cat
-    WHERE NOT EXISTS (SELECT 1 FROM hit) AND station_id NOT IN (SELECT station_id FROM exc))"""), "tidal_series"))
+    hit AS (SELECT station_id FROM cat WHERE station_id IN (SELECT station_id FROM req)),
+    sel AS (SELECT station_id, 'requested' AS selection_mode FROM hit
+            UNION ALL SELECT station_id, 'catalog' FROM cat WHERE NOT EXISTS (SELECT 1 FROM hit))
+    SELECT * FROM sel WHERE station_id NOT IN (SELECT station_id FROM exc))"""), "tidal_series"))
 def q_selection(spark, sf_dir):
-    """J-14 + J-15: requested ids (suppliers) within the catalogue minus excluded
-    ids (region-0 nations); the whole catalogue when nothing requested matches."""
+    """J-14 + J-15: requested ids (suppliers) within the catalogue, or the whole
+    catalogue when none of them is in it; excluded ids (region-0 nations) go
+    afterwards, so excluding every requested station leaves nothing."""
+    from tidewatch.operators.catalog import station_selection
     from tidewatch.plans.stations import tidal_series
     cat = tidal_series(spark, sf_dir).select("station_id").distinct()
     req = bind.read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("station_id")).distinct()
     exc = (bind.read_table(spark, sf_dir, "nation").filter(F.col("n_regionkey") == 0)
            .select(F.col("n_nationkey").cast("long").alias("station_id")).distinct())
-    keep = cat.join(exc, "station_id", "left_anti")
-    hit = keep.join(req, "station_id", "left_semi")
-    any_hit = hit.select(F.count(F.lit(1)) > 0).scalar()
-    fallback = keep.filter(~any_hit)
-    return (hit.withColumn("selection_mode", F.lit("requested"))
-            .unionByName(fallback.withColumn("selection_mode", F.lit("catalog"))))
+    return station_selection(cat, req, exc)
 
 
 @register("invalid_requested", sql(out_sql("station_id:l", """(

@@ -13,7 +13,7 @@ from tidewatch.sources import bind
 
 EXTRA = {
     "outcomes": ([], """
-        SELECT CAST(doc_id % 25 AS BIGINT) AS area_id, CAST(sum(toxic) AS BIGINT) AS impact_count,
+        SELECT CAST(doc_id % (SELECT count(*) FROM nation) AS BIGINT) AS area_id, CAST(sum(toxic) AS BIGINT) AS impact_count,
                CAST(max(toxic) AS BIGINT) AS impact_observed
         FROM labels GROUP BY 1"""),
     "scored_outcomes": (["scored", "outcomes"], """
@@ -402,44 +402,48 @@ def q_baseline_pct(spark, sf_dir):
 
 
 @register("baseline_percentiles_exact", sql(out_sql("station_id:l, baseline_p05:d, baseline_p95:d, n_values:l", f"""(
-    SELECT station_id, quantile_cont(u, {C.ROBUST_LO_Q}) * 0.001 AS baseline_p05,
-      quantile_cont(u, {C.ROBUST_HI_Q}) * 0.001 AS baseline_p95, count(u) AS n_values
-    FROM (SELECT station_id, CAST(round(water_level / 0.001) AS BIGINT) AS u FROM tidal_series
+    SELECT station_id, quantile_cont(u, {C.ROBUST_LO_Q}) AS baseline_p05,
+      quantile_cont(u, {C.ROBUST_HI_Q}) AS baseline_p95, count(u) AS n_values
+    FROM (SELECT station_id, water_level AS u FROM tidal_series
           WHERE time_utc >= (SELECT as_of FROM as_of) - INTERVAL {C.SPEC_BASELINE_WINDOW_DAYS} DAY
             AND time_utc <= (SELECT as_of FROM as_of))
     GROUP BY station_id HAVING count(u) > 0)"""), "tidal_series", "as_of"))
 def q_baseline_pct_exact(spark, sf_dir):
-    """SP-14 exact at the gauge resolution (0.001 ft), skew-safe."""
+    """SP-14 exact, skew-safe."""
     from tidewatch.operators.quality import baseline_percentiles_exact
     return baseline_percentiles_exact(_series(spark, sf_dir), bind.series_as_of(spark, sf_dir))
 
 
-QUALITY = ("station_id:l, latest_time_utc, n_obs:l, n_recent:l, n_recent_missing:l, n_out_of_range:l, "
-           "n_flagged:l, freshness_hours:d, missing_rate:d, out_of_range_rate:d, flagged_rate:d, quality_score:d")
+QUALITY = ("station_id:l, latest_time_utc, n_obs:l, n_recent:l, n_recent_missing:l, n_out_of_range:l, n_flagged:l, "
+           "freshness_hours:d, missing_rate:d, out_of_range_rate:d, flagged_rate:d, freshness_factor:d, completeness_factor:d, "
+           "validity_factor:d, crosscheck_factor:d, quality_score:d")
 
 
 @register("observation_quality", sql(out_sql(QUALITY, f"""(
-    SELECT *, (CASE WHEN freshness_hours IS NOT NULL THEN least(greatest(100.0::DOUBLE - freshness_hours / 168.0::DOUBLE
-                  * 100.0::DOUBLE, 0.0::DOUBLE), 100.0::DOUBLE) END
-               + (100.0::DOUBLE - coalesce(missing_rate, 1.0::DOUBLE) * 100.0::DOUBLE)
-               + (1.0::DOUBLE - out_of_range_rate) * 100.0::DOUBLE + (1.0::DOUBLE - flagged_rate) * 100.0::DOUBLE)
-               / 4.0::DOUBLE AS quality_score
-    FROM (SELECT *, {_H.format(a='(SELECT as_of FROM as_of)', b='latest_time_utc')} AS freshness_hours,
-            n_recent_missing::DOUBLE / nullif(n_recent, 0) AS missing_rate,
-            n_out_of_range::DOUBLE / n_obs AS out_of_range_rate, n_flagged::DOUBLE / n_obs AS flagged_rate
-          FROM (SELECT station_id, max(time_utc) AS latest_time_utc, count(*) AS n_obs,
-                  count(*) FILTER (WHERE time_utc >= (SELECT as_of FROM as_of) - INTERVAL 24 HOUR) AS n_recent,
-                  count(*) FILTER (WHERE time_utc >= (SELECT as_of FROM as_of) - INTERVAL 24 HOUR
-                                   AND water_level IS NULL) AS n_recent_missing,
-                  count(*) FILTER (WHERE water_level IS NOT NULL AND (water_level < 0 OR water_level > 45))
-                    AS n_out_of_range,
-                  count(*) FILTER (WHERE coalesce(TRY_CAST(trim(split_part(flags, ',', 1)) AS INTEGER), 0) <> 0)
-                    AS n_flagged
-                FROM tidal_series GROUP BY station_id)))"""), "tidal_series", "as_of"))
+    WITH g AS (SELECT station_id, max(time_utc) AS latest_time_utc, arg_max(struct_pack(v := water_level), (time_utc, obs_id)).v AS level,
+          count(*) AS n_obs, count(*) FILTER (WHERE time_utc >= (SELECT as_of FROM as_of) - INTERVAL 24 HOUR) AS n_recent,
+          count(*) FILTER (WHERE time_utc >= (SELECT as_of FROM as_of) - INTERVAL 24 HOUR AND water_level IS NULL) AS n_recent_missing,
+          count(*) FILTER (WHERE water_level IS NOT NULL AND (water_level < 0 OR water_level > 45)) AS n_out_of_range,
+          count(*) FILTER (WHERE coalesce(TRY_CAST(trim(split_part(flags, ',', 1)) AS INTEGER), 0) <> 0) AS n_flagged
+        FROM tidal_series GROUP BY station_id),
+    r AS (SELECT *, {_H.format(a='(SELECT as_of FROM as_of)', b='latest_time_utc')} AS freshness_hours,
+        n_recent_missing::DOUBLE / nullif(n_recent, 0) AS missing_rate, n_out_of_range::DOUBLE / n_obs AS out_of_range_rate,
+        n_flagged::DOUBLE / n_obs AS flagged_rate,
+        avg(level) OVER (PARTITION BY floor(({_O._meta('station_id')['lat']}) / 0.25::DOUBLE), floor(({_O._meta('station_id')['lon']}) / 0.25::DOUBLE)) AS near
+      FROM g),
+    f AS (SELECT *, least(greatest(1.0::DOUBLE - freshness_hours / 168.0::DOUBLE, 0.0::DOUBLE), 1.0::DOUBLE) AS freshness_factor,
+        1.0::DOUBLE - coalesce(missing_rate, 1.0::DOUBLE) AS completeness_factor,
+        (1.0::DOUBLE - out_of_range_rate) * (1.0::DOUBLE - flagged_rate) AS validity_factor,
+        CASE WHEN level IS NULL OR near IS NULL THEN 1.0::DOUBLE
+             ELSE least(greatest(1.0::DOUBLE - abs(level - near) / 45.0::DOUBLE, 0.0::DOUBLE), 1.0::DOUBLE) END AS crosscheck_factor
+      FROM r)
+    SELECT *, 100.0::DOUBLE * (0.35::DOUBLE * freshness_factor + 0.25::DOUBLE * completeness_factor + 0.25::DOUBLE * validity_factor
+      + 0.15::DOUBLE * crosscheck_factor) AS quality_score FROM f)"""), "tidal_series", "as_of"))
 def q_quality(spark, sf_dir):
-    """SP-16: freshness, recent missingness, plausibility range, flags."""
+    """SP-16: freshness, completeness, validity and cross-check factors with the spec's weights."""
     from tidewatch.operators.quality import observation_quality
-    return observation_quality(_series(spark, sf_dir), bind.series_as_of(spark, sf_dir))
+    d = observation_quality(_series(spark, sf_dir), bind.series_as_of(spark, sf_dir), _meta_fn)
+    return d.select(*[c.split(":")[0].strip() for c in QUALITY.split(",")])
 
 
 _O.EXTRA_CTES["series_prev"] = (["tidal_series"], """

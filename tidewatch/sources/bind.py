@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import normalize_text
+from tidewatch.functions.text import normalize_text, zero_pad_code
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -39,6 +39,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def table_rows(spark: SparkSession, sf_dir: str, name: str) -> Column:
+    """Number of rows of a table (a scalar subquery)."""
+    return read_table(spark, sf_dir, name).select(F.count(F.lit(1))).scalar()
+
+
 def _lit(x: float) -> Column:
     return F.lit(float(x))
 
@@ -63,7 +68,7 @@ def station_meta_columns(station_id: Column) -> dict[str, Column]:
                  .when(sid % 19 == 0, base_minor).otherwise(_lit(4.0) + (sid % 5) * _lit(0.5)))
     return {
         "station_name": F.concat(F.lit("Station "), sid.cast("string")),
-        "shefcode": F.concat(F.lit("PR"), F.lpad(sid.cast("string"), 4, "0")),
+        "shefcode": F.concat(F.lit("PR"), zero_pad_code(sid, 4)),
         "lat": _lit(17.9) + ((sid * 7) % 60) / _lit(100.0),
         "lon": _lit(-67.3) + ((sid * 13) % 210) / _lit(100.0),
         "nos_minor": nos_minor,
@@ -116,7 +121,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when(F.col("o_orderpriority") == "2-HIGH", "Moderate")
                 .when(F.col("o_orderpriority") == "3-MEDIUM", "Minor")
                 .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Unknown"))
-    area_desc = F.concat(F.lit("Supplier#"), F.lpad((F.col("o_custkey") % 100).cast("string"), 9, "0"))
+    area_desc = F.concat(F.lit("Supplier#"), zero_pad_code(F.col("o_custkey") % table_rows(spark, sf_dir, "supplier"), 9))
     return o.select(
         F.concat(F.lit("urn:alert:"), key.cast("string")).alias("id"),
         key.alias("alert_key"),
@@ -252,11 +257,11 @@ def area_key(col: Column) -> Column:
 # Observed outcomes per area (labels) -- the backtest "event library"
 # ---------------------------------------------------------------------------
 
-def area_outcomes(spark: SparkSession, sf_dir: str, n_areas: int = 25) -> DataFrame:
+def area_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observed impact per area: labels folded onto areas by doc_id modulo the
     area count (impact_count = toxic labels, impact_observed = any)."""
     lab = read_table(spark, sf_dir, "labels")
-    return lab.groupBy((F.col("doc_id") % n_areas).cast("long").alias("area_id")).agg(
+    return lab.groupBy((F.col("doc_id") % table_rows(spark, sf_dir, "nation")).cast("long").alias("area_id")).agg(
         F.sum("toxic").cast("long").alias("impact_count"),
         F.max("toxic").cast("long").alias("impact_observed"),
     )

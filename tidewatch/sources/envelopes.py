@@ -196,6 +196,7 @@ def flatten_water(doc: DataFrame) -> DataFrame:
     q = F.col("f.properties.qualifier")
     from tidewatch.functions.arrays import list_or_scalar
     return f.select(
+        F.coalesce(F.schema_of_variant(q).startswith("ARRAY"), F.lit(False)).alias("qualifier_is_list"),
         "f.properties.timeseries_id", "f.properties.monitoring_location_id",
         F.col("f.properties.value").try_cast("double").alias("value"),
         "f.properties.approval_status", parse_ts("f.properties.last_modified").alias("last_modified"),
