@@ -62,6 +62,49 @@ def alerts_enriched(alerts: DataFrame, zones: DataFrame) -> DataFrame:
             .drop("_ugc")
 
 
+#: FIXED VALUES: text that makes an alert relevant, and the texts of a zone without alerts.
+RELEVANT_PATTERN = r"puerto\s+rico|PRZ\d{3}|AMZ\d{3}|\bPR\b"
+RELEVANT_COLUMNS = ["area_desc", "headline", "description"]
+RELEVANT_SENDER = "NWS San Juan PR"
+NO_ALERT_EVENT = "No Active Alerts"
+NOT_AVAILABLE = "N/A"
+NO_ALERT_STATUS = "None"
+
+
+def alerts_by_zone(alerts: DataFrame, zones: DataFrame, zone_ref: DataFrame, places: DataFrame, checked_at: Column) -> DataFrame:
+    """D-28: one row per relevant alert and zone, and one placeholder per zone without any.
+
+    ``alerts``: id, alert_key, sender_name and the alert's texts; ``zones``:
+    (alert_key, zone_id); ``zone_ref``: zone_id, zone_name, zone_lat, zone_lon;
+    ``places``: designated_area, latitude, longitude.  An alert without zones
+    has its area text as zone (F-11, A-13, J-16, U-03, T-13).  The area of a
+    row is the zone's name, else the zone (J-03, J-04); places are found by
+    that name, and a row without a latitude takes the zone's centroid (J-05).
+    Only zones of relevant alerts are de-duplicated.
+    """
+    texts = ["event", "headline", "description", "severity", "urgency", "certainty", "status"]
+    a = alerts.select("id", "alert_key", "sender_name", "area_desc", "sent", F.col("ends").alias("expires"), *texts)
+    a = dedupe_last_seen(relevance_filter(a, "sender_name", RELEVANT_SENDER, RELEVANT_COLUMNS, RELEVANT_PATTERN), "id", "sent")
+    of_alert = a.select("alert_key").join(zones, "alert_key").distinct()
+    rows = a.join(of_alert, "alert_key", "left").withColumn("zone_id", F.coalesce("zone_id", "area_desc"))
+    rows = rows.select("id", "zone_id", "sent", "expires", *texts)
+    empty = zone_ref.join(rows.select("zone_id").distinct(), "zone_id", "left_anti")
+    iso = F.date_format(checked_at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    fixed = {"event": F.lit(NO_ALERT_EVENT), "headline": F.concat(F.lit(f"{NO_ALERT_EVENT} for "), F.col("zone_name")),
+             "status": F.lit(NO_ALERT_STATUS)}
+    empty = empty.select(
+        F.concat(F.lit("placeholder_"), F.col("zone_id"), F.lit("_"), iso).alias("id"), "zone_id",
+        checked_at.cast(rows.schema["sent"].dataType).alias("sent"), F.lit(None).cast(rows.schema["expires"].dataType).alias("expires"),
+        *[fixed.get(t, F.lit(NOT_AVAILABLE)).alias(t) for t in texts])
+    u = rows.unionByName(empty).join(zone_ref, "zone_id", "left").withColumn("area_desc", F.coalesce("zone_name", "zone_id"))
+    p = places.groupBy("designated_area").agg(F.min_by(F.struct("latitude", "longitude"), "municipio").alias("_p"))
+    u = u.join(p, u["area_desc"] == p["designated_area"], "left")
+    known = F.col("_p.latitude").isNotNull()
+    return u.withColumns({"latitude": F.when(known, F.col("_p.latitude")).otherwise(F.col("zone_lat")),
+                          "longitude": F.when(known, F.col("_p.longitude")).otherwise(F.coalesce("zone_lon", "_p.longitude"))}).drop(
+        "designated_area", "_p", "zone_lat", "zone_lon", "zone_name")
+
+
 def fallback_zones(spark: SparkSession) -> DataFrame:
     """S-05 fallback: PRZ001 .. PRZ013."""
     return spark.range(1, C.ZONE_FALLBACK_COUNT + 1).select(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch import config as C
+from tidewatch.functions.text import zero_pad_code
 from tidewatch.operators import alerts as al
 from tidewatch.plans import oracle as _O
 from tidewatch.plans.oracle import sql
@@ -209,70 +210,68 @@ def q_daily_water(spark, sf_dir):
 
 # ---------------- D-28 alerts by zone -----------------
 
-def _zone_centroids(spark):
-    """Zone reference with polygon rings (R-01 centroid): a square per zone."""
-    z = al.fallback_zones(spark).withColumn("n", F.substring("zone_id", 4, 3).cast("int"))
-    lat0, lon0 = F.lit(18.0) + F.col("n") / 100.0, F.lit(-66.0) - F.col("n") / 100.0
-    ring = F.array(F.array(lon0, lat0), F.array(lon0 + 0.1, lat0), F.array(lon0 + 0.1, lat0 + 0.1),
-                   F.array(lon0, lat0 + 0.1), F.array(lon0, lat0))
+def _zone_docs(spark, sf_dir):
+    """Zone reference as FeatureCollections, one per nation: names of towns or of no place, a name
+    missing (key % 11 = 5), Polygon, MultiPolygon (odd keys) and no geometry (key % 7 = 3)."""
+    n = bind.read_table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    x, y = F.lit(-66.0) - k / 100.0, F.lit(18.0) + k / 100.0
+    point = lambda dx, dy: F.array(x + dx, y + dy)
+    ring = F.array(point(0.0, 0.0), point(0.1, 0.0), point(0.1, 0.1), point(0.0, 0.1), point(0.0, 0.0))
+    hole = F.array(point(0.04, 0.04), point(0.06, 0.04), point(0.04, 0.04))
+    polygon = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring, hole).alias("coordinates")))
+    multi = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(ring, hole), F.array(hole)).alias("coordinates")))
+    geometry = F.when(k % 7 == 3, F.lit("null")).when(k % 2 == 1, multi).otherwise(polygon)
+    name = (F.when(k % 11 == 5, F.lit(None).cast("string")).when(k % 4 == 0, F.concat(F.lit("Zone "), F.col("n_name")))
+            .otherwise(F.concat(F.lit("Supplier#"), zero_pad_code(k, 9))))
+    props = F.to_json(F.struct(F.concat(F.lit("PRZ"), zero_pad_code(k + 1, 3)).alias("id"), name.alias("name"), F.lit("PR").alias("state")))
+    return n.select(F.concat(F.lit('{"features":[{"properties":'), props, F.lit(',"geometry":'), geometry, F.lit("}]}")).alias("payload"))
+
+
+def _zone_reference(spark, sf_dir):
     from tidewatch.functions.geo import ring_centroid
-    return z.select("zone_id", ring_centroid(F.array(ring)).alias("c")).select(
-        "zone_id", F.col("c.lat").alias("zone_lat"), F.col("c.lon").alias("zone_lon"))
+    z = env.flatten_zones(env._parse(_zone_docs(spark, sf_dir), "payload", env.ZONES_SCHEMA))
+    return z.withColumn("_c", ring_centroid("rings")).select("zone_id", "zone_name", F.col("_c.lat").alias("zone_lat"),
+                                                               F.col("_c.lon").alias("zone_lon"))
 
 
-_O.EXTRA_CTES["zcent"] = ([], """
-    SELECT 'PRZ' || lpad(CAST(n AS VARCHAR), 3, '0') AS zone_id,
-      ((((la + la) + (la + 0.1::DOUBLE)) + (la + 0.1::DOUBLE)) + la) / 5 AS zlat,
-      ((((lo + (lo + 0.1::DOUBLE)) + (lo + 0.1::DOUBLE)) + lo) + lo) / 5 AS zlon
-    FROM (SELECT n, 18.0::DOUBLE + n / 100.0::DOUBLE AS la, -66.0::DOUBLE - n / 100.0::DOUBLE AS lo
-          FROM range(1, 14) t(n))""")
+_O.EXTRA_CTES["zone_ref"] = ([], """
+    SELECT 'PRZ' || lpad(CAST(k + 1 AS VARCHAR), 3, '0') AS zone_id,
+      CASE WHEN k % 4 = 0 THEN 'Zone ' || n_name ELSE 'Supplier#' || lpad(CAST(k AS VARCHAR), 9, '0') END AS zone_name,
+      CASE WHEN k % 7 <> 3 THEN ((((la + la) + (la + 0.1::DOUBLE)) + (la + 0.1::DOUBLE)) + la) / 5 END AS zlat,
+      CASE WHEN k % 7 <> 3 THEN ((((lo + (lo + 0.1::DOUBLE)) + (lo + 0.1::DOUBLE)) + lo) + lo) / 5 END AS zlon
+    FROM (SELECT n_nationkey AS k, n_name, 18.0::DOUBLE + n_nationkey / 100.0::DOUBLE AS la, -66.0::DOUBLE - n_nationkey / 100.0::DOUBLE AS lo
+          FROM nation WHERE n_nationkey % 11 <> 5)""")
 
 
-ABZ = "id, zone_id, event, severity, headline, sent, alert_score:l, area_desc, latitude:d, longitude:d"
+ABZ = "id, zone_id, event, headline, description, severity, urgency, certainty, status, sent, expires, area_desc, latitude:d, longitude:d"
+_DESCRIPTION = "CASE WHEN alert_key % 17 = 0 THEN 'Heavy rain over PRZ004' WHEN alert_key % 17 = 1 THEN 'Coastal waters' END"
 
 
-@register("alerts_by_zone", sql(out_sql(ABZ, """(
-    WITH rel AS (SELECT * FROM active_alerts
-                 WHERE sender_name = 'NWS San Juan PR' OR regexp_matches(headline, '(?i)\\bpr\\b|puerto rico')
-                    OR regexp_matches(area_desc, '(?i)\\bpr\\b|puerto rico')),
-    rows AS (SELECT DISTINCT r.id, z.zone_id, r.event, r.severity, r.headline, r.sent, r.alert_score, r.area_desc
+@register("alerts_by_zone", sql(out_sql(ABZ, f"""(
+    WITH a AS (SELECT *, {_DESCRIPTION} AS description FROM active_alerts),
+    rel AS (SELECT * FROM a WHERE sender_name = 'NWS San Juan PR'
+              OR regexp_matches(concat_ws(chr(10), headline, area_desc, description), '(?i)puerto\\s+rico|PRZ\\d{{3}}|AMZ\\d{{3}}|\\bPR\\b')),
+    rows AS (SELECT DISTINCT r.id, coalesce(z.zone_id, r.area_desc) AS zone_id, r.event, r.headline, r.description, r.severity, r.urgency,
+               r.certainty, r.status, r.sent, r.ends AS expires
              FROM rel r LEFT JOIN alert_zones z ON r.alert_key = z.alert_key),
-    zc AS (SELECT zone_id FROM zcent),
-    ph AS (SELECT 'placeholder-' || zone_id AS id, zone_id, 'No active alert' AS event, NULL AS severity,
-                  'No active alert for ' || zone_id AS headline, NULL::TIMESTAMP AS sent, 0 AS alert_score,
-                  NULL AS area_desc
-           FROM zc WHERE zone_id NOT IN (SELECT zone_id FROM rows WHERE zone_id IS NOT NULL))
-    SELECT a.*, coalesce(t.latitude, zlat) AS latitude, coalesce(t.longitude, zlon) AS longitude
-    FROM (SELECT u.*, zc2.zlat, zc2.zlon FROM (SELECT * FROM rows UNION ALL SELECT * FROM ph) u
-          LEFT JOIN zcent zc2 ON u.zone_id = zc2.zone_id) a
-    LEFT JOIN (SELECT designated_area, latitude, longitude FROM towns) t ON a.area_desc = t.designated_area)"""),
-    "active_alerts", "alert_zones", "towns", "zcent"))
+    checked AS (SELECT max(o_orderdate) AS t FROM orders),
+    ph AS (SELECT 'placeholder_' || zone_id || '_' || strftime((SELECT t FROM checked), '%Y-%m-%dT%H:%M:%S+00:00') AS id, zone_id,
+             'No Active Alerts' AS event, 'No Active Alerts for ' || zone_name AS headline, 'N/A' AS description, 'N/A' AS severity,
+             'N/A' AS urgency, 'N/A' AS certainty, 'None' AS status, (SELECT t FROM checked) AS sent, NULL::TIMESTAMP AS expires
+           FROM zone_ref WHERE zone_id NOT IN (SELECT zone_id FROM rows)),
+    u AS (SELECT x.*, coalesce(zone_name, x.zone_id) AS area_desc, zlat, zlon
+          FROM (SELECT * FROM rows UNION ALL SELECT * FROM ph) x LEFT JOIN zone_ref z ON x.zone_id = z.zone_id)
+    SELECT u.*, CASE WHEN t.latitude IS NOT NULL THEN t.latitude ELSE zlat END AS latitude,
+      CASE WHEN t.latitude IS NOT NULL THEN t.longitude ELSE coalesce(zlon, t.longitude) END AS longitude
+    FROM u LEFT JOIN towns t ON u.area_desc = t.designated_area)"""), "active_alerts", "alert_zones", "towns", "zone_ref"))
 def q_alerts_by_zone(spark, sf_dir):
-    """D-28: relevance filter (F-11), dedupe (A-13), explode to zones (R-02),
-    placeholders for zones without alerts (J-16, U-03), geocoding by area
-    text (J-03) with zone-centroid fill (J-05, R-01)."""
-    act = al.alert_score(bind.active_alerts(spark, sf_dir))
-    rel = al.relevance_filter(act, "sender_name", "NWS San Juan PR", ["headline", "area_desc"],
-                              r"\bpr\b|puerto rico")
-    rel = al.dedupe_last_seen(rel.drop("alert_score"), "id", "sent")
-    zones = bind.alert_zones(spark, sf_dir).distinct()
-    rows = rel.join(zones, "alert_key", "left")
-    rows = al.alert_score(rows).select("id", "zone_id", "event", "severity", "headline", "sent", "alert_score",
-                                       "area_desc")
-    ref = _zone_centroids(spark)
-    covered = rows.select("zone_id").where(F.col("zone_id").isNotNull())
-    ph = ref.select("zone_id").join(covered, "zone_id", "left_anti").select(
-        F.format_string("placeholder-%s", "zone_id").alias("id"), "zone_id",
-        F.lit("No active alert").alias("event"), F.lit(None).cast("string").alias("severity"),
-        F.format_string("No active alert for %s", "zone_id").alias("headline"),
-        F.lit(None).cast(rows.schema["sent"].dataType).alias("sent"), F.lit(0).alias("alert_score"),
-        F.lit(None).cast("string").alias("area_desc"))
-    u = rows.unionByName(ph)
-    geo = bind.towns(spark, sf_dir).select(F.col("designated_area"), F.col("latitude").alias("g_lat"),
-                                           F.col("longitude").alias("g_lon"))
-    u = u.join(geo, u.area_desc == geo.designated_area, "left").drop("designated_area")
-    u = u.join(ref, "zone_id", "left")
-    return u.select(*_names(ABZ)[:8], F.coalesce("g_lat", "zone_lat").alias("latitude"),
-                    F.coalesce("g_lon", "zone_lon").alias("longitude"))
-
-
+    """D-28: relevance filter (F-11), last seen per id (A-13), zones (R-02) or area text,
+    placeholders (J-16, U-03, T-13), zone names (J-04), places by name (J-03) and
+    centroids of the reference's rings (S-05, R-01, J-05)."""
+    k = F.col("alert_key")
+    act = bind.active_alerts(spark, sf_dir).withColumn(
+        "description", F.when(k % 17 == 0, "Heavy rain over PRZ004").when(k % 17 == 1, "Coastal waters"))
+    at = bind.read_table(spark, sf_dir, "orders").select(F.max("o_orderdate")).scalar()
+    out = al.alerts_by_zone(act, bind.alert_zones(spark, sf_dir), _zone_reference(spark, sf_dir), bind.towns(spark, sf_dir), at)
+    return out.select(*_names(ABZ))

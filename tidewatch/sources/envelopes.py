@@ -149,10 +149,16 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flatten_zones(doc: DataFrame) -> DataFrame:
+    """S-05: zone reference rows with the first ring of a Polygon, or of a MultiPolygon's first part;
+    features without id or name are left out, missing or other geometry has no ring."""
     f = doc.select(F.explode("features").alias("f"))
-    return f.select(F.col("f.properties.id").alias("zone_id"), F.col("f.properties.name").alias("zone_name"),
-                    F.col("f.properties.state").alias("state"), F.col("f.geometry.type").alias("geometry_type"),
-                    F.col("f.geometry.coordinates").alias("coordinates_json"))
+    kind, coords = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    polygon = F.from_json(coords, "array<array<array<double>>>")
+    parts = F.get(F.from_json(coords, "array<array<array<array<double>>>>"), F.lit(0))
+    z = f.select(F.col("f.properties.id").alias("zone_id"), F.col("f.properties.name").alias("zone_name"),
+                 F.col("f.properties.state").alias("state"), kind.alias("geometry_type"),
+                 F.when(kind == "MultiPolygon", parts).when(kind == "Polygon", polygon).alias("rings"))
+    return z.filter((F.col("zone_id") != "") & (F.col("zone_name") != ""))
 
 
 def flatten_forecast(doc: DataFrame) -> DataFrame:
