@@ -53,3 +53,24 @@ def test_publish_full_refresh_replaces_the_table(spark, tmp_path):
     assert W.publish_full_refresh(spark.range(10), path) == 10
     assert W.publish_full_refresh(spark.range(3), path) == 3
     assert spark.read.parquet(path).count() == 3
+
+
+def test_geojson_has_no_nan(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1, 18.0, -66.0, nan), (2, 18.0, -66.0, inf), (3, nan, -66.0, 1.0), (4, 18.0, -66.0, 2.5)],
+                               "id long, latitude double, longitude double, score double")
+    got = {f["properties"]["id"]: f["properties"]["score"] for f in (json.loads(r.feature) for r in W.geojson_features(df).collect())}
+    assert got == {1: None, 2: None, 4: 2.5}
+
+
+def test_publish_keeps_the_old_table_when_the_load_fails(spark, tmp_path):
+    import os
+
+    import pytest
+    path = str(tmp_path / "pub")
+    W.publish_full_refresh(spark.range(7), path)
+    with pytest.raises(Exception):
+        W.publish_full_refresh(spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), path)
+    assert spark.read.parquet(path).count() == 7
+    assert W.publish_full_refresh(spark.range(2), path) == 2
+    assert not [f for f in os.listdir(tmp_path) if ".old-" in f]

@@ -7,8 +7,6 @@ DataFrames are built from them with ``spec_frames``.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must match the reference's results)
@@ -39,7 +37,6 @@ MIN_DELTA_HOURS = 1e-6
 EARTH_RADIUS_KM = 6371.0
 LAMBDA_KM = 25.0          # exp(-d / lambda) decay scale (code; the spec says 15)
 OVERRIDE_KM = 12.0        # local max radius (code; the spec says "inside area")
-SPEC_LAMBDA_KM = 15.0
 
 # Earthquake intensity
 EQ_MIN_DIST_KM = 1e-3
@@ -126,8 +123,6 @@ SPEC_RECOVERY_WEIGHTS = {
     "utility_restoration_velocity": 0.45, "healthcare_access_restoration": 0.25,
     "school_reopening_pct": 0.20, "housing_habitability_proxy": 0.10,
 }
-SPEC_NWS_SCORES = {"Flood Watch": 40, "Flood Warning": 70, "Flash Flood Warning": 100}
-SPEC_FORCE_RED_EVENTS = ["Flash Flood Warning"]
 SPEC_PHASE_EVENTS = {"PRE": ["Flood Watch"], "DURING": ["Flood Warning", "Flash Flood Warning"]}
 SPEC_POST_ALERT_HOURS = 24.0
 SPEC_CONFIDENCE_WEIGHTS = {"freshness": 0.35, "completeness": 0.25, "validity": 0.25, "crosscheck": 0.15}
@@ -141,40 +136,13 @@ ZONE_FALLBACK_COUNT = 13
 
 # Default cadence and lookbacks
 LOOKBACK_HOURS = 72
-HYDROGRAPH_LOOKBACK_DAYS = 7
-EQ_LOOKBACK_DAYS = 30
-EQ_MIN_MAGNITUDE = 1.0
 
 # ---------------------------------------------------------------------------
 
 
-def phase_weights_frame(spark: SparkSession) -> DataFrame:
-    rows = [(p, w["risk"], w["rr"], w["rc"]) for p, w in PHASE_WEIGHTS.items()]
-    schema = "phase string, w_risk double, w_rr double, w_rc double"
-    return spark.createDataFrame(rows, schema)
-
-
-def bands_frame(spark: SparkSession) -> DataFrame:
-    """Band table (band, min, max) built from BANDS; max is exclusive."""
-    rows = []
-    upper = None
-    for name, lo in BANDS:
-        rows.append((name, lo, upper))
-        upper = lo
-    rows.append((BAND_ELSE, None, upper))
-    return spark.createDataFrame(rows, "band string, min double, max double")
-
-
-def weights_frame(spark: SparkSession, weights: dict[str, float], index: str,
-                  profile: str = "default") -> DataFrame:
-    rows = [(index, profile, k, float(v)) for k, v in weights.items()]
-    schema = T.StructType([
-        T.StructField("index", T.StringType()),
-        T.StructField("profile", T.StringType()),
-        T.StructField("component", T.StringType()),
-        T.StructField("w", T.DoubleType()),
-    ])
-    return spark.createDataFrame(rows, schema)
-
 # Own choice: side of the cells within which latest levels are compared.
 CROSSCHECK_CELL_DEGREES = 0.25
+
+# FIXED VALUES: datum and units of the water-level feed.
+DATUM = "MLLW"
+UNITS = "english"

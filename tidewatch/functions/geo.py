@@ -20,11 +20,6 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
 
 
-def decay_weight(dist_km, lambda_km: float) -> Column:
-    """M-04: exp(-d / lambda)."""
-    return F.exp(-_c(dist_km) / F.lit(float(lambda_km)))
-
-
 def depth_factor(depth_km) -> Column:
     """1 / (1 + depth / 70), missing depth -> 0 (code)."""
     return F.lit(1.0) / (F.lit(1.0) + F.coalesce(_c(depth_km), F.lit(0.0)) / F.lit(EQ_DEPTH_SCALE_KM))
@@ -52,11 +47,6 @@ def distance_attenuation(dist_km) -> Column:
     return F.log1p(F.greatest(_c(dist_km), F.lit(EQ_MIN_DIST_KM)))
 
 
-def quake_intensity(magnitude, dist_km, depth_km, age_hours, depth=depth_factor) -> Column:
-    """M-09: mag / log1p(max(d, 1e-3)) * depth factor * exp(-max(age, 0) / 168)."""
-    return quake_source_factor(magnitude, depth_km, age_hours, depth) / distance_attenuation(dist_km)
-
-
 def in_bbox(lat, lon, min_lat, max_lat, min_lon, max_lon) -> Column:
     """F-03: inclusive bounding box; missing coordinates -> false."""
     inside = _c(lat).between(min_lat, max_lat) & _c(lon).between(min_lon, max_lon)

@@ -50,11 +50,6 @@ def nan_mean(*cols) -> Column:
     return F.when(n > 0, total / n)
 
 
-def row_max(*cols) -> Column:
-    """M-06: row-wise maximum skipping nulls (null only when all are null)."""
-    return F.greatest(*[_c(c) for c in cols])
-
-
 def non_null_fraction(*cols) -> Column:
     """M-07: fraction of the listed columns that are present."""
     cs = [_c(c) for c in cols]
@@ -82,11 +77,6 @@ def round_half_even(x, digits: int = 1) -> Column:
     return F.bround(_c(x), digits)
 
 
-def round6(x) -> Column:
-    """Presentation rounding for float outputs (sums are order dependent)."""
-    return F.round(_c(x), 6)
-
-
 def bounds_predicate(bounds: dict[str, tuple[float | None, float | None]]) -> Column:
     """F-10: inclusive range predicate over several columns, each bound optional.
 

@@ -102,7 +102,3 @@ def municipio_centroids(town_risk_df: DataFrame) -> DataFrame:
     return (town_risk_df.select("municipio_key", "municipio", "designated_area", "latitude", "longitude")
             .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
             .select("municipio_key", "municipio", "latitude", "longitude"))
-
-
-def clip100(col) -> F.Column:
-    return clip(col, 0.0, 100.0)

@@ -108,16 +108,6 @@ def band(score: Column) -> Column:
     return out.otherwise(F.lit(C.BAND_ELSE))
 
 
-def band_by_table(df: DataFrame, score_col: str, bands: DataFrame, out: str = "priority_band") -> DataFrame:
-    """D-24 as a range join to a band table (band, min, max); the band table is a
-    fixed handful of rows, broadcast."""
-    s = F.col(score_col)
-    cond = ((F.col("_b.min").isNull() | (s >= F.col("_b.min")))
-            & (F.col("_b.max").isNull() | (s < F.col("_b.max"))))
-    j = df.join(F.broadcast(bands.alias("_b")), cond, "left")
-    return j.withColumn(out, F.coalesce(F.col("_b.band"), F.lit(C.BAND_ELSE))).drop("band", "min", "max")
-
-
 def with_area_composites(df: DataFrame, income_direction: str = "code") -> DataFrame:
     """D-12, D-13, D-14 from the robust component scores (P10).
 

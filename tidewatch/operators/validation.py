@@ -167,7 +167,3 @@ def dropout_stability(scored_inputs: DataFrame, as_of: Column, phase: str = C.DE
 def composite_check(weights: dict[str, float], tol: float = 1e-9) -> bool:
     """SP-06 guard: weights must sum to one."""
     return abs(sum(weights.values()) - 1.0) <= tol
-
-
-def weighted_index(pairs, fill=None) -> Column:
-    return weighted_sum(pairs, fill)

@@ -6,7 +6,9 @@ task or driver ever assembles a whole FeatureCollection.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +29,8 @@ def geojson_features(df: DataFrame, lat: str = "latitude", lon: str = "longitude
                      keep_nulls: bool = True, ts_format: str = "yyyy-MM-dd'T'HH:mm:ss'Z'") -> DataFrame:
     """K-02: one GeoJSON Feature (string column ``feature``) per row.
 
-    Rows without both coordinates are dropped; timestamps become ISO text;
+    Rows without both coordinates (null or not a number) are dropped;
+    timestamps become ISO text; NaN and infinite values become null;
     every other column goes to ``properties`` (missing -> null unless
     ``keep_nulls`` is False, which drops null attributes as the publish step does).
     """
@@ -38,11 +41,13 @@ def geojson_features(df: DataFrame, lat: str = "latitude", lon: str = "longitude
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, ts_format)
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):  # JSON has no NaN or infinity
+            c = F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
         props.append(c.alias(f.name))
     geom = F.struct(F.lit("Point").alias("type"), F.array(F.col(lon), F.col(lat)).alias("coordinates"))
     feat = F.struct(F.lit("Feature").alias("type"), geom.alias("geometry"), F.struct(*props).alias("properties"))
     opts = {"ignoreNullFields": "false" if keep_nulls else "true"}
-    return (df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    return (df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon))
               .select(F.to_json(feat, opts).alias("feature")))
 
 
@@ -64,15 +69,30 @@ def publish_projection(df: DataFrame, rename: dict[str, str] | None = None, nume
 
 
 def publish_full_refresh(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """K-03: truncate-and-load a published table, then verify the row count.
+    """K-03: truncate-and-load a published table; the old one stays if the load fails.
 
-    Returns the number of rows now published; raises when the table read
-    back does not hold the rows that were written.
+    The rows are written beside the target and counted while they are written
+    (the plan runs once); the copy is read back and counted, and only when both
+    agree does it take the target's place.  Returns the number of rows.
     """
     spark = df.sparkSession
-    df.write.mode("overwrite").format(fmt).save(path)
-    written = spark.read.format(fmt).load(path).count()
-    expected = df.count()
+    run = uuid.uuid4().hex[:12]
+    new, old = f"{path}.new-{run}", f"{path}.old-{run}"
+    seen = Observation(f"publish_{run}")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).save(new)
+    written, expected = spark.read.schema(df.schema).format(fmt).load(new).count(), seen.get["n"]
+    target, beside, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, old))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     if written != expected:
-        raise RuntimeError(f"published {written} rows, expected {expected}")
+        fs.delete(beside, True)
+        raise RuntimeError(f"published {written} rows, expected {expected}; {path} is unchanged")
+    had = fs.exists(target)
+    if had:
+        fs.rename(target, aside)
+    if not fs.rename(beside, target):
+        if had:
+            fs.rename(aside, target)
+        raise RuntimeError(f"could not replace {path}")
+    if had:
+        fs.delete(aside, True)
     return written
