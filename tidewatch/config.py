@@ -145,4 +145,4 @@ CROSSCHECK_CELL_DEGREES = 0.25
 
 # FIXED VALUES: datum and units of the water-level feed.
 DATUM = "MLLW"
-UNITS = "english"
+UNITS = "metric"

@@ -52,7 +52,7 @@ def _meta_docs(spark, sf_dir):
 @register("station_timeseries", sql(out_sql(SERIES, f"""(
     SELECT t.station_id, t.obs_id, m.station_name, t.time_utc, t.water_level, t.flags, t.quality, m.lat, m.lon,
       coalesce(CASE WHEN m.nos_minor <> 0 THEN m.nos_minor END, m.action) AS minor, m.nos_moderate AS moderate, m.nos_major AS major,
-      'MLLW' AS datum, 'english' AS units, strftime((SELECT as_of FROM as_of), '%Y-%m-%dT%H:%M:%S+00:00') AS run_utc
+      'MLLW' AS datum, 'metric' AS units, strftime((SELECT as_of FROM as_of), '%Y-%m-%dT%H:%M:%S+00:00') AS run_utc
     FROM tidal_series t JOIN (
       SELECT s_suppkey AS station_id, {_MS['station_name']} AS station_name, {_MS['lat']} AS lat, {_MS['lon']} AS lon,
         CASE WHEN s_suppkey % 9 <> 0 THEN {_MS['nos_minor']} END AS nos_minor, CASE WHEN s_suppkey % 9 <> 0 THEN {_MS['action']} END AS action,
