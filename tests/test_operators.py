@@ -47,7 +47,7 @@ def test_radius_join_equals_brute_force(spark):
     from tidewatch.functions.geo import haversine_km
     a = spark.createDataFrame(_points(spark, 300, 1), "aid long, latitude double, longitude double")
     b = spark.createDataFrame(_points(spark, 200, 2), "bid long, lat double, lon double")
-    grid = {(r.aid, r.bid) for r in spatial.radius_join(a, b, 12.0).select("aid", "bid").collect()}
+    grid = {(r.aid, r.bid) for r in spatial.radius_join(a, b, 12.0, 30.0).select("aid", "bid").collect()}
     brute = a.crossJoin(b).withColumn("d", haversine_km("latitude", "longitude", "lat", "lon"))
     exact = {(r.aid, r.bid) for r in brute.filter("d <= 12.0").select("aid", "bid").collect()}
     assert grid == exact and len(exact) > 0

@@ -3,9 +3,8 @@
 Everything in the FIXED VALUES block must equal the behaviour being
 reproduced (weights, thresholds, band cut points, action texts, sentinel
 codes).  They are stated once here and read by the operators; small lookup
-DataFrames are built from them with ``spec_frames``.
-"""
-from __future__ import annotations
+reproduced (weights, thresholds, band cut points, action texts, sentinel
+codes).  They are stated once here and read by the operators.
 
 
 # ---------------------------------------------------------------------------
@@ -146,3 +145,6 @@ CROSSCHECK_CELL_DEGREES = 0.25
 # FIXED VALUES: datum and units of the water-level feed.
 DATUM = "MLLW"
 UNITS = "metric"
+
+# Own choice: latitudes of the data's extent, for the cells of radius joins.
+EXTENT_MAX_ABS_LAT = 30.0

@@ -48,36 +48,33 @@ def _cell_sizes(r_km: float, max_abs_lat: float) -> tuple[float, float]:
     return dlat, min(dlon, 360.0)
 
 
-def _max_abs_lat(*sides: tuple[DataFrame, str]) -> float:
-    vals = []
-    for df, lat in sides:
-        vals.append(df.select(F.max(F.abs(F.col(lat)))).first()[0])
-    vals = [v for v in vals if v is not None]
-    return max(vals) if vals else 0.0
-
-
-def radius_join(left: DataFrame, right: DataFrame, r_km: float,
+def radius_join(left: DataFrame, right: DataFrame, r_km: float, max_abs_lat: float,
                 left_coords=("latitude", "longitude"), right_coords=("lat", "lon"),
-                dist_col: str = "dist_km", max_abs_lat: float | None = None) -> DataFrame:
+                dist_col: str = "dist_km") -> DataFrame:
     """J-13: all (left, right) pairs with haversine distance <= r_km (inclusive).
 
-    Rows with null coordinates never match.  Not covered: pairs across the
+    ``max_abs_lat`` bounds the latitudes of both sides (the extent of the
+    data); it fixes the cell width without a pass over the inputs, and a row
+    beyond it fails the job.  Rows with null coordinates never match.  Not covered: pairs across the
     antimeridian and cells touching a pole.
     """
     la, lo = left_coords
     ra, ro = right_coords
-    if max_abs_lat is None:
-        max_abs_lat = _max_abs_lat((left, la), (right, ra))
     dlat, dlon = _cell_sizes(r_km, max_abs_lat)
+
+    def row(lat: str) -> Column:
+        beyond = F.raise_error(F.lit(f"latitude beyond {max_abs_lat}")).cast("long")
+        return F.when(F.abs(F.col(lat)) <= max_abs_lat, F.floor(F.col(lat) / dlat).cast("long")).otherwise(beyond)
+
     lcell = left.filter(F.col(la).isNotNull() & F.col(lo).isNotNull()).withColumns({
-        "_cy": F.floor(F.col(la) / dlat).cast("long"),
+        "_cy": row(la),
         "_cx": F.floor(F.col(lo) / dlon).cast("long"),
     })
     offs = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     rcell = (right.filter(F.col(ra).isNotNull() & F.col(ro).isNotNull())
              .withColumn("_oy", F.explode(offs)).withColumn("_ox", F.explode(offs))
              .withColumns({
-                 "_cy": F.floor(F.col(ra) / dlat).cast("long") + F.col("_oy"),
+                 "_cy": row(ra) + F.col("_oy"),
                  "_cx": F.floor(F.col(ro) / dlon).cast("long") + F.col("_ox"),
              }).drop("_oy", "_ox"))
     j = lcell.join(rcell, ["_cy", "_cx"], "inner")

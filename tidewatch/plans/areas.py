@@ -97,14 +97,15 @@ def area_hazard(spark: SparkSession, sf_dir: str, lambda_km: float = C.LAMBDA_KM
 
 
 def scored_indices(spark: SparkSession, sf_dir: str, phase: str = C.DEFAULT_PHASE,
-                   materialize: bool = True, as_of: Column | None = None) -> DataFrame:
+                   materialize: bool = True, as_of: Column | None = None, features: DataFrame | None = None) -> DataFrame:
     """P30 (flagship): indices, confidence, adjustment toward the median, bands.
 
     Stage outputs (area features, station features, area hazard) are
     materialized to the checkpoint folder, so the scoring plan reads small
     area tables and an executor loss never replays the event scans.
+    ``features`` hands on area features that are already there.
     """
-    feats = area_features(spark, sf_dir, materialize=materialize)
+    feats = features if features is not None else area_features(spark, sf_dir, materialize=materialize)
     haz = area_hazard(spark, sf_dir, areas=feats, materialize=materialize)
     h = haz.select("area_id", "flood_hazard_weighted", "flood_hazard_local_max", "nws_global_alert_score",
                    "flood_hazard_muni", "earthquake_raw", "supporting_station_count", "nearby_station_count",

@@ -54,8 +54,8 @@ def q_zone_phase(spark, sf_dir):
 
 @register("forced_bands", sql(out_sql("area_id:l, priority_band, major_exceeded, forced_band", """(
     SELECT s.area_id, s.priority_band, coalesce(m.major_exceeded, false) AS major_exceeded,
-      CASE WHEN (SELECT count(*) FROM active_alerts WHERE strpos(lower(event), 'flash flood warning') > 0) > 0
-             THEN 'Red'
+      CASE WHEN s.municipio IN (SELECT t.municipio FROM active_alerts x JOIN towns t ON x.area_desc = t.designated_area
+                                WHERE strpos(lower(x.event), 'flash flood warning') > 0) THEN 'Red'
            WHEN coalesce(m.major_exceeded, false) AND s.priority_band IN ('Green', 'Yellow') THEN 'Orange'
            ELSE s.priority_band END AS forced_band
     FROM scored s LEFT JOIN (
@@ -64,24 +64,25 @@ def q_zone_phase(spark, sf_dir):
       WHERE 2 * 6371.0::DOUBLE * asin(sqrt(pow(sin(radians(f.lat - a.latitude) / 2), 2) + cos(radians(a.latitude))
             * cos(radians(f.lat)) * pow(sin(radians(f.lon - a.longitude) / 2), 2))) <= 12.0
       GROUP BY a.area_id) m ON s.area_id = m.area_id)"""), "scored", "active_alerts", "located_areas",
-    "station_features"))
+    "station_features", "towns"))
 def q_forced(spark, sf_dir):
-    """SP-15: an active Flash Flood Warning forces Red; a station within 12 km
-    above its major threshold forces at least Orange (radius join J-13)."""
-    s = A.scored_indices(spark, sf_dir)
+    """SP-15: an active Flash Flood Warning forces Red in the areas of the towns it
+    names; a station within 12 km above its major threshold forces at least
+    Orange (radius join J-13)."""
     from tidewatch.plans.stations import station_latest_features
+    feats = A.area_features(spark, sf_dir)
+    s = A.scored_indices(spark, sf_dir, features=feats).select("area_id", "municipio", "priority_band")
     st = station_latest_features(spark, sf_dir).select("lat", "lon", "exceed_ratio")
-    areas = A.area_features(spark, sf_dir).select("area_id", "latitude", "longitude")
-    pairs = sp.radius_join(areas, st, C.OVERRIDE_KM)
+    pairs = sp.radius_join(feats.select("area_id", "latitude", "longitude"), st, C.OVERRIDE_KM, C.EXTENT_MAX_ABS_LAT)
     m = pairs.groupBy("area_id").agg(F.max(F.coalesce(F.col("exceed_ratio") >= 1.0, F.lit(False)))
                                      .alias("major_exceeded"))
-    ffw = al.alert_score(bind.active_alerts(spark, sf_dir)).select(
-        F.max(F.lower("event").contains("flash flood warning")).alias("x")).scalar()
-    d = s.join(m, "area_id", "left").withColumn("major_exceeded", F.coalesce("major_exceeded", F.lit(False)))
-    d = d.withColumn("_ffw", F.coalesce(ffw, F.lit(False)))
-    forced = F.when(F.col("_ffw"), F.lit("Red")).otherwise(
-        al.forced_band(F.lit(None).cast("string"), F.col("major_exceeded"), F.col("priority_band")))
-    return d.select("area_id", "priority_band", "major_exceeded", forced.alias("forced_band"))
+    named = bind.active_alerts(spark, sf_dir).filter(F.lower("event").contains("flash flood warning")).select("area_desc").distinct()
+    towns = bind.towns(spark, sf_dir).select("designated_area", "municipio")
+    warned = named.join(towns, named["area_desc"] == towns["designated_area"]).select("municipio").distinct().withColumn(
+        "event", F.lit("Flash Flood Warning"))
+    d = s.join(m, "area_id", "left").join(warned, "municipio", "left").withColumn("major_exceeded", F.coalesce("major_exceeded", F.lit(False)))
+    return d.select("area_id", "priority_band", "major_exceeded",
+                    al.forced_band(F.col("event"), F.col("major_exceeded"), F.col("priority_band")).alias("forced_band"))
 
 
 # ---------------- J-13 radius pairs, J-19 nearest centroid -----------------
@@ -95,7 +96,7 @@ def q_pairs(spark, sf_dir):
     from tidewatch.plans.stations import station_latest_features
     st = station_latest_features(spark, sf_dir).select("station_id", "lat", "lon")
     areas = A.area_features(spark, sf_dir).select("area_id", "latitude", "longitude")
-    return sp.radius_join(areas, st, C.OVERRIDE_KM).select("area_id", "station_id", "dist_km")
+    return sp.radius_join(areas, st, C.OVERRIDE_KM, C.EXTENT_MAX_ABS_LAT).select("area_id", "station_id", "dist_km")
 
 
 @register("nearest_area", sql(out_sql("designated_area, area_id:l, dist_km:d", f"""(
@@ -112,7 +113,7 @@ def q_nearest(spark, sf_dir):
     towns = bind.towns(spark, sf_dir).select("designated_area", "latitude", "longitude")
     areas = A.area_features(spark, sf_dir).select("area_id", F.col("latitude").alias("alat"),
                                                   F.col("longitude").alias("alon"))
-    p = sp.radius_join(towns, areas, 25.0, right_coords=("alat", "alon"))
+    p = sp.radius_join(towns, areas, 25.0, C.EXTENT_MAX_ABS_LAT, right_coords=("alat", "alon"))
     best = p.groupBy("designated_area").agg(F.min(F.struct("dist_km", "area_id")).alias("b"))
     return best.select("designated_area", F.col("b.area_id").alias("area_id"), F.col("b.dist_km").alias("dist_km"))
 
@@ -142,7 +143,7 @@ def q_exposure(spark, sf_dir):
     hot = station_latest_features(spark, sf_dir).filter(F.col("sensor_hazard_score") >= 50.0).select("lat", "lon")
     towns = A.town_risk(spark, sf_dir).select("designated_area", "municipio_key", "zip_population",
                                               "latitude", "longitude")
-    inz = sp.radius_join(towns, hot, C.OVERRIDE_KM).select("designated_area").distinct() \
+    inz = sp.radius_join(towns, hot, C.OVERRIDE_KM, C.EXTENT_MAX_ABS_LAT).select("designated_area").distinct() \
         .withColumn("in_zone", F.lit(True))
     t = towns.join(inz, "designated_area", "left").withColumn("in_zone", F.coalesce("in_zone", F.lit(False)))
     areas = A.area_features(spark, sf_dir).select("area_id", "municipio_key")

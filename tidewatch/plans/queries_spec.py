@@ -85,9 +85,9 @@ def q_precision(spark, sf_dir):
     FROM (SELECT *, ntile(4) OVER (ORDER BY vulnerability_score ASC NULLS FIRST, area_id) AS q FROM af)
     GROUP BY q)"""), "af"))
 def q_fairness(spark, sf_dir):
-    s = A.scored_indices(spark, sf_dir).drop("vulnerability_score")
-    f = A.area_features(spark, sf_dir).select("area_id", "population", "vulnerability_score")
-    return V.fairness_by_quartile(s.join(f, "area_id"))
+    feats = A.area_features(spark, sf_dir)
+    s = A.scored_indices(spark, sf_dir, features=feats).drop("vulnerability_score")
+    return V.fairness_by_quartile(s.join(feats.select("area_id", "population", "vulnerability_score"), "area_id"))
 
 
 def _sens_sql() -> str:
