@@ -2,10 +2,9 @@
 
 Everything in the FIXED VALUES block must equal the behaviour being
 reproduced (weights, thresholds, band cut points, action texts, sentinel
-codes).  They are stated once here and read by the operators; small lookup
-reproduced (weights, thresholds, band cut points, action texts, sentinel
 codes).  They are stated once here and read by the operators.
-
+"""
+from __future__ import annotations
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must match the reference's results)
