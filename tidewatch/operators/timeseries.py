@@ -9,10 +9,10 @@ Scale notes
 * Whole-series statistics (count, peak, mean, latest row) are one hash
   aggregate with map-side partial aggregation; the latest row is the max of a
   (time, id, ...) struct, so no window and no second join is needed.
-* Operators that truly need every row in order (gaps, per-row rates) use a
-  window partitioned by station *and day*, so no single task ever holds an
-  unbounded station; the one row per day-boundary is stitched back with a
-  small aggregate.
+* Operators that truly need every row in order (gaps, per-row rates) sort the
+  rows into range partitions of (station, time) and lag inside a partition; a
+  partition's first row takes the last row of the partition before it
+  (``with_prev``), so no task ever holds an unbounded station.
 """
 from __future__ import annotations
 

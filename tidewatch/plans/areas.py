@@ -1,9 +1,10 @@
 """Area-level plans: census features -> area features -> hazard -> scores -> products.
 
-Each function takes (spark, sf_dir) plus options and returns a lazy
-DataFrame; the chain is one lineage.  ``checkpoint=True`` writes the area
-hazard stage to the shared checkpoint folder (``stage_checkpoint``) so the
-scoring stage does not recompute the station and event scans after an
+Each function takes (spark, sf_dir) plus options and returns a DataFrame.  The
+stages (municipio risk, area features, station features, area hazard) are
+written to the shared checkpoint folder while the plan is built
+(``stage_checkpoint``; ``materialize=False`` leaves them out), so later stages
+read small tables and do not repeat the station and event scans after an
 executor loss.
 """
 from __future__ import annotations

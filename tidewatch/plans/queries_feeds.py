@@ -302,7 +302,7 @@ def _quake_spec_sql() -> str:
 def q_quake_spec(spark, sf_dir):
     """SP-02: per-area earthquake maximum (M-09) with the spec's piecewise
     depth factor 1.0 / 0.7 / 0.4 instead of 1 / (1 + depth / 70); same
-    location pre-aggregation and checked area broadcast as the hazard stage."""
+    reduction by location and the same kernel plan as the hazard stage."""
     from tidewatch.functions.geo import depth_factor_spec
     from tidewatch.operators.spatial import area_quake_raw
     from tidewatch.plans import areas as A
