@@ -181,8 +181,8 @@ CTES: dict[str, tuple[list[str], str]] = {
                ELSE CAST(json_extract_string(props, '$.k') AS DOUBLE) * 2.0{D} END AS depth_km,
           17.0{D} + (event_id % 300) / 100.0{D} AS latitude,
           -68.5{D} + ((event_id * 7) % 500) / 100.0{D} AS longitude,
-          'event ' || CAST(event_id AS VARCHAR) AS place, 'reviewed' AS status
-        FROM events WHERE event_type = 'error'"""),
+          'event ' || CAST(event_id AS VARCHAR) AS place, event_type AS status
+        FROM events"""),
     # ---------------- census ----------------
     "acs_muni_raw": ([], f"""
         SELECT n.n_nationkey AS area_id, n.n_name AS municipio, a.population,

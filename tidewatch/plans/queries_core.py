@@ -55,9 +55,9 @@ QUAKES = "event_id:l, time_utc, magnitude:d, depth_km:d, latitude:d, longitude:d
 
 @register("earthquake_events", sql(out_sql(QUAKES, "quakes", where="magnitude >= 1.0"), "quakes"))
 def q_quakes(spark, sf_dir):
-    """S-07 binding + F-10 minimum magnitude (the feed's default 1.0)."""
+    """S-07 binding + F-10 minimum magnitude (the feed's default 1.0), latest first."""
     q = bind.earthquakes(spark, sf_dir)
-    return q.filter(F.col("magnitude") >= 1.0)
+    return q.filter(F.col("magnitude") >= 1.0).orderBy(F.col("time_utc").desc(), F.col("event_id"))
 
 
 MUNI_RISK = ("area_id:l, municipio, municipio_key, population:d, median_income:d, poverty_universe:d, "
@@ -128,19 +128,24 @@ def _scored_sql(phase: str) -> str:
     return sql(out_sql(SCORED, "scored"), "scored", phase=phase)
 
 
+def _ordered(scored):
+    """D-30 / L-01: the scored product's order."""
+    return scored.orderBy(F.col("priority_index_conf_adj").desc_nulls_last(), F.col("municipio"))
+
+
 @register("scored_indices", _scored_sql("DURING"))
 def q_scored(spark, sf_dir):
-    return A.scored_indices(spark, sf_dir, "DURING")
+    return _ordered(A.scored_indices(spark, sf_dir, "DURING"))
 
 
 @register("scored_indices_pre", _scored_sql("PRE"))
 def q_scored_pre(spark, sf_dir):
-    return A.scored_indices(spark, sf_dir, "PRE")
+    return _ordered(A.scored_indices(spark, sf_dir, "PRE"))
 
 
 @register("scored_indices_post", _scored_sql("POST"))
 def q_scored_post(spark, sf_dir):
-    return A.scored_indices(spark, sf_dir, "POST")
+    return _ordered(A.scored_indices(spark, sf_dir, "POST"))
 
 
 def _actions_sql() -> str:
