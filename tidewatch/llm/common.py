@@ -5,7 +5,9 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +84,41 @@ def shuffle_parts(spark: SparkSession) -> int:
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra columns of the input never clash with new ones."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+# --- packed arrays in binary columns -------------------------------------------------
+
+def pack(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+
+
+def unpack(x: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(x)), kind)
+
+
+def pack_sorted(x: np.ndarray) -> bytes:
+    """Sorted unsigned numbers by their steps."""
+    steps = np.diff(x, prepend=np.uint64(0))
+    return b"4" + pack(steps.astype(np.uint32)) if len(steps) and steps.max() < 2**32 else b"8" + pack(steps)
+
+
+def unpack_sorted(x: bytes) -> np.ndarray:
+    x = bytes(x)
+    return np.cumsum(unpack(x[1:], np.uint32 if x[:1] == b"4" else np.uint64), dtype=np.uint64)
+
+
+def pack_planes(x: np.ndarray) -> bytes:
+    """Counts by byte planes, of which the high ones compress to nothing."""
+    kind = "<u4" if not len(x) or x.max() < 2**32 else "<u8"
+    return kind[-1:].encode() + pack(x.astype(kind).view(np.uint8).reshape(len(x), -1).T)
+
+
+def unpack_planes(x: bytes) -> np.ndarray:
+    x = bytes(x)
+    return np.ascontiguousarray(unpack(x[1:], np.uint8).reshape(int(x[:1]), -1).T).view(f"<u{int(x[:1])}").ravel().astype(np.int64)
+
+
+def runs(part: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, start, end) of the runs of an array sorted by value."""
+    cut = np.flatnonzero(np.diff(part, prepend=-1))
+    return [(int(part[a]), int(a), int(b)) for a, b in zip(cut, [*cut[1:], len(part)])]

@@ -28,7 +28,7 @@ these, known only after the pass, need no second one.
 
 Tokens: words without space or \\t-\\r, A-Z lower-cased, and one end per
 document.  Words are 64-bit hashes; followers of one history are told apart by
-48 bits.
+40 bits.
 
 Defined cases: null text is empty (one token, the end); a null id is in the
 fold of the empty text; repeated rows are trained on and scored as often as
@@ -45,36 +45,32 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import fold, map_batches, materialise, pick, shuffle_parts, table, texts
+from tidewatch.llm.common import (fold, map_batches, materialise, pack, pack_planes, pack_sorted, pick, runs, shuffle_parts, table, texts,
+                                  unpack, unpack_planes, unpack_sorted)
 
 FOLDS = 10
 ORDER = 2
 K = 5
-CHUNK = 1_500_000
+CHUNK = 1_250_000
 END, BEGIN = (xxhash.xxh3_64_intdigest(x) for x in (b" end", b" begin"))  # no word has a space
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _pack(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+def _pack_values(x: np.ndarray) -> bytes:
+    """Floats of which many are equal: the distinct ones and their places."""
+    values, place = np.unique(x, return_inverse=True)
+    places = pack_planes(place)
+    return len(places).to_bytes(4, "little") + places + values.tobytes()
 
 
-def _unpack(x: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(x)), kind)
-
-
-def _pack_planes(x: np.ndarray) -> bytes:
-    """Small numbers by byte planes, which compress well."""
-    return _pack(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-
-
-def _unpack_planes(x: bytes) -> np.ndarray:
-    return np.ascontiguousarray(_unpack(x, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def _unpack_values(x: bytes) -> np.ndarray:
+    x = bytes(x)
+    n = int.from_bytes(x[:4], "little")
+    return np.frombuffer(x[4 + n:], np.float64)[unpack_planes(x[4:4 + n])]
 
 
 # --- model -------------------------------------------------------------------------
@@ -149,8 +145,8 @@ class Chunk:
 
 
 def _chunk(row) -> Chunk:
-    return Chunk(_unpack(row["lengths"], np.int64), _unpack(row["train"], bool), _unpack(row["words"], np.uint64),
-                 _unpack_planes(row["tokens"]).astype(np.int64))
+    return Chunk(unpack(row["lengths"], np.int64), unpack(row["train"], bool), unpack(row["words"], np.uint64),
+                 unpack_planes(row["tokens"]))
 
 
 CHUNKS = "chunk long, docs array<long>, lengths binary, train binary, words binary, tokens binary"
@@ -168,7 +164,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             rank = np.empty(len(words), np.uint32)
             rank[order] = np.arange(len(words), dtype=np.uint32)
             train = np.array([fold(d, FOLDS) != 0 for d in ids], bool)
-            cols = [number, ids, _pack(np.array(lengths, np.int64)), _pack(train), _pack(words[order]), _pack_planes(rank[tokens])]
+            cols = [number, ids, pack(np.array(lengths, np.int64)), pack(train), pack(words[order]), pack_planes(rank[tokens])]
             kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
             return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cols, kinds)], [x.split()[0] for x in CHUNKS.split(", ")])
 
@@ -193,11 +189,6 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 # --- tables ------------------------------------------------------------------------
 
-def _runs(part: np.ndarray) -> list[tuple[int, int, int]]:
-    """(value, start, end) of the runs of a sorted array."""
-    cut = np.flatnonzero(np.diff(part, prepend=-1))
-    return [(int(part[a]), int(a), int(b)) for a, b in zip(cut, [*cut[1:], len(part)])]
-
 
 ANSWER = "chunk long, level int, part int, counts binary, h_counts binary, small binary, mass binary, stats array<long>"
 _ANSWER = [x.split()[0] for x in ANSWER.split(", ")]
@@ -223,7 +214,7 @@ def word_counts(all_chunks: DataFrame, parts: int) -> DataFrame:
                 counts = np.bincount(c.tokens[c.train], minlength=len(c.words)).astype(np.uint32)
                 part = (c.words % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
-                rows += [(row["chunk"], p, c.words[order[a:z]].tobytes(), _pack(counts[order[a:z]])) for p, a, z in _runs(part[order])]
+                rows += [(row["chunk"], p, c.words[order[a:z]].tobytes(), pack_planes(counts[order[a:z]])) for p, a, z in runs(part[order])]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), [pa.int64(), pa.int32(), pa.binary(), pa.binary()])]
                                              if rows else [pa.array([], k) for k in (pa.int64(), pa.int32(), pa.binary(), pa.binary())],
                                              ["chunk", "part", "words", "counts"])
@@ -231,10 +222,10 @@ def word_counts(all_chunks: DataFrame, parts: int) -> DataFrame:
     def answer(g: pd.DataFrame) -> pd.DataFrame:
         words = [np.frombuffer(x, np.uint64) for x in g.words]
         _, place = np.unique(np.concatenate(words), return_inverse=True)
-        total = np.bincount(place, np.concatenate([_unpack(x, np.uint32) for x in g.counts])).astype(np.int64)
+        total = np.bincount(place, np.concatenate([unpack_planes(x) for x in g.counts])).astype(np.int64)
         cuts = np.cumsum([0, *map(len, words)])
         part = int(g.part.iloc[0])
-        rows = [(c, 1, part, _pack(total[place[a:b]]), None, None, None, None) for c, a, b in zip(g.chunk, cuts, cuts[1:])]
+        rows = [(c, 1, part, pack_planes(total[place[a:b]]), None, None, None, None) for c, a, b in zip(g.chunk, cuts, cuts[1:])]
         return _answers(rows, 1, part, total)
 
     return map_batches(all_chunks, ask, asked).groupBy("part").applyInPandas(answer, ANSWER)
@@ -245,8 +236,8 @@ def _token_counts(c: Chunk, answers: dict, parts: int) -> np.ndarray:
     part = (c.words % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     counts = np.empty(len(c.words), np.int64)
-    for p, a, b in _runs(part[order]):
-        counts[order[a:b]] = _unpack(answers[1, p]["counts"], np.int64)
+    for p, a, b in runs(part[order]):
+        counts[order[a:b]] = unpack_planes(answers[1, p]["counts"])
     return counts[c.tokens]
 
 
@@ -256,11 +247,11 @@ def probabilities(c: Chunk, answers: dict, stats: dict, parts: int, level: int)
         return unigram(_token_counts(c, answers, parts), stats[1])
     lower = probabilities(c, answers, stats, parts, level - 1)
     histories, _, gram, gram_history, _ = c.grams(level, parts)
-    runs = _runs((histories % np.uint64(parts)).astype(np.int64))
-    get = lambda field, kind: np.concatenate([_unpack(answers[level, p][field], kind) for p, _, _ in runs])
+    spans = runs((histories % np.uint64(parts)).astype(np.int64))
+    get = lambda field, read: np.concatenate([read(answers[level, p][field]) for p, _, _ in spans])
     h = gram_history[gram]
-    return backoff(lower, get("counts", np.uint32)[gram].astype(np.int64), get("h_counts", np.int64)[h],
-                   get("small", np.uint32).reshape(-1, K)[h], get("mass", np.float64)[h], discounts(stats[level]["n"]))
+    return backoff(lower, get("counts", unpack_planes)[gram], get("h_counts", unpack_planes)[h],
+                   get("small", unpack_planes).reshape(-1, K)[h], get("mass", _unpack_values)[h], discounts(stats[level]["n"]))
 
 
 ASKED = "chunk long, part int, histories binary, sizes binary, followers binary, counts binary, values binary, codes binary"
@@ -276,30 +267,29 @@ def ngram_counts(all_chunks: DataFrame, answers: DataFrame, stats: dict, parts:
         counts = np.bincount(gram, c.train, len(first)).astype(np.uint32)
         lower = p[first]
         rows = []
-        for part, a, b in _runs((histories % np.uint64(parts)).astype(np.int64)):
+        for part, a, b in runs((histories % np.uint64(parts)).astype(np.int64)):
             x, y = np.searchsorted(gram_history, [a, b])
             values, codes = np.unique(lower[x:y], return_inverse=True)
-            w48 = c.words[gram_word[x:y]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
-            rows.append((row["chunk"], part, histories[a:b].tobytes(), _pack(np.bincount(gram_history[x:y] - a, minlength=b - a).astype(np.uint32)),
-                         np.ascontiguousarray(w48).tobytes(), _pack(counts[x:y]), values.tobytes(),
-                         _pack(codes.astype(np.uint16 if len(values) <= 65_536 else np.uint32))))
+            w40 = c.words[gram_word[x:y]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:]
+            rows.append((row["chunk"], part, pack_sorted(histories[a:b] // np.uint64(parts)), pack_planes(np.bincount(gram_history[x:y] - a, minlength=b - a)),
+                         np.ascontiguousarray(w40).tobytes(), pack_planes(counts[x:y]), values.tobytes(),
+                         pack_planes(codes)))
         return pd.DataFrame(rows, columns=[x.split()[0] for x in ASKED.split(", ")])
 
     def answer(g: pd.DataFrame) -> pd.DataFrame:
-        histories = [np.frombuffer(x, np.uint64) for x in g.histories]
-        sizes = [_unpack(x, np.uint32) for x in g["sizes"]]
+        histories = [unpack_sorted(x) for x in g.histories]  # divided by the number of parts
+        sizes = [unpack_planes(x) for x in g["sizes"]]
         all_h, h_place = np.unique(np.concatenate(histories), return_inverse=True)
         h_cuts = np.cumsum([0, *map(len, histories)])
         h = np.repeat(h_place, np.concatenate(sizes))
         cuts = np.cumsum([0, *(int(s.sum()) for s in sizes)])
         w = np.zeros((len(h), 8), np.uint8)
-        w[:, 2:] = np.frombuffer(b"".join(bytes(x) for x in g.followers), np.uint8).reshape(-1, 6)
+        w[:, 3:] = np.frombuffer(b"".join(bytes(x) for x in g.followers), np.uint8).reshape(-1, 5)
         w = w.view("<u8").ravel()
-        counts = np.concatenate([_unpack(x, np.uint32) for x in g.counts])
+        counts = np.concatenate([unpack_planes(x) for x in g.counts])
         lower = []
         for v, x in zip(g["values"], g.codes):
-            v = np.frombuffer(v, np.float64)
-            lower.append(v[_unpack(x, np.uint16 if len(v) <= 65_536 else np.uint32)])
+            lower.append(np.frombuffer(v, np.float64)[unpack_planes(x)])
         lower = np.concatenate(lower)
         order = np.lexsort((w, h))
         new = np.ones(len(h), bool)
@@ -316,7 +306,7 @@ def ngram_counts(all_chunks: DataFrame, answers: DataFrame, stats: dict, parts:
         rows = []
         for c, a, b, x, y in zip(g.chunk, cuts, cuts[1:], h_cuts, h_cuts[1:]):
             k = h_place[x:y]
-            rows.append((c, level, part, _pack(total[gram[a:b]].astype(np.uint32)), _pack(c_h[k]), _pack(small[k]), _pack(mass[k]), None))
+            rows.append((c, level, part, pack_planes(total[gram[a:b]]), pack_planes(c_h[k]), pack_planes(small[k].ravel()), _pack_values(mass[k]), None))
         return _answers(rows, level, part, total)
 
     asked = all_chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(ask, ASKED)
