@@ -110,12 +110,14 @@ def unpack_sorted(x: bytes) -> np.ndarray:
 def pack_planes(x: np.ndarray) -> bytes:
     """Counts by byte planes, of which the high ones compress to nothing."""
     kind = "<u4" if not len(x) or x.max() < 2**32 else "<u8"
-    return kind[-1:].encode() + pack(x.astype(kind).view(np.uint8).reshape(len(x), -1).T)
+    return kind[-1:].encode() + pack(x.astype(kind).view(np.uint8).reshape(len(x), int(kind[-1])).T)
 
 
 def unpack_planes(x: bytes) -> np.ndarray:
     x = bytes(x)
-    return np.ascontiguousarray(unpack(x[1:], np.uint8).reshape(int(x[:1]), -1).T).view(f"<u{int(x[:1])}").ravel().astype(np.int64)
+    width = int(x[:1])
+    planes = unpack(x[1:], np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, len(planes) // width).T).view(f"<u{width}").ravel().astype(np.int64)
 
 
 def runs(part: np.ndarray) -> list[tuple[int, int, int]]:

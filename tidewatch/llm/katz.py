@@ -19,8 +19,8 @@ hash of the history (level 1: of the word), never in one place:
   with their training counts and lower-order probabilities: the counts are
   summed per part (pre-aggregated per chunk, so a frequent word costs one
   entry per chunk and follower), and the part answers in the order asked with
-  c(h, w), and per history c(h), how many followers have each small count, and
-  their lower-order mass;
+  c(h, w), and per history c(h); for histories that back off in the chunk also
+  how many followers have each small count, and their lower-order mass;
 * answers join their chunk, which evaluates the recursion for each token.
 
 A history's counts of counts make alpha(h) a function of the discounts, so
@@ -103,14 +103,19 @@ def unigram(c: np.ndarray, stats: dict) -> np.ndarray:
     return np.where(c > 0, discount(c, d) * c / total, freed)
 
 
-def backoff(lower: np.ndarray, c: np.ndarray, c_h: np.ndarray, small: np.ndarray, mass: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """P(w | h) by token: small holds per token the followers of h with counts 1 .. K, mass their lower-order probability."""
+#: How a history gives mass to unseen words: by its discounts, half a count set aside (it has no
+#: small counts), or not at all (all words follow it).
+BY_DISCOUNT, SET_ASIDE, NOTHING = 0, 1, 2
+
+
+def backoff(lower: np.ndarray, c: np.ndarray, c_h: np.ndarray, kind: np.ndarray, small: np.ndarray, mass: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """P(w | h) by token.  kind, small (followers of h with counts 1 .. K) and mass (lower-order
+    probability of h's followers) are those of the token's history; the last two are read for unseen words only."""
     with np.errstate(divide="ignore", invalid="ignore"):
         freed = ((1 - d[1:]) * np.arange(1, K + 1) * small).sum(1) / c_h
-        rest = 1 - mass
-        full, none = rest <= 1e-12, freed <= 0
-        seen = np.where(full, c / c_h, np.where(none, c / (c_h + 0.5), discount(c, d) * c / c_h))
-        alpha = np.where(full, 0.0, np.where(none, 0.5 / (c_h + 0.5), freed) / np.where(full, 1, rest))
+        seen = np.select([kind == NOTHING, kind == SET_ASIDE], [c / c_h, c / (c_h + 0.5)], discount(c, d) * c / c_h)
+        left = np.select([kind == NOTHING, kind == SET_ASIDE], [np.zeros(len(c)), 0.5 / (c_h + 0.5)], freed)
+        alpha = np.where(kind == NOTHING, 0.0, left / (1 - mass))
     return np.where(c_h == 0, lower, np.where(c > 0, seen, alpha * lower))
 
 
@@ -190,7 +195,7 @@ def chunks(docs: DataFrame) -> DataFrame:
 # --- tables ------------------------------------------------------------------------
 
 
-ANSWER = "chunk long, level int, part int, counts binary, h_counts binary, small binary, mass binary, stats array<long>"
+ANSWER = "chunk long, level int, part int, counts binary, h_counts binary, kinds binary, small binary, mass binary, stats array<long>"
 _ANSWER = [x.split()[0] for x in ANSWER.split(", ")]
 
 
@@ -198,7 +203,7 @@ def _answers(rows: list, level: int, part: int, counts: np.ndarray) -> pd.DataFr
     """Answers, and one row (chunk null) with total, distinct and counts of counts of the part."""
     some = counts[counts > 0]
     stats = [int(some.sum()), len(some), *np.bincount(np.minimum(some, K + 2), minlength=K + 3)[1:K + 2].tolist()]
-    out = pd.DataFrame([*rows, (None, level, part, None, None, None, None, stats)], columns=_ANSWER)
+    out = pd.DataFrame([*rows, (None, level, part, None, None, None, None, None, stats)], columns=_ANSWER)
     return out.astype({"chunk": "Int64"})
 
 
@@ -225,7 +230,7 @@ def word_counts(all_chunks: DataFrame, parts: int) -> DataFrame:
         total = np.bincount(place, np.concatenate([unpack_planes(x) for x in g.counts])).astype(np.int64)
         cuts = np.cumsum([0, *map(len, words)])
         part = int(g.part.iloc[0])
-        rows = [(c, 1, part, pack_planes(total[place[a:b]]), None, None, None, None) for c, a, b in zip(g.chunk, cuts, cuts[1:])]
+        rows = [(c, 1, part, pack_planes(total[place[a:b]]), None, None, None, None, None) for c, a, b in zip(g.chunk, cuts, cuts[1:])]
         return _answers(rows, 1, part, total)
 
     return map_batches(all_chunks, ask, asked).groupBy("part").applyInPandas(answer, ANSWER)
@@ -249,9 +254,19 @@ def probabilities(c: Chunk, answers: dict, stats: dict, parts: int, level: int)
     histories, _, gram, gram_history, _ = c.grams(level, parts)
     spans = runs((histories % np.uint64(parts)).astype(np.int64))
     get = lambda field, read: np.concatenate([read(answers[level, p][field]) for p, _, _ in spans])
+    counts, c_h = get("counts", unpack_planes), get("h_counts", unpack_planes)
+    asked = _backs_off(counts, gram_history, c_h)
+    small, mass = np.zeros((len(c_h), K)), np.zeros(len(c_h))
+    small[asked], mass[asked] = get("small", unpack_planes).reshape(-1, K), get("mass", _unpack_values)
     h = gram_history[gram]
-    return backoff(lower, get("counts", unpack_planes)[gram], get("h_counts", unpack_planes)[h],
-                   get("small", unpack_planes).reshape(-1, K)[h], get("mass", _unpack_values)[h], discounts(stats[level]["n"]))
+    return backoff(lower, counts[gram], c_h[h], get("kinds", lambda x: unpack(x, np.uint8))[h], small[h], mass[h], discounts(stats[level]["n"]))
+
+
+def _backs_off(counts: np.ndarray, gram_history: np.ndarray, c_h: np.ndarray) -> np.ndarray:
+    """Seen histories with an unseen follower among the n-grams asked for: they need alpha."""
+    out = c_h > 0
+    out &= np.bincount(gram_history[counts == 0], minlength=len(c_h)) > 0
+    return out
 
 
 ASKED = "chunk long, part int, histories binary, sizes binary, followers binary, counts binary, values binary, codes binary"
@@ -302,11 +317,14 @@ def ngram_counts(all_chunks: DataFrame, answers: DataFrame, stats: dict, parts:
         c_h = np.bincount(g_h, total, len(all_h)).astype(np.int64)
         mass = np.bincount(g_h[seen], lower[head][seen], len(all_h))
         small = np.stack([np.bincount(g_h[total == r], minlength=len(all_h)) for r in range(1, K + 1)], 1).astype(np.uint32)
+        kinds = np.where(1 - mass <= 1e-12, NOTHING, np.where(small.any(1), BY_DISCOUNT, SET_ASIDE)).astype(np.uint8)
         part = int(g.part.iloc[0])
         rows = []
-        for c, a, b, x, y in zip(g.chunk, cuts, cuts[1:], h_cuts, h_cuts[1:]):
-            k = h_place[x:y]
-            rows.append((c, level, part, pack_planes(total[gram[a:b]]), pack_planes(c_h[k]), pack_planes(small[k].ravel()), _pack_values(mass[k]), None))
+        for c, a, b, x, y, size in zip(g.chunk, cuts, cuts[1:], h_cuts, h_cuts[1:], sizes):
+            k, counts_ = h_place[x:y], total[gram[a:b]]
+            need = k[_backs_off(counts_, np.repeat(np.arange(y - x), size), c_h[k])]
+            rows.append((c, level, part, pack_planes(counts_), pack_planes(c_h[k]), pack(kinds[k]), pack_planes(small[need].ravel()),
+                         _pack_values(mass[need]), None))
         return _answers(rows, level, part, total)
 
     asked = all_chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(ask, ASKED)
