@@ -47,7 +47,7 @@ MAX_FEATURES = 3000
 MIN_DOCS = 3
 GRAM = 5
 #: Words remembered per Python worker while scoring.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 MIN_Z = 4.0
 STEPS = 300
 RATE = 0.05
@@ -73,7 +73,7 @@ class Parts(dict):
         self.known = known
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= REMEMBERED:
+        if len(self) >= (REMEMBERED if self.known is not None else REMEMBERED // 6):  # all features take more room
             self.clear()
         found = tuple(x for x in parts_of(word) if self.known is None or x in self.known)
         self[word] = found
@@ -87,11 +87,15 @@ class Parts(dict):
 
 def choose(positive: list[np.ndarray], unlabelled: list[np.ndarray], most: int = MAX_FEATURES) -> np.ndarray:
     """Features whose share of texts differs most between P and U, in standard errors; sorted."""
-    every, place = np.unique(np.concatenate([*positive, *unlabelled]), return_inverse=True)
     n, m = len(positive), len(unlabelled)
-    cut = sum(map(len, positive))
-    a = np.bincount(place[:cut], minlength=len(every))
-    b = np.bincount(place[cut:], minlength=len(every))
+    in_p, n_p = np.unique(np.concatenate(positive), return_counts=True)
+    in_u, n_u = np.unique(np.concatenate(unlabelled), return_counts=True)
+    often = in_u[n_u >= MIN_DOCS]
+    every = np.union1d(in_p, often)  # other features of U alone are below MIN_DOCS
+    a, b = np.zeros(len(every), np.int64), np.zeros(len(every), np.int64)
+    a[np.searchsorted(every, in_p)] = n_p
+    both = np.isin(in_u, every, assume_unique=True)
+    b[np.searchsorted(every, in_u[both])] = n_u[both]
     mean = (a + b + 1) / (n + m + 2)
     z = np.abs(a / n - b / m) / np.sqrt(mean * (1 - mean) * (1 / n + 1 / m))
     z[a + b < MIN_DOCS] = 0
@@ -118,11 +122,13 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     """Intercept, features and their weights; texts are arrays of distinct feature codes."""
     chosen = choose(positive, unlabelled)
     n, texts_ = len(positive), [*positive, *unlabelled]
-    row = np.repeat(np.arange(len(texts_)), [len(x) for x in texts_])
-    codes = np.concatenate(texts_)
-    col = np.searchsorted(chosen, codes)
-    known = chosen[np.minimum(col, len(chosen) - 1)] == codes if len(chosen) else np.zeros(len(codes), bool)
-    row, col = row[known], col[known]
+    places = []
+    for x in texts_:  # only the chosen features of each text are kept
+        at = np.searchsorted(chosen, x)
+        at = at[at < len(chosen)] if len(chosen) else at[:0]
+        places.append(at[chosen[at] == x[:len(at)]] if len(chosen) else at)
+    row = np.repeat(np.arange(len(texts_)), [len(x) for x in places])
+    col = np.concatenate(places)
     theta = np.zeros(len(chosen) + 1)
     theta[-1] = np.log(prior / (1 - prior)) if prior < 1 else 0.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
