@@ -85,3 +85,14 @@ def test_no_training_rows_and_empty_table(spark):
     (r,) = K.score_documents(documents(spark, [(held, "a b")])).collect()
     assert tuple(r) == (held, True, 3, 0, 0, 0.0, 0.0)
     assert K.score_documents(documents(spark, [])).count() == 0
+
+
+def test_the_query_scores_with_trigrams(spark, tmp_path):
+    rows = DOCS[::4]
+    documents(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id, r.score) for r in K.q_op7(spark, str(tmp_path)).collect())
+    want = sorted((d, score) for d, *_, score in Direct(rows, 3).rows())
+    bigrams = sorted((d, score) for d, *_, score in Direct(rows, 2).rows())
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert all(abs(g[1] - w[1]) < 1e-6 for g, w in zip(got, want))
+    assert any(abs(w[1] - b[1]) > 0.1 for w, b in zip(want, bigrams))

@@ -20,8 +20,11 @@ hash of the history (level 1: of the word), never in one place:
   summed per part (pre-aggregated per chunk, so a frequent word costs one
   entry per chunk and follower), and the part answers in the order asked with
   c(h, w), and per history c(h); for histories that back off in the chunk also
-  how many followers have each small count, and their lower-order mass;
-* answers join their chunk, which evaluates the recursion for each token.
+  how many followers have each small count, and their lower-order mass; the
+  parts are asked in turns, so that only a share of the n-grams is in the shuffle
+  files at a time;
+* answers join their chunk, which evaluates one step of the recursion for each
+  token and keeps only that: the answers and the step before are deleted.
 
 A history's counts of counts make alpha(h) a function of the discounts, so
 these, known only after the pass, need no second one.
@@ -40,6 +43,7 @@ words follow h, its counts are not discounted.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -49,13 +53,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import (fold, map_batches, materialise, pack, pack_planes, pack_sorted, pick, runs, shuffle_parts, table, texts,
-                                  unpack, unpack_planes, unpack_sorted)
+from tidewatch.llm.common import (discard, fold, map_batches, materialise, pack, pack_planes, pack_sorted, pick, runs, shuffle_parts, table,
+                                  texts, unpack, unpack_planes, unpack_sorted)
 
 FOLDS = 10
-ORDER = 2
+ORDER = 3
 K = 5
 CHUNK = 1_250_000
+PASSES = 2  # times level - 1: the n-grams of so many shares of the parts are on the way one after another
 END, BEGIN = (xxhash.xxh3_64_intdigest(x) for x in (b" end", b" begin"))  # no word has a space
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -127,26 +132,27 @@ class Chunk:
     def __init__(self, lengths: np.ndarray, train: np.ndarray, words: np.ndarray, tokens: np.ndarray):
         self.lengths, self.words, self.tokens = lengths, words, tokens
         self.train = np.repeat(train, lengths)
-        self._grams: dict[tuple[int, int], tuple] = {}
-
-    def grams(self, k: int, parts: int):
-        """Distinct k-grams (k > 1): histories by (part, hash), first token place, token -> gram, gram -> (history, word place)."""
-        if (k, parts) not in self._grams:
-            w = self.words[self.tokens]
-            start = np.repeat(np.cumsum([0, *self.lengths[:-1]]), self.lengths)
-            at = np.arange(len(w))
-            h = np.full(len(w), k, np.uint64)
-            for j in range(1, k):
-                previous = np.where(at - j >= start, w[np.maximum(at - j, 0)], np.uint64(BEGIN))
-                h = (h ^ previous) * _ODD
-                h ^= h >> np.uint64(31)
-            histories, place = np.unique(h, return_inverse=True)
-            order = np.lexsort((histories, histories % np.uint64(parts)))
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            key, first, gram = np.unique(rank[place] * len(self.words) + self.tokens, return_index=True, return_inverse=True)
-            self._grams[k, parts] = histories[order], first, gram, key // len(self.words), key % len(self.words)
-        return self._grams[k, parts]
+
+    def grams(self, k: int, parts: int, turn: int = 0, passes: int = 1):
+        """Distinct k-grams (k > 1): histories by (part, hash), first token place, token -> gram, gram -> (history, word place),
+        and the places of the tokens, which are those whose history is in a part p with p % ``passes`` = ``turn``."""
+        w = self.words[self.tokens]
+        start = np.repeat(np.cumsum([0, *self.lengths[:-1]]), self.lengths)
+        at = np.arange(len(w))
+        h = np.full(len(w), k, np.uint64)
+        for j in range(1, k):
+            previous = np.where(at - j >= start, w[np.maximum(at - j, 0)], np.uint64(BEGIN))
+            h = (h ^ previous) * _ODD
+            h ^= h >> np.uint64(31)
+        if passes > 1:
+            at = np.flatnonzero(h % np.uint64(parts) % np.uint64(passes) == turn)
+            h = h[at]
+        histories, place = np.unique(h, return_inverse=True)
+        order = np.lexsort((histories, histories % np.uint64(parts)))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        key, first, gram = np.unique(rank[place] * len(self.words) + self.tokens[at], return_index=True, return_inverse=True)
+        return histories[order], at[first], gram, key // len(self.words), key % len(self.words), at
 
 
 def _chunk(row) -> Chunk:
@@ -236,30 +242,62 @@ def word_counts(all_chunks: DataFrame, parts: int) -> DataFrame:
     return map_batches(all_chunks, ask, asked).groupBy("part").applyInPandas(answer, ANSWER)
 
 
-def _token_counts(c: Chunk, answers: dict, parts: int) -> np.ndarray:
+KNOWN = "chunk long, counts binary, p binary"
+
+
+def word_level(held: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
+    """Training counts of each chunk's words; P of a token at level 1 follows from them (``p`` is null)."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        c = _chunk(left.iloc[0])
+        found = dict(zip(right["part"], right["counts"]))
+        part = (c.words % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        counts = np.empty(len(c.words), np.int64)
+        for p, a, b in runs(part[order]):
+            counts[order[a:b]] = unpack_planes(found[p])
+        return pd.DataFrame({"chunk": [left["chunk"].iloc[0]], "counts": [pack_planes(counts)], "p": [None]})
+
+    return held.groupBy("chunk").cogroup(answers.filter("chunk IS NOT NULL").groupBy("chunk")).applyInPandas(run, KNOWN)
+
+
+def next_level(held: DataFrame, answers: DataFrame, stats: dict, parts: int, level: int) -> DataFrame:
+    """P of every token at ``level`` (``held``: chunks with what is known of the level below)."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        row = left.iloc[0]
+        c = _chunk(row)
+        p = probabilities(c, _lower(row, c, stats), right, stats, parts, level)
+        return pd.DataFrame({"chunk": [row["chunk"]], "counts": [row["counts"]], "p": [_pack_values(p)]})
+
+    return held.groupBy("chunk").cogroup(answers.filter("chunk IS NOT NULL").groupBy("chunk")).applyInPandas(run, KNOWN)
+
+
+def _token_counts(row, c: Chunk) -> np.ndarray:
     """Training count of each token's word."""
-    part = (c.words % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    counts = np.empty(len(c.words), np.int64)
-    for p, a, b in runs(part[order]):
-        counts[order[a:b]] = unpack_planes(answers[1, p]["counts"])
-    return counts[c.tokens]
-
-
-def probabilities(c: Chunk, answers: dict, stats: dict, parts: int, level: int) -> np.ndarray:
-    """P of every token at ``level``, from the answers of all levels up to it."""
-    if level == 1:
-        return unigram(_token_counts(c, answers, parts), stats[1])
-    lower = probabilities(c, answers, stats, parts, level - 1)
-    histories, _, gram, gram_history, _ = c.grams(level, parts)
-    spans = runs((histories % np.uint64(parts)).astype(np.int64))
-    get = lambda field, read: np.concatenate([read(answers[level, p][field]) for p, _, _ in spans])
-    counts, c_h = get("counts", unpack_planes), get("h_counts", unpack_planes)
-    asked = _backs_off(counts, gram_history, c_h)
-    small, mass = np.zeros((len(c_h), K)), np.zeros(len(c_h))
-    small[asked], mass[asked] = get("small", unpack_planes).reshape(-1, K), get("mass", _unpack_values)
-    h = gram_history[gram]
-    return backoff(lower, counts[gram], c_h[h], get("kinds", lambda x: unpack(x, np.uint8))[h], small[h], mass[h], discounts(stats[level]["n"]))
+    return unpack_planes(row["counts"])[c.tokens]
+
+
+def _lower(row, c: Chunk, stats: dict) -> np.ndarray:
+    """P of every token at the level that is known."""
+    return unigram(_token_counts(row, c), stats[1]) if row["p"] is None else _unpack_values(row["p"])
+
+
+def probabilities(c: Chunk, lower: np.ndarray, answers: pd.DataFrame, stats: dict, parts: int, level: int) -> np.ndarray:
+    """P of every token at ``level`` (above 1), from its answers and P at the level below."""
+    found = {a["part"]: a for a in answers.to_dict("records")}
+    d, out, passes = discounts(stats[level]["n"]), np.empty(len(lower)), PASSES * (level - 1)
+    for turn in range(passes):  # arrays of a share of the tokens at a time
+        histories, _, gram, gram_history, _, at = c.grams(level, parts, turn, passes)
+        if not len(at):
+            continue
+        spans = runs((histories % np.uint64(parts)).astype(np.int64))
+        get = lambda field, read: np.concatenate([read(found[p][field]) for p, _, _ in spans])  # noqa: E731, B023
+        counts, c_h = get("counts", unpack_planes), get("h_counts", unpack_planes)
+        asked = _backs_off(counts, gram_history, c_h)
+        small, mass = np.zeros((len(c_h), K)), np.zeros(len(c_h))
+        small[asked], mass[asked] = get("small", unpack_planes).reshape(-1, K), get("mass", _unpack_values)
+        h = gram_history[gram]
+        out[at] = backoff(lower[at], counts[gram], c_h[h], get("kinds", lambda x: unpack(x, np.uint8))[h], small[h], mass[h], d)
+    return out
 
 
 def _backs_off(counts: np.ndarray, gram_history: np.ndarray, c_h: np.ndarray) -> np.ndarray:
@@ -272,14 +310,15 @@ def _backs_off(counts: np.ndarray, gram_history: np.ndarray, c_h: np.ndarray) ->
 ASKED = "chunk long, part int, histories binary, sizes binary, followers binary, counts binary, values binary, codes binary"
 
 
-def ngram_counts(all_chunks: DataFrame, answers: DataFrame, stats: dict, parts: int, level: int) -> DataFrame:
-    """Level 2 and up: counts of every chunk's n-grams and their histories."""
-    def ask(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def ngram_counts(held: DataFrame, stats: dict, parts: int, level: int, turn: int = 0, passes: int = 1) -> DataFrame:
+    """Level 2 and up: counts of every chunk's n-grams and their histories (``held``: chunks with what is known of the level below),
+    for the parts p with p % ``passes`` = ``turn``."""
+    def ask(left: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]
         c = _chunk(row)
-        p = probabilities(c, {(a["level"], a["part"]): a for a in right.to_dict("records")}, stats, parts, level - 1)
-        histories, first, gram, gram_history, gram_word = c.grams(level, parts)
-        counts = np.bincount(gram, c.train, len(first)).astype(np.uint32)
+        p = _lower(row, c, stats)
+        histories, first, gram, gram_history, gram_word, at = c.grams(level, parts, turn, passes)
+        counts = np.bincount(gram, c.train[at], len(first)).astype(np.uint32)
         lower = p[first]
         rows = []
         for part, a, b in runs((histories % np.uint64(parts)).astype(np.int64)):
@@ -327,7 +366,7 @@ def ngram_counts(all_chunks: DataFrame, answers: DataFrame, stats: dict, parts:
                          _pack_values(mass[need]), None))
         return _answers(rows, level, part, total)
 
-    asked = all_chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(ask, ASKED)
+    asked = held.groupBy("chunk").applyInPandas(ask, ASKED)
     return asked.groupBy("part").applyInPandas(answer, ANSWER)
 
 
@@ -353,30 +392,42 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     held = materialise(chunks(docs), "katz-chunks", bucket="chunk")
     answers = materialise(word_counts(held, parts), "katz-1")
     stats = {1: _stats(answers)}
+    known = materialise(word_level(held, answers, parts), "katz-known-1", bucket="chunk")
+    discard(answers)
     for level in range(2, order + 1):
+        tables, passes = [], PASSES * (level - 1)
+        for turn in range(passes):
+            _release(spark)
+            tables.append(materialise(ngram_counts(held.join(known, "chunk"), stats, parts, level, turn, passes), f"katz-{level}-{turn}"))
+        answers = reduce(DataFrame.union, tables)
+        stats[level] = _stats(answers)
         _release(spark)
-        found = materialise(ngram_counts(held, answers.filter("chunk IS NOT NULL"), stats, parts, level), f"katz-{level}")
-        stats[level] = _stats(found)
-        answers = answers.union(found)
-    _release(spark)
+        if level < order:
+            found = materialise(next_level(held.join(known, "chunk"), answers, stats, parts, level), f"katz-known-{level}", bucket="chunk")
+            for t in (known, *tables):
+                discard(t)
+            known = found
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    def evaluate(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def evaluate(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
         row = left.iloc[0]
         c = _chunk(row)
-        found = {(a["level"], a["part"]): a for a in right.to_dict("records")}
-        counts = _token_counts(c, found, parts)
+        counts = _token_counts(row, c)
         total, distinct = stats[1]["total"], stats[1]["distinct"]
         ends = np.cumsum([0, *c.lengths[:-1]])
         per = lambda x: np.add.reduceat(x, ends)
         base = np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1)))
-        logs = np.log10(probabilities(c, found, stats, parts, order))
+        p = _lower(row, c, stats)
+        logs = np.log10(p if right is None else probabilities(c, p, right, stats, parts, order))
         docs_ = list(row["docs"])
         ids = [None if d is None or d != d else int(d) for d in docs_]
         return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "held_out": [fold(d, FOLDS) == 0 for d in ids], "n_tokens": c.lengths,
                              "n_known": per((counts > 0).astype(np.int64)), "train_tokens": total, "base_score": per(base), "score": per(logs)})
 
-    return held.groupBy("chunk").cogroup(answers.filter("chunk IS NOT NULL").groupBy("chunk")).applyInPandas(evaluate, schema)
+    scored = held.join(known, "chunk").groupBy("chunk")
+    if order == 1:
+        return scored.applyInPandas(lambda left: evaluate(left, None), schema)
+    return scored.cogroup(answers.filter("chunk IS NOT NULL").groupBy("chunk")).applyInPandas(evaluate, schema)
 
 
 def q_op7(spark, sf_dir):
