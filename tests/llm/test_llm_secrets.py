@@ -76,3 +76,23 @@ def test_redaction_removes_every_span_and_keeps_the_rest(spark):
     assert new[101].text == "[SECRET] [SECRET]"
     for d, t, *_ in rows[:17]:
         assert new[d].text == t
+
+
+def test_guesses_cover_whole_values():
+    def guessed(text):
+        return [text[a:b] for k, a, b in S.find_spans(text.encode()) if k == "guess"]
+
+    text = "password = Tr0ubadour123!xyz#9Qk"  # assign ends before the '!'
+    assert S.find_spans(text.encode()) == [("assign", 0, 24), ("guess", 0, 32)]
+    assert S.redact_text(f"a {text} b".encode()) == "a [SECRET] b"
+    assert guessed("password=0123456789ab") == []  # inside the assign span
+    for key in ("dbPassword", "DBPassword", "userApiKey", "db_password", "db2Password"):
+        (span,) = guessed(f"{key} = p@9Qz!x$7Lm2vR")
+        assert span.endswith("= p@9Qz!x$7Lm2vR") and key.endswith(span.split()[0])
+    assert guessed("compass = p@9Qz!x$7Lm2vR") == [] and guessed("COMPASS = p@9Qz!x$7Lm2vR") == []
+    for value in ("aB,3;x<9>Kq#z", "two words, q9#Z", "it's,9;Kx#2vQ", r"x\"y,9;Kx#2vQ"):
+        assert guessed(f'{{"pwd": "{value}", "n": "1"}}') == [f'pwd": "{value}']
+        assert value not in S.redact_text(f'{{"pwd": "{value}", "n": "1"}}'.encode())
+    assert guessed("pwd='a,b' pwd=\"\" x") == []  # cheap, empty
+    assert guessed("pwd='xK9#vQ2!pL,no end\n'") == ["pwd='xK9#vQ2!pL"]  # no closing quote on the line
+    assert guessed('"login:" some words "here"') == []

@@ -2,7 +2,8 @@
 
 The fixed kinds are ``assign``, ``access`` and ``hex``.  The method adds
 ``guess``: a value that follows a credential word and ``:`` or ``=`` and that
-would take many guesses.  The cost is the minimum over all segmentations of
+would take many guesses, unless it lies inside an ``assign`` span (both are
+kept if only a part of it does).  The cost is the minimum over all segmentations of
 the value into dictionary words, dates, repeated characters, keyboard walks
 and brute-force characters, found by dynamic programming (log10 of guesses,
 added over segments).  A pattern segment has at most ``MAX_SEGMENT``
@@ -29,8 +30,11 @@ ASSIGN = re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # runs are whole: a shorter run cannot start a match
 HEX_BYTES = re.compile(rb"[0-9a-f]{16,}")
-CONTEXT = re.compile(r"(?i:(?<![A-Za-z])(password|passwd|passphrase|passcode|pass|pwd|secret|token|api[_-]?key|credentials?|login|auth))"
-                     r"[\"']?[\x20\t]*(?:[:=]|=>)[\x20\t]*[\"']?([^\s\"'<>,;]+)", re.A)
+#: Context words start a word, also inside a camel-case name; a quoted value ends at its closing quote, others at space , ; < > or a quote.
+CONTEXT = re.compile(r"(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z]))"
+                     r"(?i:(password|passwd|passphrase|passcode|pass|pwd|secret|token|api[_-]?key|credentials?|login|auth))"
+                     r"[\"']?[\x20\t]*(?:[:=]|=>)[\x20\t]*"
+                     r"(?:([\"'])(?!\s)((?:(?!\2)[^\\\r\n]|\\.)++)(?=\2)|[\"']?([^\s\"'<>,;]+))", re.A)
 HINTS = (b"pass", b"pwd", b"secret", b"token", b"api", b"credential", b"login", b"auth")
 
 #: Guesses, as a power of ten, from which a value counts as a secret.
@@ -117,7 +121,7 @@ def find_spans(text: bytes | None, min_cost: float = MIN_COST) -> list[tuple[str
         taken = [(a, b) for _, a, b in out]
         for m in CONTEXT.finditer(s):
             a, b = m.span()
-            if not any(x < b and a < y for x, y in taken) and guess_cost(m[2]) >= min_cost:
+            if not any(x <= a and b <= y for x, y in taken) and guess_cost(m[3] or m[4]) >= min_cost:
                 out.append(("guess", a, b))
     if access:
         out += [("access", *m.span()) for m in ACCESS.finditer(s) if len(m[0]) >= 18]
