@@ -52,6 +52,22 @@ def test_window_stats_on_a_folder_in_time_order(spark, tmp_path):
     assert rows(got) == rows(ST.station_window_stats(spark, SF).select(cols))
 
 
+@pytest.mark.parametrize("order", [("early", "late"), ("late", "early")])
+def test_window_stats_of_part_files_in_any_order(spark, tmp_path, order):
+    f = folder(spark, tmp_path, order, first=None)
+    for k in (0, 1):  # every reading again, in a later file
+        shutil.copyfile(f"{f}/events.parquet/some-name-{k}.parquet", f"{f}/events.parquet/again-{k}.parquet")
+        os.utime(f"{f}/events.parquet/again-{k}.parquet", (1_700_001_000 + k * 100,) * 2)
+    want = ST.station_stream(spark, SF).schema
+    batch = spark.read.parquet(f"{SF}/events.parquet").filter("user_id % 10 != 9").selectExpr(
+        "user_id AS station_id", "event_id AS obs_id", "CAST(ts AS TIMESTAMP) AS time_utc",
+        "CASE WHEN event_id % 17 != 0 THEN value / 10.0D END AS water_level", "event_type AS quality")
+    assert batch.columns == want.names
+    got = ST.station_window_stats(spark, f)
+    assert rows(got) == rows(ST.windowed_stats(batch, delay=None).select(got.columns))
+    assert rows(QUERIES["stream_window_stats"](spark, f)) == rows(QUERIES["stream_window_stats"](spark, SF))
+
+
 def test_restart_continues_and_repeated_runs_change_nothing(spark, tmp_path):
     data, state = tmp_path / "data", tmp_path / "state"
     folder(spark, data, ("early", "late"), first=True)
