@@ -30,7 +30,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = [int(n[2:].split("_")[0]) for n in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 def test_pipeline_stages_against_direct_decisions(spark, tmp_path):

@@ -1,7 +1,7 @@
 """Queries of this package: name -> (spark, sf_dir) builder, and DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
-from tidewatch.llm import chat, decontam, katz, licenses, ngram_join, packing, quality, secret_scan, toxicity, urls
+from tidewatch.llm import centroids, chat, decontam, katz, licenses, ngram_join, packing, quality, secret_scan, toxicity, urls
 
 QUERIES = {
     "op1_quality_rules": quality.q_op1,
@@ -14,10 +14,12 @@ QUERIES = {
     "op8_ngram_jaccard_join": ngram_join.q_op8,
     "op9_url_filters": urls.q_op9,
     "op10_secret_scans": secret_scan.q_op10,
+    "op13_centroid_clustering": centroids.q_op13,
 }
 ORACLE = {
     "op1_quality_rules": quality.ORACLE_OP1,
     "op4_license_scans": licenses.ORACLE_OP4,
     "op5_chat_formatting": chat.ORACLE_OP5,
     "op9_url_filters": urls.ORACLE_OP9,
+    "op13_centroid_clustering": centroids.ORACLE_OP13,
 }
