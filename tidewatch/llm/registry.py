@@ -1,7 +1,7 @@
 """Queries of this package: name -> (spark, sf_dir) builder, and DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
-from tidewatch.llm import alignment, centroids, chat, decontam, katz, licenses, ngram_join, packing, quality, secret_scan, toxicity, urls
+from tidewatch.llm import alignment, centroids, chat, curve_packing, decontam, katz, licenses, ngram_join, packing, quality, secret_scan, toxicity, urls
 
 QUERIES = {
     "op1_quality_rules": quality.q_op1,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": ngram_join.q_op8,
     "op9_url_filters": urls.q_op9,
     "op10_secret_scans": secret_scan.q_op10,
+    "op11_curve_packing": curve_packing.q_op11,
     "op12_cross_tokenizer_alignment": alignment.q_op12,
     "op13_centroid_clustering": centroids.q_op13,
 }
