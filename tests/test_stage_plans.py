@@ -11,7 +11,7 @@ BAD = re.compile(r"CartesianProduct|BatchEvalPython|ArrowEvalPython|MapInArrow|M
                  r"BroadcastNestedLoopJoin (?!LeftOuter|LeftSemi|LeftAnti|RightOuter|ExistenceJoin)")
 STAGED = ["scored_indices", "priority_actions", "area_hazard", "earthquake_spec_intensity", "forced_bands", "fairness_by_quartile",
           "weight_sensitivity", "spearman_backtest", "station_gaps", "route_access", "spec_station_hazard", "station_outliers",
-          "alerts_by_zone", "zone_phase", "published_towns"]
+          "alerts_by_zone", "zone_phase", "published_towns", "indices_replay", "zone_alert_timeline"]
 
 
 @pytest.fixture
@@ -27,7 +27,8 @@ def written(spark, monkeypatch):
 
     import tidewatch.operators.ranking as ranking
     import tidewatch.plans.areas as areas
-    for module in (session, ranking, areas):
+    import tidewatch.plans.replay as replay
+    for module in (session, ranking, areas, replay):
         monkeypatch.setattr(module, "stage_checkpoint", noted)
     return plans
 

@@ -182,9 +182,12 @@ def with_confidence(df: DataFrame, as_of: Column, latest_obs_col: str = "noaa_la
               .withColumn("confidence_0_1", clip(F.col("confidence_score") / 100.0, 0.0, 1.0)))
 
 
-def with_confidence_adjustment(df: DataFrame) -> DataFrame:
-    """D-23: c * priority + (1 - c) * median(priority)."""
-    df = df.withColumn("_med", df.select(F.median("priority_index").cast("double")).scalar())
+def with_confidence_adjustment(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """D-23: c * priority + (1 - c) * median(priority), the median over the table or per ``partition_by`` group."""
+    if partition_by:
+        df = df.join(df.groupBy(*partition_by).agg(F.median("priority_index").cast("double").alias("_med")), partition_by, "left")
+    else:
+        df = df.withColumn("_med", df.select(F.median("priority_index").cast("double")).scalar())
     c = F.col("confidence_0_1")
     return (df.withColumn("priority_index_conf_adj", c * F.col("priority_index") + (F.lit(1.0) - c) * F.col("_med"))
               .drop("_med"))

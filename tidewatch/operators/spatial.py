@@ -82,6 +82,18 @@ def radius_join(left: DataFrame, right: DataFrame, r_km: float, max_abs_lat: flo
     return j.withColumn(dist_col, d).filter(F.col(dist_col) <= r_km).drop("_cy", "_cx")
 
 
+def kernel_pairs(areas: DataFrame, points: DataFrame, area_key: str, area_coords=("latitude", "longitude"),
+                 point_coords=("lat", "lon"), area_buckets: int = AREA_BUCKETS, point_buckets: int = POINT_BUCKETS) -> DataFrame:
+    """Every (area, point) pair with its distance ``_d``, dealt to a grid of bucket keys; to be folded at once."""
+    la, lo = area_coords
+    pa, po = point_coords
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    a = areas.select(area_key, F.col(la).alias("_alat"), F.col(lo).alias("_alon")).withColumn(
+        "_ab", F.pmod(F.xxhash64(area_key), F.lit(area_buckets)).cast("int")).withColumn("_pb", every(point_buckets))
+    p = points.withColumn("_pb", F.pmod(F.xxhash64(pa, po), F.lit(point_buckets)).cast("int")).withColumn("_ab", every(area_buckets))
+    return p.join(a, ["_ab", "_pb"]).withColumn("_d", haversine_km(F.col("_alat"), F.col("_alon"), F.col(pa), F.col(po)))
+
+
 def kernel_aggregate(areas: DataFrame, points: DataFrame, area_key: str, aggs_fn,
                      area_coords=("latitude", "longitude"), point_coords=("lat", "lon"),
                      area_buckets: int = AREA_BUCKETS, point_buckets: int = POINT_BUCKETS) -> DataFrame:
@@ -91,14 +103,7 @@ def kernel_aggregate(areas: DataFrame, points: DataFrame, area_key: str, aggs_fn
     list[Column]`` builds the aggregate columns.  Returns one row per area if
     there is a point at all.
     """
-    la, lo = area_coords
-    pa, po = point_coords
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    a = areas.select(area_key, F.col(la).alias("_alat"), F.col(lo).alias("_alon")).withColumn(
-        "_ab", F.pmod(F.xxhash64(area_key), F.lit(area_buckets)).cast("int")).withColumn("_pb", every(point_buckets))
-    p = points.withColumn("_pb", F.pmod(F.xxhash64(pa, po), F.lit(point_buckets)).cast("int")).withColumn("_ab", every(area_buckets))
-    d = haversine_km(F.col("_alat"), F.col("_alon"), F.col(pa), F.col(po))
-    pairs = p.join(a, ["_ab", "_pb"]).withColumn("_d", d)
+    pairs = kernel_pairs(areas, points, area_key, area_coords, point_coords, area_buckets, point_buckets)
     return pairs.groupBy(area_key).agg(*aggs_fn(F.col("_d")))
 
 

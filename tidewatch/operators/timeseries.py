@@ -24,7 +24,7 @@ from tidewatch.functions.numeric import clip, nan_mean, normalize_linear
 from tidewatch.functions.timefn import hours_between, hours_between_floor, minutes_between
 
 
-def latest_k(series: DataFrame, k: int, key: str = "station_id", time_col: str = "time_utc",
+def latest_k(series: DataFrame, k: int, key: str | list[str] = "station_id", time_col: str = "time_utc",
              tie_col: str = "obs_id") -> DataFrame:
     """W-01: the k most recent rows per key, with ``rn`` (1 = latest).
 

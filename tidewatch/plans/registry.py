@@ -65,3 +65,4 @@ from tidewatch.plans import queries_io  # noqa: E402,F401  (registers)
 from tidewatch.plans import queries_more  # noqa: E402,F401  (registers)
 from tidewatch.plans import queries_feeds  # noqa: E402,F401  (registers)
 from tidewatch.plans import queries_extra  # noqa: E402,F401  (registers)
+from tidewatch.plans import queries_replay  # noqa: E402,F401  (registers)
