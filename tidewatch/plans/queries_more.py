@@ -12,6 +12,7 @@ from tidewatch.operators import spatial as sp
 from tidewatch.plans import areas as A
 from tidewatch.plans import oracle as _O
 from tidewatch.plans.oracle import sql
+from tidewatch.plans.queries_core import _scored_sql
 from tidewatch.plans.registry import out_sql, register
 from tidewatch.sources import bind
 
@@ -352,7 +353,7 @@ _H = "(epoch_us({a}) - epoch_us({b})) / 3600000000.0::DOUBLE"
           FROM tidal_series s, range(0, 4) t(k))
     GROUP BY station_id, ws)"""), "tidal_series"))
 def q_stream_stats(spark, sf_dir):
-    """ST-01..ST-03: file stream -> dedupe within watermark -> sliding hourly stats."""
+    """ST-01..ST-03: file stream -> repeated keys dropped -> sliding hourly stats."""
     from tidewatch.streaming.streams import station_window_stats
     d = station_window_stats(spark, sf_dir)
     return d.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
@@ -367,7 +368,7 @@ def q_stream_stats(spark, sf_dir):
         greatest({_H.format(a='latest_time_utc', b='prev_time_utc')}, 1e-6::DOUBLE) END AS rise_rate_per_hour
     FROM latest_prev)"""), "latest_prev"))
 def q_stream_latest(spark, sf_dir):
-    """ST-04 + ST-05: latest / previous reading per station kept across micro-batches."""
+    """ST-04: latest / previous reading per station kept across micro-batches."""
     from tidewatch.streaming.streams import latest_state_stream
     d = latest_state_stream(spark, sf_dir)
     for c in ("latest_time_utc", "prev_time_utc"):
@@ -386,9 +387,16 @@ def q_stream_latest(spark, sf_dir):
                 JOIN (SELECT DISTINCT alert_key, zone_id FROM alert_zones) z ON a.alert_key = z.alert_key))
     GROUP BY zone_id, sid)"""), "alert_zones"))
 def q_stream_sessions(spark, sf_dir):
-    """ST-06: alert sessions per zone (24 h gap) from an orders stream joined to static zones."""
+    """ST-06: alert sessions per zone (24 h gap) from a stream of alerts and a stream of their zones."""
     from tidewatch.streaming.streams import alert_sessions
     d = alert_sessions(spark, sf_dir)
     for c in ("session_start", "session_end"):
         d = d.withColumn(c, F.col(c).cast("timestamp_ntz"))
     return d
+
+
+@register("stream_scored_indices", _scored_sql("DURING"))
+def q_stream_scored(spark, sf_dir):
+    """ST-05: the scored indices after the last batch of an event stream, rescored batch by batch from the area state."""
+    from tidewatch.streaming.streams import rolling_indices
+    return rolling_indices(spark, sf_dir)

@@ -20,23 +20,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-_READERS: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Reader for one landed table.
-
-    The reader DataFrame (file listing + footer schema, no data) is reused
-    per session and path, since a landed table does not change during a run;
-    every query still scans the files itself.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _READERS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _READERS[key] = df
-    return df
+    """Reader for one landed table, as its files are now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def table_rows(spark: SparkSession, sf_dir: str, name: str) -> Column:
@@ -141,7 +127,11 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alert_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(alert_key, zone_id) pairs: each line item names one forecast zone."""
-    li = read_table(spark, sf_dir, "lineitem")
+    return zone_rows(read_table(spark, sf_dir, "lineitem"))
+
+
+def zone_rows(li: DataFrame) -> DataFrame:
+    """The zones that line items name."""
     zone = F.concat(F.lit("PRZ"), F.lpad(((F.col("l_suppkey") % 13) + 1).cast("string"), 3, "0"))
     return li.select(F.col("l_orderkey").alias("alert_key"), zone.alias("zone_id"))
 
@@ -159,7 +149,11 @@ def active_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def earthquakes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as an earthquake; its type is the review status."""
-    ev = read_table(spark, sf_dir, "events")
+    return quake_rows(read_table(spark, sf_dir, "events"))
+
+
+def quake_rows(ev: DataFrame) -> DataFrame:
+    """Events as earthquakes."""
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("double")
     return ev.select(
