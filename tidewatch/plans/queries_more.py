@@ -13,7 +13,7 @@ from tidewatch.plans import areas as A
 from tidewatch.plans import oracle as _O
 from tidewatch.plans.oracle import sql
 from tidewatch.plans.queries_core import _scored_sql
-from tidewatch.plans.registry import out_sql, register
+from tidewatch.plans.registry import ORACLE, out_sql, register
 from tidewatch.sources import bind
 
 
@@ -377,6 +377,17 @@ def q_stream_latest(spark, sf_dir):
                     "rise_rate_per_hour")
 
 
+@register("stream_latest_state_store", ORACLE["stream_latest_state"])
+def q_stream_latest_store(spark, sf_dir):
+    """ST-04 by Spark's state API (keyed list state) instead of a state table: the same rows."""
+    from tidewatch.streaming.stateful import latest_state_by_store
+    d = latest_state_by_store(spark, sf_dir)
+    for c in ("latest_time_utc", "prev_time_utc"):
+        d = d.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return d.select("station_id", "latest_time_utc", "latest_water_level", "prev_time_utc", "prev_water_level",
+                    "rise_rate_per_hour")
+
+
 @register("stream_alert_sessions", sql(out_sql("zone_id, session_start, session_end, n_alerts:l", """(
     SELECT zone_id, min(onset) AS session_start, max(onset) + INTERVAL 24 HOUR AS session_end, count(*) AS n_alerts
     FROM (SELECT *, sum(CASE WHEN prev IS NULL OR onset >= prev + INTERVAL 24 HOUR THEN 1 ELSE 0 END)
