@@ -81,8 +81,3 @@ def last_path_segment(x) -> Column:
 def contains_ci(x, needle: str) -> Column:
     """T-12: case-insensitive substring test; missing text -> false."""
     return F.coalesce(F.lower(_c(x)).contains(needle.lower()), F.lit(False))
-
-
-def value_with_unit(value, unit) -> Column:
-    """T-11: "value unit", skipping a missing part."""
-    return F.concat_ws(" ", _c(value).cast("string"), _c(unit))

@@ -42,11 +42,6 @@ def hours_between_floor(later, earlier, floor: float) -> Column:
     return F.greatest(hours_between(later, earlier), F.lit(float(floor)))
 
 
-def ts_to_text(x, fmt: str = "yyyy-MM-dd'T'HH:mm:ss'Z'") -> Column:
-    """D-DT3: timestamp -> text."""
-    return F.date_format(_c(x), fmt)
-
-
 def ts_to_epoch_ms(x) -> Column:
     """D-DT5: timestamp -> epoch milliseconds."""
     return F.unix_millis(as_utc(x))

@@ -80,11 +80,6 @@ def minmax_scores(df: DataFrame, specs) -> DataFrame:
     return df.withColumns(cols).drop("_st")
 
 
-def minmax_score(df: DataFrame, col: str, out: str, invert: bool = False) -> DataFrame:
-    """D-08 for one column."""
-    return minmax_scores(df, [(col, out, invert)])
-
-
 def zscore(df: DataFrame, col: str, out: str) -> DataFrame:
     """SP-26: (x - mean) / stddev over the table; zero spread -> null."""
     x = F.col(col).cast("double")

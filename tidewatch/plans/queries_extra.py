@@ -149,9 +149,11 @@ GEO = "area_id:l, municipio, priority_band, lat:d, lon:d, priority:d"
     SELECT area_id, municipio, priority_band, latitude AS lat, longitude AS lon, priority_index_conf_adj AS priority
     FROM scored WHERE latitude IS NOT NULL AND longitude IS NOT NULL)"""), "scored"))
 def q_geojson_areas(spark, sf_dir):
-    """K-02 + R-05: scored areas as GeoJSON features, parsed back."""
+    """K-02 + R-05: scored areas as GeoJSON features, written as text and parsed back."""
     s = A.scored_indices(spark, sf_dir).select("area_id", "municipio", "latitude", "longitude", "priority_band", "priority_index_conf_adj")
-    f = W.geojson_features(s).select(F.from_json("feature", "geometry struct<coordinates: array<double>>, properties struct<"
+    path = _folder(spark, "areas-geojson")
+    W.write_geojson(s, path)
+    f = spark.read.text(path).select(F.from_json("value", "geometry struct<coordinates: array<double>>, properties struct<"
                                                  "area_id: bigint, municipio: string, priority_band: string, priority_index_conf_adj: double>").alias("f"))
     p, xy = F.col("f.properties"), F.col("f.geometry.coordinates")
     return f.select(p["area_id"].alias("area_id"), p["municipio"].alias("municipio"), p["priority_band"].alias("priority_band"),
@@ -175,3 +177,55 @@ def q_threshold_bounds(spark, sf_dir):
     long = v.withColumns({"indicator": F.lit("balance"), "thr_lo": F.when(even, F.lit(4000.0)), "thr_hi": F.when(even, F.lit(5000.0))})
     meta = CO.indicator_meta(spark, [("balance", "ics", 1.0, "higher_worse", "thresholds", 0.0, 100.0)])
     return CO.normalise_indicators(long, meta).select("area_id", "indicator", "score")
+
+
+# ---------------- S-07, S-08, U-01, ST-01 landed files -----------------
+
+PAGE_EVENTS = 500
+
+
+def _landed_quakes(spark, sf_dir):
+    """Folder of earthquake pages: events by their number, at most ``PAGE_EVENTS`` to a page, and one broken page per region."""
+    from tidewatch.plans.queries_io import _quake_docs
+    from tidewatch.sources import landing
+    f = _quake_docs(spark, sf_dir).select(F.from_json("payload", "features array<string>")["features"][0].alias("f"))
+    f = f.withColumn("page", F.floor(F.substring(F.get_json_object("f", "$.id"), 3, 30).cast("long") / PAGE_EVENTS).cast("string"))
+    pages = f.groupBy("page").agg(F.concat(F.lit('{\n "features": [\n'), F.array_join(F.collect_list("f"), ",\n"), F.lit("\n ]\n}")).alias("payload"))
+    broken = bind.read_table(spark, sf_dir, "region").select(
+        F.concat(F.lit("broken-"), F.col("r_regionkey").cast("string")).alias("page"),
+        F.concat(F.lit('{\n "features": [{"id": "'), F.col("r_name"), F.lit('", "proper')).alias("payload"))
+    folder = _folder(spark, "quake-pages")
+    landing.land(pages.unionByName(broken), folder)
+    return folder
+
+
+def _by_both_readers(spark, sf_dir, part):
+    """Rows (part 0) or rejects (part 1) of the landed pages, by glob and by stream."""
+    from tidewatch.sources import landing
+    folder = _landed_quakes(spark, sf_dir)
+    by_glob = landing.read_feed(spark, "quakes", f"{folder}/page=*")[part]
+    by_stream = landing.stream_feed(spark, "quakes", f"{folder}/page=*", _folder(spark, "quake-stream"))[part]
+    return by_glob.withColumn("reader", F.lit("glob")).unionByName(by_stream.withColumn("reader", F.lit("stream")))
+
+
+LANDED = "reader, event_id, time_utc, magnitude:d, depth_km:d, longitude:d, latitude:d, place, status"
+
+
+@register("landed_quakes", sql(out_sql(LANDED, """(
+    SELECT r.reader, 'pr' || CAST(event_id AS VARCHAR) AS event_id, make_timestamp((epoch_us(time_utc) // 1000) * 1000) AS time_utc, magnitude,
+      depth_km, longitude, latitude, place, status
+    FROM quakes, (VALUES ('glob'), ('stream')) r(reader))"""), "quakes"))
+def q_landed(spark, sf_dir):
+    """S-07, U-01, ST-01: pages of earthquakes written as multi-line JSON files, read by glob and by a file stream."""
+    d = _by_both_readers(spark, sf_dir, 0)
+    return d.withColumn("time_utc", F.col("time_utc").cast("timestamp_ntz")).select(*[c.split(":")[0].strip() for c in LANDED.split(",")])
+
+
+@register("landed_rejects", out_sql("reader, page, region, n_chars:l", """(
+    SELECT r.reader, 'broken-' || CAST(r_regionkey AS VARCHAR) AS page, r_name AS region, 34 + length(r_name) AS n_chars
+    FROM region, (VALUES ('glob'), ('stream')) r(reader))"""))
+def q_landed_rejects(spark, sf_dir):
+    """ST-01: the files that do not parse, with their texts."""
+    d = _by_both_readers(spark, sf_dir, 1)
+    return d.select("reader", F.regexp_extract("file", "page=([^/]+)/", 1).alias("page"), F.regexp_extract("payload", '"id": "([^"]+)"', 1).alias("region"),
+                    F.length(F.regexp_replace("payload", "\\s+$", "")).alias("n_chars"))

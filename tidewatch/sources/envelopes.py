@@ -1,13 +1,8 @@
-"""Readers for landed JSON feeds (S-01 .. S-09), with explicit schemas.
+"""Schemas of the JSON feeds (S-01 .. S-09) and the rows of their documents.
 
-Each feed has two entry points:
-
-* ``read_<feed>(spark, path)`` -- read landed files (one JSON document per
-  file, ``multiLine``) with a fixed schema; a directory or glob of pages is one
-  read (S-08), so paging is just more files.
-* ``parse_<feed>(df, col)`` -- the same flattening applied to a string column
-  holding the documents (``from_json``), used when documents arrive as rows
-  (streams, tables of payloads).
+Documents come from files (``sources.landing``: one per file, pages are more
+files) or as a string column (``_parse``); either way the same functions make
+rows of them.
 
 No schema inference, no ``mergeSchema``; coercion is ``try_cast`` so a bad
 value becomes null instead of failing the job.
@@ -64,10 +59,6 @@ WATER_SCHEMA = _st(("features", T.ArrayType(_st(
     ("geometry", _st(("type", S), ("coordinates", T.ArrayType(D))))))))
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(path)
-
-
 def _parse(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
     return df.select(F.from_json(F.col(col), schema).alias("_doc")).select("_doc.*")
 
@@ -82,10 +73,6 @@ def flatten_catalog(doc: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                     F.col("s.tidal").alias("tidal"))
 
 
-def read_station_catalog(spark: SparkSession, path: str) -> DataFrame:
-    return flatten_catalog(_read(spark, path, CATALOG_SCHEMA))
-
-
 def flatten_station_meta(doc: DataFrame) -> DataFrame:
     s = doc.select(F.explode("stations").alias("s"))
     fl = F.col("s.floodlevels")
@@ -95,10 +82,6 @@ def flatten_station_meta(doc: DataFrame) -> DataFrame:
                     fl["nos_moderate"].alias("nos_moderate"), fl["nos_major"].alias("nos_major"))
 
 
-def read_station_meta(spark: SparkSession, path: str) -> DataFrame:
-    return flatten_station_meta(_read(spark, path, META_SCHEMA))
-
-
 # ---------------- S-03 observations with rejects -----------------
 
 NO_DATA = "no data was found"
@@ -126,10 +109,6 @@ def split_observations(doc: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, rejects
 
 
-def read_observations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return split_observations(_read(spark, path, OBS_SCHEMA))
-
-
 # ---------------- S-04 / S-05 / S-06 -----------------
 
 def flatten_alerts(doc: DataFrame) -> DataFrame:
@@ -144,10 +123,6 @@ def flatten_alerts(doc: DataFrame) -> DataFrame:
     )
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return flatten_alerts(_read(spark, path, ALERTS_SCHEMA))
-
-
 def flatten_zones(doc: DataFrame) -> DataFrame:
     """S-05: zone reference rows with the first ring of a Polygon, or of a MultiPolygon's first part;
     features without id or name are left out, missing or other geometry has no ring."""
@@ -191,10 +166,6 @@ def flatten_quakes(doc: DataFrame, run_utc=None) -> DataFrame:
     return out if run_utc is None else out.withColumn("run_utc", run_utc)
 
 
-def read_quakes(spark: SparkSession, path: str) -> DataFrame:
-    return flatten_quakes(_read(spark, path, QUAKE_SCHEMA))
-
-
 # ---------------- S-08 multi-page daily values -----------------
 
 def flatten_water(doc: DataFrame) -> DataFrame:
@@ -214,11 +185,6 @@ def flatten_water(doc: DataFrame) -> DataFrame:
     )
 
 
-def read_water_pages(spark: SparkSession, path_glob: str) -> DataFrame:
-    """S-08: every page file under the glob in one read."""
-    return flatten_water(_read(spark, path_glob, WATER_SCHEMA))
-
-
 # ---------------- S-09 array-of-arrays with a header row -----------------
 
 def header_table(df: DataFrame, col: str, columns: list[str]) -> DataFrame:
