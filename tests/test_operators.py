@@ -47,12 +47,65 @@ def test_radius_join_equals_brute_force(spark):
     from tidewatch.functions.geo import haversine_km
     a = spark.createDataFrame(_points(spark, 300, 1), "aid long, latitude double, longitude double")
     b = spark.createDataFrame(_points(spark, 200, 2), "bid long, lat double, lon double")
-    grid = {(r.aid, r.bid) for r in spatial.radius_join(a, b, 12.0, 30.0).select("aid", "bid").collect()}
+    grid = {(r.aid, r.bid) for r in spatial.radius_join(a, b, 12.0).select("aid", "bid").collect()}
     brute = a.crossJoin(b).withColumn("d", haversine_km("latitude", "longitude", "lat", "lon"))
     exact = {(r.aid, r.bid) for r in brute.filter("d <= 12.0").select("aid", "bid").collect()}
     assert grid == exact and len(exact) > 0
 
 
+def _globe(n, seed):
+    """Points everywhere: both sides of the antimeridian, poles, latitude 60, and half of them in one dense place."""
+    r = random.Random(seed)
+    out = [(-179.99 + 0.005 * k, 10.0) for k in range(4)] + [(179.97 + 0.01 * k, 10.01) for k in range(3)] + [(180.0, 10.02), (-180.0, 10.03)]
+    out += [(r.uniform(-180, 180), s * (89.9 + r.random() / 10)) for s in (1, -1) for _ in range(n // 10)] + [(0.0, 90.0), (5.0, -90.0)]
+    out += [(20 + r.random() / 2, 60 + r.random() / 2) for _ in range(n // 5)] + [(r.uniform(-180, 180), r.uniform(-90, 90)) for _ in range(n // 5)]
+    out += [(-66 + r.random() / 100, 18 + r.random() / 100) for _ in range(n - len(out))] + [(None, 18.0), (-66.0, None)]
+    return [(k, lat, lon) for k, (lon, lat) in enumerate(out)]
+
+
+def _km(a, b):
+    p, q = math.radians(a[1]), math.radians(b[1])
+    h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(min(1.0, h)))
+
+
+def test_radius_join_all_over_the_globe(spark):
+    left, right = _globe(160, 11), _globe(120, 12)
+    a = spark.createDataFrame(left, "aid long, latitude double, longitude double")
+    b = spark.createDataFrame(right, "bid long, lat double, lon double")
+    for r in (0.5, 12.0, 300.0, 9_000.0, 21_000.0):
+        got = {(x.aid, x.bid) for x in spatial.radius_join(a, b, r).select("aid", "bid").collect()}
+        near = {(x[0], y[0]): _km(x, y) for x in left for y in right if None not in (*x, *y)}
+        assert {k for k, d in near.items() if d <= r * (1 - 1e-9)} <= got <= {k for k, d in near.items() if d <= r * (1 + 1e-9)}
+
+
+def test_a_dense_cell_is_dealt_to_several_keys(spark):
+    a = spark.range(4_000).select(F.col("id").alias("aid"), F.lit(18.0).alias("latitude"), (F.lit(-66.0) + F.col("id") / 1e6).alias("longitude"))
+    b = spark.createDataFrame([(1, 18.0, -66.0)], "bid long, lat double, lon double")
+    pairs = spatial.radius_join(a, b, 12.0)
+    assert pairs.count() == 4_000
+    assert "_cs" in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_nearest_join_equals_brute_force_far_and_across_the_antimeridian(spark):
+    left = _globe(60, 13)
+    for right in (_globe(40, 14), [(7, 18.0, -66.0), (3, 18.0, -66.0)], [(1, -45.0, 179.9)], [(1, None, 0.0)], []):
+        a = spark.createDataFrame(left, "town long, latitude double, longitude double")
+        b = spark.createDataFrame(right, "area_id long, lat double, lon double")
+        got = {x.town: (x.area_id, x.dist_km) for x in spatial.nearest_join(a, b, "town", "area_id").collect()}
+        assert len(got) == len(left)
+        known = [y for y in right if None not in y]
+        for x in left:
+            if None in x or not known:
+                assert got[x[0]] == (None, None)
+                continue
+            best = min(_km(x, y) for y in known)
+            area, d = got[x[0]]
+            assert math.isclose(d, best, rel_tol=1e-6, abs_tol=1e-6) and area in {y[0] for y in known if _km(x, y) <= best + 1e-6}
+            if len(known) == 2:
+                assert area == 3  # of two at one place the smaller key
+
+
 def test_kernel_aggregate_equals_brute_force_with_any_buckets(spark):
     areas, points = _points(spark, 40, 3), _points(spark, 60, 4)
     a = spark.createDataFrame(areas, "area_id long, latitude double, longitude double")

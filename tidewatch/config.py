@@ -144,6 +144,3 @@ CROSSCHECK_CELL_DEGREES = 0.25
 # FIXED VALUES: datum and units of the water-level feed.
 DATUM = "MLLW"
 UNITS = "metric"
-
-# Own choice: latitudes of the data's extent, for the cells of radius joins.
-EXTENT_MAX_ABS_LAT = 30.0

@@ -3,11 +3,12 @@
 Two strategies, both exact:
 
 * ``radius_join`` (J-13) -- pairs within ``r`` km.  Points are put on a
-  lat/lon grid whose cells are at least ``r`` wide, the right side is
-  replicated to its 3x3 neighbour cells, and the sides are equi-joined on the
-  cell (a normal shuffle or broadcast hash join chosen by Catalyst/AQE), then
+  lat/lon grid whose cells are at least ``r`` wide at their own latitude, the right
+  side is replicated to its 3x3 neighbour cells, and the sides are equi-joined on
+  the cell (a normal shuffle or broadcast hash join chosen by Catalyst/AQE), then
   filtered by the exact haversine distance.  Candidates per point are bounded
-  by the local density, not by the table size.
+  by the local density, not by the table size.  ``nearest_join`` (J-19) widens it
+  for the rows that have found nothing yet.
 
 * ``kernel_aggregate`` (J-11 / J-12 + A-04 / A-05 / A-16) -- the decay-weighted
   mean and the earthquake maximum sum over *every* station / event (the
@@ -32,54 +33,85 @@ KM_PER_RAD = C.EARTH_RADIUS_KM
 #: Sides of the (area bucket, location bucket) grid of ``kernel_aggregate``.
 AREA_BUCKETS = 8
 POINT_BUCKETS = 16
+#: Parts that the left rows of a cell of ``radius_join`` are dealt to.
+CELL_SALTS = 4
 
 
-def _cell_sizes(r_km: float, max_abs_lat: float) -> tuple[float, float]:
-    """Cell sizes in degrees so any pair within r_km is at most one cell apart.
+def _grid(r_km: float, lat: Column, lon: Column, row_offset: Column | None = None) -> tuple[Column, Column, Column]:
+    """(row, cell in the row, cells of the row) of a point, on rows at least ``r_km`` high.
 
-    Latitude: haversine >= R * |dlat|.  Longitude: sin(dlon/2) <=
-    sin(r/2R) / cos(lat_max) for any pair within r (from the haversine
-    formula with both cosines >= cos(lat_max)).
+    With ``row_offset`` the cell is that of the point's longitude in a row nearby.  A
+    row's cells are so wide that two points within ``r_km``, one of them in the row and
+    the other in it or next to it, are at most one cell apart: sin(dlon / 2) <= sin(r / 2R) /
+    cos(lat), by the haversine formula with both cosines at least that of the row's and its
+    neighbours' highest latitude.  Cells go round: the last one touches the first,
+    and near a pole a row is one cell.
     """
-    dlat = math.degrees(r_km / KM_PER_RAD) * (1 + 1e-9)
-    c = math.cos(math.radians(min(max_abs_lat, 89.999)))
-    s = min(1.0, math.sin(r_km / (2 * KM_PER_RAD)) / c)
-    dlon = math.degrees(2 * math.asin(s)) * (1 + 1e-9)
-    return dlat, min(dlon, 360.0)
-
-
-def radius_join(left: DataFrame, right: DataFrame, r_km: float, max_abs_lat: float,
-                left_coords=("latitude", "longitude"), right_coords=("lat", "lon"),
-                dist_col: str = "dist_km") -> DataFrame:
+    high = math.degrees(r_km / KM_PER_RAD) * (1 + 1e-9)
+    row = F.floor(lat / F.lit(high)).cast("long")
+    if row_offset is not None:
+        row = row + row_offset
+    top = (F.greatest(F.abs(row - F.lit(1)), F.abs(row + F.lit(2))) * F.lit(high))
+    cos = F.when(top < 89.999, F.cos(F.radians(top)))
+    x = F.try_divide(F.lit(math.sin(min(r_km / (2 * KM_PER_RAD), math.pi / 2))), cos)
+    wide = F.when((x < 1.0) & F.lit(high < 60.0), F.degrees(F.lit(2.0) * F.asin(x)) * F.lit(1 + 1e-9))
+    cells = F.greatest(F.coalesce(F.floor(F.lit(360.0) / wide), F.lit(1)), F.lit(1)).cast("long")
+    at = F.least(F.floor(F.pmod(lon + F.lit(180.0), F.lit(360.0)) / (F.lit(360.0) / cells)).cast("long"), cells - F.lit(1))
+    return row, at, cells
+
+
+def radius_join(left: DataFrame, right: DataFrame, r_km: float, left_coords=("latitude", "longitude"), right_coords=("lat", "lon"),
+                dist_col: str = "dist_km", salts: int = CELL_SALTS) -> DataFrame:
     """J-13: all (left, right) pairs with haversine distance <= r_km (inclusive).
 
-    ``max_abs_lat`` bounds the latitudes of both sides (the extent of the
-    data); it fixes the cell width without a pass over the inputs, and a row
-    beyond it fails the job.  Rows with null coordinates never match.  Not covered: pairs across the
-    antimeridian and cells touching a pole.
+    Any latitude, the antimeridian and the poles included.  The right side is
+    repeated for its neighbour cells and for ``salts`` parts of each cell, over which the
+    left rows of a dense cell are dealt.  Rows with null coordinates never match.
     """
-    la, lo = left_coords
-    ra, ro = right_coords
-    dlat, dlon = _cell_sizes(r_km, max_abs_lat)
-
-    def row(lat: str) -> Column:
-        beyond = F.raise_error(F.lit(f"latitude beyond {max_abs_lat}")).cast("long")
-        return F.when(F.abs(F.col(lat)) <= max_abs_lat, F.floor(F.col(lat) / dlat).cast("long")).otherwise(beyond)
-
+    (la, lo), (ra, ro) = left_coords, right_coords
+    row, cell, _ = _grid(r_km, F.col(la), F.col(lo))
     lcell = left.filter(F.col(la).isNotNull() & F.col(lo).isNotNull()).withColumns({
-        "_cy": row(la),
-        "_cx": F.floor(F.col(lo) / dlon).cast("long"),
-    })
-    offs = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    rcell = (right.filter(F.col(ra).isNotNull() & F.col(ro).isNotNull())
-             .withColumn("_oy", F.explode(offs)).withColumn("_ox", F.explode(offs))
-             .withColumns({
-                 "_cy": row(ra) + F.col("_oy"),
-                 "_cx": F.floor(F.col(ro) / dlon).cast("long") + F.col("_ox"),
-             }).drop("_oy", "_ox"))
-    j = lcell.join(rcell, ["_cy", "_cx"], "inner")
+        "_cy": row, "_cx": cell, "_cs": F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")})
+    offs = F.array(*[F.lit(i).cast("long") for i in (-1, 0, 1)])
+    near = right.filter(F.col(ra).isNotNull() & F.col(ro).isNotNull()).withColumn("_oy", F.explode(offs))
+    row, cell, cells = _grid(r_km, F.col(ra), F.col(ro), F.col("_oy"))
+    near = near.withColumns({"_cy": row, "_at": cell, "_n": cells}).withColumn("_cx", F.explode(F.array_distinct(F.array(
+        *[F.pmod(F.col("_at") + F.lit(i), F.col("_n")) for i in (-1, 0, 1)])))).drop("_oy", "_at", "_n")
+    rcell = near.withColumn("_cs", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    j = lcell.join(rcell, ["_cy", "_cx", "_cs"], "inner")
     d = haversine_km(F.col(la), F.col(lo), F.col(ra), F.col(ro))
-    return j.withColumn(dist_col, d).filter(F.col(dist_col) <= r_km).drop("_cy", "_cx")
+    return j.withColumn(dist_col, d).filter(F.col(dist_col) <= r_km).drop("_cy", "_cx", "_cs")
+
+
+def nearest_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, first_km: float = 10.0,
+                 left_coords=("latitude", "longitude"), right_coords=("lat", "lon")) -> DataFrame:
+    """J-19: left key, key and distance of the nearest right row (of equal ones the smallest key) of every left row.
+
+    Rings that widen: a neighbour found within a radius is the nearest, as all
+    nearer ones lie within it too; only rows that found none go on with four
+    times the radius, until it reaches round the globe.  Each round's rows without an
+    answer are written, so a round never repeats the one before.  Rows without
+    coordinates, and all rows if the right side is empty, have nulls.  ``left_key``
+    is unique.  A row meets the right rows within four times its nearest distance,
+    so the right side should be a dimension (areas, stations).
+    """
+    from tidewatch.session import stage_checkpoint
+    (la, lo), (ra, ro) = left_coords, right_coords
+    points = right.select(F.col(right_key).alias("_right_key"), F.col(ra).alias("_ra"), F.col(ro).alias("_ro")).filter("_ra IS NOT NULL AND _ro IS NOT NULL")
+    rest = left.select(F.col(left_key).alias("_left_key"), F.col(la).alias("_la"), F.col(lo).alias("_lo"))
+    found, r = None, float(first_km)
+    while True:
+        pairs = radius_join(rest, points, r, ("_la", "_lo"), ("_ra", "_ro"), "_d")
+        best = pairs.groupBy("_left_key").agg(F.min(F.struct("_d", "_right_key")).alias("_b"))
+        done = stage_checkpoint(rest.join(best, "_left_key", "left").select("_left_key", "_la", "_lo", "_b"), "nearest")
+        hit = done.filter(F.col("_b").isNotNull())
+        found = hit if found is None else found.unionByName(hit)
+        rest = done.filter(F.col("_b").isNull()).drop("_b")
+        if r >= math.pi * KM_PER_RAD or rest.filter("_la IS NOT NULL AND _lo IS NOT NULL").isEmpty():
+            break
+        r = min(4 * r, math.pi * KM_PER_RAD * (1 + 1e-9))
+    out = found.unionByName(rest, allowMissingColumns=True)
+    return out.select(F.col("_left_key").alias(left_key), F.col("_b._right_key").alias(right_key), F.col("_b._d").alias("dist_km"))
 
 
 def kernel_pairs(areas: DataFrame, points: DataFrame, area_key: str, area_coords=("latitude", "longitude"),

@@ -74,7 +74,7 @@ def q_forced(spark, sf_dir):
     feats = A.area_features(spark, sf_dir)
     s = A.scored_indices(spark, sf_dir, features=feats).select("area_id", "municipio", "priority_band")
     st = station_latest_features(spark, sf_dir).select("lat", "lon", "exceed_ratio")
-    pairs = sp.radius_join(feats.select("area_id", "latitude", "longitude"), st, C.OVERRIDE_KM, C.EXTENT_MAX_ABS_LAT)
+    pairs = sp.radius_join(feats.select("area_id", "latitude", "longitude"), st, C.OVERRIDE_KM)
     m = pairs.groupBy("area_id").agg(F.max(F.coalesce(F.col("exceed_ratio") >= 1.0, F.lit(False)))
                                      .alias("major_exceeded"))
     named = bind.active_alerts(spark, sf_dir).filter(F.lower("event").contains("flash flood warning")).select("area_desc").distinct()
@@ -97,26 +97,21 @@ def q_pairs(spark, sf_dir):
     from tidewatch.plans.stations import station_latest_features
     st = station_latest_features(spark, sf_dir).select("station_id", "lat", "lon")
     areas = A.area_features(spark, sf_dir).select("area_id", "latitude", "longitude")
-    return sp.radius_join(areas, st, C.OVERRIDE_KM, C.EXTENT_MAX_ABS_LAT).select("area_id", "station_id", "dist_km")
+    return sp.radius_join(areas, st, C.OVERRIDE_KM).select("area_id", "station_id", "dist_km")
 
 
 @register("nearest_area", sql(out_sql("designated_area, area_id:l, dist_km:d", f"""(
     SELECT designated_area, area_id, dist_km FROM (
-      SELECT t.designated_area, a.area_id,
-        {_O._haversine('t.latitude', 't.longitude', 'a.latitude', 'a.longitude')} AS dist_km,
-        row_number() OVER (PARTITION BY t.designated_area ORDER BY
-          {_O._haversine('t.latitude', 't.longitude', 'a.latitude', 'a.longitude')}, a.area_id) AS rn
-      FROM towns t, located_areas a
-      WHERE {_O._haversine('t.latitude', 't.longitude', 'a.latitude', 'a.longitude')} <= 25.0)
+      SELECT t.designated_area, a.area_id, d AS dist_km, row_number() OVER (PARTITION BY t.designated_area ORDER BY d, a.area_id) AS rn
+      FROM towns t LEFT JOIN LATERAL (
+        SELECT area_id, {_O._haversine('t.latitude', 't.longitude', 'x.latitude', 'x.longitude')} AS d FROM located_areas x
+        WHERE t.latitude IS NOT NULL AND t.longitude IS NOT NULL) a ON TRUE)
     WHERE rn = 1)"""), "towns", "located_areas"))
 def q_nearest(spark, sf_dir):
-    """J-19 re-aimed: each town's nearest area centroid within 25 km (radius join + min by distance)."""
+    """J-19 re-aimed: every town with its nearest area centroid, however far; nulls without coordinates."""
     towns = bind.towns(spark, sf_dir).select("designated_area", "latitude", "longitude")
-    areas = A.area_features(spark, sf_dir).select("area_id", F.col("latitude").alias("alat"),
-                                                  F.col("longitude").alias("alon"))
-    p = sp.radius_join(towns, areas, 25.0, C.EXTENT_MAX_ABS_LAT, right_coords=("alat", "alon"))
-    best = p.groupBy("designated_area").agg(F.min(F.struct("dist_km", "area_id")).alias("b"))
-    return best.select("designated_area", F.col("b.area_id").alias("area_id"), F.col("b.dist_km").alias("dist_km"))
+    areas = A.area_features(spark, sf_dir).select("area_id", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+    return sp.nearest_join(towns, areas, "designated_area", "area_id")
 
 
 # ---------------- SP-11 exposure in hazard zones -----------------
@@ -144,7 +139,7 @@ def q_exposure(spark, sf_dir):
     hot = station_latest_features(spark, sf_dir).filter(F.col("sensor_hazard_score") >= 50.0).select("lat", "lon")
     towns = A.town_risk(spark, sf_dir).select("designated_area", "municipio_key", "zip_population",
                                               "latitude", "longitude")
-    inz = sp.radius_join(towns, hot, C.OVERRIDE_KM, C.EXTENT_MAX_ABS_LAT).select("designated_area").distinct() \
+    inz = sp.radius_join(towns, hot, C.OVERRIDE_KM).select("designated_area").distinct() \
         .withColumn("in_zone", F.lit(True))
     t = towns.join(inz, "designated_area", "left").withColumn("in_zone", F.coalesce("in_zone", F.lit(False)))
     areas = A.area_features(spark, sf_dir).select("area_id", "municipio_key")

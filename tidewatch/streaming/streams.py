@@ -258,7 +258,7 @@ def _rescore_batch(batch: DataFrame, batch_id: int, feats: DataFrame, override,
         flood = kernel_pairs(located, moved, "area_id").groupBy("area_id").agg(
             F.sum(w * F.col("dh")).alias("d_swh"), F.sum(w * F.col("dn")).alias("d_sw"), F.sum("dn").alias("d_n"))
 
-        reach = lambda left, right: radius_join(left, right, C.OVERRIDE_KM, C.EXTENT_MAX_ABS_LAT)
+        reach = lambda left, right: radius_join(left, right, C.OVERRIDE_KM)
         touched = reach(located, moved.select("lat", "lon")).select("area_id").distinct()
         every = places(stations.before(batch_id + 1))
         near = reach(located.join(touched, "area_id", "left_semi"), every).groupBy("area_id").agg(F.max("hazard").alias("t_max"), F.count(F.lit(1)).alias("t_n"))
