@@ -138,9 +138,6 @@ LOOKBACK_HOURS = 72
 # ---------------------------------------------------------------------------
 
 
-# Own choice: side of the cells within which latest levels are compared.
-CROSSCHECK_CELL_DEGREES = 0.25
-
 # FIXED VALUES: datum and units of the water-level feed.
 DATUM = "MLLW"
 UNITS = "metric"

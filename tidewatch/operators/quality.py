@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch import config as C
-from tidewatch.functions.numeric import clip, normalize_linear, weighted_sum
+from tidewatch.functions.numeric import clip, nan_mean, normalize_linear, weighted_sum
 from tidewatch.functions.text import first_flag
 from tidewatch.functions.timefn import hours_between, hours_between_floor
 from tidewatch.operators.ranking import join_stats
@@ -126,18 +126,107 @@ def baseline_percentiles_exact(series: DataFrame, as_of: Column, days: int = C.S
     return q.join(n, key).select(key, "baseline_p05", "baseline_p95", "n_values")
 
 
-def observation_quality(series: DataFrame, as_of: Column, meta_fn, recent_hours: float = 24.0,
-                        lo: float = 0.0, hi: float = 45.0, cell_degrees: float = C.CROSSCHECK_CELL_DEGREES,
-                        key: str = "station_id") -> DataFrame:
-    """SP-16: per-station quality factors (0..1) and the spec's confidence.
+def day_of(time) -> Column:
+    """Whole UTC days since the epoch."""
+    return F.floor(F.unix_micros(F.col(time).cast("timestamp")) / F.lit(86_400_000_000)).cast("long")
+
+
+#: Size parameter of the daily sketches, and the rank error that they stay within (normalised).
+SKETCH_K = 400
+SKETCH_RANK_ERROR = 0.012
+
+
+def rolling_baseline(series: DataFrame, days: int = C.SPEC_BASELINE_WINDOW_DAYS, k: int = SKETCH_K, key: str = "station_id") -> DataFrame:
+    """SP-14: p05 / p95 of the trailing ``days`` per station and day with a reading, from mergeable sketches.
+
+    One KLL sketch per station and day is stored; a day's baseline merges two of
+    them whatever the length of the range: days are cut into blocks as long as
+    the range, so a range is the end of one block and the beginning of the next,
+    and both are running merges inside their block.  Ranks are right to
+    ``SKETCH_RANK_ERROR`` (k = 400); a station and block has at most ``days`` rows, so
+    a hot station is as cheap as any after the daily aggregate.
+    """
+    from tidewatch.session import stage_checkpoint
+    d = series.filter(F.col("water_level").isNotNull() & F.col("time_utc").isNotNull()).groupBy(key, day_of("time_utc").alias("day")).agg(
+        F.kll_sketch_agg_double("water_level", k).alias("s"), F.count(F.lit(1)).alias("n"))
+    d = stage_checkpoint(d, "daily_sketches").withColumn("block", F.floor(F.col("day") / F.lit(days)))
+    block = Window.partitionBy(key, "block")
+    up = block.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    down = block.orderBy(F.col("day").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    begin = d.select(key, "day", F.kll_merge_agg_double("s").over(up).alias("s"), F.sum("n").over(up).alias("n"))
+    end = d.select(key, F.col("day").alias("_day"), F.kll_merge_agg_double("s").over(down).alias("_s"), F.sum("n").over(down).alias("_n"),
+                   F.coalesce(F.lag("day").over(block.orderBy("day")) + F.lit(1), F.col("block") * F.lit(days)).alias("_from"))
+    # the end of a block from any of its days on: that of the next day with a reading
+    end = end.select(F.col(key).alias("_key"), "_s", "_n", F.explode(F.sequence("_from", "_day")).alias("_start"))
+    # a range that begins with its block is that block's beginning
+    first = F.when(F.col("day") % days != days - 1, F.col("day") - F.lit(days - 1))
+    b = begin.withColumn("_first", first)
+    j = b.join(end, (F.col(key) == F.col("_key")) & (F.col("_first") == F.col("_start")), "left")
+    merged = F.when(F.col("_s").isNull(), F.col("s")).otherwise(F.kll_sketch_merge_double("s", "_s"))
+    j = j.select(key, "day", merged.alias("s"), (F.col("n") + F.coalesce("_n", F.lit(0))).alias("n_values"))
+    q = lambda x: F.kll_sketch_get_quantile_double("s", F.lit(x))
+    return j.select(key, "day", q(C.ROBUST_LO_Q).alias("baseline_p05"), q(C.ROBUST_HI_Q).alias("baseline_p95"), "n_values")
+
+
+def _windowed_counts(series: DataFrame, days: int, key: str) -> DataFrame:
+    """(station, day, level, count) of the trailing ``days`` for every day with a reading."""
+    s = series.filter(F.col("water_level").isNotNull() & F.col("time_utc").isNotNull()).withColumn("day", day_of("time_utc"))
+    counts = s.groupBy(key, "day", "water_level").agg(F.count(F.lit(1)).alias("c"))
+    present = s.select(key, "day").distinct()
+    spread = counts.select(key, "water_level", "c", F.explode(F.sequence(F.col("day"), F.col("day") + F.lit(days - 1))).alias("day"))
+    return spread.join(present, [key, "day"], "left_semi").groupBy(key, "day", "water_level").agg(F.sum("c").alias("c"))
+
+
+def rolling_baseline_exact(series: DataFrame, days: int = C.SPEC_BASELINE_WINDOW_DAYS, key: str = "station_id") -> DataFrame:
+    """SP-14, exact twin of ``rolling_baseline``: from counts per level (gauge units), each counted for every day it is in range of."""
+    from tidewatch.operators.ranking import grouped_discrete_quantiles
+    w = _windowed_counts(series, days, key)
+    q = grouped_discrete_quantiles(w, [key, "day"], "water_level", [C.ROBUST_LO_Q, C.ROBUST_HI_Q], ["baseline_p05", "baseline_p95"], weight="c")
+    return q.join(w.groupBy(key, "day").agg(F.sum("c").alias("n_values")), [key, "day"])
+
+
+def rolling_baseline_checked(series: DataFrame, days: int = C.SPEC_BASELINE_WINDOW_DAYS, key: str = "station_id") -> DataFrame:
+    """The sketches' values with their exact ranks: whether each lies within the rank error of its share."""
+    sketch = rolling_baseline(series, days, key=key)
+    j = _windowed_counts(series, days, key).join(sketch, [key, "day"])
+    at = lambda c: [F.sum(F.when(F.col("water_level") < F.col(c), F.col("c")).otherwise(0)).alias(f"{c}_lo"),
+                    F.sum(F.when(F.col("water_level") <= F.col(c), F.col("c")).otherwise(0)).alias(f"{c}_hi")]
+    g = j.groupBy(key, "day", "n_values").agg(*at("baseline_p05"), *at("baseline_p95"))
+    inside = lambda c, q: ((F.col(f"{c}_lo") <= F.ceil(F.col("n_values") * (q + SKETCH_RANK_ERROR)))
+                           & (F.col(f"{c}_hi") >= F.floor(F.col("n_values") * (q - SKETCH_RANK_ERROR))))
+    return g.select(key, "day", "n_values", inside("baseline_p05", C.ROBUST_LO_Q).alias("p05_in_bound"), inside("baseline_p95", C.ROBUST_HI_Q).alias("p95_in_bound"))
+
+
+def neighbour_means(stations: DataFrame, radius_km: float, key: str = "station_id", value_col: str = "_level") -> DataFrame:
+    """Mean of the other stations' values within the radius, per station with such a neighbour.
+
+    Leave-one-out: the sum over all stations around a place less the station's own, by the
+    count less one.  Stations at one place weigh alike, so places are joined, not stations.
+    """
+    from tidewatch.operators.spatial import radius_join
+    s = stations.filter(F.col(value_col).isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(key, "lat", "lon", value_col)
+    places = s.groupBy("lat", "lon").agg(F.sum(value_col).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    around = radius_join(places.select("lat", "lon"), places.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), "_s", "_n"), radius_km,
+                         ("lat", "lon"), ("_lat", "_lon"))
+    sums = around.groupBy(F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+    j = join_stats(s, sums, ["lat", "lon"], ["_plat", "_plon"], key)
+    return j.filter(F.col("_n") > 1).select(key, ((F.col("_s") - F.col(value_col)) / (F.col("_n") - F.lit(1))).alias("neighbour_mean"),
+                                            (F.col("_n") - F.lit(1)).alias("neighbours"))
+
+
+def observation_quality(series: DataFrame, as_of: Column, meta_fn, alert_active: Column | None = None, recent_hours: float = 24.0,
+                        lo: float = 0.0, hi: float = 45.0, radius_km: float = C.OVERRIDE_KM, key: str = "station_id") -> DataFrame:
+    """SP-16: per-station quality factors (0..1) and the spec's confidence (section 14.1).
 
     Freshness (age of the latest reading), completeness (missing readings in
     the recent window), validity (in range, and first flag not set) and
-    cross-check (the latest level against the mean latest level of the stations
-    in the same cell; 1 where there is nothing to compare), weighted
-    .35 / .25 / .25 / .15; ``quality_score`` is 100 times the sum.
+    cross-check, weighted .35 / .25 / .25 / .15; ``quality_score`` is 100 times the sum.
 
-    The cells are means over one row per station, joined back salted.
+    Cross-check is the mean of what can be compared, 1 where nothing can:
+    nearby feeds (the latest level against the mean of the other stations
+    within the radius, over the range of levels) and the alert state (1 if
+    the station is at or above its minor threshold just when a flood alert is in
+    force, given as ``alert_active``).
     """
     recent = F.col("time_utc") >= as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
                                                               F.lit(recent_hours * 3600.0))
@@ -157,16 +246,18 @@ def observation_quality(series: DataFrame, as_of: Column, meta_fn, recent_hours:
         "out_of_range_rate": (F.col("n_out_of_range") / F.col("n_obs")).cast("double"),
         "flagged_rate": (F.col("n_flagged") / F.col("n_obs")).cast("double"),
     }).drop("_l")
-    cell = lambda c: F.floor(F.col(c) / F.lit(cell_degrees)).cast("long")
-    d = meta_fn(d).withColumns({"_cy": cell("lat"), "_cx": cell("lon")})
-    near = d.groupBy(F.col("_cy").alias("_ky"), F.col("_cx").alias("_kx")).agg(F.avg("_level").alias("_near"))
-    d = join_stats(d, near, ["_cy", "_cx"], ["_ky", "_kx"], key)
+    d = meta_fn(d)
+    d = d.join(neighbour_means(d, radius_km, key), key, "left")
     one = F.lit(1.0)
+    near = clip(one - F.abs(F.col("_level") - F.col("neighbour_mean")) / F.lit(hi - lo), 0.0, 1.0)
+    raised = F.col("_level") >= F.col("minor")
+    state = F.when(raised.isNotNull(), (raised == alert_active).cast("double")) if alert_active is not None else F.lit(None).cast("double")
+    d = d.withColumns({"neighbour_agreement": near, "alert_agreement": state})
     factors = {
         "freshness": clip(one - F.col("freshness_hours") / F.lit(C.FRESHNESS_HOURS), 0.0, 1.0),
         "completeness": one - F.coalesce(F.col("missing_rate"), one),
         "validity": (one - F.col("out_of_range_rate")) * (one - F.col("flagged_rate")),
-        "crosscheck": F.coalesce(clip(one - F.abs(F.col("_level") - F.col("_near")) / F.lit(hi - lo), 0.0, 1.0), one),
+        "crosscheck": F.coalesce(nan_mean("neighbour_agreement", "alert_agreement"), one),
     }
     d = d.withColumns({f"{k}_factor": x for k, x in factors.items()})
     score = weighted_sum([(f"{k}_factor", w) for k, w in C.SPEC_CONFIDENCE_WEIGHTS.items()], fill_missing=0.0)

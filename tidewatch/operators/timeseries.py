@@ -153,21 +153,59 @@ def with_prev(series: DataFrame, key: str = "station_id", time_col: str = "time_
     return s.drop("_gid", "_pid", "_lag", "_seed", "_prev")
 
 
+def out_of_order(series: DataFrame, key: str = "station_id", time_col: str = "time_utc", tie_col: str = "obs_id",
+                 arrival_col: str | None = None) -> DataFrame:
+    """SP-17: readings that arrive (by ``arrival_col``, then ``tie_col``) after one with a later time.
+
+    Returns key, time, tie and ``latest_before``, the largest time that arrived before.
+    A running maximum over a key's rows in arrival order, without a window over the
+    key: rows are range-sorted by (key, arrival) and written once; inside a sort
+    partition the maximum runs per key, and the first key of a partition is seeded
+    with the maximum of the partitions before that end in the same key (one row per
+    partition).  Rows without a time never are out of order.
+    """
+    from tidewatch.session import discard_stage, stage_checkpoint
+    arrival = F.col(arrival_col or tie_col)
+    s = series.orderBy(key, arrival, tie_col).select(key, time_col, tie_col).withColumn("_gid", F.monotonically_increasing_id())
+    stored = stage_checkpoint(s, "arrival_order")
+    s = stored.withColumn("_pid", F.shiftright(F.col("_gid"), 33))
+    # one row per sort partition: its first and last key, and the last key's largest time in it
+    ends = s.groupBy("_pid").agg(F.min(F.struct("_gid", key))[key].alias("_first"), F.max(F.struct("_gid", key))[key].alias("_last"))
+    tops = s.groupBy("_pid", F.col(key).alias("_last")).agg(F.max(time_col).alias("_top"))
+    ends = ends.join(tops, (ends["_pid"] == tops["_pid"]) & ends["_last"].eqNullSafe(tops["_last"])).select(ends["_pid"], "_first", ends["_last"], "_top")
+    upto = Window.partitionBy("_last").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.orderBy("_pid")
+    ends = ends.withColumn("_top", F.max("_top").over(upto))
+    seeds = ends.select("_pid", "_first", F.when(F.lag("_last").over(line).eqNullSafe(F.col("_first")), F.lag("_top").over(line)).alias("_seed"))
+    before = Window.partitionBy("_pid", key).orderBy("_gid").rowsBetween(Window.unboundedPreceding, -1)
+    s = s.withColumn("_run", F.max(time_col).over(before))
+    # one row per sort partition: bounded by the partition count by construction
+    s = s.join(F.broadcast(seeds.withColumnRenamed("_pid", "_sp")), F.col("_pid") == F.col("_sp"))
+    seed = F.when(F.col(key).eqNullSafe(F.col("_first")), F.col("_seed"))
+    s = s.withColumn("latest_before", F.greatest("_run", seed))
+    return discard_stage(stage_checkpoint(s.filter(F.col("latest_before") > F.col(time_col)).select(key, time_col, tie_col, "latest_before"), "out_of_order"), stored)
+
+
 def gaps(series: DataFrame, cadence_minutes: float, factor: float = 2.0, key: str = "station_id",
-         time_col: str = "time_utc", tie_col: str = "obs_id") -> DataFrame:
-    """SP-17: gaps longer than factor x cadence, and duplicate timestamps.
+         time_col: str = "time_utc", tie_col: str = "obs_id", arrival_col: str | None = None) -> DataFrame:
+    """SP-17: gaps longer than factor x cadence, duplicate timestamps, and readings out of order.
 
-    Returns one row per flagged observation: key, time, previous time,
-    gap_minutes, kind ('gap' | 'duplicate').
+    Returns one row per flagged observation and kind: key, time, previous time,
+    gap_seconds, kind ('gap' | 'duplicate' | 'out_of_order').  The first two compare
+    with the previous reading in time; the last compares the order of arrival
+    (``arrival_col``, else ``tie_col``) with time, its previous time is the latest that had arrived before.
     """
     s = with_prev(series.select(key, time_col, tie_col), key, time_col, tie_col, cols=())
-    gap_us = F.unix_micros(F.col(time_col).cast("timestamp")) - F.unix_micros(F.col(f"prev_{time_col}").cast("timestamp"))
-    s = s.withColumn("_gap_us", gap_us)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    s = s.withColumn("_gap_us", micros(time_col) - micros(f"prev_{time_col}"))
     kind = (F.when(F.col("_gap_us") == 0, "duplicate")
             .when(F.col("_gap_us") > F.lit(int(cadence_minutes * factor * 60_000_000)), "gap"))
-    return (s.withColumn("kind", kind).filter(F.col("kind").isNotNull())
-             .select(key, time_col, tie_col, F.col(f"prev_{time_col}").alias("prev_time_utc"),
-                     (F.col("_gap_us") / F.lit(1e6)).alias("gap_seconds"), "kind"))
+    in_time = (s.withColumn("kind", kind).filter(F.col("kind").isNotNull())
+                .select(key, time_col, tie_col, F.col(f"prev_{time_col}").alias("prev_time_utc"), (F.col("_gap_us") / F.lit(1e6)).alias("gap_seconds"), "kind"))
+    late = out_of_order(series, key, time_col, tie_col, arrival_col).select(
+        key, time_col, tie_col, F.col("latest_before").alias("prev_time_utc"),
+        ((micros(time_col) - micros("latest_before")) / F.lit(1e6)).alias("gap_seconds"), F.lit("out_of_order").alias("kind"))
+    return in_time.unionByName(late)
 
 
 def per_row_rate(series: DataFrame, key: str = "station_id", time_col: str = "time_utc",

@@ -86,6 +86,22 @@ def q_forced(spark, sf_dir):
                     al.forced_band(F.col("event"), F.col("major_exceeded"), F.col("priority_band")).alias("forced_band"))
 
 
+# ---------------- D-15 with a bound -----------------
+
+@register("area_hazard_bounded", sql(out_sql("area_id:l, in_bounds, close", """(
+    SELECT area_id, true AS in_bounds, true AS close FROM located_areas)"""), "located_areas"))
+def q_bounded(spark, sf_dir):
+    """D-15: the weighted mean from cell sums of far stations, held against the exact one: it and the proven bounds."""
+    from tidewatch.plans.stations import station_latest_features
+    from tidewatch.session import stage_checkpoint
+    areas = A.area_features(spark, sf_dir).select("area_id", "latitude", "longitude")
+    st = stage_checkpoint(station_latest_features(spark, sf_dir).select("lat", "lon", "flood_hazard_final"))
+    exact = sp.area_flood_hazard(areas, st, F.lit(0.0)).select("area_id", F.col("flood_hazard_weighted").alias("exact"))
+    d = sp.bounded_flood_mean(areas, st).join(exact, "area_id")
+    inside = (F.col("exact") >= F.col("mean_lo") - 1e-9) & (F.col("exact") <= F.col("mean_hi") + 1e-9)
+    return d.select("area_id", inside.alias("in_bounds"), (F.abs(F.col("flood_hazard_weighted") - F.col("exact")) <= 0.06 * F.col("exact")).alias("close"))
+
+
 # ---------------- J-13 radius pairs, J-19 nearest centroid -----------------
 
 @register("area_station_pairs", sql(out_sql("area_id:l, station_id:l, dist_km:d", f"""(

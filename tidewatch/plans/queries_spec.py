@@ -414,9 +414,36 @@ def q_baseline_pct_exact(spark, sf_dir):
     return baseline_percentiles_exact(_series(spark, sf_dir), bind.series_as_of(spark, sf_dir))
 
 
+_DAY = "epoch_us(time_utc) // 86400000000"
+_W = C.SPEC_BASELINE_WINDOW_DAYS
+
+
+@register("baseline_rolling_exact", sql(out_sql("station_id:l, day:l, baseline_p05:d, baseline_p95:d, n_values:l", f"""(
+    SELECT t.station_id, t.day, quantile_cont(s.water_level, {C.ROBUST_LO_Q}) AS baseline_p05,
+      quantile_cont(s.water_level, {C.ROBUST_HI_Q}) AS baseline_p95, count(*) AS n_values
+    FROM (SELECT DISTINCT station_id, {_DAY} AS day FROM tidal_series WHERE water_level IS NOT NULL) t
+    JOIN tidal_series s ON s.station_id = t.station_id AND s.water_level IS NOT NULL AND {_DAY} BETWEEN t.day - {_W - 1} AND t.day
+    GROUP BY ALL)"""), "tidal_series"))
+def q_rolling_exact(spark, sf_dir):
+    """SP-14: p05 / p95 over the trailing 365 days per station and day, exact."""
+    from tidewatch.operators.quality import rolling_baseline_exact
+    return rolling_baseline_exact(_series(spark, sf_dir))
+
+
+@register("baseline_rolling", sql(out_sql("station_id:l, day:l, n_values:l, p05_in_bound, p95_in_bound", f"""(
+    SELECT t.station_id, t.day, count(*) AS n_values, true AS p05_in_bound, true AS p95_in_bound
+    FROM (SELECT DISTINCT station_id, {_DAY} AS day FROM tidal_series WHERE water_level IS NOT NULL) t
+    JOIN tidal_series s ON s.station_id = t.station_id AND s.water_level IS NOT NULL AND {_DAY} BETWEEN t.day - {_W - 1} AND t.day
+    GROUP BY ALL)"""), "tidal_series"))
+def q_rolling(spark, sf_dir):
+    """SP-14: the same from one stored sketch per station and day, each value held against its exact rank."""
+    from tidewatch.operators.quality import rolling_baseline_checked
+    return rolling_baseline_checked(_series(spark, sf_dir))
+
+
 QUALITY = ("station_id:l, latest_time_utc, n_obs:l, n_recent:l, n_recent_missing:l, n_out_of_range:l, n_flagged:l, "
            "freshness_hours:d, missing_rate:d, out_of_range_rate:d, flagged_rate:d, freshness_factor:d, completeness_factor:d, "
-           "validity_factor:d, crosscheck_factor:d, quality_score:d")
+           "validity_factor:d, neighbour_agreement:d, alert_agreement:d, crosscheck_factor:d, quality_score:d")
 
 
 @register("observation_quality", sql(out_sql(QUALITY, f"""(
@@ -428,21 +455,31 @@ QUALITY = ("station_id:l, latest_time_utc, n_obs:l, n_recent:l, n_recent_missing
         FROM tidal_series GROUP BY station_id),
     r AS (SELECT *, {_H.format(a='(SELECT as_of FROM as_of)', b='latest_time_utc')} AS freshness_hours,
         n_recent_missing::DOUBLE / nullif(n_recent, 0) AS missing_rate, n_out_of_range::DOUBLE / n_obs AS out_of_range_rate,
-        n_flagged::DOUBLE / n_obs AS flagged_rate,
-        avg(level) OVER (PARTITION BY floor(({_O._meta('station_id')['lat']}) / 0.25::DOUBLE), floor(({_O._meta('station_id')['lon']}) / 0.25::DOUBLE)) AS near
+        n_flagged::DOUBLE / n_obs AS flagged_rate
       FROM g),
+    p AS (SELECT station_id, level, {_O._meta('station_id')['lat']} AS la, {_O._meta('station_id')['lon']} AS lo FROM g WHERE level IS NOT NULL),
+    x AS (SELECT s.station_id, avg(o.level) AS others FROM p s JOIN p o ON o.station_id <> s.station_id
+          AND {_O._haversine('s.la', 's.lo', 'o.la', 'o.lo')} <= {C.OVERRIDE_KM}::DOUBLE GROUP BY s.station_id),
+    m AS (SELECT station_id, minor FROM station_feat0),
+    k AS (SELECT count(*) > 0 AS alert FROM active_alerts WHERE event IN ('Flood Watch', 'Flood Warning', 'Flash Flood Warning')),
+    n AS (SELECT r.*, least(greatest(1.0::DOUBLE - abs(level - others) / 45.0::DOUBLE, 0.0::DOUBLE), 1.0::DOUBLE) AS na,
+            CASE WHEN level IS NOT NULL AND minor IS NOT NULL THEN ((level >= minor) = (SELECT alert FROM k))::INT::DOUBLE END AS alert_agreement, others
+          FROM r LEFT JOIN x ON x.station_id = r.station_id LEFT JOIN m ON m.station_id = r.station_id),
+    o AS (SELECT *, CASE WHEN others IS NOT NULL AND level IS NOT NULL THEN na END AS neighbour_agreement FROM n),
     f AS (SELECT *, least(greatest(1.0::DOUBLE - freshness_hours / 168.0::DOUBLE, 0.0::DOUBLE), 1.0::DOUBLE) AS freshness_factor,
         1.0::DOUBLE - coalesce(missing_rate, 1.0::DOUBLE) AS completeness_factor,
         (1.0::DOUBLE - out_of_range_rate) * (1.0::DOUBLE - flagged_rate) AS validity_factor,
-        CASE WHEN level IS NULL OR near IS NULL THEN 1.0::DOUBLE
-             ELSE least(greatest(1.0::DOUBLE - abs(level - near) / 45.0::DOUBLE, 0.0::DOUBLE), 1.0::DOUBLE) END AS crosscheck_factor
-      FROM r)
+        coalesce((coalesce(neighbour_agreement, 0) + coalesce(alert_agreement, 0))
+          / nullif((neighbour_agreement IS NOT NULL)::INT + (alert_agreement IS NOT NULL)::INT, 0), 1.0::DOUBLE) AS crosscheck_factor
+      FROM o)
     SELECT *, 100.0::DOUBLE * (0.35::DOUBLE * freshness_factor + 0.25::DOUBLE * completeness_factor + 0.25::DOUBLE * validity_factor
-      + 0.15::DOUBLE * crosscheck_factor) AS quality_score FROM f)"""), "tidal_series", "as_of"))
+      + 0.15::DOUBLE * crosscheck_factor) AS quality_score FROM f)"""), "tidal_series", "as_of", "station_feat0", "active_alerts"))
 def q_quality(spark, sf_dir):
-    """SP-16: freshness, completeness, validity and cross-check factors with the spec's weights."""
+    """SP-16: freshness, completeness, validity and cross-check (nearby stations, alert state) with the spec's weights."""
     from tidewatch.operators.quality import observation_quality
-    d = observation_quality(_series(spark, sf_dir), bind.series_as_of(spark, sf_dir), _meta_fn)
+    named = [e for events in C.SPEC_PHASE_EVENTS.values() for e in events]
+    active = bind.active_alerts(spark, sf_dir).filter(F.col("event").isin(named)).select(F.count(F.lit(1)) > 0).scalar()
+    d = observation_quality(_series(spark, sf_dir), bind.series_as_of(spark, sf_dir), _meta_fn, active)
     return d.select(*[c.split(":")[0].strip() for c in QUALITY.split(",")])
 
 
@@ -458,11 +495,18 @@ _O.EXTRA_CTES["series_prev"] = (["tidal_series"], """
         (epoch_us(time_utc) - epoch_us(prev_time_utc)) / 1000000.0::DOUBLE AS gap_seconds,
         CASE WHEN epoch_us(time_utc) = epoch_us(prev_time_utc) THEN 'duplicate'
              WHEN epoch_us(time_utc) - epoch_us(prev_time_utc) > 43200000000 THEN 'gap' END AS kind
-      FROM series_prev) WHERE kind IS NOT NULL)"""), "series_prev"))
+      FROM series_prev) WHERE kind IS NOT NULL
+    UNION ALL
+    SELECT station_id, time_utc, obs_id, top AS prev_time_utc, (epoch_us(time_utc) - epoch_us(top)) / 1000000.0::DOUBLE AS gap_seconds, 'out_of_order' AS kind
+    FROM (SELECT *, max(time_utc) OVER (PARTITION BY station_id ORDER BY obs_id + CASE WHEN obs_id % 53 = 0 THEN 700 ELSE 0 END, obs_id
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM tidal_series)
+    WHERE top > time_utc)"""), "series_prev", "tidal_series"))
 def q_gaps(spark, sf_dir):
-    """SP-17: gaps longer than 2 x 6 h cadence, duplicate timestamps."""
+    """SP-17: gaps longer than 2 x 6 h cadence, duplicate timestamps, readings that arrive out of order
+    (edge rows: every 53rd reading arrives 700 events late)."""
     from tidewatch.operators.timeseries import gaps
-    return gaps(_series(spark, sf_dir), cadence_minutes=360.0, factor=2.0)
+    arrival = F.col("obs_id") + F.when(F.col("obs_id") % 53 == 0, F.lit(700)).otherwise(F.lit(0))
+    return gaps(_series(spark, sf_dir).withColumn("arrival", arrival), cadence_minutes=360.0, factor=2.0, arrival_col="arrival")
 
 
 @register("station_rates", sql(out_sql(

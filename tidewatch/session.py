@@ -79,4 +79,15 @@ def stage_checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = os.path.join(base, "stages", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def discard_stage(df: DataFrame, *stages: DataFrame) -> DataFrame:
+    """``df``, after the files of stages that it no longer reads have been deleted."""
+    spark = df.sparkSession
+    for stage in stages:
+        path = spark._jvm.org.apache.hadoop.fs.Path(stage._stage_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return df
