@@ -302,3 +302,12 @@ def test_with_prev_matches_brute_force_with_hot_station(spark):
         want[oid] = (p[1], p[2], p[3]) if p else (None, None, None)
         last[sid] = (sid, oid, t, v)
     assert got == want
+
+
+def test_zone_reference_or_fallback(spark):
+    from tidewatch.operators.alerts import zones_or_fallback
+    schema = "zone_id string, zone_name string, zone_lat double, zone_lon double, zone_state string"
+    one = spark.createDataFrame([("PRZ004", "North", 18.0, -66.0, "PR")], schema)
+    assert [tuple(r) for r in zones_or_fallback(one).collect()] == [("PRZ004", "North", 18.0, -66.0, "PR")]
+    made = [tuple(r) for r in zones_or_fallback(one.filter("false")).orderBy("zone_id").collect()]
+    assert len(made) == 13 and made[0] == ("PRZ001", "Puerto Rico Zone 001", None, None, None) and made[-1][:2] == ("PRZ013", "Puerto Rico Zone 013")

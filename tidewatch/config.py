@@ -128,8 +128,9 @@ SPEC_BASELINE_WINDOW_DAYS = 365
 SPEC_DROPOUT_LEVELS = [0.2, 0.3, 0.4]
 SPEC_SENSITIVITY_DELTAS = [-0.2, -0.1, 0.1, 0.2]
 
-# Zone fallback ids
+# Zone fallback ids and names
 ZONE_FALLBACK_PREFIX = "PRZ"
+ZONE_FALLBACK_NAME = "Puerto Rico Zone"
 ZONE_FALLBACK_COUNT = 13
 
 # Default cadence and lookbacks

@@ -69,20 +69,21 @@ RELEVANT_SENDER = "NWS San Juan PR"
 NO_ALERT_EVENT = "No Active Alerts"
 NOT_AVAILABLE = "N/A"
 NO_ALERT_STATUS = "None"
+DEFAULT_STATE = "PR"
 
 
 def alerts_by_zone(alerts: DataFrame, zones: DataFrame, zone_ref: DataFrame, places: DataFrame, checked_at: Column) -> DataFrame:
     """D-28: one row per relevant alert and zone, and one placeholder per zone without any.
 
     ``alerts``: id, alert_key, sender_name and the alert's texts; ``zones``:
-    (alert_key, zone_id); ``zone_ref``: zone_id, zone_name, zone_lat, zone_lon;
-    ``places``: designated_area, latitude, longitude.  An alert without zones
+    (alert_key, zone_id); ``zone_ref``: zone_id, zone_name, zone_lat, zone_lon,
+    zone_state; ``places``: designated_area, latitude, longitude, state.  An alert without zones
     has its area text as zone (F-11, A-13, J-16, U-03, T-13).  The area of a
     row is the zone's name, else the zone (J-03, J-04); places are found by
-    that name, and a row without a latitude takes the zone's centroid (J-05).
+    that name, and a row without a latitude takes the zone's centroid and state (J-05).
     Only zones of relevant alerts are de-duplicated.
     """
-    texts = ["event", "headline", "description", "severity", "urgency", "certainty", "status"]
+    texts = ["event", "headline", "description", "instruction", "response", "severity", "urgency", "certainty", "status"]
     a = alerts.select("id", "alert_key", "sender_name", "area_desc", "sent", F.col("ends").alias("expires"), *texts)
     a = dedupe_last_seen(relevance_filter(a, "sender_name", RELEVANT_SENDER, RELEVANT_COLUMNS, RELEVANT_PATTERN), "id", "sent")
     of_alert = a.select("alert_key").join(zones, "alert_key").distinct()
@@ -97,18 +98,22 @@ def alerts_by_zone(alerts: DataFrame, zones: DataFrame, zone_ref: DataFrame, pla
         checked_at.cast(rows.schema["sent"].dataType).alias("sent"), F.lit(None).cast(rows.schema["expires"].dataType).alias("expires"),
         *[fixed.get(t, F.lit(NOT_AVAILABLE)).alias(t) for t in texts])
     u = rows.unionByName(empty).join(zone_ref, "zone_id", "left").withColumn("area_desc", F.coalesce("zone_name", "zone_id"))
-    p = places.groupBy("designated_area").agg(F.min_by(F.struct("latitude", "longitude"), "municipio").alias("_p"))
+    p = places.groupBy("designated_area").agg(F.min_by(F.struct("latitude", "longitude", "state"), "municipio").alias("_p"))
     u = u.join(p, u["area_desc"] == p["designated_area"], "left")
     known = F.col("_p.latitude").isNotNull()
     return u.withColumns({"latitude": F.when(known, F.col("_p.latitude")).otherwise(F.col("zone_lat")),
-                          "longitude": F.when(known, F.col("_p.longitude")).otherwise(F.coalesce("zone_lon", "_p.longitude"))}).drop(
-        "designated_area", "_p", "zone_lat", "zone_lon", "zone_name")
-
-
-def fallback_zones(spark: SparkSession) -> DataFrame:
-    """S-05 fallback: PRZ001 .. PRZ013."""
-    return spark.range(1, C.ZONE_FALLBACK_COUNT + 1).select(
-        F.format_string(f"{C.ZONE_FALLBACK_PREFIX}%03d", F.col("id")).alias("zone_id"))
+                          "longitude": F.when(known, F.col("_p.longitude")).otherwise(F.coalesce("zone_lon", "_p.longitude")),
+                          "state": F.when(known, F.col("_p.state")).when(F.col("zone_lat").isNotNull(), F.coalesce("zone_state", F.lit(DEFAULT_STATE)))}).drop(
+        "designated_area", "_p", "zone_lat", "zone_lon", "zone_name", "zone_state")
+
+
+def zones_or_fallback(zone_ref: DataFrame) -> DataFrame:
+    """S-05: the zone reference, or PRZ001 .. PRZ013 with generated names if it is empty."""
+    spark = zone_ref.sparkSession
+    empty = zone_ref.select(F.count(F.lit(1)) == 0).scalar()
+    made = spark.range(1, C.ZONE_FALLBACK_COUNT + 1).filter(empty).select(
+        F.format_string(f"{C.ZONE_FALLBACK_PREFIX}%03d", F.col("id")).alias("zone_id"), F.format_string(f"{C.ZONE_FALLBACK_NAME} %03d", F.col("id")).alias("zone_name"))
+    return zone_ref.unionByName(made, allowMissingColumns=True)
 
 
 def area_alert_score(alerts: DataFrame, zones: DataFrame, at: Column) -> DataFrame:

@@ -212,7 +212,8 @@ def q_daily_water(spark, sf_dir):
 
 def _zone_docs(spark, sf_dir):
     """Zone reference as FeatureCollections, one per nation: names of towns or of no place, a name
-    missing (key % 11 = 5), Polygon, MultiPolygon (odd keys) and no geometry (key % 7 = 3)."""
+    missing (key % 11 = 5), Polygon, MultiPolygon (odd keys) and no geometry (key % 7 = 3); another
+    state (key % 5 = 4) or none (key % 6 = 2)."""
     n = bind.read_table(spark, sf_dir, "nation")
     k = F.col("n_nationkey")
     x, y = F.lit(-66.0) - k / 100.0, F.lit(18.0) + k / 100.0
@@ -224,54 +225,59 @@ def _zone_docs(spark, sf_dir):
     geometry = F.when(k % 7 == 3, F.lit("null")).when(k % 2 == 1, multi).otherwise(polygon)
     name = (F.when(k % 11 == 5, F.lit(None).cast("string")).when(k % 4 == 0, F.concat(F.lit("Zone "), F.col("n_name")))
             .otherwise(F.concat(F.lit("Supplier#"), zero_pad_code(k, 9))))
-    props = F.to_json(F.struct(F.concat(F.lit("PRZ"), zero_pad_code(k + 1, 3)).alias("id"), name.alias("name"), F.lit("PR").alias("state")))
+    props = F.to_json(F.struct(F.concat(F.lit("PRZ"), zero_pad_code(k + 1, 3)).alias("id"), name.alias("name"), F.when(k % 5 == 4, F.lit("VI")).when(k % 6 != 2, F.lit("PR")).alias("state")))
     return n.select(F.concat(F.lit('{"features":[{"properties":'), props, F.lit(',"geometry":'), geometry, F.lit("}]}")).alias("payload"))
 
 
 def _zone_reference(spark, sf_dir):
     from tidewatch.functions.geo import ring_centroid
     z = env.flatten_zones(env._parse(_zone_docs(spark, sf_dir), "payload", env.ZONES_SCHEMA))
-    return z.withColumn("_c", ring_centroid("rings")).select("zone_id", "zone_name", F.col("_c.lat").alias("zone_lat"),
-                                                               F.col("_c.lon").alias("zone_lon"))
+    z = z.withColumn("_c", ring_centroid("rings")).select("zone_id", "zone_name", F.col("_c.lat").alias("zone_lat"),
+                                                          F.col("_c.lon").alias("zone_lon"), F.col("state").alias("zone_state"))
+    return al.zones_or_fallback(z)
 
 
 _O.EXTRA_CTES["zone_ref"] = ([], """
     SELECT 'PRZ' || lpad(CAST(k + 1 AS VARCHAR), 3, '0') AS zone_id,
       CASE WHEN k % 4 = 0 THEN 'Zone ' || n_name ELSE 'Supplier#' || lpad(CAST(k AS VARCHAR), 9, '0') END AS zone_name,
+      CASE WHEN k % 5 = 4 THEN 'VI' ELSE 'PR' END AS zstate,
       CASE WHEN k % 7 <> 3 THEN ((((la + la) + (la + 0.1::DOUBLE)) + (la + 0.1::DOUBLE)) + la) / 5 END AS zlat,
       CASE WHEN k % 7 <> 3 THEN ((((lo + (lo + 0.1::DOUBLE)) + (lo + 0.1::DOUBLE)) + lo) + lo) / 5 END AS zlon
     FROM (SELECT n_nationkey AS k, n_name, 18.0::DOUBLE + n_nationkey / 100.0::DOUBLE AS la, -66.0::DOUBLE - n_nationkey / 100.0::DOUBLE AS lo
           FROM nation WHERE n_nationkey % 11 <> 5)""")
 
 
-ABZ = "id, zone_id, event, headline, description, severity, urgency, certainty, status, sent, expires, area_desc, latitude:d, longitude:d"
+ABZ = "id, zone_id, event, headline, description, instruction, response, state, severity, urgency, certainty, status, sent, expires, area_desc, latitude:d, longitude:d"
 _DESCRIPTION = "CASE WHEN alert_key % 17 = 0 THEN 'Heavy rain over PRZ004' WHEN alert_key % 17 = 1 THEN 'Coastal waters' END"
 
 
 @register("alerts_by_zone", sql(out_sql(ABZ, f"""(
-    WITH a AS (SELECT *, {_DESCRIPTION} AS description FROM active_alerts),
+    WITH a AS (SELECT *, {_DESCRIPTION} AS description, CASE WHEN alert_key % 4 = 0 THEN 'Move to higher ground' END AS instruction,
+        CASE WHEN alert_key % 3 = 0 THEN 'Avoid' ELSE 'Monitor' END AS response FROM active_alerts),
     rel AS (SELECT * FROM a WHERE sender_name = 'NWS San Juan PR'
               OR regexp_matches(concat_ws(chr(10), headline, area_desc, description), '(?i)puerto\\s+rico|PRZ\\d{{3}}|AMZ\\d{{3}}|\\bPR\\b')),
-    rows AS (SELECT DISTINCT r.id, coalesce(z.zone_id, r.area_desc) AS zone_id, r.event, r.headline, r.description, r.severity, r.urgency,
+    rows AS (SELECT DISTINCT r.id, coalesce(z.zone_id, r.area_desc) AS zone_id, r.event, r.headline, r.description, r.instruction, r.response, r.severity, r.urgency,
                r.certainty, r.status, r.sent, r.ends AS expires
              FROM rel r LEFT JOIN alert_zones z ON r.alert_key = z.alert_key),
     checked AS (SELECT max(o_orderdate) AS t FROM orders),
     ph AS (SELECT 'placeholder_' || zone_id || '_' || strftime((SELECT t FROM checked), '%Y-%m-%dT%H:%M:%S+00:00') AS id, zone_id,
-             'No Active Alerts' AS event, 'No Active Alerts for ' || zone_name AS headline, 'N/A' AS description, 'N/A' AS severity,
+             'No Active Alerts' AS event, 'No Active Alerts for ' || zone_name AS headline, 'N/A' AS description, 'N/A' AS instruction, 'N/A' AS response, 'N/A' AS severity,
              'N/A' AS urgency, 'N/A' AS certainty, 'None' AS status, (SELECT t FROM checked) AS sent, NULL::TIMESTAMP AS expires
            FROM zone_ref WHERE zone_id NOT IN (SELECT zone_id FROM rows)),
-    u AS (SELECT x.*, coalesce(zone_name, x.zone_id) AS area_desc, zlat, zlon
+    u AS (SELECT x.*, coalesce(zone_name, x.zone_id) AS area_desc, zlat, zlon, zstate
           FROM (SELECT * FROM rows UNION ALL SELECT * FROM ph) x LEFT JOIN zone_ref z ON x.zone_id = z.zone_id)
     SELECT u.*, CASE WHEN t.latitude IS NOT NULL THEN t.latitude ELSE zlat END AS latitude,
-      CASE WHEN t.latitude IS NOT NULL THEN t.longitude ELSE coalesce(zlon, t.longitude) END AS longitude
+      CASE WHEN t.latitude IS NOT NULL THEN t.longitude ELSE coalesce(zlon, t.longitude) END AS longitude,
+      CASE WHEN t.latitude IS NOT NULL THEN 'PR' WHEN zlat IS NOT NULL THEN zstate END AS state
     FROM u LEFT JOIN towns t ON u.area_desc = t.designated_area)"""), "active_alerts", "alert_zones", "towns", "zone_ref"))
 def q_alerts_by_zone(spark, sf_dir):
     """D-28: relevance filter (F-11), last seen per id (A-13), zones (R-02) or area text,
     placeholders (J-16, U-03, T-13), zone names (J-04), places by name (J-03) and
     centroids of the reference's rings (S-05, R-01, J-05)."""
     k = F.col("alert_key")
-    act = bind.active_alerts(spark, sf_dir).withColumn(
-        "description", F.when(k % 17 == 0, "Heavy rain over PRZ004").when(k % 17 == 1, "Coastal waters"))
+    act = bind.active_alerts(spark, sf_dir).withColumns({
+        "description": F.when(k % 17 == 0, "Heavy rain over PRZ004").when(k % 17 == 1, "Coastal waters"),
+        "instruction": F.when(k % 4 == 0, "Move to higher ground"), "response": F.when(k % 3 == 0, "Avoid").otherwise("Monitor")})
     at = bind.read_table(spark, sf_dir, "orders").select(F.max("o_orderdate")).scalar()
-    out = al.alerts_by_zone(act, bind.alert_zones(spark, sf_dir), _zone_reference(spark, sf_dir), bind.towns(spark, sf_dir), at)
+    out = al.alerts_by_zone(act, bind.alert_zones(spark, sf_dir), _zone_reference(spark, sf_dir), bind.towns(spark, sf_dir).withColumn("state", F.lit("PR")), at)
     return out.select(*_names(ABZ))

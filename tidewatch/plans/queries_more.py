@@ -37,20 +37,21 @@ def q_zone_alert(spark, sf_dir):
 
 
 @register("zone_phase", sql(out_sql("zone_id, phase", f"""(
-    SELECT 'PRZ' || lpad(CAST(k AS VARCHAR), 3, '0') AS zone_id,
+    SELECT r.zone_id,
       CASE WHEN bool_or(ends > {_ASOF_O} AND event IN ('Flood Warning', 'Flash Flood Warning')) THEN 'DURING'
            WHEN bool_or(ends > {_ASOF_O} AND event = 'Flood Watch') THEN 'PRE'
            WHEN bool_or(ends <= {_ASOF_O}) THEN 'POST' ELSE 'PRE' END AS phase
-    FROM range(1, 14) t(k) LEFT JOIN (
+    FROM zone_ref r LEFT JOIN (
       SELECT z.zone_id, a.event, a.ends FROM alerts a JOIN alert_zones z ON a.alert_key = z.alert_key
       WHERE a.event IN ('Flood Watch', 'Flood Warning', 'Flash Flood Warning')
-        AND a.onset <= {_ASOF_O} AND a.ends > {_ASOF_O} - INTERVAL 24 HOUR) x
-      ON x.zone_id = 'PRZ' || lpad(CAST(k AS VARCHAR), 3, '0')
-    GROUP BY k)"""), "alerts", "alert_zones"))
+        AND a.onset <= {_ASOF_O} AND a.ends > {_ASOF_O} - INTERVAL 24 HOUR) x ON x.zone_id = r.zone_id
+    GROUP BY r.zone_id)"""), "alerts", "alert_zones", "zone_ref"))
 def q_zone_phase(spark, sf_dir):
-    """SP-12: named warning active -> DURING, watch active -> PRE, ended within 24 h -> POST."""
+    """SP-12: named warning active -> DURING, watch active -> PRE, ended within 24 h -> POST; the
+    zones are those of the reference (S-05), which has a fallback."""
+    from tidewatch.plans.queries_io import _zone_reference
     as_of = bind.read_table(spark, sf_dir, "orders").select(F.max("o_orderdate")).scalar()
-    return al.phase_from_alerts(bind.alerts(spark, sf_dir), bind.alert_zones(spark, sf_dir), al.fallback_zones(spark), as_of)
+    return al.phase_from_alerts(bind.alerts(spark, sf_dir), bind.alert_zones(spark, sf_dir), _zone_reference(spark, sf_dir), as_of)
 
 
 @register("forced_bands", sql(out_sql("area_id:l, priority_band, major_exceeded, forced_band", """(
