@@ -116,3 +116,27 @@ def test_property_discrete_quantile_and_average_rank(spark, rows, q):
         pos.setdefault(v, []).append(p)
     want = {i: sum(pos[v]) / len(pos[v]) for i, (_, v) in enumerate(rows)}
     assert avg == want
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    """Continuous, tied, constant, tiny and empty columns; wide ranges and infinities of scale; a sketch far coarser than the default."""
+    import random
+    r = random.Random(6)
+    from tidewatch.operators.ranking import exact_quantiles
+    rows = [(r.gauss(0, 1), float(r.randint(0, 3)), 5.0, 1.5 if k == 7 else None, r.choice([1e300, -1e300, 1e-300]) * r.random(), None) for k in range(20_000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double").repartition(6)
+    qs = [0.0, 0.05, 0.5, 0.95, 1.0, 0.333]
+    cols = [F.col(c) for c in "abcdef"]
+    for part in (df, df.limit(1), df.limit(2), df.limit(37), df.filter("a > 100")):
+        part = part.persist()
+        want = part.agg(*[F.percentile(c, F.array(*map(F.lit, qs))).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+        for accuracy in (10_000, 50):
+            got = spark.range(1).select(exact_quantiles(part, cols, qs, accuracy).alias("s")).first()["s"]
+            for i in range(6):
+                w = want[f"q{i}"]
+                g = None if got is None else got[f"q{i}"]
+                if w is None:
+                    assert g is None or all(x is None for x in g)
+                else:
+                    assert all(abs(x - y) <= 1e-9 * max(abs(y), 1e-12) for x, y in zip(g, w)), (i, accuracy, g, w)
+        part.unpersist()

@@ -13,7 +13,7 @@ from tidewatch import config as C
 from tidewatch.functions.numeric import clip, nan_mean, normalize_linear, weighted_sum
 from tidewatch.functions.text import first_flag
 from tidewatch.functions.timefn import hours_between, hours_between_floor
-from tidewatch.operators.ranking import join_stats
+from tidewatch.operators.ranking import exact_quantiles, join_stats
 from tidewatch.operators.scoring import robust_scores
 
 
@@ -60,7 +60,7 @@ def spec_station_hazard(series: DataFrame, meta_fn) -> DataFrame:
                    (F.col("latest_water_level") - F.col("minor")) / (F.col("major") - F.col("minor")))
     wr = wr.withColumn("exceedance_ratio", ratio).withColumn("thresholds_present", ok)
     wr = robust_scores(wr, [("latest_water_level", "_level_pct_score", True),
-                            ("rise_rate_window", "rise_score", True)])
+                            ("rise_rate_window", "rise_score", True)], large=True)
     exc = F.when(F.col("thresholds_present"), normalize_linear("exceedance_ratio", 0.0, 1.0)) \
         .otherwise(F.col("_level_pct_score"))
     w = C.SPEC_STATION_WEIGHTS
@@ -74,7 +74,7 @@ def gauge_hazard(latest: DataFrame) -> DataFrame:
     """SP-03: 0.5 gauge-height score + 0.5 rate-of-change score (percentile
     bounds across stations); input has latest_water_level and rise_rate_per_hour."""
     d = robust_scores(latest, [("latest_water_level", "gauge_height_score", True),
-                               ("rise_rate_per_hour", "flow_change_score", True)])
+                               ("rise_rate_per_hour", "flow_change_score", True)], large=True)
     w = C.SPEC_GAUGE_WEIGHTS
     return d.withColumn("gauge_hazard", weighted_sum([("gauge_height_score", w["height"]),
                                                       ("flow_change_score", w["flow_change"])]))
@@ -87,7 +87,7 @@ def baseline_fallback(series: DataFrame, key: str = "station_id") -> DataFrame:
     good = (series.filter(F.col("water_level").isNotNull()).groupBy(key)
             .agg(F.max(F.struct("time_utc", "obs_id", "water_level")).alias("_g")))
     d = lt.join(good, key, "left").withColumn("last_good_value", F.col("_g.water_level")).drop("_g")
-    d = d.withColumn("_med", d.select(F.median("last_good_value")).scalar())
+    d = d.withColumn("_med", exact_quantiles(d, [F.col("last_good_value")], [0.5])["q0"][0])
     src = (F.when(F.col("latest_water_level").isNotNull(), "latest")
            .when(F.col("last_good_value").isNotNull(), "last_good").otherwise("baseline_median"))
     return (d.withColumn("value_filled", F.coalesce("latest_water_level", "last_good_value", "_med"))

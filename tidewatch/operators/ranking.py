@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tidewatch.session import stage_checkpoint
 
 _POS_BITS = 33
+#: Accuracy of the sketch that brackets a quantile: its ranks are right to one part in this many.
+BRACKET_ACCURACY = 10_000
 #: Join keys that the rows of one hot key are spread over.
 SALTS = 32
 
@@ -163,3 +165,46 @@ def grouped_discrete_quantile(df: DataFrame, keys: list[str], value: str, q: flo
                               weight: str | None = None) -> DataFrame:
     """One quantile of ``grouped_discrete_quantiles``."""
     return grouped_discrete_quantiles(df, keys, value, [q], [out], weight)
+
+
+def exact_quantiles(df: DataFrame, columns: list[Column], qs: list[float], accuracy: int = BRACKET_ACCURACY) -> Column:
+    """Scalar struct of ``q0``, ``q1``, ...: per column the array of its ``percentile(column, qs)``, null without a value.
+
+    The percentile aggregate keeps every distinct value of the table in one buffer.
+    Here a mergeable sketch, whose rank error is guaranteed, brackets each quantile
+    first; then rows below the bracket are counted, and rows inside it are
+    counted per value, both map-side.  Only the values inside, about 4 / accuracy of
+    the rows, meet in one sort, where the running count finds the two order
+    statistics.  Two scans, one plan, nothing on the driver.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), c.try_cast("double").alias("v")) for i, c in enumerate(columns)]))
+    long = df.select(pairs.alias("p")).select("p.*").filter(F.col("v").isNotNull())
+    slack = 2.0 / accuracy
+    marks = [m for q in qs for m in (max(0.0, q - slack), min(1.0, q + slack))]
+    # one row per column
+    sketch = long.groupBy(F.col("i").alias("_i")).agg(F.percentile_approx("v", marks, accuracy).alias("_m"), F.count(F.lit(1)).alias("_n"))
+    k = F.explode(F.array(*[F.struct(F.lit(j).alias("k"), F.lit(float(q)).alias("q")) for j, q in enumerate(qs)]))
+    s = sketch.select("_i", "_n", "_m", k.alias("_k")).select("_i", "_n", F.col("_k.k").alias("k"), F.col("_k.q").alias("q"),
+                                                               F.get("_m", F.col("_k.k") * 2).alias("a"), F.get("_m", F.col("_k.k") * 2 + 1).alias("b"))
+    # len(columns) * len(qs) rows, by construction
+    rows = long.join(F.broadcast(s), F.col("i") == F.col("_i"))
+    side = F.when(F.col("v") < F.col("a"), F.lit(-1)).when(F.col("v") > F.col("b"), F.lit(1)).otherwise(F.lit(0))
+    counts = rows.groupBy("i", "k", "q", "_n", side.alias("side"), F.when(side == 0, F.col("v")).alias("v")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
+    upto = Window.partitionBy("i", "k").orderBy("side", "v").rowsBetween(Window.unboundedPreceding, 0)
+    c = counts.withColumn("cum", F.sum("c").over(upto))
+    at = (F.col("_n") - F.lit(1)) * F.col("q")
+
+    def order_statistic(r: Column) -> Column:
+        """The value of 0-based rank r; rounding of ranks may put it one row beside the bracket."""
+        here = (F.col("cum") > r) & (F.col("cum") - F.col("c") <= r)
+        beyond = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+        value = (F.when(F.col("side") == 0, F.col("v")).when((F.col("side") < 0) & (F.col("cum") - F.lit(1) == r), F.col("most"))
+                 .when((F.col("side") > 0) & (F.col("cum") - F.col("c") == r), F.col("least")).otherwise(beyond))
+        return F.max(F.when(here, value))
+
+    per = c.groupBy("i", "k").agg(order_statistic(F.floor(at)).alias("lo"), order_statistic(F.ceil(at)).alias("hi"), F.max(at - F.floor(at)).alias("f"))
+    value = F.when(F.col("f") == 0, F.col("lo")).otherwise((F.lit(1.0) - F.col("f")) * F.col("lo") + F.col("f") * F.col("hi"))
+    # len(columns) * len(qs) rows
+    pick = lambda i: F.array(*[F.max(F.when((F.col("i") == i) & (F.col("k") == j), value)) for j in range(len(qs))])
+    return per.select(F.struct(*[pick(i).alias(f"q{i}") for i in range(len(columns))])).scalar()

@@ -3,8 +3,9 @@
 Table-wide statistics (quantiles, min/max, median) are scalar subqueries
 (``DataFrame.scalar()``): Spark runs them as a separate partial-aggregating
 job and inlines the value, so no cross join and no driver round trip.
-Exact quantiles are only taken over area-level tables (one row per area, a
-bounded dimension); ``approx=True`` switches to ``percentile_approx``.
+The percentile aggregate is only taken over area-level tables (one row per area, a
+bounded dimension); ``large=True`` selects the same values without a buffer of
+the column, ``approx=True`` switches to ``percentile_approx``.
 """
 from __future__ import annotations
 
@@ -17,14 +18,15 @@ from tidewatch.functions.timefn import hours_between
 
 
 def robust_scores(df: DataFrame, specs, partition_by: list[str] | None = None,
-                  approx: bool = False) -> DataFrame:
+                  approx: bool = False, large: bool = False) -> DataFrame:
     """D-07 for several columns: p05-p95 scaling to 0-100, degenerate bounds ->
     null, ``100 - s`` when higher is better.
 
     ``specs`` = [(col, out, higher_is_worse), ...].  All bounds come from one
     aggregate over ``df`` (one scalar subquery, or with ``partition_by`` one
     grouped aggregate joined back on the group key), so the plan stays linear
-    in the number of scores.
+    in the number of scores.  ``large`` takes the same exact bounds by distributed
+    selection (``ranking.exact_quantiles``), for tables of stations.
     """
     qs = [C.ROBUST_LO_Q, C.ROBUST_HI_Q]
 
@@ -38,6 +40,10 @@ def robust_scores(df: DataFrame, specs, partition_by: list[str] | None = None,
         b = df.groupBy(*partition_by).agg(*aggs)
         df = df.join(b, partition_by, "left")
         bounds = [F.col(f"_q{i}") for i in range(len(specs))]
+    elif large:
+        from tidewatch.operators.ranking import exact_quantiles
+        df = df.withColumn("_st", exact_quantiles(df, [F.col(c) for c, _, _ in specs], qs))
+        bounds = [F.col(f"_st.q{i}") for i in range(len(specs))]
     else:
         # attach the one-row statistics once; columns below reference the
         # attached column, so the subquery plan is embedded a single time

@@ -30,9 +30,8 @@ from tidewatch import config as C
 from tidewatch.functions.geo import haversine_km
 
 KM_PER_RAD = C.EARTH_RADIUS_KM
-#: Sides of the (area bucket, location bucket) grid of ``kernel_aggregate``.
-AREA_BUCKETS = 8
-POINT_BUCKETS = 16
+#: Keys of the (area bucket, location bucket) grid of ``kernel_pairs`` per shuffle partition of the session.
+KEYS_PER_PARTITION = 4
 #: Parts that the left rows of a cell of ``radius_join`` are dealt to.
 CELL_SALTS = 4
 
@@ -115,8 +114,14 @@ def nearest_join(left: DataFrame, right: DataFrame, left_key: str, right_key: st
 
 
 def kernel_pairs(areas: DataFrame, points: DataFrame, area_key: str, area_coords=("latitude", "longitude"),
-                 point_coords=("lat", "lon"), area_buckets: int = AREA_BUCKETS, point_buckets: int = POINT_BUCKETS) -> DataFrame:
-    """Every (area, point) pair with its distance ``_d``, dealt to a grid of bucket keys; to be folded at once."""
+                 point_coords=("lat", "lon"), area_buckets: int | None = None, point_buckets: int | None = None) -> DataFrame:
+    """Every (area, point) pair with its distance ``_d``, dealt to a grid of bucket keys; to be folded at once.
+
+    The grid has a few keys for every shuffle partition of the session, so it grows with the cluster.
+    """
+    keys = KEYS_PER_PARTITION * int(areas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    point_buckets = point_buckets or math.ceil(math.sqrt(2 * keys))
+    area_buckets = area_buckets or math.ceil(keys / point_buckets)
     la, lo = area_coords
     pa, po = point_coords
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -128,7 +133,7 @@ def kernel_pairs(areas: DataFrame, points: DataFrame, area_key: str, area_coords
 
 def kernel_aggregate(areas: DataFrame, points: DataFrame, area_key: str, aggs_fn,
                      area_coords=("latitude", "longitude"), point_coords=("lat", "lon"),
-                     area_buckets: int = AREA_BUCKETS, point_buckets: int = POINT_BUCKETS) -> DataFrame:
+                     area_buckets: int | None = None, point_buckets: int | None = None) -> DataFrame:
     """Aggregate a function of (area, point, distance) over every point, per area.
 
     ``points`` has one row per location.  ``aggs_fn(dist_col: Column) ->

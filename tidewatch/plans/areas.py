@@ -73,18 +73,20 @@ def area_features(spark: SparkSession, sf_dir: str, income_direction: str = "cod
 
 def area_hazard(spark: SparkSession, sf_dir: str, lambda_km: float = C.LAMBDA_KM,
                 override_km: float = C.OVERRIDE_KM, areas: DataFrame | None = None,
-                materialize: bool = True) -> DataFrame:
+                materialize: bool = True, stations: DataFrame | None = None) -> DataFrame:
     """P20: flood (weighted / local / alert), earthquake (robust of max intensity), combined.
 
     Station features are used twice (kernel and latest-observation time), so
-    they are materialized once; the area table is a checkpointed dimension.
+    they are materialized once (or handed on as ``stations``); the area table is a
+    checkpointed dimension.
     """
     areas = areas if areas is not None else area_features(spark, sf_dir, materialize=materialize)
     areas = areas.select("area_id", "municipio", "municipio_key", "latitude", "longitude")
     g = global_alert_score(alert_score(bind.active_alerts(spark, sf_dir)))
-    stations = station_latest_features(spark, sf_dir, global_alert=g)
-    if materialize:
-        stations = stage_checkpoint(stations)
+    if stations is None:
+        stations = station_latest_features(spark, sf_dir, global_alert=g)
+        if materialize:
+            stations = stage_checkpoint(stations)
     as_of = bind.series_as_of(spark, sf_dir)
     flood = area_flood_hazard(areas, stations, g, lambda_km, override_km)
     quake = area_quake_raw(areas, bind.earthquakes(spark, sf_dir), as_of)
@@ -98,16 +100,17 @@ def area_hazard(spark: SparkSession, sf_dir: str, lambda_km: float = C.LAMBDA_KM
 
 
 def scored_indices(spark: SparkSession, sf_dir: str, phase: str = C.DEFAULT_PHASE,
-                   materialize: bool = True, as_of: Column | None = None, features: DataFrame | None = None) -> DataFrame:
+                   materialize: bool = True, as_of: Column | None = None, features: DataFrame | None = None,
+                   stations: DataFrame | None = None) -> DataFrame:
     """P30 (flagship): indices, confidence, adjustment toward the median, bands.
 
     Stage outputs (area features, station features, area hazard) are
     materialized to the checkpoint folder, so the scoring plan reads small
     area tables and an executor loss never replays the event scans.
-    ``features`` hands on area features that are already there.
+    ``features`` and ``stations`` hand on area and station features that are already there.
     """
     feats = features if features is not None else area_features(spark, sf_dir, materialize=materialize)
-    haz = area_hazard(spark, sf_dir, areas=feats, materialize=materialize)
+    haz = area_hazard(spark, sf_dir, areas=feats, materialize=materialize, stations=stations)
     h = haz.select("area_id", "flood_hazard_weighted", "flood_hazard_local_max", "nws_global_alert_score",
                    "flood_hazard_muni", "earthquake_raw", "supporting_station_count", "nearby_station_count",
                    "earthquake_hazard_score", "hazard_combined", "noaa_latest_obs_utc")

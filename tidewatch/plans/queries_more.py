@@ -72,10 +72,11 @@ def q_forced(spark, sf_dir):
     names; a station within 12 km above its major threshold forces at least
     Orange (radius join J-13)."""
     from tidewatch.plans.stations import station_latest_features
+    from tidewatch.session import stage_checkpoint
     feats = A.area_features(spark, sf_dir)
-    s = A.scored_indices(spark, sf_dir, features=feats).select("area_id", "municipio", "priority_band")
-    st = station_latest_features(spark, sf_dir).select("lat", "lon", "exceed_ratio")
-    pairs = sp.radius_join(feats.select("area_id", "latitude", "longitude"), st, C.OVERRIDE_KM)
+    st = stage_checkpoint(station_latest_features(spark, sf_dir))
+    s = A.scored_indices(spark, sf_dir, features=feats, stations=st).select("area_id", "municipio", "priority_band")
+    pairs = sp.radius_join(feats.select("area_id", "latitude", "longitude"), st.select("lat", "lon", "exceed_ratio"), C.OVERRIDE_KM)
     m = pairs.groupBy("area_id").agg(F.max(F.coalesce(F.col("exceed_ratio") >= 1.0, F.lit(False)))
                                      .alias("major_exceeded"))
     named = bind.active_alerts(spark, sf_dir).filter(F.lower("event").contains("flash flood warning")).select("area_desc").distinct()
