@@ -10,29 +10,78 @@ from llm_cases import awkward, documents
 
 from tidewatch.llm import secret_scan as S
 
-PIECES = st.sampled_from(["password", "qwerty", "1999", "2024-01-31", "aaa", "7", "Z", "p4ss", "asdf", "é", "!", "monkey", "321", "abc", "x"])
+PIECES = st.sampled_from(["password", "qwerty", "1999", "2024-01-31", "aaa", "7", "Z", "p4ss", "asdf", "é", "!", "monkey", "321", "abc", "x", "qazwsx", "zaq", "11111111",
+                          "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "abcdcbabcdcbabcdcbabcdcbabcdcbabcdcb", "Dragon", "wedsa"])
+BOARD = ["1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm"]
+
+
+def neighbours(a, b):
+    """Keys next to each other in a row or the alphabet, below each other, or from one column's end to the next one's."""
+    line = [*BOARD, "abcdefghijklmnopqrstuvwxyz"]
+    if any(abs(r.index(a) - r.index(b)) == 1 for r in line if a in r and b in r):
+        return True
+    place = {c: (y, x) for y, r in enumerate(BOARD) for x, c in enumerate(r) if x < 7}
+    if a not in place or b not in place:
+        return False
+    (ya, xa), (yb, xb) = place[a], place[b]
+    down = xa == xb and abs(ya - yb) == 1
+    on = ya == 3 and yb in (0, 1) and xb == xa + 1  # down one column, on at the head of the next
+    back = ya in (0, 1) and yb == 3 and xb == xa + 1 or yb == 3 and ya in (0, 1) and xa == xb + 1
+    return down or on or (yb == 3 and ya in (0, 1) and xb == xa - 1) and back
+
+
+def class_cost(c):
+    return 1.0 if c in "0123456789" else math.log10(26) if c.isascii() and c.isalpha() else math.log10(33)
+
+
+def one_pattern(s):
+    """Cheapest way to make all of ``s`` by one pattern, written from the definition."""
+    words, out, low = S.dictionary()[0], [], s.lower()
+    shift = 0.6 if low != s else 0.0
+    if low in words:
+        out.append(words[low] + shift)
+    letters = low.translate(str.maketrans("430157@$!", "aeoistasi"))
+    if letters in words:
+        out.append(words[letters] + 0.6 + shift)
+    day, month = r"(0[1-9]|[12]\d|3[01])", r"(0[1-9]|1[0-2])"
+    if re.fullmatch(r"(19|20)\d\d", s, re.A):
+        out.append(math.log10(130))
+    elif re.fullmatch(rf"(19|20)\d\d[-/.]?{month}[-/.]?{day}|{day}[-/.]?{month}[-/.]?(19|20)?\d\d", s, re.A) and 4 <= len(s) <= 10:
+        out.append(math.log10(365 * 130))
+    if len(s) >= 3 and len(set(s)) == 1:
+        out.append(class_cost(s[0]) + math.log10(len(s)))
+    if len(s) >= 3 and all(neighbours(a, b) for a, b in zip(low, low[1:])):
+        out.append(math.log10(188) + math.log10(len(s)) + shift)
+    return min(out, default=math.inf)
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(PIECES, max_size=6).map("".join))
 def test_guess_cost_is_the_cheapest_segmentation(value):
-    @lru_cache(None)
-    def best(k):
-        if k == len(value):
-            return 0.0
-        out = S.brute_cost(value[k]) + best(k + 1)
-        for j in range(k + 2, len(value) + 1):
-            out = min(out, S.pattern_cost(value[k:j]) + S.SEGMENT_COST + best(j))
-        return out
-
-    assert math.isclose(S.guess_cost(value), best(0), abs_tol=1e-9)
+    cost = [0.0]
+    for j in range(1, len(value) + 1):
+        cost.append(min([cost[-1] + class_cost(value[j - 1]), *(cost[k] + one_pattern(value[k:j]) + 0.3 for k in range(j - 1))]))
+    assert math.isclose(S.guess_cost(value), cost[-1], abs_tol=1e-9)
 
 
 def test_costs_order_values_as_expected():
     cost = S.guess_cost
     assert cost("") == 0 and cost("password") < cost("p4ssword") < cost("password1999") < cost("xK9#vQ2!pL")
     assert cost("aaaaaaaaaaaa") < 4 and cost("qwertyuiop") < 5 and cost("20240131") < 6 and cost("xK9#vQ2!pL") > S.MIN_COST
-    assert cost("ab" * 20_000) > 1000  # long values take linear time
+    assert cost("a" * 32) < cost("a" * 100) < 4 and cost("a" * 100_000) < 7  # one repeat, whatever its length
+    assert cost("qazwsxedcrfv") < 5 and cost("abcdefghij" * 3) < 14 and cost("internationalization") < S.MIN_COST
+    assert cost("a!b7" * 20_000) > 1000  # long values take linear time
+    assert len(S.dictionary()[0]) > 20_000
+
+
+def test_prose_addresses_code_and_placeholders_are_left_alone():
+    for text in ("pass: 'we went to the river'", "login: https://example.org/account", "auth: response.getHeaders()", "login: internationalization",
+                 "token => ${GITHUB_TOKEN}", "secret: <your-secret-here>", "credentials = loadCredentials(configFile)", "auth = session.user.token;",
+                 'token: "the quick brown fox jumps over it"'):
+        assert S.find_spans(text.encode()) == [] and S.redact_text(text.encode()) == text, text
+    for text in ("login: https://user:xK9vQ2pL@example.org/", "passphrase: 'zebra quartz lantern mosaic drift'", "pwd=kQzvLpxR.xWmNtqzj", "pwd=xKq9v(2vQz!7)",
+                 "pwd=%Tr0ub4dorZq", "secret='3kd 92kx qpz01 v'"):
+        assert [k for k, _, _ in S.find_spans(text.encode())] == ["guess"], text
 
 
 def base_spans(text):

@@ -4,17 +4,24 @@ The fixed kinds are ``assign``, ``access`` and ``hex``.  The method adds
 ``guess``: a value that follows a credential word and ``:`` or ``=`` and that
 would take many guesses, unless it lies inside an ``assign`` span (both are
 kept if only a part of it does).  The cost is the minimum over all segmentations of
-the value into dictionary words, dates, repeated characters, keyboard walks
-and brute-force characters, found by dynamic programming (log10 of guesses,
-added over segments).  A pattern segment has at most ``MAX_SEGMENT``
-characters; longer runs take several segments.
+the value into dictionary words, dates, repeated characters, keyboard walks (along
+rows, columns and the alphabet, of any length) and brute-force characters, found by
+dynamic programming (log10 of guesses, added over segments).  The dictionary is a
+short list of frequent passwords and the words of a public tokenizer's vocabulary,
+whose order is that of frequency; its file is a parameter.
+
+Values that are plainly something else are left alone: addresses without user data,
+calls and member chains of code, placeholders, and quoted sentences of dictionary
+words (but not after ``passphrase``).
 
 Defined cases: null text counts as empty (no spans, hash of the empty text);
 repeated rows give repeated result rows; an empty table gives no rows;
-positions are code points, ends exclusive.
+positions are code points, ends exclusive; extra columns are ignored (``redact`` keeps
+them); a text and a value may have any length, the cost takes time in proportion.
 """
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -23,6 +30,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidewatch.llm.bpe import RANKS, encoder
 from tidewatch.llm.common import map_batches, pick, table, texts
 
 KINDS = ["assign", "access", "hex", "guess"]
@@ -39,21 +47,25 @@ HINTS = (b"pass", b"pwd", b"secret", b"token", b"api", b"credential", b"login",
 
 #: Guesses, as a power of ten, from which a value counts as a secret.
 MIN_COST = 10.0
-MAX_SEGMENT = 32
 SEGMENT_COST = 0.3
 #: Frequent words and passwords, most frequent first; the rank is the number of guesses.
 WORDS = ("password pass admin login welcome letmein qwerty dragon monkey master hello secret freedom shadow sunshine "
          "princess football baseball superman batman trustno iloveyou whatever michael jordan hunter ranger killer "
          "pepper joshua maggie summer winter spring autumn love money test user guest root default changeme change "
          "example sample value token key none null true false your here this that with from have the and for you").split()
-RANK = {w: k + 2 for k, w in enumerate(WORDS)}
-LONGEST_WORD = max(map(len, WORDS))
+#: Vocabulary whose words follow, and their least length.
+VOCABULARY = RANKS
+SHORTEST_WORD = 3
 LEET = str.maketrans("430157@$!", "aeoistasi")
 ROWS = ["1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz"]
-STEPS = {(a, b) for r in ROWS for a, b in [*zip(r, r[1:]), *zip(r[1:], r)]}
+#: Columns of the keyboard; a walk may go on from the foot of one at the head of the next.
+COLUMNS = ["1qaz", "2wsx", "3edc", "4rfv", "5tgb", "6yhn", "7ujm"]
+STEPS = {(a, b) for r in ROWS + COLUMNS for a, b in [*zip(r, r[1:]), *zip(r[1:], r)]}
+STEPS |= {(a[-1], b[k]) for a, b in zip(COLUMNS, COLUMNS[1:]) for k in (0, 1)} | {(a[k], b[-1]) for b, a in zip(COLUMNS, COLUMNS[1:]) for k in (0, 1)}
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01]))?"
                   r"|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)?\d\d", re.A)
 YEAR_COST, DATE_COST = math.log10(130), math.log10(365 * 130)
+WALK_COST = math.log10(47 * 4)
 
 
 def brute_cost(c: str) -> float:
@@ -65,46 +77,95 @@ def brute_cost(c: str) -> float:
     return math.log10(33)
 
 
-def pattern_cost(s: str) -> float:
-    """Cheapest single pattern that makes all of ``s``; infinite if none does."""
-    best = math.inf
-    if len(s) > MAX_SEGMENT:
-        return best
+@functools.lru_cache(maxsize=2)
+def dictionary(vocabulary: str = VOCABULARY) -> tuple[dict[str, float], int]:
+    """log10 of the rank of every word, and the longest word's length."""
+    e = encoder(vocabulary)
+    rank: dict[str, int] = {}
+    found = (e.decode_single_token_bytes(k).strip().lower() for k in range(e.n_vocab - 1))
+    for w in (*WORDS, *(x.decode() for x in found if len(x) >= SHORTEST_WORD and x.isalpha() and x.isascii())):
+        rank.setdefault(w, len(rank) + 2)
+    return {w: math.log10(r) for w, r in rank.items()}, max(map(len, rank))
+
+
+def word_cost(s: str, words: dict[str, float]) -> float:
+    """Cost of ``s`` as a word, in another case (+0.6) or with letters written as digits (+0.6)."""
     low = s.lower()
-    if len(low) <= LONGEST_WORD:
-        for word, extra in ((low, 0.0), (low.translate(LEET), 0.6)):
-            if word in RANK:
-                best = min(best, math.log10(RANK[word]) + extra + (0.6 if low != s else 0.0))
-    if 4 <= len(s) <= 10 and DATE.fullmatch(s):
-        best = min(best, YEAR_COST if len(s) == 4 and s[:2] in ("19", "20") else DATE_COST)
-    if len(s) >= 3:
-        if s == s[0] * len(s):
-            best = min(best, brute_cost(s[0]) + math.log10(len(s)))
-        if all(x in STEPS for x in zip(low, low[1:])):
-            best = min(best, math.log10(47 * 4) + math.log10(len(s)) + (0.6 if low != s else 0.0))
-    return best
-
-
-def guess_cost(value: str) -> float:
-    """log10 of the guesses of the cheapest segmentation of ``value``; 0 for the empty text."""
+    plain = words.get(low, math.inf)
+    spelled = words.get(low.translate(LEET), math.inf) + 0.6
+    return min(plain, spelled) + (0.6 if low != s else 0.0)
+
+
+def guess_cost(value: str, vocabulary: str = VOCABULARY) -> float:
+    """log10 of the guesses of the cheapest segmentation of ``value``; 0 for the empty text.
+
+    Words and dates are short, so all that end at a character are tried.  Of the repeats and
+    walks that end there, those that begin near the beginning of their run are enough: one
+    that begins later, with the run's head as another such segment, is dearer than the two
+    as one, and only a word or date can make up the head more cheaply.
+    """
+    words, longest = dictionary(vocabulary)
     best = [0.0] * (len(value) + 1)
     low = value.lower()
+    if len(low) != len(value):  # a letter whose lower case is longer
+        low = "".join(c if len(c.lower()) > 1 else c.lower() for c in value)
+    short = max(longest, 10)
     same = walk = 1  # lengths of the runs that end at the current character
+    upper = 0  # last capital of the text so far, counted from 1
     for j in range(1, len(value) + 1):
+        if low[j - 1] != value[j - 1]:
+            upper = j
         cost = best[j - 1] + brute_cost(value[j - 1])
         if j > 1:
             same = same + 1 if value[j - 1] == value[j - 2] else 1
             walk = walk + 1 if (low[j - 2], low[j - 1]) in STEPS else 1
-        # words and dates are short; longer patterns are runs
-        reach = min(j, max(LONGEST_WORD, 10, min(MAX_SEGMENT, max(same, walk))))
-        for n in range(2, reach + 1):
-            p = pattern_cost(value[j - n:j])
+        for n in range(2, min(j, short) + 1):
+            s = value[j - n:j]
+            p = word_cost(s, words) if n <= longest else math.inf
+            if 4 <= n <= 10 and DATE.fullmatch(s):
+                p = min(p, YEAR_COST if n == 4 and s[:2] in ("19", "20") else DATE_COST)
             if p < math.inf:
                 cost = min(cost, best[j - n] + p + SEGMENT_COST)
+        if same >= 3:
+            unit = brute_cost(value[j - 1])
+            for n in range(max(3, same - short), same + 1):
+                cost = min(cost, best[j - n] + unit + math.log10(n) + SEGMENT_COST)
+        if walk >= 3:
+            for n in range(max(3, walk - short), walk + 1):
+                cost = min(cost, best[j - n] + WALK_COST + math.log10(n) + (0.6 if upper > j - n else 0.0) + SEGMENT_COST)
         best[j] = cost
     return best[-1]
 
 
+#: Addresses without user data; calls, indexing and chains of names in code; placeholders.
+ADDRESS = re.compile(r"[a-z][a-z0-9+.-]*://[^\s@]*", re.I)
+CODE = re.compile(r"([A-Za-z_$]+(?:(?:\.|->|::)[A-Za-z_$]+)*)(?:\([^()]*\)|\[[^\[\]]*\])?(?:[;,)\]]|\.\w+\(.*)?", re.A)
+PLACEHOLDER = re.compile(r"\$?\{[^{}]*\}\}?|\$[A-Z_]+|<[^<>]*>|%[A-Z_]+%|\*+|[xX]+")
+NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+
+
+def is_code(value: str, words: dict[str, float]) -> bool:
+    """A call, an indexing or a chain of names, the names made of dictionary words."""
+    m = CODE.fullmatch(value)
+    if not m or m[1] == value and not re.search(r"\.|->|::", value):  # one bare name is a value
+        return False
+    parts = NAME_PARTS.findall(m[1])
+    return bool(parts) and all(len(p) <= 2 or p.lower() in words for p in parts)
+
+
+def plainly_none(key: str, value: str, vocabulary: str = VOCABULARY) -> bool:
+    """Whether a value is an address, code, a placeholder or a sentence."""
+    words, _ = dictionary(vocabulary)
+    if ADDRESS.fullmatch(value) or PLACEHOLDER.fullmatch(value) or is_code(value, words):
+        return True
+    parts = value.split()
+    if len(parts) < 3 or key.lower() == "passphrase":
+        return False
+    plain = [p.strip(".,;:!?'()").lower() for p in parts]
+    known = sum(p in words or (len(p) <= 2 and p.isalpha()) for p in plain)
+    return 4 * known >= 3 * len(parts) and all(p.isalpha() or not p for p in plain)
+
+
 def find_spans(text: bytes | None, min_cost: float = MIN_COST) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then kind."""
     if not text:
@@ -121,7 +182,9 @@ def find_spans(text: bytes | None, min_cost: float = MIN_COST) -> list[tuple[str
         taken = [(a, b) for _, a, b in out]
         for m in CONTEXT.finditer(s):
             a, b = m.span()
-            if not any(x <= a and b <= y for x, y in taken) and guess_cost(m[3] or m[4]) >= min_cost:
+            value = m[3] or m[4]
+            if (not any(x <= a and b <= y for x, y in taken) and not plainly_none(m[1], value)
+                    and guess_cost(value) >= min_cost):
                 out.append(("guess", a, b))
     if access:
         out += [("access", *m.span()) for m in ACCESS.finditer(s) if len(m[0]) >= 18]
