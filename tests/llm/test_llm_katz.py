@@ -96,3 +96,25 @@ def test_the_query_scores_with_trigrams(spark, tmp_path):
     assert [d for d, _ in got] == [d for d, _ in want]
     assert all(abs(g[1] - w[1]) < 1e-6 for g, w in zip(got, want))
     assert any(abs(w[1] - b[1]) > 0.1 for w, b in zip(want, bigrams))
+
+
+def test_stored_tables_score_other_documents(spark, monkeypatch):
+    monkeypatch.setattr(K, "CHUNK", 300)
+    rare = [(100 + k, " ".join(f"r{j}" for j in range(k))) for k in range(9)]  # words with small counts
+    training = [(d, t) for d, t in DOCS + rare if zlib.crc32(str(d).encode()) % 10]
+    others = [(d, t) for d, t in DOCS if not zlib.crc32(str(d).encode()) % 10] + [(1000, "the cat ran w3 never w4 seen"), (1001, None)]
+    model = K.train(documents(spark, training).repartition(3))
+    got = sorted(map(tuple, K.score(documents(spark, others), model).collect()))
+    m = Direct(training, 3)
+    v = len(m.counts[1])
+    for (d, t), g in zip(sorted(others), got):
+        w = (t or "").encode().lower().split() + [b"</s>"]
+        p = [b"<s>"] * 2 + w
+        assert g[0] == d and g[2] == len(w) and g[3] == sum((x,) in m.counts[1] for x in w) and g[4] == m.total
+        assert abs(g[5] - sum(math.log10((m.counts[1][x,] + 0.1) / (m.total + 0.1 * (v + 1))) for x in w)) < 1e-6
+        assert abs(g[6] - sum(math.log10(m.p(tuple(p[i - 2:i]), p[i])) for i in range(2, len(p)))) < 1e-6
+    # the tables hold every n-gram once, by part, and nothing else
+    for level in (1, 2, 3):
+        keys = [x for r in model.counts[level].collect() for x in K._unpack_keys(r["keys"]).tolist()]
+        assert len(keys) == len(set(keys)) == len(m.counts[level])
+    assert K.score(documents(spark, []), model).count() == 0

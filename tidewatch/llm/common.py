@@ -43,14 +43,16 @@ def materialise(df: DataFrame, name: str, bucket: str | None = None) -> DataFram
         out = spark.table(known)
     else:
         df.write.parquet(path)
-        out = spark.read.schema(df.schema).parquet(path)
-    out._stage_path = path
+        known, out = None, spark.read.schema(df.schema).parquet(path)
+    out._stage_path, out._stage_table = path, known
     return out
 
 
 def discard(df: DataFrame) -> None:
     """Delete a table written by ``materialise`` that nothing reads any more."""
     spark = df.sparkSession
+    if df._stage_table:
+        spark.sql(f"DROP TABLE IF EXISTS {df._stage_table}")
     path = spark._jvm.org.apache.hadoop.fs.Path(df._stage_path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

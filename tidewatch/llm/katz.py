@@ -9,29 +9,31 @@ probabilities after h sum to 1 exactly: the mass the discounts free, over the
 lower-order mass of the words not seen after h.  Lowest level: discounted
 words, and one class for all unknown words that holds the freed mass.
 
-All counts are over all training documents.  They live in tables dealt by the
-hash of the history (level 1: of the word), never in one place:
-
-* documents become *chunks* of up to ``CHUNK`` tokens, written once, bucketed by
-  chunk so that answers can join without moving them: word hashes, and tokens
-  as places in them;
-* for each level a chunk asks each part of the table for its distinct n-grams,
-  with their training counts and lower-order probabilities: the counts are
-  summed per part (pre-aggregated per chunk, so a frequent word costs one
-  entry per chunk and follower), and the part answers in the order asked with
-  c(h, w), and per history c(h); for histories that back off in the chunk also
-  how many followers have each small count, and their lower-order mass; the
-  parts are asked in turns, so that only a share of the n-grams is in the shuffle
-  files at a time;
-* answers join their chunk, which evaluates one step of the recursion for each
-  token and keeps only that: the answers and the step before are deleted.
+All counts are over all training documents.  They live in two stored tables per
+level, dealt by hash and never in one place: ``counts`` (n-grams by the hash of
+the whole n-gram, so that the followers of a frequent history lie in all parts)
+and ``weights`` (histories: how many followers have each small count, and the
+lower-order mass of all followers, from which alpha follows).
+
+* Documents become *chunks* of up to ``CHUNK`` tokens, written once and bucketed
+  by chunk: word hashes, and tokens as places in them.
+* For each level a chunk sends each part its distinct n-grams with their
+  training counts (a frequent n-gram costs one entry per chunk).  The part sums
+  them, stores the sums and answers; of the chunks that hold an n-gram in
+  training text the first one is told that it speaks for it.
+* c(h) needs no question: it is the count of the n-gram that ends one token
+  before, at the level below.
+* A chunk adds up, per history, the n-grams it speaks for; parts by history sum
+  these to the weights, and answer for the histories that the chunk has to back
+  off from.  The chunk then evaluates one step of the recursion for each token;
+  answers and the step before are deleted.
 
 A history's counts of counts make alpha(h) a function of the discounts, so
-these, known only after the pass, need no second one.
+these, known only after the counts, need no second pass.  ``train`` keeps the
+tables as a model, and ``score`` reads other documents against them.
 
 Tokens: words without space or \\t-\\r, A-Z lower-cased, and one end per
-document.  Words are 64-bit hashes; followers of one history are told apart by
-40 bits.
+document.  Words, n-grams and histories are 64-bit hashes.
 
 Defined cases: null text is empty (one token, the end); a null id is in the
 fold of the empty text; repeated rows are trained on and scored as often as
@@ -43,7 +45,7 @@ words follow h, its counts are not discounted.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -53,14 +55,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import (discard, fold, map_batches, materialise, pack, pack_planes, pack_sorted, pick, runs, shuffle_parts, table,
-                                  texts, unpack, unpack_planes, unpack_sorted)
+from tidewatch.llm.common import (discard, fold, map_batches, materialise, pack, pack_planes, pick, runs, shuffle_parts, table, texts, unpack,
+                                  unpack_planes)
 
 FOLDS = 10
 ORDER = 3
 K = 5
-CHUNK = 1_250_000
-PASSES = 2  # times level - 1: the n-grams of so many shares of the parts are on the way one after another
+CHUNK = 1_000_000
 END, BEGIN = (xxhash.xxh3_64_intdigest(x) for x in (b" end", b" begin"))  # no word has a space
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,7 +79,21 @@ def _unpack_values(x: bytes) -> np.ndarray:
     return np.frombuffer(x[4 + n:], np.float64)[unpack_planes(x[4:4 + n])]
 
 
-# --- model -------------------------------------------------------------------------
+def _pack_keys(x: np.ndarray) -> bytes:
+    """Sorted hashes by the byte planes of their steps."""
+    return pack_planes(np.diff(x, prepend=np.uint64(0)))
+
+
+def _unpack_keys(x: bytes) -> np.ndarray:
+    return np.cumsum(unpack_planes(x)).view(np.uint64)
+
+
+def _deal(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each hash; sorted hashes have sorted parts."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+# --- formulas ----------------------------------------------------------------------
 
 def discounts(counts_of_counts: list[int]) -> np.ndarray:
     """d_0 .. d_K (d_0 unused); counts_of_counts are n_1 .. n_{K+1}."""
@@ -133,26 +148,36 @@ class Chunk:
         self.lengths, self.words, self.tokens = lengths, words, tokens
         self.train = np.repeat(train, lengths)
 
-    def grams(self, k: int, parts: int, turn: int = 0, passes: int = 1):
-        """Distinct k-grams (k > 1): histories by (part, hash), first token place, token -> gram, gram -> (history, word place),
-        and the places of the tokens, which are those whose history is in a part p with p % ``passes`` = ``turn``."""
+        self.starts = np.cumsum([0, *lengths[:-1]])
+
+    def histories(self, k: int) -> np.ndarray:
+        """Hash of the k - 1 words before each token."""
         w = self.words[self.tokens]
-        start = np.repeat(np.cumsum([0, *self.lengths[:-1]]), self.lengths)
-        at = np.arange(len(w))
+        place = np.arange(len(w)) - np.repeat(self.starts, self.lengths)
         h = np.full(len(w), k, np.uint64)
-        for j in range(1, k):
-            previous = np.where(at - j >= start, w[np.maximum(at - j, 0)], np.uint64(BEGIN))
-            h = (h ^ previous) * _ODD
-            h ^= h >> np.uint64(31)
-        if passes > 1:
-            at = np.flatnonzero(h % np.uint64(parts) % np.uint64(passes) == turn)
-            h = h[at]
-        histories, place = np.unique(h, return_inverse=True)
-        order = np.lexsort((histories, histories % np.uint64(parts)))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        key, first, gram = np.unique(rank[place] * len(self.words) + self.tokens[at], return_index=True, return_inverse=True)
-        return histories[order], at[first], gram, key // len(self.words), key % len(self.words), at
+        for j in range(k - 1, 0, -1):
+            word = np.full(len(w), BEGIN, np.uint64)
+            word[j:] = w[:-j]
+            word[place < j] = BEGIN
+            h = _mix(h, word)
+        return h
+
+    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the distinct k-grams in order, and each token's place among them."""
+        w = self.words[self.tokens]
+        return np.unique(_mix(self.histories(k), w) if k > 1 else w, return_inverse=True)
+
+    def before(self, x: np.ndarray, first) -> np.ndarray:
+        """What x is at the token before; ``first`` at a document's first token."""
+        out = np.empty_like(x)
+        out[1:] = x[:-1]
+        out[self.starts] = first
+        return out
+
+
+def _mix(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    h = (h ^ word) * _ODD
+    return h ^ (h >> np.uint64(31))
 
 
 def _chunk(row) -> Chunk:
@@ -163,7 +188,8 @@ def _chunk(row) -> Chunk:
 CHUNKS = "chunk long, docs array<long>, lengths binary, train binary, words binary, tokens binary"
 
 
-def chunks(docs: DataFrame) -> DataFrame:
+def chunks(docs: DataFrame, training: bool | None = None) -> DataFrame:
+    """Documents in chunks; ``training``: all count (True), none (False), or those outside fold 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         ids, lengths, held, places = [], [], [], {}
@@ -174,7 +200,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             order = np.argsort(-np.bincount(tokens), kind="stable")
             rank = np.empty(len(words), np.uint32)
             rank[order] = np.arange(len(words), dtype=np.uint32)
-            train = np.array([fold(d, FOLDS) != 0 for d in ids], bool)
+            train = np.array([fold(d, FOLDS) != 0 if training is None else training for d in ids], bool)
             cols = [number, ids, pack(np.array(lengths, np.int64)), pack(train), pack(words[order]), pack_planes(rank[tokens])]
             kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
             return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cols, kinds)], [x.split()[0] for x in CHUNKS.split(", ")])
@@ -200,75 +226,110 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 # --- tables ------------------------------------------------------------------------
 
+class Model(NamedTuple):
+    """Stored tables by level, and the sums over all n-grams of each level."""
 
-ANSWER = "chunk long, level int, part int, counts binary, h_counts binary, kinds binary, small binary, mass binary, stats array<long>"
-_ANSWER = [x.split()[0] for x in ANSWER.split(", ")]
+    parts: int
+    stats: dict[int, dict]
+    counts: dict[int, DataFrame]
+    weights: dict[int, DataFrame]
 
+    @property
+    def order(self) -> int:
+        return max(self.stats)
 
-def _answers(rows: list, level: int, part: int, counts: np.ndarray) -> pd.DataFrame:
-    """Answers, and one row (chunk null) with total, distinct and counts of counts of the part."""
-    some = counts[counts > 0]
-    stats = [int(some.sum()), len(some), *np.bincount(np.minimum(some, K + 2), minlength=K + 3)[1:K + 2].tolist()]
-    out = pd.DataFrame([*rows, (None, level, part, None, None, None, None, None, stats)], columns=_ANSWER)
-    return out.astype({"chunk": "Int64"})
 
+KNOWN = "chunk long, counts binary, last binary, p binary"  # by word at level 1; by token at the last level; P by token
+ASKED = "chunk long, part int, keys binary, counts binary"
+COUNTED = "chunk long, part int, keys binary, counts binary, speaks binary, stats array<long>"
+WEIGHED = "chunk long, part int, counts binary, histories binary, small binary, mass binary, wanted binary"
+WEIGHTS = "chunk long, part int, histories binary, kinds binary, small binary, mass binary"
 
-def word_counts(all_chunks: DataFrame, parts: int) -> DataFrame:
-    """Level 1: training counts of the words of every chunk."""
-    asked = "chunk long, part int, words binary, counts binary"
 
-    def ask(batches):
-        for b in batches:
-            rows = []
-            for row in b.to_pylist():
-                c = _chunk(row)
-                counts = np.bincount(c.tokens[c.train], minlength=len(c.words)).astype(np.uint32)
-                part = (c.words % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                rows += [(row["chunk"], p, c.words[order[a:z]].tobytes(), pack_planes(counts[order[a:z]])) for p, a, z in runs(part[order])]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), [pa.int64(), pa.int32(), pa.binary(), pa.binary()])]
-                                             if rows else [pa.array([], k) for k in (pa.int64(), pa.int32(), pa.binary(), pa.binary())],
-                                             ["chunk", "part", "words", "counts"])
+def _frame(rows: list, schema: str) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")]).astype({"chunk": "Int64", "part": "Int32"})
 
-    def answer(g: pd.DataFrame) -> pd.DataFrame:
-        words = [np.frombuffer(x, np.uint64) for x in g.words]
-        _, place = np.unique(np.concatenate(words), return_inverse=True)
-        total = np.bincount(place, np.concatenate([unpack_planes(x) for x in g.counts])).astype(np.int64)
-        cuts = np.cumsum([0, *map(len, words)])
-        part = int(g.part.iloc[0])
-        rows = [(c, 1, part, pack_planes(total[place[a:b]]), None, None, None, None, None) for c, a, b in zip(g.chunk, cuts, cuts[1:])]
-        return _answers(rows, 1, part, total)
 
-    return map_batches(all_chunks, ask, asked).groupBy("part").applyInPandas(answer, ANSWER)
+def _joined(rows: pd.DataFrame, field: str, read, axis: int = 0) -> np.ndarray:
+    """The arrays of all parts, in the order of the parts."""
+    return np.concatenate([read(x) for x in rows.sort_values("part")[field]], axis)
 
 
-KNOWN = "chunk long, counts binary, p binary"
+def _pack_bits(x: np.ndarray) -> bytes:
+    return len(x).to_bytes(4, "little") + pack(np.packbits(x))
 
 
-def word_level(held: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
-    """Training counts of each chunk's words; P of a token at level 1 follows from them (``p`` is null)."""
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _bits(x: bytes) -> np.ndarray:
+    return np.unpackbits(unpack(x[4:], np.uint8), count=int.from_bytes(x[:4], "little")).astype(bool)
+
+
+def ask(held: DataFrame, parts: int, level: int) -> DataFrame:
+    """Distinct n-grams of every chunk with their training counts, by part."""
+    def run(left: pd.DataFrame) -> pd.DataFrame:
         c = _chunk(left.iloc[0])
-        found = dict(zip(right["part"], right["counts"]))
-        part = (c.words % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        counts = np.empty(len(c.words), np.int64)
-        for p, a, b in runs(part[order]):
-            counts[order[a:b]] = unpack_planes(found[p])
-        return pd.DataFrame({"chunk": [left["chunk"].iloc[0]], "counts": [pack_planes(counts)], "p": [None]})
+        keys, gram = c.grams(level)
+        counts = np.bincount(gram[c.train], minlength=len(keys)).astype(np.uint32)
+        return _frame([(left["chunk"].iloc[0], p, _pack_keys(keys[a:b]), pack_planes(counts[a:b])) for p, a, b in runs(_deal(keys, parts))], ASKED)
+
+    return held.groupBy("chunk").applyInPandas(run, ASKED)
+
+
+def count(asked: DataFrame) -> DataFrame:
+    """Answers (training counts in the order asked), and per part one row (chunk null) of the table of counts."""
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("chunk")
+        asked_keys = [_unpack_keys(x) for x in g["keys"]]
+        keys, place = np.unique(np.concatenate(asked_keys), return_inverse=True)
+        counts = np.concatenate([unpack_planes(x) for x in g["counts"]])
+        total = np.bincount(place, counts, len(keys)).astype(np.int64)
+        training = np.flatnonzero(counts)[::-1]
+        first = np.full(len(keys), -1)
+        first[place[training]] = training
+        speaks = np.zeros(len(place), bool)
+        speaks[first[first >= 0]] = True
+        cuts = np.cumsum([0, *map(len, asked_keys)])
+        part = int(g["part"].iloc[0])
+        rows = [(c, part, None, pack_planes(total[place[a:b]]), _pack_bits(speaks[a:b]), None)
+                for c, a, b in zip(g["chunk"], cuts, cuts[1:])]
+        seen = total > 0
+        some = total[seen]
+        stats = [int(some.sum()), len(some), *np.bincount(np.minimum(some, K + 2), minlength=K + 3)[1:K + 2].tolist()]
+        return _frame([*rows, (None, part, _pack_keys(keys[seen]), pack_planes(some), None, stats)], COUNTED)
+
+    return asked.groupBy("part").applyInPandas(run, COUNTED)
+
+
+def look_up_counts(asked: DataFrame, stored: DataFrame) -> DataFrame:
+    """The same answers from a stored table of counts."""
+    def run(g: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        keys, totals = ((_unpack_keys(known["keys"].iloc[0]), unpack_planes(known["counts"].iloc[0])) if len(known)
+                        else (np.empty(0, np.uint64), np.empty(0, np.int64)))
+        rows = []
+        for c, part, x in zip(g["chunk"], g["part"], g["keys"]):
+            found = _find(keys, totals, _unpack_keys(x))
+            rows.append((c, part, None, pack_planes(found), _pack_bits(np.zeros(len(found), bool)), None))
+        return _frame(rows, COUNTED)
 
-    return held.groupBy("chunk").cogroup(answers.filter("chunk IS NOT NULL").groupBy("chunk")).applyInPandas(run, KNOWN)
+    return asked.groupBy("part").cogroup(stored.groupBy("part")).applyInPandas(run, COUNTED)
 
 
-def next_level(held: DataFrame, answers: DataFrame, stats: dict, parts: int, level: int) -> DataFrame:
-    """P of every token at ``level`` (``held``: chunks with what is known of the level below)."""
+def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Values of the wanted keys, 0 for unknown ones (``keys`` in order)."""
+    if not len(keys):
+        return np.zeros(len(wanted), values.dtype)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0)
+
+
+def word_level(held: DataFrame, answers: DataFrame) -> DataFrame:
+    """Training counts of each chunk's words; P of a token at level 1 follows from them (``p`` is null)."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        row = left.iloc[0]
-        c = _chunk(row)
-        p = probabilities(c, _lower(row, c, stats), right, stats, parts, level)
-        return pd.DataFrame({"chunk": [row["chunk"]], "counts": [row["counts"]], "p": [_pack_values(p)]})
+        c = _chunk(left.iloc[0])
+        counts = np.empty(len(c.words), np.int64)
+        counts[np.argsort(c.words)] = _joined(right, "counts", unpack_planes)
+        return pd.DataFrame({"chunk": [left["chunk"].iloc[0]], "counts": [pack_planes(counts)], "last": [None], "p": [None]})
 
-    return held.groupBy("chunk").cogroup(answers.filter("chunk IS NOT NULL").groupBy("chunk")).applyInPandas(run, KNOWN)
+    return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, KNOWN)
 
 
 def _token_counts(row, c: Chunk) -> np.ndarray:
@@ -281,153 +342,207 @@ def _lower(row, c: Chunk, stats: dict) -> np.ndarray:
     return unigram(_token_counts(row, c), stats[1]) if row["p"] is None else _unpack_values(row["p"])
 
 
-def probabilities(c: Chunk, lower: np.ndarray, answers: pd.DataFrame, stats: dict, parts: int, level: int) -> np.ndarray:
-    """P of every token at ``level`` (above 1), from its answers and P at the level below."""
-    found = {a["part"]: a for a in answers.to_dict("records")}
-    d, out, passes = discounts(stats[level]["n"]), np.empty(len(lower)), PASSES * (level - 1)
-    for turn in range(passes):  # arrays of a share of the tokens at a time
-        histories, _, gram, gram_history, _, at = c.grams(level, parts, turn, passes)
-        if not len(at):
-            continue
-        spans = runs((histories % np.uint64(parts)).astype(np.int64))
-        get = lambda field, read: np.concatenate([read(found[p][field]) for p, _, _ in spans])  # noqa: E731, B023
-        counts, c_h = get("counts", unpack_planes), get("h_counts", unpack_planes)
-        asked = _backs_off(counts, gram_history, c_h)
-        small, mass = np.zeros((len(c_h), K)), np.zeros(len(c_h))
-        small[asked], mass[asked] = get("small", unpack_planes).reshape(-1, K), get("mass", _unpack_values)
-        h = gram_history[gram]
-        out[at] = backoff(lower[at], counts[gram], c_h[h], get("kinds", lambda x: unpack(x, np.uint8))[h], small[h], mass[h], d)
-    return out
+def _history_counts(row, c: Chunk) -> np.ndarray:
+    """c(h) of every token at the next level: the count of what ends one token before, or of the documents."""
+    words = _token_counts(row, c)
+    return c.before(words if row["last"] is None else unpack_planes(row["last"]), words[c.lengths[0] - 1])
+
 
+def _asks(counts: np.ndarray, c_h: np.ndarray, stats: dict) -> np.ndarray:
+    """Tokens whose step needs their history's weights.  A seen n-gram with a small count tells that its history has one, an only
+    follower with a large count that it has none, as long as not all words can follow."""
+    sure = (counts > 0) & (c_h < stats[1]["distinct"]) & ((counts <= K) | (counts == c_h))
+    return (c_h > 0) & ~sure
 
-def _backs_off(counts: np.ndarray, gram_history: np.ndarray, c_h: np.ndarray) -> np.ndarray:
-    """Seen histories with an unseen follower among the n-grams asked for: they need alpha."""
-    out = c_h > 0
-    out &= np.bincount(gram_history[counts == 0], minlength=len(c_h)) > 0
+
+def weigh(held: DataFrame, answers: DataFrame, stats: dict, parts: int, level: int) -> DataFrame:
+    """Per chunk: one row (part null) with every token's count; by part of the histories, what the chunk's n-grams add to
+    their weights and which of them it asks for (``held``: chunks with what is known of the level below)."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        row = left.iloc[0]
+        c = _chunk(row)
+        keys, gram = c.grams(level)
+        counts, speaks = _joined(right, "counts", unpack_planes)[gram], _joined(right, "speaks", _bits)
+        rows = [(row["chunk"], None, pack_planes(counts), None, None, None, None)]
+        h = c.histories(level)
+        place = np.empty(len(keys), np.int64)
+        place[gram] = np.arange(len(gram))
+        place = place[speaks]
+        del keys, gram, speaks
+        own, at = np.unique(h[place], return_inverse=True)
+        small = np.bincount(at * (K + 1) + np.minimum(counts[place], K + 1) - 1, minlength=len(own) * (K + 1)).reshape(-1, K + 1)[:, :K]
+        mass = np.bincount(at, _lower(row, c, stats)[place], len(own))
+        wanted = np.unique(h[_asks(counts, _history_counts(row, c), stats)])
+        numbers = np.arange(parts + 1)
+        cut, cut_wanted = (np.searchsorted(_deal(x, parts), numbers) for x in (own, wanted))
+        for p, a, b, x, y in zip(numbers, cut, cut[1:], cut_wanted, cut_wanted[1:]):
+            if b > a or y > x:
+                rows.append((row["chunk"], p, None, _pack_keys(own[a:b]), pack_planes(small[a:b].T.ravel()), _pack_values(mass[a:b]),
+                             _pack_keys(wanted[x:y])))
+        return _frame(rows, WEIGHED)
+
+    return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, WEIGHED)
+
+
+def _small(x: bytes) -> np.ndarray:
+    return unpack_planes(x).reshape(K, -1)
+
+
+def weights(weighed: DataFrame) -> DataFrame:
+    """Answers for the histories asked for, and per part one row (chunk null) of the table of weights."""
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("chunk")
+        histories, at = np.unique(np.concatenate([_unpack_keys(x) for x in g["histories"]]), return_inverse=True)
+        small = np.concatenate([_small(x) for x in g["small"]], 1)
+        small = np.stack([np.bincount(at, x, len(histories)) for x in small]).astype(np.int64)
+        mass = np.bincount(at, np.concatenate([_unpack_values(x) for x in g["mass"]]), len(histories))
+        kinds = np.where(1 - mass <= 1e-12, NOTHING, np.where(small.any(0), BY_DISCOUNT, SET_ASIDE)).astype(np.uint8)
+        part = int(g["part"].iloc[0])
+        rows = _weight_answers(g, histories, kinds, small, mass)
+        return _frame([*rows, (None, part, _pack_keys(histories), pack(kinds), pack_planes(small.ravel()), _pack_values(mass))], WEIGHTS)
+
+    return weighed.filter("part IS NOT NULL").groupBy("part").applyInPandas(run, WEIGHTS)
+
+
+def look_up_weights(weighed: DataFrame, stored: DataFrame) -> DataFrame:
+    """The same answers from a stored table of weights."""
+    def run(g: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(g) or not len(known):
+            return _frame([], WEIGHTS)
+        k = known.iloc[0]
+        return _frame(_weight_answers(g, _unpack_keys(k["histories"]), unpack(k["kinds"], np.uint8), _small(k["small"]), _unpack_values(k["mass"])), WEIGHTS)
+
+    return weighed.filter("part IS NOT NULL").groupBy("part").cogroup(stored.groupBy("part")).applyInPandas(run, WEIGHTS)
+
+
+def _weight_answers(g: pd.DataFrame, histories, kinds, small, mass) -> list[tuple]:
+    rows = []
+    for c, part, x in zip(g["chunk"], g["part"], g["wanted"]):
+        at = np.searchsorted(histories, _unpack_keys(x))  # a history that was seen has followers
+        if len(at):
+            rows.append((c, part, None, pack(kinds[at]), pack_planes(small[:, at].ravel()), _pack_values(mass[at])))
+    return rows
+
+
+def probabilities(row, c: Chunk, answers: pd.DataFrame, stats: dict, level: int) -> np.ndarray:
+    """P of every token at ``level`` (above 1), from P at the level below and the weights of the histories asked for."""
+    lower, counts, c_h = _lower(row, c, stats), unpack_planes(row["now"]), _history_counts(row, c)
+    d = discounts(stats[level]["n"])
+    nothing = np.zeros((1, K)), np.zeros(1)  # seen, or without a known history
+    out = backoff(lower, counts, c_h, np.where(counts <= K, BY_DISCOUNT, SET_ASIDE), *nothing, d)
+    asked = np.flatnonzero(_asks(counts, c_h, stats))
+    if len(asked):
+        _, h = np.unique(c.histories(level)[asked], return_inverse=True)
+        kinds = _joined(answers, "kinds", lambda x: unpack(x, np.uint8))[h]
+        small, mass = _joined(answers, "small", _small, 1)[:, h].T, _joined(answers, "mass", _unpack_values)[h]
+        out[asked] = backoff(lower[asked], counts[asked], c_h[asked], kinds, small, mass, d)
     return out
 
 
-ASKED = "chunk long, part int, histories binary, sizes binary, followers binary, counts binary, values binary, codes binary"
+def next_level(held: DataFrame, answers: DataFrame, stats: dict, level: int) -> DataFrame:
+    """What is known of each chunk after ``level`` (``held``: with the level below, and the tokens' counts as ``now``)."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        row = left.iloc[0]
+        p = probabilities(row, _chunk(row), right, stats, level)
+        return pd.DataFrame({"chunk": [row["chunk"]], "counts": [row["counts"]], "last": [row["now"]], "p": [_pack_values(p)]})
+
+    return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, KNOWN)
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _scores(row, c: Chunk, p: np.ndarray, stats: dict) -> pd.DataFrame:
+    """One row per document of the chunk from P of its tokens."""
+    counts = _token_counts(row, c)
+    total, distinct = stats[1]["total"], stats[1]["distinct"]
+    per = lambda x: np.add.reduceat(x, c.starts)
+    base = np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1)))
+    ids = [None if d is None or d != d else int(d) for d in row["docs"]]
+    return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "held_out": [fold(d, FOLDS) == 0 for d in ids], "n_tokens": c.lengths,
+                         "n_known": per((counts > 0).astype(np.int64)), "train_tokens": total, "base_score": per(base), "score": per(np.log10(p))})
 
 
-def ngram_counts(held: DataFrame, stats: dict, parts: int, level: int, turn: int = 0, passes: int = 1) -> DataFrame:
-    """Level 2 and up: counts of every chunk's n-grams and their histories (``held``: chunks with what is known of the level below),
-    for the parts p with p % ``passes`` = ``turn``."""
-    def ask(left: pd.DataFrame) -> pd.DataFrame:
+def evaluate(held: DataFrame, answers: DataFrame | None, stats: dict, level: int) -> DataFrame:
+    """The documents' scores by the last level (level 1 has no answers)."""
+    def words(left: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]
         c = _chunk(row)
-        p = _lower(row, c, stats)
-        histories, first, gram, gram_history, gram_word, at = c.grams(level, parts, turn, passes)
-        counts = np.bincount(gram, c.train[at], len(first)).astype(np.uint32)
-        lower = p[first]
-        rows = []
-        for part, a, b in runs((histories % np.uint64(parts)).astype(np.int64)):
-            x, y = np.searchsorted(gram_history, [a, b])
-            values, codes = np.unique(lower[x:y], return_inverse=True)
-            w40 = c.words[gram_word[x:y]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:]
-            rows.append((row["chunk"], part, pack_sorted(histories[a:b] // np.uint64(parts)), pack_planes(np.bincount(gram_history[x:y] - a, minlength=b - a)),
-                         np.ascontiguousarray(w40).tobytes(), pack_planes(counts[x:y]), values.tobytes(),
-                         pack_planes(codes)))
-        return pd.DataFrame(rows, columns=[x.split()[0] for x in ASKED.split(", ")])
-
-    def answer(g: pd.DataFrame) -> pd.DataFrame:
-        histories = [unpack_sorted(x) for x in g.histories]  # divided by the number of parts
-        sizes = [unpack_planes(x) for x in g["sizes"]]
-        all_h, h_place = np.unique(np.concatenate(histories), return_inverse=True)
-        h_cuts = np.cumsum([0, *map(len, histories)])
-        h = np.repeat(h_place, np.concatenate(sizes))
-        cuts = np.cumsum([0, *(int(s.sum()) for s in sizes)])
-        w = np.zeros((len(h), 8), np.uint8)
-        w[:, 3:] = np.frombuffer(b"".join(bytes(x) for x in g.followers), np.uint8).reshape(-1, 5)
-        w = w.view("<u8").ravel()
-        counts = np.concatenate([unpack_planes(x) for x in g.counts])
-        lower = []
-        for v, x in zip(g["values"], g.codes):
-            lower.append(np.frombuffer(v, np.float64)[unpack_planes(x)])
-        lower = np.concatenate(lower)
-        order = np.lexsort((w, h))
-        new = np.ones(len(h), bool)
-        new[1:] = (h[order][1:] != h[order][:-1]) | (w[order][1:] != w[order][:-1])
-        gram = np.empty(len(h), np.int64)
-        gram[order] = np.cumsum(new) - 1
-        total = np.bincount(gram, counts).astype(np.int64)
-        head = order[new]
-        g_h, seen = h[head], total > 0
-        c_h = np.bincount(g_h, total, len(all_h)).astype(np.int64)
-        mass = np.bincount(g_h[seen], lower[head][seen], len(all_h))
-        small = np.stack([np.bincount(g_h[total == r], minlength=len(all_h)) for r in range(1, K + 1)], 1).astype(np.uint32)
-        kinds = np.where(1 - mass <= 1e-12, NOTHING, np.where(small.any(1), BY_DISCOUNT, SET_ASIDE)).astype(np.uint8)
-        part = int(g.part.iloc[0])
-        rows = []
-        for c, a, b, x, y, size in zip(g.chunk, cuts, cuts[1:], h_cuts, h_cuts[1:], sizes):
-            k, counts_ = h_place[x:y], total[gram[a:b]]
-            need = k[_backs_off(counts_, np.repeat(np.arange(y - x), size), c_h[k])]
-            rows.append((c, level, part, pack_planes(counts_), pack_planes(c_h[k]), pack(kinds[k]), pack_planes(small[need].ravel()),
-                         _pack_values(mass[need]), None))
-        return _answers(rows, level, part, total)
+        return _scores(row, c, _lower(row, c, stats), stats)
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        row = left.iloc[0]
+        c = _chunk(row)
+        return _scores(row, c, probabilities(row, c, right, stats, level), stats)
+
+    if answers is None:
+        return held.groupBy("chunk").applyInPandas(words, SCORED)
+    return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, SCORED)
 
-    asked = held.groupBy("chunk").applyInPandas(ask, ASKED)
-    return asked.groupBy("part").applyInPandas(answer, ANSWER)
 
+# --- runs --------------------------------------------------------------------------
 
-def _stats(answers: DataFrame) -> dict:
+def _stats(counted: DataFrame) -> dict:
     """Sums over the parts: a few numbers."""
     cols = [F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(K + 3)]
-    r = [int(x or 0) for x in answers.filter("chunk IS NULL").agg(*cols).first()]
+    r = [int(x or 0) for x in counted.filter("chunk IS NULL").agg(*cols).first()]
     return {"total": r[0], "distinct": r[1], "n": r[2:]}
 
 
-def _release(spark) -> None:
-    """Let Spark's cleaner drop the shuffle files of stages that are written."""
-    import gc
+def _run(docs: DataFrame, order: int, training: bool | None, model: Model | None = None, keep: bool = False) -> tuple[DataFrame | None, Model]:
+    """Levels 1 to ``order`` over all documents: their scores, or with ``keep`` the tables instead.  A ``model`` answers in
+    place of the documents' own counts."""
+    parts = model.parts if model else 2 * shuffle_parts(docs.sparkSession)
+    own = Model(parts, dict(model.stats) if model else {}, {}, {})
+    held, known = materialise(chunks(docs, training), "katz-chunks", bucket="chunk"), None
+    stored = lambda df, name, *cols: materialise(df.filter("chunk IS NULL").select("part", *cols), name, bucket="part")
+    for level in range(1, order + 1):
+        asked = ask(held, parts, level)
+        counted = materialise(look_up_counts(asked, model.counts[level]) if model else count(asked), f"katz-counted-{level}")
+        if not model:
+            own.stats[level] = _stats(counted)
+        if keep:
+            own.counts[level] = stored(counted, f"katz-counts-{level}", "keys", "counts")
+        answers = counted.filter("chunk IS NOT NULL").select("chunk", "part", "counts", "speaks")
+        if level == 1:
+            known = materialise(word_level(held, answers), "katz-known-1", bucket="chunk")
+            discard(counted)
+            continue
+        weighed = materialise(weigh(held.join(known, "chunk"), answers, own.stats, parts, level), f"katz-weighed-{level}")
+        discard(counted)
+        answered = materialise(look_up_weights(weighed, model.weights[level]) if model else weights(weighed), f"katz-answered-{level}")
+        if keep:
+            own.weights[level] = stored(answered, f"katz-weights-{level}", "histories", "kinds", "small", "mass")
+        answers = answered.filter("chunk IS NOT NULL")
+        now = weighed.filter("part IS NULL").select("chunk", F.col("counts").alias("now"))
+        state = held.join(known, "chunk").join(now, "chunk")
+        if level < order:
+            found = materialise(next_level(state, answers, own.stats, level), f"katz-known-{level}", bucket="chunk")
+        elif not keep:
+            return evaluate(state, answers, own.stats, level), own
+        for t in (known, weighed, answered):
+            discard(t)
+        known = found if level < order else None
+    if keep:
+        discard(held)
+        return None, own
+    return evaluate(held.join(known, "chunk"), None, own.stats, 1), own
 
-    gc.collect()
-    spark._jvm.System.gc()
 
+def train(docs: DataFrame, order: int = ORDER) -> Model:
+    """The tables of all of ``docs``, stored under the checkpoint folder."""
+    return _run(docs, order, True, keep=True)[1]
 
-def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """One row per document: held_out, n_tokens, n_known, train_tokens, base_score and score (log10)."""
-    spark = docs.sparkSession
-    parts = 2 * shuffle_parts(spark)
-    held = materialise(chunks(docs), "katz-chunks", bucket="chunk")
-    answers = materialise(word_counts(held, parts), "katz-1")
-    stats = {1: _stats(answers)}
-    known = materialise(word_level(held, answers, parts), "katz-known-1", bucket="chunk")
-    discard(answers)
-    for level in range(2, order + 1):
-        tables, passes = [], PASSES * (level - 1)
-        for turn in range(passes):
-            _release(spark)
-            tables.append(materialise(ngram_counts(held.join(known, "chunk"), stats, parts, level, turn, passes), f"katz-{level}-{turn}"))
-        answers = reduce(DataFrame.union, tables)
-        stats[level] = _stats(answers)
-        _release(spark)
-        if level < order:
-            found = materialise(next_level(held.join(known, "chunk"), answers, stats, parts, level), f"katz-known-{level}", bucket="chunk")
-            for t in (known, *tables):
-                discard(t)
-            known = found
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    def evaluate(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
-        row = left.iloc[0]
-        c = _chunk(row)
-        counts = _token_counts(row, c)
-        total, distinct = stats[1]["total"], stats[1]["distinct"]
-        ends = np.cumsum([0, *c.lengths[:-1]])
-        per = lambda x: np.add.reduceat(x, ends)
-        base = np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1)))
-        p = _lower(row, c, stats)
-        logs = np.log10(p if right is None else probabilities(c, p, right, stats, parts, order))
-        docs_ = list(row["docs"])
-        ids = [None if d is None or d != d else int(d) for d in docs_]
-        return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "held_out": [fold(d, FOLDS) == 0 for d in ids], "n_tokens": c.lengths,
-                             "n_known": per((counts > 0).astype(np.int64)), "train_tokens": total, "base_score": per(base), "score": per(logs)})
-
-    scored = held.join(known, "chunk").groupBy("chunk")
-    if order == 1:
-        return scored.applyInPandas(lambda left: evaluate(left, None), schema)
-    return scored.cogroup(answers.filter("chunk IS NOT NULL").groupBy("chunk")).applyInPandas(evaluate, schema)
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """One row per document, scored by the stored tables; columns as of ``score_documents``."""
+    return _run(docs, model.order, False, model)[0]
+
+
+def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """One row per document: held_out, n_tokens, n_known, train_tokens, base_score and score (log10), trained on the same
+    documents without fold 0."""
+    return _run(docs, order, None)[0]
 
 
 def q_op7(spark, sf_dir):
