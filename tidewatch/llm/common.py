@@ -27,6 +27,21 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+#: Spark's own setting: a query's shuffle files are removed when the query has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise_lean(df: DataFrame, name: str, bucket: str | None = None) -> DataFrame:
+    """``materialise`` whose shuffle files go as soon as the table is written, not when the driver collects garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return materialise(df, name, bucket)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialise(df: DataFrame, name: str, bucket: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 

@@ -55,8 +55,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import (discard, fold, map_batches, materialise, pack, pack_planes, pick, runs, shuffle_parts, table, texts, unpack,
-                                  unpack_planes)
+from tidewatch.llm.common import (discard, fold, map_batches, pack, pack_planes, pick, runs, shuffle_parts, table, texts, unpack, unpack_planes)
+from tidewatch.llm.common import materialise_lean as materialise
 
 FOLDS = 10
 ORDER = 3
