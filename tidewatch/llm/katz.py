@@ -67,8 +67,10 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _pack_values(x: np.ndarray) -> bytes:
-    """Floats of which many are equal: the distinct ones and their places."""
+    """Floats as they are, or where many are equal the distinct ones and their places."""
     values, place = np.unique(x, return_inverse=True)
+    if 2 * len(values) > len(x):
+        return bytes(4) + x.tobytes()
     places = pack_planes(place)
     return len(places).to_bytes(4, "little") + places + values.tobytes()
 
@@ -76,7 +78,8 @@ def _pack_values(x: np.ndarray) -> bytes:
 def _unpack_values(x: bytes) -> np.ndarray:
     x = bytes(x)
     n = int.from_bytes(x[:4], "little")
-    return np.frombuffer(x[4 + n:], np.float64)[unpack_planes(x[4:4 + n])]
+    values = np.frombuffer(x[4 + n:], np.float64)
+    return values[unpack_planes(x[4:4 + n])] if n else values
 
 
 def _pack_keys(x: np.ndarray) -> bytes:
