@@ -40,3 +40,12 @@ def test_base_columns_equal_a_direct_search(spark):
     assert got[106].score < got[104].score and got[104].score > 0.999999 and got[7].labels == "" and got[7].score == 0
     assert sum(r.doc_id == 9 for r in df.collect()) == 2
     assert L.license_scan(documents(spark, [])).count() == 0
+
+
+def test_a_million_words_of_one_phrase_take_seconds(spark):
+    import time
+    rows = documents(spark, [(1, "under the mit license " * 250_000)])
+    start = time.monotonic()
+    (r,) = L.license_scan(rows).collect()
+    assert time.monotonic() - start < 60
+    assert (r.n_words, r.n_base, r.first_word, r.last_word, r.labels) == (1_000_000, 250_000, 0, 999_996, "mit")

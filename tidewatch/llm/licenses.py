@@ -20,7 +20,8 @@ which is replaced by another non-ASCII letter first.)
 
 Defined cases: null text is empty (0 words, empty labels, score 0); repeated
 rows give repeated result rows; an empty table gives no rows; extra columns
-are ignored; equal frequencies go by position in the template.
+are ignored; equal frequencies go by position in the template; a text's cost
+grows with its length, also where a phrase fills it.
 """
 from __future__ import annotations
 
@@ -116,8 +117,9 @@ def license_scan(docs: DataFrame, templates=None) -> DataFrame:
     w = F.col("w")
     holds = lambda c, q: F.get(w, c["o"] + q).eqNullSafe(F.get(F.get(t_words, c["t"]), q))
     places = F.filter(F.transform(w, lambda x, i: F.struct(i.alias("i"), F.array_position(rare, x).cast("int").alias("r"))), lambda s: s["r"] > 0)
-    candidates = F.array_distinct(F.flatten(F.transform(places, lambda s: F.transform(
-        F.get(lists, s["r"] - 1), lambda p: F.struct(p["t"].alias("t"), (s["i"] - p["q"]).alias("o"))))))
+    # a template has one posting, so candidates are distinct
+    candidates = F.flatten(F.transform(places, lambda s: F.transform(
+        F.get(lists, s["r"] - 1), lambda p: F.struct(p["t"].alias("t"), (s["i"] - p["q"]).alias("o")))))
     candidates = F.when(F.arrays_overlap(w, rare), candidates)  # the row by row part only where an indexed word stands
     agreeing = F.filter(candidates, lambda c: holds(c, F.get(t_second, c["t"])))
     whole = F.filter(agreeing, lambda c: F.forall(F.get(t_must, c["t"]), lambda q: holds(c, q)))
