@@ -1,6 +1,7 @@
 """Helpers shared by the operators of this package."""
 from __future__ import annotations
 
+import gc
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -27,19 +28,12 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
-#: Spark's own setting: a query's shuffle files are removed when the query has ended.
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def materialise_lean(df: DataFrame, name: str, bucket: str | None = None) -> DataFrame:
-    """``materialise`` whose shuffle files go as soon as the table is written, not when the driver collects garbage."""
-    conf = df.sparkSession.conf
-    before = conf.get(SHUFFLE_CLEANUP)
-    conf.set(SHUFFLE_CLEANUP, "true")
-    try:
-        return materialise(df, name, bucket)
-    finally:
-        conf.set(SHUFFLE_CLEANUP, before)
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of ended queries now.  It acts on what the driver no longer holds, hence the
+    collections; results do not depend on it, only the disk in use does.  (The setting that removes them at a query's end
+    was tried: it did not lower the disk in use on executors.)"""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def materialise(df: DataFrame, name: str, bucket: str | None = None) -> DataFrame:

@@ -55,8 +55,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import (discard, fold, map_batches, pack, pack_planes, pick, runs, shuffle_parts, table, texts, unpack, unpack_planes)
-from tidewatch.llm.common import materialise_lean as materialise
+from tidewatch.llm.common import (discard, fold, map_batches, materialise, pack, pack_planes, pick, release_shuffles, runs, shuffle_parts, table, texts,
+                                  unpack, unpack_planes)
 
 FOLDS = 10
 ORDER = 3
@@ -511,20 +511,24 @@ def _run(docs: DataFrame, order: int, training: bool | None, model: Model | None
             known = materialise(word_level(held, answers), "katz-known-1", bucket="chunk")
             discard(counted)
             continue
+        release_shuffles(docs.sparkSession)
         weighed = materialise(weigh(held.join(known, "chunk"), answers, own.stats, parts, level), f"katz-weighed-{level}")
         discard(counted)
+        release_shuffles(docs.sparkSession)
         answered = materialise(look_up_weights(weighed, model.weights[level]) if model else weights(weighed), f"katz-answered-{level}")
         if keep:
             own.weights[level] = stored(answered, f"katz-weights-{level}", "histories", "kinds", "small", "mass")
         answers = answered.filter("chunk IS NOT NULL")
         now = weighed.filter("part IS NULL").select("chunk", F.col("counts").alias("now"))
         state = held.join(known, "chunk").join(now, "chunk")
+        release_shuffles(docs.sparkSession)
         if level < order:
             found = materialise(next_level(state, answers, own.stats, level), f"katz-known-{level}", bucket="chunk")
         elif not keep:
             return evaluate(state, answers, own.stats, level), own
         for t in (known, weighed, answered):
             discard(t)
+        release_shuffles(docs.sparkSession)
         known = found if level < order else None
     if keep:
         discard(held)
