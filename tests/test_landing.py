@@ -48,3 +48,22 @@ def test_header_tables_by_file(spark, tmp_path):
     got, rejects = landing.read_header_tables(spark, f"{tmp_path}/in/page=*", ["NAME", "X"])
     assert rows(got) == ["('a', '1')", "('b', None)", "('c', '2')"]
     assert rejects.count() == 2
+
+
+def test_many_files_are_listed_by_few_tasks(spark, tmp_path):
+    sc = spark.sparkContext
+    most = landing.LISTING_TASKS * sc.defaultParallelism
+    pages = spark.range(most + 40).select(F.col("id").alias("page"), F.format_string('{"features": [{"id": "pr%d"}]}', "id").alias("payload"))
+    landing.land(pages, f"{tmp_path}/in")
+    before = spark.conf.get(landing.LISTING_CONF)
+    sc.setJobGroup("listing", "listing")
+    try:
+        got, rejects = landing.read_feed(spark, "quakes", f"{tmp_path}/in/page=*")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert len(stages) > 1 and max(s.numTasks for s in stages) <= most
+    by_stream, _ = landing.stream_feed(spark, "quakes", f"{tmp_path}/in/page=*", f"{tmp_path}/state")
+    assert spark.conf.get(landing.LISTING_CONF) == before
+    assert got.count() == by_stream.count() == most + 40 and rejects.count() == 0
