@@ -1,5 +1,6 @@
 """Katz backoff (op7) against a direct dictionary version, and exact normalisation."""
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -118,3 +119,47 @@ def test_stored_tables_score_other_documents(spark, monkeypatch):
         keys = [x for r in model.counts[level].collect() for x in K._unpack_keys(r["keys"]).tolist()]
         assert len(keys) == len(set(keys)) == len(m.counts[level])
     assert K.score(documents(spark, []), model).count() == 0
+
+
+def test_four_words_read_the_counts_of_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(K, "CHUNK", 300)
+    rows = DOCS[::3]
+    got = sorted(map(tuple, K.score_documents(documents(spark, rows), 4).collect()))
+    want = sorted(Direct(rows, 4).rows())
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert all(abs(g[6] - w[6]) < 1e-6 for g, w in zip(got, want))
+
+
+def test_tables_between_the_steps_stay_small(spark, monkeypatch):
+    """What lies in stage tables at once, in bytes a token (8.7 when they held every P and the histories of a whole level);
+    the histories of a level move in turns."""
+    monkeypatch.setattr(K, "CHUNK", 20_000)
+    monkeypatch.setattr(K, "shuffle_parts", lambda _: 3)
+    write, drop, weigh = K.materialise, K.discard, K.weigh
+    live, peak, ranges = {}, [], []
+
+    def materialise(df, name, bucket=None):
+        out = write(df, name, bucket)
+        kinds = [c for c, kind in out.dtypes if kind == "binary"]
+        live[id(out)] = out, name, sum(len(r[c]) for r in out.select(*kinds).collect() for c in kinds if r[c] is not None)
+        peak.append(sum(x[2] for x in live.values()))
+        return out
+
+    def discard(df):
+        live.pop(id(df))
+        drop(df)
+
+    def spied(held, stats, parts, level, start, end):
+        ranges.append((level, parts, start, end))
+        return weigh(held, stats, parts, level, start, end)
+
+    monkeypatch.setattr(K, "materialise", materialise)
+    monkeypatch.setattr(K, "discard", discard)
+    monkeypatch.setattr(K, "weigh", spied)
+    words = random.Random(1)
+    rows = [(k, " ".join(f"w{int(words.paretovariate(0.7))}" for _ in range(400))) for k in range(150)]
+    assert K.score_documents(documents(spark, rows).coalesce(1)).count() == len(rows)
+    assert max(peak) < 5 * 150 * 401
+    for level in (2, 3):
+        mine = [(a, b) for x, _, a, b in ranges if x == level]
+        assert len(mine) == 2 and [k for a, b in mine for k in range(a, b)] == list(range(6))

@@ -9,24 +9,28 @@ probabilities after h sum to 1 exactly: the mass the discounts free, over the
 lower-order mass of the words not seen after h.  Lowest level: discounted
 words, and one class for all unknown words that holds the freed mass.
 
-All counts are over all training documents.  They live in two stored tables per
-level, dealt by hash and never in one place: ``counts`` (n-grams by the hash of
-the whole n-gram, so that the followers of a frequent history lie in all parts)
-and ``weights`` (histories: how many followers have each small count, and the
-lower-order mass of all followers, from which alpha follows).
+All counts are over all training documents.  They are dealt by hash and never in
+one place, in two tables per level: ``counts`` (n-grams by the hash of the whole
+n-gram, so that the followers of a frequent history lie in all parts) and
+``weights`` (histories: how many followers have each small count, and the
+lower-order mass of all followers, from which alpha follows).  ``train`` stores
+them; scores of the same documents need the answers only.
 
 * Documents become *chunks* of up to ``CHUNK`` tokens, written once and bucketed
   by chunk: word hashes, and tokens as places in them.
 * For each level a chunk sends each part its distinct n-grams with their
   training counts (a frequent n-gram costs one entry per chunk).  The part sums
-  them, stores the sums and answers; of the chunks that hold an n-gram in
-  training text the first one is told that it speaks for it.
+  them and answers; of the chunks that hold an n-gram in training text the first
+  one is told that it speaks for it.
 * c(h) needs no question: it is the count of the n-gram that ends one token
   before, at the level below.
 * A chunk adds up, per history, the n-grams it speaks for; parts by history sum
   these to the weights, and answer for the histories that the chunk has to back
-  off from.  The chunk then evaluates one step of the recursion for each token;
-  answers and the step before are deleted.
+  off from.  This is done in ``TURNS`` turns over the parts, so that only one
+  turn's histories lie on disk at a time.  The chunk then evaluates one step of
+  the recursion for each token; answers and the step before are deleted.
+* Of a step only the counts, the kinds of the histories and P of the unseen
+  n-grams are kept: P of a seen one follows from its counts.
 
 A history's counts of counts make alpha(h) a function of the discounts, so
 these, known only after the counts, need no second pass.  ``train`` keeps the
@@ -45,6 +49,7 @@ words follow h, its counts are not discounted.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -62,6 +67,7 @@ FOLDS = 10
 ORDER = 3
 K = 5
 CHUNK = 1_000_000
+TURNS = 2
 END, BEGIN = (xxhash.xxh3_64_intdigest(x) for x in (b" end", b" begin"))  # no word has a space
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -131,15 +137,24 @@ def unigram(c: np.ndarray, stats: dict) -> np.ndarray:
 BY_DISCOUNT, SET_ASIDE, NOTHING = 0, 1, 2
 
 
+def seen(c: np.ndarray, c_h: np.ndarray, kind: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """P(w | h) by token, for words seen after h."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = discount(c, d) * c / c_h
+        for k, more in ((NOTHING, 0.0), (SET_ASIDE, 0.5)):
+            at = np.flatnonzero(kind == k)
+            out[at] = c[at] / (c_h[at] + more)
+    return out
+
+
 def backoff(lower: np.ndarray, c: np.ndarray, c_h: np.ndarray, kind: np.ndarray, small: np.ndarray, mass: np.ndarray, d: np.ndarray) -> np.ndarray:
     """P(w | h) by token.  kind, small (followers of h with counts 1 .. K) and mass (lower-order
     probability of h's followers) are those of the token's history; the last two are read for unseen words only."""
     with np.errstate(divide="ignore", invalid="ignore"):
         freed = ((1 - d[1:]) * np.arange(1, K + 1) * small).sum(1) / c_h
-        seen = np.select([kind == NOTHING, kind == SET_ASIDE], [c / c_h, c / (c_h + 0.5)], discount(c, d) * c / c_h)
         left = np.select([kind == NOTHING, kind == SET_ASIDE], [np.zeros(len(c)), 0.5 / (c_h + 0.5)], freed)
         alpha = np.where(kind == NOTHING, 0.0, left / (1 - mass))
-    return np.where(c_h == 0, lower, np.where(c > 0, seen, alpha * lower))
+    return np.where(c_h == 0, lower, np.where(c > 0, seen(c, c_h, kind, d), alpha * lower))
 
 
 # --- chunks ------------------------------------------------------------------------
@@ -242,10 +257,13 @@ class Model(NamedTuple):
         return max(self.stats)
 
 
-KNOWN = "chunk long, counts binary, last binary, p binary"  # by word at level 1; by token at the last level; P by token
+#: Counts by word at level 1, by token at the level before the last one (null: as by word) and at the last one; there, kinds of the
+#: histories by token, and P of the tokens that were not seen.
+KNOWN = "chunk long, counts binary, prior binary, last binary, kinds binary, p binary"
 ASKED = "chunk long, part int, keys binary, counts binary"
 COUNTED = "chunk long, part int, keys binary, counts binary, speaks binary, stats array<long>"
-WEIGHED = "chunk long, part int, counts binary, histories binary, small binary, mass binary, wanted binary"
+PLACED = "chunk long, now binary, speaks binary"
+WEIGHED = "chunk long, part int, histories binary, small binary, mass binary, wanted binary"
 WEIGHTS = "chunk long, part int, histories binary, kinds binary, small binary, mass binary"
 
 
@@ -277,8 +295,9 @@ def ask(held: DataFrame, parts: int, level: int) -> DataFrame:
     return held.groupBy("chunk").applyInPandas(run, ASKED)
 
 
-def count(asked: DataFrame) -> DataFrame:
-    """Answers (training counts in the order asked), and per part one row (chunk null) of the table of counts."""
+def count(asked: DataFrame, keep: bool = False) -> DataFrame:
+    """Answers (training counts in the order asked), and per part one row (chunk null) of sums, with ``keep`` also of the
+    table of counts."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("chunk")
         asked_keys = [_unpack_keys(x) for x in g["keys"]]
@@ -294,10 +313,11 @@ def count(asked: DataFrame) -> DataFrame:
         part = int(g["part"].iloc[0])
         rows = [(c, part, None, pack_planes(total[place[a:b]]), _pack_bits(speaks[a:b]), None)
                 for c, a, b in zip(g["chunk"], cuts, cuts[1:])]
-        seen = total > 0
-        some = total[seen]
+        known = total > 0
+        some = total[known]
         stats = [int(some.sum()), len(some), *np.bincount(np.minimum(some, K + 2), minlength=K + 3)[1:K + 2].tolist()]
-        return _frame([*rows, (None, part, _pack_keys(keys[seen]), pack_planes(some), None, stats)], COUNTED)
+        stored = (_pack_keys(keys[known]), pack_planes(some)) if keep else (None, None)
+        return _frame([*rows, (None, part, *stored, None, stats)], COUNTED)
 
     return asked.groupBy("part").applyInPandas(run, COUNTED)
 
@@ -330,7 +350,8 @@ def word_level(held: DataFrame, answers: DataFrame) -> DataFrame:
         c = _chunk(left.iloc[0])
         counts = np.empty(len(c.words), np.int64)
         counts[np.argsort(c.words)] = _joined(right, "counts", unpack_planes)
-        return pd.DataFrame({"chunk": [left["chunk"].iloc[0]], "counts": [pack_planes(counts)], "last": [None], "p": [None]})
+        return pd.DataFrame({"chunk": [left["chunk"].iloc[0]], "counts": [pack_planes(counts)], "prior": [None], "last": [None],
+                             "kinds": [None], "p": [None]})
 
     return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, KNOWN)
 
@@ -340,15 +361,21 @@ def _token_counts(row, c: Chunk) -> np.ndarray:
     return unpack_planes(row["counts"])[c.tokens]
 
 
-def _lower(row, c: Chunk, stats: dict) -> np.ndarray:
-    """P of every token at the level that is known."""
-    return unigram(_token_counts(row, c), stats[1]) if row["p"] is None else _unpack_values(row["p"])
+def _lower(row, c: Chunk, stats: dict, level: int) -> np.ndarray:
+    """P of every token at ``level``, the one that is known."""
+    if level == 1:
+        return unigram(unpack_planes(row["counts"]), stats[1])[c.tokens]
+    counts = unpack_planes(row["last"])
+    out = seen(counts, _history_counts(row, c, "prior"), unpack(row["kinds"], np.uint8), discounts(stats[level]["n"]))
+    out[counts == 0] = _unpack_values(row["p"])
+    return out
 
 
-def _history_counts(row, c: Chunk) -> np.ndarray:
-    """c(h) of every token at the next level: the count of what ends one token before, or of the documents."""
+def _history_counts(row, c: Chunk, below: str = "last") -> np.ndarray:
+    """c(h) of every token at the next level (``prior``: at the one that is known): the count of what ends one token before,
+    or of the documents."""
     words = _token_counts(row, c)
-    return c.before(words if row["last"] is None else unpack_planes(row["last"]), words[c.lengths[0] - 1])
+    return c.before(words if row[below] is None else unpack_planes(row[below]), words[c.lengths[0] - 1])
 
 
 def _asks(counts: np.ndarray, c_h: np.ndarray, stats: dict) -> np.ndarray:
@@ -358,41 +385,55 @@ def _asks(counts: np.ndarray, c_h: np.ndarray, stats: dict) -> np.ndarray:
     return (c_h > 0) & ~sure
 
 
-def weigh(held: DataFrame, answers: DataFrame, stats: dict, parts: int, level: int) -> DataFrame:
-    """Per chunk: one row (part null) with every token's count; by part of the histories, what the chunk's n-grams add to
-    their weights and which of them it asks for (``held``: chunks with what is known of the level below)."""
+def place_counts(held: DataFrame, answers: DataFrame, level: int) -> DataFrame:
+    """Every token's count, and one token of each n-gram that the chunk speaks for."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        row = left.iloc[0]
-        c = _chunk(row)
-        keys, gram = c.grams(level)
-        counts, speaks = _joined(right, "counts", unpack_planes)[gram], _joined(right, "speaks", _bits)
-        rows = [(row["chunk"], None, pack_planes(counts), None, None, None, None)]
-        h = c.histories(level)
+        keys, gram = _chunk(left.iloc[0]).grams(level)
+        counts, speaks = _joined(right, "counts", unpack_planes), _joined(right, "speaks", _bits)
         place = np.empty(len(keys), np.int64)
         place[gram] = np.arange(len(gram))
-        place = place[speaks]
-        del keys, gram, speaks
+        own = np.zeros(len(gram), bool)
+        own[place[speaks]] = True
+        return pd.DataFrame({"chunk": [left["chunk"].iloc[0]], "now": [pack_planes(counts[gram])], "speaks": [_pack_bits(own)]})
+
+    return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, PLACED)
+
+
+def turns(parts: int) -> list[tuple[int, int]]:
+    """Ranges of parts that are weighed one after the other."""
+    cuts = [parts * k // TURNS for k in range(TURNS + 1)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
+
+
+def weigh(held: DataFrame, stats: dict, parts: int, level: int, start: int, end: int) -> DataFrame:
+    """Per chunk and part of the histories (``start`` to before ``end``): what the chunk's n-grams add to their weights and
+    which of them it asks for (``held``: chunks with what is known of the level below, and the tokens' counts as ``now``)."""
+    def run(left: pd.DataFrame) -> pd.DataFrame:
+        row = left.iloc[0]
+        c = _chunk(row)
+        counts, h = unpack_planes(row["now"]), c.histories(level)
+        part = _deal(h, parts)
+        here = (part >= start) & (part < end)
+        place = np.flatnonzero(_bits(row["speaks"]) & here)
         own, at = np.unique(h[place], return_inverse=True)
         small = np.bincount(at * (K + 1) + np.minimum(counts[place], K + 1) - 1, minlength=len(own) * (K + 1)).reshape(-1, K + 1)[:, :K]
-        mass = np.bincount(at, _lower(row, c, stats)[place], len(own))
-        wanted = np.unique(h[_asks(counts, _history_counts(row, c), stats)])
-        numbers = np.arange(parts + 1)
+        mass = np.bincount(at, _lower(row, c, stats, level - 1)[place], len(own))
+        wanted = np.unique(h[_asks(counts, _history_counts(row, c), stats) & here])
+        numbers = np.arange(start, end + 1)
         cut, cut_wanted = (np.searchsorted(_deal(x, parts), numbers) for x in (own, wanted))
-        for p, a, b, x, y in zip(numbers, cut, cut[1:], cut_wanted, cut_wanted[1:]):
-            if b > a or y > x:
-                rows.append((row["chunk"], p, None, _pack_keys(own[a:b]), pack_planes(small[a:b].T.ravel()), _pack_values(mass[a:b]),
-                             _pack_keys(wanted[x:y])))
+        rows = [(row["chunk"], p, _pack_keys(own[a:b]), pack_planes(small[a:b].T.ravel()), _pack_values(mass[a:b]), _pack_keys(wanted[x:y]))
+                for p, a, b, x, y in zip(numbers, cut, cut[1:], cut_wanted, cut_wanted[1:]) if b > a or y > x]
         return _frame(rows, WEIGHED)
 
-    return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, WEIGHED)
+    return held.groupBy("chunk").applyInPandas(run, WEIGHED)
 
 
 def _small(x: bytes) -> np.ndarray:
     return unpack_planes(x).reshape(K, -1)
 
 
-def weights(weighed: DataFrame) -> DataFrame:
-    """Answers for the histories asked for, and per part one row (chunk null) of the table of weights."""
+def weights(weighed: DataFrame, keep: bool = False) -> DataFrame:
+    """Answers for the histories asked for, and with ``keep`` per part one row (chunk null) of the table of weights."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("chunk")
         histories, at = np.unique(np.concatenate([_unpack_keys(x) for x in g["histories"]]), return_inverse=True)
@@ -402,9 +443,11 @@ def weights(weighed: DataFrame) -> DataFrame:
         kinds = np.where(1 - mass <= 1e-12, NOTHING, np.where(small.any(0), BY_DISCOUNT, SET_ASIDE)).astype(np.uint8)
         part = int(g["part"].iloc[0])
         rows = _weight_answers(g, histories, kinds, small, mass)
-        return _frame([*rows, (None, part, _pack_keys(histories), pack(kinds), pack_planes(small.ravel()), _pack_values(mass))], WEIGHTS)
+        if keep:
+            rows.append((None, part, _pack_keys(histories), pack(kinds), pack_planes(small.ravel()), _pack_values(mass)))
+        return _frame(rows, WEIGHTS)
 
-    return weighed.filter("part IS NOT NULL").groupBy("part").applyInPandas(run, WEIGHTS)
+    return weighed.groupBy("part").applyInPandas(run, WEIGHTS)
 
 
 def look_up_weights(weighed: DataFrame, stored: DataFrame) -> DataFrame:
@@ -415,7 +458,7 @@ def look_up_weights(weighed: DataFrame, stored: DataFrame) -> DataFrame:
         k = known.iloc[0]
         return _frame(_weight_answers(g, _unpack_keys(k["histories"]), unpack(k["kinds"], np.uint8), _small(k["small"]), _unpack_values(k["mass"])), WEIGHTS)
 
-    return weighed.filter("part IS NOT NULL").groupBy("part").cogroup(stored.groupBy("part")).applyInPandas(run, WEIGHTS)
+    return weighed.groupBy("part").cogroup(stored.groupBy("part")).applyInPandas(run, WEIGHTS)
 
 
 def _weight_answers(g: pd.DataFrame, histories, kinds, small, mass) -> list[tuple]:
@@ -427,27 +470,29 @@ def _weight_answers(g: pd.DataFrame, histories, kinds, small, mass) -> list[tupl
     return rows
 
 
-def probabilities(row, c: Chunk, answers: pd.DataFrame, stats: dict, level: int) -> np.ndarray:
-    """P of every token at ``level`` (above 1), from P at the level below and the weights of the histories asked for."""
-    lower, counts, c_h = _lower(row, c, stats), unpack_planes(row["now"]), _history_counts(row, c)
+def probabilities(row, c: Chunk, answers: pd.DataFrame, stats: dict, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """P and kind of history of every token at ``level`` (above 1), from the level below and the weights of the histories asked for."""
+    out, counts, c_h = _lower(row, c, stats, level - 1), unpack_planes(row["now"]), _history_counts(row, c)
     d = discounts(stats[level]["n"])
-    nothing = np.zeros((1, K)), np.zeros(1)  # seen, or without a known history
-    out = backoff(lower, counts, c_h, np.where(counts <= K, BY_DISCOUNT, SET_ASIDE), *nothing, d)
+    kinds = np.where(counts <= K, BY_DISCOUNT, SET_ASIDE).astype(np.uint8)
     asked = np.flatnonzero(_asks(counts, c_h, stats))
     if len(asked):
         _, h = np.unique(c.histories(level)[asked], return_inverse=True)
-        kinds = _joined(answers, "kinds", lambda x: unpack(x, np.uint8))[h]
+        kinds[asked] = _joined(answers, "kinds", lambda x: unpack(x, np.uint8))[h]
+        unseen = counts[asked] == 0
+        at, h = asked[unseen], h[unseen]
         small, mass = _joined(answers, "small", _small, 1)[:, h].T, _joined(answers, "mass", _unpack_values)[h]
-        out[asked] = backoff(lower[asked], counts[asked], c_h[asked], kinds, small, mass, d)
-    return out
+        out[at] = backoff(out[at], counts[at], c_h[at], kinds[at], small, mass, d)
+    return np.where(counts > 0, seen(counts, c_h, kinds, d), out), kinds
 
 
 def next_level(held: DataFrame, answers: DataFrame, stats: dict, level: int) -> DataFrame:
     """What is known of each chunk after ``level`` (``held``: with the level below, and the tokens' counts as ``now``)."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]
-        p = probabilities(row, _chunk(row), right, stats, level)
-        return pd.DataFrame({"chunk": [row["chunk"]], "counts": [row["counts"]], "last": [row["now"]], "p": [_pack_values(p)]})
+        p, kinds = probabilities(row, _chunk(row), right, stats, level)
+        return pd.DataFrame({"chunk": [row["chunk"]], "counts": [row["counts"]], "prior": [row["last"]], "last": [row["now"]],
+                             "kinds": [pack(kinds)], "p": [_pack_values(p[unpack_planes(row["now"]) == 0])]})
 
     return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, KNOWN)
 
@@ -471,12 +516,12 @@ def evaluate(held: DataFrame, answers: DataFrame | None, stats: dict, level: int
     def words(left: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]
         c = _chunk(row)
-        return _scores(row, c, _lower(row, c, stats), stats)
+        return _scores(row, c, _lower(row, c, stats, 1), stats)
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]
         c = _chunk(row)
-        return _scores(row, c, probabilities(row, c, right, stats, level), stats)
+        return _scores(row, c, probabilities(row, c, right, stats, level)[0], stats)
 
     if answers is None:
         return held.groupBy("chunk").applyInPandas(words, SCORED)
@@ -501,7 +546,7 @@ def _run(docs: DataFrame, order: int, training: bool | None, model: Model | None
     stored = lambda df, name, *cols: materialise(df.filter("chunk IS NULL").select("part", *cols), name, bucket="part")
     for level in range(1, order + 1):
         asked = ask(held, parts, level)
-        counted = materialise(look_up_counts(asked, model.counts[level]) if model else count(asked), f"katz-counted-{level}")
+        counted = materialise(look_up_counts(asked, model.counts[level]) if model else count(asked, keep), f"katz-counted-{level}")
         if not model:
             own.stats[level] = _stats(counted)
         if keep:
@@ -512,21 +557,24 @@ def _run(docs: DataFrame, order: int, training: bool | None, model: Model | None
             discard(counted)
             continue
         release_shuffles(docs.sparkSession)
-        weighed = materialise(weigh(held.join(known, "chunk"), answers, own.stats, parts, level), f"katz-weighed-{level}")
+        now = materialise(place_counts(held, answers, level), f"katz-now-{level}", bucket="chunk")
         discard(counted)
-        release_shuffles(docs.sparkSession)
-        answered = materialise(look_up_weights(weighed, model.weights[level]) if model else weights(weighed), f"katz-answered-{level}")
+        state, answered = held.join(known, "chunk").join(now, "chunk"), []
+        for start, end in turns(parts):
+            release_shuffles(docs.sparkSession)
+            weighed = weigh(state, own.stats, parts, level, start, end)
+            answered.append(materialise(look_up_weights(weighed, model.weights[level].filter(F.col("part").between(start, end - 1))) if model
+                                        else weights(weighed, keep), f"katz-answered-{level}"))
+        answers = reduce(DataFrame.unionByName, answered)
         if keep:
-            own.weights[level] = stored(answered, f"katz-weights-{level}", "histories", "kinds", "small", "mass")
-        answers = answered.filter("chunk IS NOT NULL")
-        now = weighed.filter("part IS NULL").select("chunk", F.col("counts").alias("now"))
-        state = held.join(known, "chunk").join(now, "chunk")
+            own.weights[level] = stored(answers, f"katz-weights-{level}", "histories", "kinds", "small", "mass")
+        answers = answers.filter("chunk IS NOT NULL")
         release_shuffles(docs.sparkSession)
         if level < order:
             found = materialise(next_level(state, answers, own.stats, level), f"katz-known-{level}", bucket="chunk")
         elif not keep:
             return evaluate(state, answers, own.stats, level), own
-        for t in (known, weighed, answered):
+        for t in (known, now, *answered):
             discard(t)
         release_shuffles(docs.sparkSession)
         known = found if level < order else None
